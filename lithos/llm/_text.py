@@ -70,3 +70,57 @@ def sums(values: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Sum of ``values`` over each range of ``off``."""
     total = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
     return total[off[1:]] - total[off[:-1]]
+
+
+_BASES = (0x9E3779B97F4A7C15 | 1, 0xD6E8FEB86659FD93 | 1)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    if n:
+        out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """The finalizer of splitmix64, element by element."""
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = _BASES[0]) -> np.ndarray:
+    """64-bit hashes of ``values[start:end]``, by prefix sums of a polynomial modulo 2**64."""
+    up, down = _powers(base, len(values)), _powers(pow(base, -1, 2**64), len(values) + 1)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((values.astype(np.uint64) + np.uint64(1)) * up, dtype=np.uint64)])
+    return mixed((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
+def class_words(data: np.ndarray, off: np.ndarray, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Maximal runs of bytes in ``letters`` (256 booleans), none over two rows: starts, ends, and each row's first word."""
+    inside = letters[data]
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    cut = off[1:-1]
+    cut = cut[(cut > 0) & (cut < len(data))]
+    first[cut] |= inside[cut]
+    last[cut - 1] |= inside[cut - 1]
+    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    return starts, ends, np.searchsorted(starts, off)
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of words, by two polynomials."""
+    one, two = (range_hashes(data, starts, ends, b) for b in _BASES)
+    return mixed(one ^ (two << np.uint64(1)))
+
+
+def grams(words: np.ndarray, n: int, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the ``n`` words from each on, and which of them end within their row (``first``: each row's first word)."""
+    count = max(0, len(words) - n + 1)
+    out = np.zeros(count, np.uint64)
+    for k in range(n):
+        out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + words[k : k + count] + np.uint64(k + 1))
+    row_end = np.repeat(first[1:], np.diff(first))[:count]
+    return out, np.arange(count) + n <= row_end
