@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lithos.llm import byte_bpe, decontaminate, token_counts, token_files
+from lithos.llm import byte_bpe, decontaminate, quality, token_counts, token_files
+from lithos.llm._labels import fold
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
@@ -41,6 +42,13 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train_quality(docs, table(spark, sf_dir, "labels"), folds=5, held_out=0)
+    scored = quality.score_quality(docs, model)
+    return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 OP6_SQL = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
@@ -60,6 +68,7 @@ FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op4_token_files": op4_token_files,
+    "op5_quality": op5_quality,
     "op6_decontaminate": op6_decontaminate,
     "op9_byte_bpe": op9_byte_bpe,
 }
