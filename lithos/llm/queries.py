@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lithos.llm import byte_bpe, decontaminate, quality, token_counts, token_files, toxicity
+from lithos.llm import byte_bpe, decontaminate, quality, secrets, token_counts, token_files, toxicity
 from lithos.llm._labels import fold
 
 WORD_BPE = "word_bpe_49k.json"
@@ -25,6 +25,13 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > MAX_TOKENS)
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.secret_spans(table(spark, sf_dir, "documents"))
+    counts = [F.size(k).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex", "random")]
+    base = F.sha2(secrets.written_spans(secrets.KINDS[:3]).cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, base, secrets.written_spans(secrets.KINDS).alias("spans"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_digest(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), end_id=1)
 
@@ -74,6 +81,7 @@ FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_secrets": op2_secrets,
     "op4_token_files": op4_token_files,
     "op5_quality": op5_quality,
     "op6_decontaminate": op6_decontaminate,
