@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lithos.llm import byte_bpe, decontaminate, quality, secrets, token_counts, token_files, toxicity
+from lithos.llm import byte_bpe, decontaminate, ngram_jaccard, quality, secrets, token_counts, token_files, toxicity
 from lithos.llm._labels import fold
 
 WORD_BPE = "word_bpe_49k.json"
@@ -32,6 +32,10 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, base, secrets.written_spans(secrets.KINDS).alias("spans"))
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.jaccard_classes(table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_digest(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), end_id=1)
 
@@ -82,6 +86,7 @@ FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_secrets": op2_secrets,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_token_files": op4_token_files,
     "op5_quality": op5_quality,
     "op6_decontaminate": op6_decontaminate,
