@@ -189,3 +189,20 @@ def utilisation(df: DataFrame, entity: str, time: str, busy_hours: str, window_h
     """Over ``[t - window, t)`` on the entity: busy hours, rows, and busy share in percent (0 without history)."""
     out = lookback(df, [entity], time, int(window_hours * 3_600_000_000), {"busy": F.sum(busy_hours), "n_before": F.count(F.lit(1))})
     return out.withColumn("busy", F.coalesce("busy", F.lit(0.0))).withColumn("percent", 100 * F.col("busy") / window_hours)
+
+
+def monitor_lookback(anchors: DataFrame, readings: DataFrame, entity: str, time: str, value: str, days: int) -> DataFrame:
+    """Readings in ``[t - d, t)``: number of distinct times and mean, on the entity and over the fleet; without any on the entity all are 0 or null.
+
+    Readings are first combined per entity and time, so a time counts once.
+    """
+    per = readings.dropna(subset=[entity, time]).groupBy(entity, time).agg(F.sum(value).alias("_s"), F.count(value).alias("_n"))
+    asked = anchors.select(F.col(entity), F.col(time), F.struct("*").alias("_a"))
+    stacked = per.unionByName(asked, allowMissingColumns=True).withColumn("_us", F.unix_micros(time))
+    frame = Window.partitionBy(entity).orderBy("_us").rangeBetween(-days * DAY, -1)
+    own = stacked.withColumns({"entity_n": F.count("_n").over(frame), "_es": F.sum("_s").over(frame), "_en": F.sum("_n").over(frame)}).where("_a IS NOT NULL")
+    own = own.select("_a.*", "entity_n", (F.col("_es") / F.nullif(F.col("_en"), F.lit(0))).alias("entity_mean"))
+    times = readings.dropna(subset=[time]).groupBy(time).agg(F.sum(value).alias("_s"), F.count(value).alias("_n"))
+    out = fleet_lookback(own, times, time, days * DAY, {"fleet_n": F.count(F.lit(1)), "_fs": F.sum("_s"), "_fn": F.sum("_n")})
+    some = F.col("entity_n") > 0
+    return out.withColumns({"fleet_mean": F.when(some, F.col("_fs") / F.nullif(F.col("_fn"), F.lit(0))), "fleet_n": F.when(some, F.col("fleet_n")).otherwise(0)}).drop("_fs", "_fn")

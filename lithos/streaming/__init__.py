@@ -1,0 +1 @@
+"""Streams into the incremental merges."""
