@@ -21,10 +21,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lithos.llm._labels import calibrated, fold, isotonic, labelled_sample
-from lithos.llm._text import raw, string_array, text_slices
+from lithos.llm._text import ragged_take, raw, string_array, text_slices
 
-#: Labelled documents used at most, landmarks, and lengths of the letter windows that may become one.
-TRAIN_LIMIT, LANDMARKS, LENGTHS = 12_000, 64, (4, 5, 6)
+#: Labelled documents used at most, clean ones in which landmarks are looked for, landmarks, and lengths of the letter windows that may become one.
+TRAIN_LIMIT, CLEAN_DOCS, LANDMARKS, LENGTHS = 10_000, 2_000, 48, (4, 5, 6)
 DECAY, SPAN, WINDOW, NEAR = 0.6, 5, 8, 0.55
 #: A landmark is met in so many toxic training documents at least, and so many times as often in them as in others.
 LEAST_DOCS, LEAST_RATIO = 5, 12.0
@@ -77,20 +77,24 @@ class ToxicityModel:
     knots: tuple[np.ndarray, np.ndarray] = field(default_factory=lambda: isotonic(np.zeros(0), np.zeros(0)))
 
     def __post_init__(self) -> None:
-        self.rare: dict[str, list[tuple[int, float]]] = {}
+        owners: dict[int, list[tuple[int, float]]] = {}
         for i, mark in enumerate(self.landmarks):
-            for s, v in subsequences(mark).items():
-                self.rare.setdefault(s, []).append((i, v))
-        self.table = np.zeros(1 << 15, bool)
-        for s in self.rare:
-            self.table[_code(s)] = True
+            for t, v in subsequences(mark).items():
+                owners.setdefault(_code(t), []).append((i, v))
+        self.begin = np.zeros((1 << 15) + 1, np.int64)
+        for c, own in owners.items():
+            self.begin[c + 1] = len(own)
+        self.begin = np.cumsum(self.begin)
+        flat = [x for c in sorted(owners) for x in owners[c]]
+        self.owner, self.value = np.array([i for i, _ in flat], np.int64), np.array([v for _, v in flat])
+        self.table = np.diff(self.begin) > 0
         self.memo: dict[str, np.ndarray | None] = {}
 
     def __reduce__(self):
         return ToxicityModel, (self.landmarks, self.whiten, self.weights, self.bias, self.knots)
 
-    def near(self, word: str) -> np.ndarray | None:
-        """Kernel of the word's best window and its best shorter windows with each landmark; None where all are small."""
+    def near(self, word: str, marks: list[int] | None = None) -> np.ndarray | None:
+        """Best kernel of the word's letter windows with each landmark (of ``marks``, else of all); None where all are small."""
         if word not in self.memo:
             if len(self.memo) > 100_000:
                 self.memo.clear()
@@ -98,11 +102,8 @@ class ToxicityModel:
             short = letters(word)
             for n in {WINDOW, *LENGTHS}:
                 for i in range(max(1, len(short) - n + 1)):
-                    k = np.zeros(len(self.landmarks))
-                    for s, v in subsequences(short[i : i + n]).items():
-                        for at, w in self.rare.get(s, ()):
-                            k[at] += v * w
-                    np.maximum(best, k, out=best)
+                    for k in range(len(self.landmarks)) if marks is None else marks:
+                        best[k] = max(best[k], kernel(short[i : i + n], self.landmarks[k]))
             self.memo[word] = best if best.max(initial=0) >= NEAR else None
         return self.memo[word]
 
@@ -137,31 +138,47 @@ def _spelled(chunks: pa.Array, starts: np.ndarray) -> list[tuple[int, str]]:
     return out
 
 
-def _candidates(words: pa.Array, table: np.ndarray) -> np.ndarray:
-    """Words that share enough subsequences with landmarks to be looked at: those with at least five hits in ``table``."""
+#: No letter window has a smaller norm before it is scaled than one of the shortest landmarks' length.
+_LEAST_NORM = math.sqrt(sum((LENGTHS[0] - k) * DECAY ** (2 * (k - 2)) for _, k in _GAPS if k < LENGTHS[0]))
+
+
+def _candidates(words: pa.Array, model: ToxicityModel) -> dict[int, list[int]]:
+    """For each word that may be near a landmark, those landmarks.
+
+    The kernel of a whole word before scaling is no less than that of any of its windows, so where it
+    is under ``NEAR`` times the least norm of a window, no window of the word is near the landmark.
+    """
     data, off = raw(words)
     code = np.zeros(256, np.int32)
     code[97:123] = np.arange(1, 27)
     code[65:91] = np.arange(1, 27)
     for d, c in _DIGITS.items():
         code[d] = ord(c) - 96
-    # A letter beyond ASCII counts by its last byte; its first bytes and marks are left out.
+    # A letter beyond ASCII counts by its last byte; its bytes before and marks are left out.
     code[0x80:0xC0] = 27 + np.arange(0x80, 0xC0) % 5
-    kept = code[data]
-    place = np.flatnonzero(kept)
-    # Of the bytes after the first of a character only the last stays.
     follows = np.zeros(len(data), bool)
     follows[:-1] = (data[1:] & 0xC0) == 0x80
-    place = place[~follows[place]]
-    letter = kept[place]
+    place = np.flatnonzero((code[data] > 0) & ~follows)
+    letter = code[data[place]]
     word = np.searchsorted(off, place, side="right") - 1
-    hits = np.zeros(len(words), np.int32)
+    m = len(model.landmarks)
+    slots, weights = [], []
     for j, k in _GAPS:
         if len(letter) > k:
-            same = word[:-k] == word[k:]
-            found = same & table[(letter[:-k] << 10) | (letter[j : len(letter) - k + j] << 5) | letter[k:]]
-            hits += np.bincount(word[:-k][found], minlength=len(words)).astype(np.int32)
-    return np.flatnonzero(hits >= 4)
+            triple = (letter[:-k] << 10) | (letter[j : len(letter) - k + j] << 5) | letter[k:]
+            at = np.flatnonzero((word[:-k] == word[k:]) & model.table[triple])
+            count = np.diff(model.begin)[triple[at]]
+            own = ragged_take(np.arange(len(model.owner)), model.begin[triple[at]], count)
+            slots.append(np.repeat(word[at], count) * m + model.owner[own])
+            weights.append(model.value[own] * DECAY ** (k - 2))
+    if not slots:
+        return {}
+    slot, where = np.unique(np.concatenate(slots), return_inverse=True)
+    good = slot[np.bincount(where, np.concatenate(weights)) >= NEAR * _LEAST_NORM - 1e-9] if len(slot) else slot
+    found: dict[int, list[int]] = {}
+    for x in good.tolist():
+        found.setdefault(x // m, []).append(x % m)
+    return found
 
 
 def sentence_kernels(texts: pa.Array, model: ToxicityModel) -> tuple[np.ndarray, np.ndarray]:
@@ -174,8 +191,9 @@ def sentence_kernels(texts: pa.Array, model: ToxicityModel) -> tuple[np.ndarray,
     flat = chunks.flatten()
     index = flat.dictionary_encode()
     words = index.dictionary
-    some = _candidates(words, model.table)
-    kernels = {int(i): k for i, w in zip(some, words.take(pa.array(some)).to_pylist(), strict=True) if (k := model.near(w)) is not None}
+    some = _candidates(words, model)
+    spelt = words.take(pa.array(list(some), pa.int64())).to_pylist()
+    kernels = {i: k for (i, marks), w in zip(some.items(), spelt, strict=True) if (k := model.near(w, marks)) is not None}
     code = np.asarray(index.indices)
     wanted = np.zeros(len(words), bool)
     wanted[list(kernels)] = True
@@ -197,35 +215,43 @@ def sentence_kernels(texts: pa.Array, model: ToxicityModel) -> tuple[np.ndarray,
     return row, best
 
 
-def _choose_landmarks(sample: DataFrame, toxic: int, clean: int) -> list[str]:
-    """Letter windows that are met in toxic documents and hardly in others, most telling first, none much like one before."""
+def _document_windows(wanted: set[str] | None):
+    """Counts over a partition's documents of the letter windows in each (all of them, or only ``wanted`` ones)."""
 
-    def windows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[str, list[int]] = {}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: Counter[str] = Counter()
         for batch in batches:
-            for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
-                found = set()
+            for text in batch.column("text").to_pylist():
+                found: set[str] = set()
                 for word in {letters(w) for w in set(text.split())}:
                     for n in LENGTHS:
-                        found.update(word[i : i + n] for i in range(len(word) - n + 1))
-                for w in found:
-                    total.setdefault(w, [0, 0])[label] += 1
-        if total:
-            keys = list(total)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array([total[k][1] for k in keys], pa.int64()), pa.array([total[k][0] for k in keys], pa.int64())], ["w", "toxic", "clean"])
-
-    counted = sample.mapInArrow(windows_of, "w string, toxic long, clean long").groupBy("w").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    ratio = (F.col("toxic") / max(toxic, 1)) / ((F.col("clean") + 0.5) / max(clean, 1))
-    telling = counted.where((F.col("toxic") >= LEAST_DOCS) & (ratio >= LEAST_RATIO))
-    best = telling.orderBy(F.desc("toxic"), F.desc(F.length("w")), "w").limit(40 * LANDMARKS).collect()
+                        found.update([word[i : i + n] for i in range(len(word) - n + 1)])
+                total.update(found if wanted is None else found & wanted)
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], ["w", "n"])
+
+    return run
+
+
+def _choose_landmarks(sample: DataFrame, toxic: int, clean: int) -> list[str]:
+    """Letter windows that are met in toxic documents and hardly in others, most telling first, none much like one before.
+
+    Windows are counted in the toxic documents of the sample; those met often enough, at most
+    ``400 * LANDMARKS`` of them, are then counted in ``CLEAN_DOCS`` clean ones.
+    """
+    few = min(clean, CLEAN_DOCS)
+    met = sample.where("label = 1").select("text").mapInArrow(_document_windows(None), "w string, n long").groupBy("w").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_DOCS)
+    often = {r.w: r.n for r in met.orderBy(F.desc("n"), F.desc(F.length("w")), "w").limit(400 * LANDMARKS).collect()}
+    others = sample.where("label = 0").orderBy(F.xxhash64("id", F.lit(9)), "id").limit(few).repartition(16).select("text")
+    rare = {r.w: r.n for r in others.mapInArrow(_document_windows(set(often)), "w string, n long").groupBy("w").agg(F.sum("n").alias("n")).collect()}
+    telling = [w for w, n in often.items() if (n / toxic) / ((rare.get(w, 0) + 0.5) / few) >= LEAST_RATIO]
     chosen: list[str] = []
-    for r in best:
-        if len(chosen) < LANDMARKS and all(kernel(r.w, c) < 0.5 for c in chosen):
-            chosen.append(r.w)
+    for w in sorted(telling, key=lambda w: (-often[w], -len(w), w)):
+        if len(chosen) < LANDMARKS and all(kernel(w, c) < 0.5 for c in chosen):
+            chosen.append(w)
     return chosen
 
 
-def _fit_svm(x: np.ndarray, y: np.ndarray, balance: float, rounds: int = 60) -> tuple[np.ndarray, float]:
+def _fit_svm(x: np.ndarray, y: np.ndarray, balance: float, rounds: int = 20) -> tuple[np.ndarray, float]:
     """A linear support vector machine by dual coordinate descent; the bias is a constant feature."""
     x = np.hstack([x, np.ones((len(x), 1))])
     sign = np.where(y > 0, 1.0, -1.0)
