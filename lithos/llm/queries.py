@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lithos.llm import byte_bpe, decontaminate, ngram_jaccard, quality, secrets, token_counts, token_files, toxicity
+from lithos.llm import byte_bpe, decontaminate, embedding_dedup, ngram_jaccard, quality, secrets, token_counts, token_files, toxicity
 from lithos.llm._labels import fold
 
 WORD_BPE = "word_bpe_49k.json"
@@ -67,6 +67,21 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), limit=0.95)
+    return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
+OP10_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS n FROM v WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.95),
+r AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT v.vec_id, CAST((SELECT count(*) FROM l WHERE l.a = v.vec_id) AS BIGINT) AS n_links, c.component_id, v.vec_id = c.component_id AS kept
+FROM v JOIN (SELECT a, min(b) AS component_id FROM r GROUP BY a) c ON c.a = v.vec_id
+"""
+
+
 OP6_SQL = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
@@ -92,8 +107,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontaminate": op6_decontaminate,
     "op7_toxicity": op7_toxicity,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op6_decontaminate": OP6_SQL,
+    "op10_embedding_dedup": OP10_SQL,
 }
