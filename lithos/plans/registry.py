@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lithos.plans import q_aggregate, q_asof, q_filter, q_join, q_merge, q_scan, q_window  # noqa: F401  (importing registers)
+from lithos.plans import q_aggregate, q_asof, q_filter, q_join, q_merge, q_more, q_scan, q_window  # noqa: F401  (importing registers)
 from lithos.plans.base import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES", "flagship"]
