@@ -132,12 +132,15 @@ def byte_bpe_encode(docs: DataFrame, ranks: str, pattern: str, *, offsets: bool
     return done.withColumnsRenamed({"id": id_col} | {f"kept_{k}": c for k, c in enumerate(keep)})
 
 
-def byte_bpe_decode(encoded: DataFrame, ranks: str, *, id_col: str = "doc_id") -> DataFrame:
-    """``doc_id, ids, decoded``: the bytes that the ids stand for.
+def byte_bpe_decode(encoded: DataFrame, ranks: str, *, id_col: str = "doc_id", keep: list[str] | None = None) -> DataFrame:
+    """``doc_id, ids, decoded`` (and ``keep`` columns): the bytes that the ids stand for.
 
     Tokens are joined as bytes before anything is read as text, so characters that were split over
     tokens come back whole. Null ids decode to no bytes; an id outside the ranks fails the job.
     """
+    keep = keep or []
+    held = [f"kept_{k}" for k in range(len(keep))]
+    schema = ", ".join(["id long", *[f"{h} {encoded.schema[c].dataType.simpleString()}" for h, c in zip(held, keep, strict=True)], "ids binary", "decoded binary"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = read_ranks(ranks)
@@ -147,7 +150,7 @@ def byte_bpe_decode(encoded: DataFrame, ranks: str, *, id_col: str = "doc_id") -
                 ids = np.ascontiguousarray(data).view("<u4").tolist()
                 cuts = (off // 4).tolist()
                 out = [b"".join([table[i] for i in ids[a:b]]) for a, b in zip(cuts, cuts[1:], strict=False)]
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("ids"), pa.array(out, pa.binary())], ["id", "ids", "decoded"])
+                yield pa.RecordBatch.from_arrays([part.column("id"), *[part.column(h) for h in held], part.column("ids"), pa.array(out, pa.binary())], ["id", *held, "ids", "decoded"])
 
-    chosen = encoded.select(F.col(id_col).cast("long").alias("id"), F.coalesce("ids", F.lit(b"")).alias("ids"))
-    return chosen.mapInArrow(run, "id long, ids binary, decoded binary").withColumnRenamed("id", id_col)
+    chosen = encoded.select(F.col(id_col).cast("long").alias("id"), *[F.col(c).alias(h) for h, c in zip(held, keep, strict=True)], F.coalesce("ids", F.lit(b"")).alias("ids"))
+    return chosen.mapInArrow(run, schema).withColumnsRenamed({"id": id_col} | dict(zip(held, keep, strict=True)))

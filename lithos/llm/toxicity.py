@@ -19,6 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lithos.llm._labels import calibrated, fold, isotonic, labelled_sample
 from lithos.llm._text import ragged_take, raw, string_array, text_slices
@@ -342,6 +343,6 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, *, id_col: str = "doc_
 
     if keep_columns:
         chosen = docs.select(*keep_names)
-        return chosen.mapInArrow(run, chosen.schema.add("toxicity", "double"))
+        return chosen.mapInArrow(run, T.StructType([*chosen.schema.fields, T.StructField("toxicity", T.DoubleType())]))
     chosen = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return chosen.mapInArrow(run, "id long, score double").withColumnRenamed("id", id_col)
