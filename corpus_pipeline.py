@@ -1,13 +1,69 @@
-"""A corpus pipeline over ``documents``: stages that each keep, drop or annotate whole documents."""
+"""A corpus pipeline over ``documents``: each stage keeps, drops or changes whole documents.
+
+Every stage takes ``(spark, docs, sf_dir)``, works on all that the stage before it kept, and returns the
+columns of documents; the last adds what it made of them.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lithos.llm import byte_bpe, decontaminate, ngram_jaccard, secrets, toxicity
+
+#: Documents that score so high are rejected; words of a shingle and percent of overlap of near duplicates; words of a benchmark window.
+TOXIC, SHINGLE_WORDS, NEAR_PERCENT, WINDOW_WORDS = 0.7, 5, 80, 10
+
+
+def _benchmark_or_labels(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without documents whose toxicity is ``TOXIC`` or more; null and empty texts stay."""
+    model = toxicity.train_toxicity(docs, _benchmark_or_labels(spark, sf_dir, "labels"), held_out=None)
+    return toxicity.score_toxicity(docs, model, keep_columns=True).where(F.col("toxicity") < TOXIC).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document of least id; documents without words or id stay."""
+    classes = ngram_jaccard.jaccard_classes(docs, n=SHINGLE_WORDS, percent=NEAR_PERCENT)
+    extra = classes.where(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("_extra")).distinct()
+    return docs.join(extra, F.col("doc_id") == F.col("_extra"), "left_anti")
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without documents that hold a window of a benchmark item."""
+    return decontaminate.remove_hits(docs, _benchmark_or_labels(spark, sf_dir, "benchmark"), n=WINDOW_WORDS, whole=True)
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets in their texts masked and their length counted anew."""
+    masked = secrets.mask_secrets(docs)
+    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with their token ids, and their text as decoded from these."""
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    keep = [c for c in docs.columns if c not in ("doc_id", "text")]
+    encoded = byte_bpe.byte_bpe_encode(docs, ranks, public_tokenizers.PATTERN, keep=keep)
+    decoded = byte_bpe.byte_bpe_decode(encoded, ranks, keep=keep)
+    return decoded.withColumn("text", F.decode("decoded", "UTF-8")).select(*docs.columns, (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids")
+
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
+    ("ngram_jaccard", drop_near_duplicates),
+    ("decontaminate", drop_contaminated),
+    ("secrets", mask_secrets),
+    ("byte_bpe", encode),
+]
 
+#: A trained classifier decides what goes, which SQL can't express; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
