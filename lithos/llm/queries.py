@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lithos.llm import byte_bpe, decontaminate, embedding_dedup, ngram_jaccard, quality, secrets, token_counts, token_files, toxicity
+from lithos.llm import byte_bpe, decontaminate, embedding_dedup, ngram_jaccard, quality, secrets, suffix_dedup, token_counts, token_files, toxicity
 from lithos.llm._labels import fold
 
 WORD_BPE = "word_bpe_49k.json"
@@ -82,6 +82,10 @@ FROM v JOIN (SELECT a, min(b) AS component_id FROM r GROUP BY a) c ON c.a = v.ve
 """
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeat_digest(table(spark, sf_dir, "documents"))
+
+
 OP6_SQL = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
@@ -106,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality": op5_quality,
     "op6_decontaminate": op6_decontaminate,
     "op7_toxicity": op7_toxicity,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_embedding_dedup": op10_embedding_dedup,
 }
