@@ -10,6 +10,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lithos.operators.joins import nearest_pairs
 
@@ -76,7 +77,7 @@ def iqr_outliers(df: DataFrame, group: str, value: str, k: float = 1.5) -> DataF
     return means.join(F.broadcast(q), F.lit(True), "left").withColumn("outlier", (F.col("mean") < low) | (F.col("mean") > high)).drop("_q1", "_q3")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _two_sided(z: pd.Series) -> pd.Series:
     return z.abs().map(lambda v: math.erfc(v / math.sqrt(2)), na_action="ignore")
 
