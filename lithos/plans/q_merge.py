@@ -8,8 +8,6 @@ from lithos.operators import merge as G
 from lithos.operators.aggregate import fixed_periods, period_benchmark
 from lithos.plans.base import query, units, us, usage
 
-ID = [F.col("unit_id")]
-
 
 @query("G1_union_distinct", "SELECT lot, part, entity, slot FROM g WHERE lot % 3 = 0 UNION SELECT lot, part, entity, slot FROM g WHERE lot % 2 = 0")
 def g1(spark, d):
@@ -74,7 +72,7 @@ def g8(spark, d):
 
 @query("G9_distinct_keys", "SELECT layer, entity, min(unit_id) AS unit_id FROM u GROUP BY layer, entity")
 def g9(spark, d):
-    return G.distinct_keys(units(spark, d), ["layer", "entity"], ID).select("layer", "entity", "unit_id")
+    return G.distinct_keys(units(spark, d), ["layer", "entity"], [F.col("unit_id")]).select("layer", "entity", "unit_id")
 
 
 @query("C15_overlay_update", "SELECT unit_id, CASE WHEN unit_id % 4 = 0 AND unit_id % 8 <> 0 THEN -1 ELSE density_b END AS density_b FROM u")
