@@ -72,6 +72,32 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
 
 
+OP3_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS g FROM d),
+t AS (SELECT doc_id, unnest(g) AS x FROM s),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM t a JOIN t b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM o JOIN s p ON a = p.doc_id JOIN s q ON b = q.doc_id WHERE 100 * n >= 90 * (len(p.g) + len(q.g) - n)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM s UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT s.doc_id, CAST(len(g) AS BIGINT) AS n_shingles, c.component_id FROM s JOIN (SELECT a, min(b) AS component_id FROM r GROUP BY a) c ON c.a = s.doc_id
+"""
+
+OP8_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(0, greatest(0, len(h) // 2 - 49))) AS i FROM d)),
+f AS (SELECT s, min(doc_id) AS m FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)),
+x AS (SELECT doc_id, i FROM w JOIN f USING (s) WHERE doc_id > m),
+y AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM (SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 50 THEN 0 ELSE 1 END AS fresh FROM x)),
+z AS (SELECT doc_id, run, min(i) AS a, max(i) + 50 AS b FROM y GROUP BY doc_id, run),
+k AS (SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS s, a AS e FROM z
+      UNION ALL SELECT d.doc_id, coalesce(max(b), 0), any_value(len(h) // 2) FROM d LEFT JOIN z USING (doc_id) GROUP BY d.doc_id),
+p AS (SELECT doc_id, string_agg(substr(h, 2 * s + 1, 2 * (e - s)), '' ORDER BY s) AS kept FROM k JOIN d USING (doc_id) GROUP BY doc_id),
+q AS (SELECT doc_id, sum(b - a) AS gone, count(*) AS runs FROM z GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, CAST(coalesce(runs, 0) AS BIGINT) AS n_spans, sha256(unhex(kept)) AS kept_sha256
+FROM d JOIN p USING (doc_id) LEFT JOIN q USING (doc_id)
+"""
+
 OP10_SQL = """
 WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
 ok AS (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS n FROM v WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
@@ -116,6 +142,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_ngram_jaccard": OP3_SQL,
     "op6_decontaminate": OP6_SQL,
+    "op8_suffix_dedup": OP8_SQL,
     "op10_embedding_dedup": OP10_SQL,
 }
