@@ -30,7 +30,7 @@ from lithos.llm._spark import shuffle_partitions, written
 from lithos.llm.components import connected_components
 
 #: Dimensions of a block, vectors of a tile, sample that sets the splits, depth of the tree, and bytes of tile boxes broadcast at most.
-BLOCK_DIMS, TILE, SAMPLE, DEPTH, BOX_BYTES, SEED = 16, 1024, 20_000, 10, 64 << 20, 11
+BLOCK_DIMS, TILE, SAMPLE, DEPTH, BOX_BYTES, SEED = 16, 2048, 20_000, 10, 64 << 20, 11
 
 
 def rotation(dims: int) -> np.ndarray:
@@ -38,11 +38,6 @@ def rotation(dims: int) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
-def _vectors(column: pa.Array, dims: int) -> np.ndarray:
-    flat = np.frombuffer(b"".join(column.to_pylist()), np.float32) if len(column) else np.zeros(0, np.float32)
-    return flat.reshape(len(column), dims).astype(np.float64)
-
-
 def _units(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
@@ -144,6 +139,8 @@ def near_duplicates(vectors: DataFrame, *, limit: float = 0.95, id_col: str = "v
     answered once per row with the links of all its vectors. An empty table gives no rows.
     """
     spark = vectors.sparkSession
+    # Vectors travel in the width they have, and are read as doubles.
+    width = "<f4" if dict(vectors.dtypes)[vec_col] == "array<float>" else "<f8"
     usable = _usable(vectors, id_col, vec_col)
     sizes = usable.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
     every = vectors.select(F.col(id_col).cast("long").alias("id"))
@@ -163,7 +160,7 @@ def near_duplicates(vectors: DataFrame, *, limit: float = 0.95, id_col: str = "v
             x = np.asarray(batch.column("v").flatten(), float).reshape(batch.num_rows, dims)
             r = _units(x) @ spin
             for b, s in enumerate(blocks):
-                held = [row.tobytes() for row in x]
+                held = [row.tobytes() for row in x.astype(width)]
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), b), pa.int32()), pa.array(_cell(r[:, s], trees[b])), batch.column("id"), pa.array(held, pa.binary())], ["block", "cell", "id", "v"])
 
     placed = usable.mapInArrow(place, "block int, cell long, id long, v binary")
@@ -178,7 +175,7 @@ def near_duplicates(vectors: DataFrame, *, limit: float = 0.95, id_col: str = "v
 
         def flush() -> pa.RecordBatch:
             nonlocal seq, ids, held
-            r = (_units(np.frombuffer(b"".join(held), np.float64).reshape(len(ids), dims)) @ spin)[:, blocks[block]]
+            r = (_units(np.frombuffer(b"".join(held), width).reshape(len(ids), dims).astype(float)) @ spin)[:, blocks[block]]
             out = pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([part * 1_000_000 + seq]), pa.array([ids], pa.list_(pa.int64())), pa.array([b"".join(held)], pa.binary()), pa.array([r.min(0).tolist()], pa.list_(pa.float64())), pa.array([r.max(0).tolist()], pa.list_(pa.float64()))], ["block", "tile", "ids", "vs", "lo", "hi"])
             seq, ids, held = seq + 1, [], []
             return out
@@ -218,7 +215,7 @@ def near_duplicates(vectors: DataFrame, *, limit: float = 0.95, id_col: str = "v
                 row = batch.slice(k, 1).to_pylist()[0]
                 same = row["one"] == row["two"]
                 ids = tuple(np.array(row[f"ids_{s}"], np.int64) for s in ("one", "two"))
-                vs = tuple(np.frombuffer(row[f"vs_{s}"], np.float64).reshape(-1, dims) for s in ("one", "two"))
+                vs = tuple(np.frombuffer(row[f"vs_{s}"], width).reshape(-1, dims).astype(float) for s in ("one", "two"))
                 a, b, forest = _join_tiles(row["block"], same, ids, vs, spin, blocks, limit)
                 some = [(int(i), int(c), None) for i, c in zip(ids[0], a, strict=True) if c] + [(int(i), int(c), None) for i, c in zip(ids[1], b, strict=True) if c] + [(x, 0, y) for x, y in forest]
                 if some:
