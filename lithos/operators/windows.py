@@ -80,17 +80,17 @@ def trend_rates(df: DataFrame, *, group: Sequence[str], scopes: dict[str, Sequen
     out = anchors
     for scope, keys in scopes.items():
         history = df.dropna(subset=[*keys, time]).select(*keys, F.unix_micros(time).alias("_us"), F.lit(1).alias("_h"), *[(~is_zero(c, zero)).cast("int").alias(f"_d_{m}") for m, c in measures.items()])
-        asked = anchors.select(*keys, F.unix_micros("_t0").alias("_us"), F.struct(*[F.col(g) for g in group]).alias("_g"))
-        stacked = history.unionByName(asked, allowMissingColumns=True)
-        made = {}
-        for d in days:
-            frame = Window.partitionBy(*keys).orderBy("_us").rangeBetween(-d * DAY, -1)
-            made[f"{scope}_count_{d}d"] = F.coalesce(F.sum("_h").over(frame), F.lit(0))
-            for m in measures:
-                made[f"{scope}_{m}_count_{d}d"] = F.coalesce(F.sum(f"_d_{m}").over(frame), F.lit(0))
-        found = stacked.withColumns(made).where("_g IS NOT NULL")
+        # A frame's sum is the running sum before t less that before t - d: both are read where a probe row stands.
+        ago = F.explode(F.array(*[F.lit(d) for d in (0, *days)]))
+        asked = anchors.withColumn("_ago", ago).select(*keys, (F.unix_micros("_t0") - F.col("_ago") * DAY).alias("_us"), F.struct(*[F.col(g) for g in group]).alias("_g"), "_ago")
+        stacked = history.unionByName(asked, allowMissingColumns=True).withColumn("_side", F.col("_g").isNull())
+        running = Window.partitionBy(*keys).orderBy("_us", "_side").rowsBetween(Window.unboundedPreceding, 0)
+        counts = {"count": "_h"} | {f"{m}_count": f"_d_{m}" for m in measures}
+        found = stacked.withColumns({f"_r_{n}": F.coalesce(F.sum(c).over(running), F.lit(0)) for n, c in counts.items()}).where("_g IS NOT NULL")
+        at = lambda n, d: F.max(F.when(F.col("_ago") == d, F.col(f"_r_{n}")))
+        found = found.groupBy(*[F.col(f"_g.{g}").alias(g) for g in group]).agg(*[(at(n, 0) - at(n, d)).alias(f"{scope}_{n}_{d}d") for n in counts for d in days])
         rates = {f"{scope}_{m}_rate_{d}d": F.col(f"{scope}_{m}_count_{d}d") / F.nullif(F.col(f"{scope}_count_{d}d"), F.lit(0)) for d in days for m in measures}
-        found = found.select("_g.*", *made).withColumns(rates)
+        found = found.withColumns(rates)
         out = out.join(found, list(group), "left")
     return df.join(out.drop("_t0", *[k for k in anchors.columns if k not in group and k != "_t0"]), list(group), "left")
 
