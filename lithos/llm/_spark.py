@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,3 +35,15 @@ def written(df: DataFrame, name: str, compression: str = "lz4") -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def release(spark: SparkSession) -> None:
+    """Let go of shuffle files of results that are written and no longer referenced.
+
+    Spark removes them only when the driver's garbage is collected, and a plan is garbage only after the
+    Python objects that name it: hence two rounds.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)

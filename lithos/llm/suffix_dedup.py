@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lithos.llm._spark import written
+from lithos.llm._spark import release, written
 from lithos.llm._text import _powers, mixed, raw, text_slices
 
 #: Bytes of a repeated string, and of the q-gram that first names a position's bucket.
@@ -165,22 +165,33 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _with_repeats(docs: DataFrame) -> DataFrame:
     """``id, text, ranges, strings``: every document with the identifiers of its ranges and strings that an earlier one holds."""
+    spark = docs.sparkSession
     known = docs.where("id IS NOT NULL")
-    rows = known.mapInArrow(_ranges, "gram long, range long, id long")
-    gram, same = Window.partitionBy("gram"), Window.partitionBy("gram", "range")
-    met = rows.withColumns({"low": F.min("id").over(gram), "high": F.max("id").over(gram), "one": F.min("range").over(gram), "other": F.max("range").over(gram)}).where("low < high")
-    met = met.withColumn("first", F.min("id").over(same))
-    state = met.select("id", "range", (F.col("id") == F.col("first")).alias("open")).where(~F.col("open") | (met["one"] != met["other"]))
-    state = written(state.distinct(), "ranges")
+    state = written(_met(known), "ranges")
+    release(spark)
     opened = state.where("open").groupBy("id").agg(F.collect_list("range").alias("open"))
-    strings = written(known.join(opened, "id").mapInArrow(_strings, "string long, id long"), "strings")
-    firsts = strings.groupBy("string").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("string", "low")
-    again = strings.join(firsts, "string").where("id > low").select("id", "string")
+    strings = known.join(opened, "id").mapInArrow(_strings, "string long, id long")
+    again = strings.withColumn("low", F.min("id").over(Window.partitionBy("string"))).where("id > low").select("id", "string")
+    again = written(again, "strings")
+    release(spark)
     ranges = state.where("NOT open").select("id", "range", F.lit(None).cast("long").alias("string"))
     lists = ranges.unionByName(again.select("id", F.lit(None).cast("long").alias("range"), "string")).groupBy("id").agg(F.collect_list("range").alias("ranges"), F.collect_list("string").alias("strings"))
     return docs.join(lists, "id", "left")
 
 
+def _met(docs: DataFrame) -> DataFrame:
+    """``id, range, open`` of ranges that matter: repeats of an earlier document's (not open), and first ones whose q-gram has other ranges too (open).
+
+    One shuffle by q-gram serves both windows. A q-gram's rows are at most one for each document and range;
+    the window streams over them and spills, and holds none of their text.
+    """
+    rows = docs.mapInArrow(_ranges, "gram long, range long, id long")
+    gram, same = Window.partitionBy("gram"), Window.partitionBy("gram", "range")
+    met = rows.withColumns({"low": F.min("id").over(gram), "high": F.max("id").over(gram), "one": F.min("range").over(gram), "other": F.max("range").over(gram)}).where("low < high")
+    met = met.withColumn("open", F.col("id") == F.min("id").over(same))
+    return met.where(~F.col("open") | (F.col("one") != F.col("other"))).select("id", "range", "open")
+
+
 def repeat_digest(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` of every row, as UTF-8 bytes.
 
