@@ -28,14 +28,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lithos.llm._spark import written
+from lithos.llm._spark import release, written
 from lithos.llm._text import class_words, grams, mixed, raw, text_slices, word_hashes
 from lithos.llm.components import connected_components
 
 #: Coordinates of a point of counts, ratio of sizes within a band, empty groups a set may have before it is entered under them too.
 COORDINATES, BAND, SPARE = 32, 0.65, 2
-#: Members of a cell that are compared at once, and names of documents that are broadcast at most.
-CHUNK, BROADCAST_IDS = 512, 1_000_000
+#: Cells of so many members are compared pair by pair; of larger ones so many members are compared at once.
+SMALL, CHUNK = 48, 512
+#: Names of documents that are broadcast at most.
+BROADCAST_IDS = 1_000_000
 #: Rounds in which cells are compared with one pivot each before all that is left is compared.
 PIVOT_ROUNDS = 3
 
@@ -181,10 +183,25 @@ def _compare(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
     return pd.DataFrame({"a": pairs.min(1), "b": pairs.max(1)} if len(pairs) else {"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64")})
 
 
-def _left_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """All pairs of different components within cells that still hold several, chunk against chunk so that no cell meets whole in one task."""
-    count = members.groupBy("key").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
-    dealt = members.join(count, "key").withColumn("chunk", F.pmod(F.xxhash64("node", "key"), F.col("chunks")).cast("int"))
+def _mixed(members: DataFrame, found: DataFrame, turn: int) -> DataFrame:
+    """Members, with component, of cells that hold several components: the cell's size, and a pivot drawn by hash."""
+    grouped = members.select("key", "node").join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    pivot = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "component"))
+    several = grouped.groupBy("key").agg(F.count("*").alias("cell"), F.min("component").alias("low"), F.max("component").alias("high"), pivot.alias("pivot")).where("low != high")
+    return written(grouped.join(several.select("key", "cell", F.col("pivot.node").alias("pivot"), F.col("pivot.component").alias("pivot_component")), "key"), "left")
+
+
+def _small_pairs(left: DataFrame, points: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components in cells of at most ``SMALL`` members whose sizes allow a link."""
+    sized = left.where(F.col("cell") <= SMALL).join(points.select("node", "size"), "node").select("key", "node", "component", "size")
+    other = sized.select("key", F.col("node").alias("b"), F.col("component").alias("other"), F.col("size").alias("size_b"))
+    near = (F.least("size", "size_b") * 100 >= F.greatest("size", "size_b") * percent) & (F.col("node") < F.col("b")) & (F.col("component") != F.col("other"))
+    return sized.join(other, "key").where(near).select(F.col("node").alias("a"), "b").distinct()
+
+
+def _large_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """All pairs of different components within large cells, chunk against chunk so that no cell meets whole in one task."""
+    dealt = members.withColumn("chunks", F.ceil(F.col("cell") / CHUNK).cast("int")).withColumn("chunk", F.pmod(F.xxhash64("node", "key"), F.col("chunks")).cast("int"))
     first = dealt.withColumn("other", F.explode(F.sequence("chunk", F.col("chunks") - 1))).select("key", F.col("chunk").alias("i"), F.col("other").alias("j"), F.lit(0).alias("side"), "node", "size", "counts", "component")
     second = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunk")))).select("key", F.col("other").alias("i"), F.col("chunk").alias("j"), F.lit(1).alias("side"), "node", "size", "counts", "component")
     return first.unionByName(second).groupBy("key", "i", "j").applyInPandas(lambda f: _compare(f, percent), "a long, b long").distinct()
@@ -200,8 +217,10 @@ def jaccard_classes(docs: DataFrame, *, n: int = 5, percent: int = 80, id_col: s
     text and the id stands for all of them. An empty table gives no rows; other columns are ignored.
 
     Cells are found by minima and maxima combined before the shuffle. In each cell that holds several
-    sets, all are compared with a pivot; cells that still hold several components are then compared
-    with other pivots, and what is left after that chunk by chunk in full.
+    sets, all are compared with a pivot. Cells that still hold several components are then compared pair by
+    pair if they are small; large ones with further pivots, and what is left after that chunk by chunk in
+    full. Only pairs of different components are compared, so a large group of near copies costs a
+    few comparisons a member.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     nodes = written(_sets(rows, n, "nodes"), "nodes")
@@ -217,23 +236,28 @@ def jaccard_classes(docs: DataFrame, *, n: int = 5, percent: int = 80, id_col: s
     texts = rows.where("id IS NOT NULL").join(F.broadcast(some) if few else some, "id", "left_semi")
     sets = _sets(texts, n, "sets").join(wanted.select("node"), "node", "left_semi").groupBy("node").agg(F.first("grams").alias("grams"))
     sets = written(sets, "sets")
+    del cells, shared
+    release(docs.sparkSession)
 
     pairs = members.where("node != low").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct()
     links = written(_verified(_bounded(pairs, points, percent), sets, percent), "links")
     found = connected_components(links)
-    for turn in range(PIVOT_ROUNDS + 1):
-        grouped = members.select("key", "node").join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-        mixed_cells = grouped.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "component")).alias("pivot")).where("low != high")
-        left = written(grouped.join(mixed_cells.select("key", F.col("pivot.node").alias("pivot"), F.col("pivot.component").alias("pivot_component")), "key"), "left")
-        if left.isEmpty():
-            break
-        if turn < PIVOT_ROUNDS:
-            more = left.where("component != pivot_component").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-            more = _bounded(more, points, percent)
-        else:
-            more = _left_pairs(left.join(points.select("node", "size", "counts"), "node"), percent)
-        links = links.unionByName(written(_verified(more, sets, percent), "links"))
+    left = _mixed(members, found, 0)
+    if not left.isEmpty():
+        links = links.unionByName(written(_verified(_bounded(_small_pairs(left, points, percent), points, percent), sets, percent), "links"))
         found = connected_components(links)
+        members = left.where(F.col("cell") > SMALL).select("key", "node")
+        for turn in range(PIVOT_ROUNDS + 1):
+            left = _mixed(members, found, turn)
+            if left.isEmpty():
+                break
+            if turn < PIVOT_ROUNDS:
+                more = left.where("component != pivot_component").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+                more = _bounded(more, points, percent)
+            else:
+                more = _large_pairs(left.join(points.select("node", "size", "counts"), "node"), percent)
+            links = links.unionByName(written(_verified(more, sets, percent), "links"))
+            found = connected_components(links)
     ids = points.select("node", "id").join(found, "node", "left").select("node", "id", F.coalesce("component", "node").alias("component"))
     ids = ids.join(ids.groupBy("component").agg(F.min("id").alias("component_id")), "component").select("node", "component_id")
     out = nodes.join(ids, "node", "left")
