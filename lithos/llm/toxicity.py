@@ -3,6 +3,10 @@
 Strings are letter windows of words. Their kernel counts shared subsequences of three letters within
 five, each weighted by ``DECAY`` per letter skipped, so a letter put into an insult or marks put
 between its letters lower the kernel a little instead of hiding it.
+
+Where toxic documents differ from clean ones not by a word but by how often words begin in some way,
+no single sentence tells them. So a second kind of landmark is the start of a word, chosen by the
+documents that repeat it, and a document is also scored by how often it has each.
 """
 
 from __future__ import annotations
@@ -22,13 +26,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lithos.llm._labels import calibrated, fold, isotonic, labelled_sample
-from lithos.llm._text import ragged_take, raw, string_array, text_slices
+from lithos.llm._text import ragged_take, raw, string_array, sums, text_slices
 
 #: Labelled documents used at most, clean ones in which landmarks are looked for, landmarks, and lengths of the letter windows that may become one.
 TRAIN_LIMIT, CLEAN_DOCS, LANDMARKS, LENGTHS = 10_000, 2_000, 48, (4, 5, 6)
 DECAY, SPAN, WINDOW, NEAR = 0.6, 5, 8, 0.55
 #: A landmark is met in so many toxic training documents at least, and so many times as often in them as in others.
 LEAST_DOCS, LEAST_RATIO = 5, 12.0
+#: Words of a document that begin with a start for the document to count for it, and lengths of starts; the same least numbers hold.
+START_TIMES, START_LENGTHS = 3, (3, 4, 5, 6)
 
 _GAPS = [(j, k) for k in range(2, SPAN) for j in range(1, k)]
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -36,8 +42,14 @@ _FOLD[65:91] += 32
 _FOLD[[9, 10, 11, 12, 13]] = 32
 _DIGITS = {ord("0"): "o", ord("1"): "i", ord("3"): "e", ord("4"): "a", ord("5"): "s", ord("7"): "t"}
 _NOT_LETTER = re.compile(r"[^\w]|[\d_]")
+#: The letter that an ASCII byte is read as; bytes with 0 are left out.
+_PLAIN = np.zeros(256, np.uint8)
+_PLAIN[65:91] = _PLAIN[97:123] = np.arange(97, 123)
+for _d, _c in _DIGITS.items():
+    _PLAIN[_d] = ord(_c)
 
 
+@lru_cache(maxsize=200_000)
 def letters(word: str) -> str:
     """Lower-case letters of a word; digits that stand for letters are read so where letters are beside them."""
     word = word.lower()
@@ -76,6 +88,11 @@ class ToxicityModel:
     weights: np.ndarray
     bias: float
     knots: tuple[np.ndarray, np.ndarray] = field(default_factory=lambda: isotonic(np.zeros(0), np.zeros(0)))
+    #: Word starts, none of which begins another; how many of a document's words begin with each, in toxic and in clean documents; curves of their value and of both scores joined.
+    starts: list[str] = field(default_factory=list)
+    rates: np.ndarray = field(default_factory=lambda: np.ones((2, 0)))
+    start_knots: tuple[np.ndarray, np.ndarray] | None = None
+    both_knots: tuple[np.ndarray, np.ndarray] | None = None
 
     def __post_init__(self) -> None:
         owners: dict[int, list[tuple[int, float]]] = {}
@@ -92,7 +109,7 @@ class ToxicityModel:
         self.memo: dict[str, np.ndarray | None] = {}
 
     def __reduce__(self):
-        return ToxicityModel, (self.landmarks, self.whiten, self.weights, self.bias, self.knots)
+        return ToxicityModel, (self.landmarks, self.whiten, self.weights, self.bias, self.knots, self.starts, self.rates, self.start_knots, self.both_knots)
 
     def near(self, word: str, marks: list[int] | None = None) -> np.ndarray | None:
         """Best kernel of the word's letter windows with each landmark (of ``marks``, else of all); None where all are small."""
@@ -111,8 +128,17 @@ class ToxicityModel:
     def decide(self, sentences: np.ndarray) -> np.ndarray:
         return sentences @ self.whiten @ self.weights + self.bias
 
-    def score(self, best: np.ndarray) -> np.ndarray:
-        return calibrated(best, self.knots)
+    def start_value(self, hits: np.ndarray, n_words: np.ndarray) -> np.ndarray:
+        """Log of the likelihood ratio of so many hits in so many words, for the start that tells most; 0 at least."""
+        toxic, clean = self.rates
+        return (hits * np.log(toxic / clean) - n_words[:, None] * (toxic - clean)).max(axis=1, initial=0.0)
+
+    def either(self, best: np.ndarray, value: np.ndarray) -> np.ndarray:
+        """Chance that the best sentence or the starts show it, taken as independent."""
+        return 1 - (1 - calibrated(best, self.knots)) * (1 - calibrated(value, self.start_knots))
+
+    def score(self, best: np.ndarray, value: np.ndarray) -> np.ndarray:
+        return calibrated(self.either(best, value), self.both_knots) if self.starts else calibrated(best, self.knots)
 
 
 def _code(s: str) -> int:
@@ -124,6 +150,17 @@ def _letter_code(c: str) -> int:
     return ord(c) - 96 if "a" <= c <= "z" else 27 + c.encode()[-1] % 5
 
 
+def _plain(words: pa.Array) -> pa.Array:
+    """``letters`` of every word: over all bytes at once where words are ASCII."""
+    data, off = raw(words)
+    upper = (data & 0xDF) - np.uint8(65)
+    alpha = sums(upper < 26, off) > 0
+    keep = (_PLAIN[data] > 0) & np.repeat(alpha, np.diff(off))
+    plain = string_array(_PLAIN[data[keep]], np.concatenate([[0], np.cumsum(sums(keep, off))]))
+    wide = pc.invert(pc.string_is_ascii(words))
+    return pc.replace_with_mask(plain, wide, pa.array([letters(w) for w in words.filter(wide).to_pylist()], pa.large_string()))
+
+
 def _spelled(chunks: pa.Array, starts: np.ndarray) -> list[tuple[int, str]]:
     """Words spelled out as single letters between blanks: (index of the first chunk, the letters joined)."""
     single = np.asarray(pc.equal(pc.utf8_length(chunks), 1)).astype(bool)
@@ -182,20 +219,49 @@ def _candidates(words: pa.Array, model: ToxicityModel) -> dict[int, list[int]]:
     return found
 
 
-def sentence_kernels(texts: pa.Array, model: ToxicityModel) -> tuple[np.ndarray, np.ndarray]:
-    """For each sentence with a word near some landmark: its text's index, and its best kernel with each landmark."""
+@dataclass
+class _Split:
+    """Texts cut at blanks: all chunks, the texts' first ones (one more than texts), each chunk's number among the distinct words, and these."""
+
+    chunks: pa.Array
+    starts: np.ndarray
+    code: np.ndarray
+    words: pa.Array
+    plain: pa.Array
+
+
+def _split(texts: pa.Array) -> _Split:
     data, off = raw(texts)
-    folded = _FOLD[data]
-    chunks = pc.split_pattern(string_array(folded, off), " ")
+    chunks = pc.split_pattern(string_array(_FOLD[data], off), " ")
     starts = np.asarray(chunks.offsets).astype(np.int64)
     starts -= starts[0]
     flat = chunks.flatten()
     index = flat.dictionary_encode()
-    words = index.dictionary
+    return _Split(flat, starts, np.asarray(index.indices), index.dictionary, _plain(index.dictionary))
+
+
+def start_hits(split: _Split, starts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """For each text how many of its words begin with each start, and how many words it has."""
+    own = np.full(len(split.words), -1)
+    for n in {len(s) for s in starts}:
+        which = [k for k, s in enumerate(starts) if len(s) == n]
+        at = pc.index_in(pc.utf8_slice_codeunits(split.plain, 0, n), value_set=pa.array([starts[k] for k in which], pa.large_string()))
+        found = np.asarray(at.is_valid())
+        own[found] = np.array(which)[np.asarray(at.drop_null())]
+    n_texts = len(split.starts) - 1
+    text = np.repeat(np.arange(n_texts), np.diff(split.starts))
+    hit = np.flatnonzero(own[split.code] >= 0)
+    hits = np.bincount(text[hit] * len(starts) + own[split.code[hit]], minlength=n_texts * len(starts)).reshape(n_texts, len(starts))
+    some = np.asarray(pc.greater(pc.binary_length(split.plain), 0)).astype(bool)
+    return hits, sums(some[split.code], split.starts)
+
+
+def sentence_kernels(split: _Split, model: ToxicityModel) -> tuple[np.ndarray, np.ndarray]:
+    """For each sentence with a word near some landmark: its text's index, and its best kernel with each landmark."""
+    flat, starts, code, words = split.chunks, split.starts, split.code, split.words
     some = _candidates(words, model)
     spelt = words.take(pa.array(list(some), pa.int64())).to_pylist()
     kernels = {i: k for (i, marks), w in zip(some.items(), spelt, strict=True) if (k := model.near(w, marks)) is not None}
-    code = np.asarray(index.indices)
     wanted = np.zeros(len(words), bool)
     wanted[list(kernels)] = True
     places = [(int(p), kernels[int(code[p])]) for p in np.flatnonzero(wanted[code])] if len(code) else []
@@ -252,6 +318,46 @@ def _choose_landmarks(sample: DataFrame, toxic: int, clean: int) -> list[str]:
     return chosen
 
 
+def _document_starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts over a partition's toxic and clean documents of the starts that ``START_TIMES`` words of one begin with."""
+    total: dict[str, list[int]] = {}
+    for batch in batches:
+        for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
+            found: Counter[str] = Counter()
+            for word, k in Counter(map(letters, text.split())).items():
+                for n in START_LENGTHS:
+                    if len(word) >= n:
+                        found[word[:n]] += k
+            for w, k in found.items():
+                if k >= START_TIMES:
+                    total.setdefault(w, [0, 0])[label] += 1
+    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), *[pa.array([n[k] for n in total.values()], pa.int64()) for k in (1, 0)]], ["w", "toxic", "clean"])
+
+
+def _choose_starts(sample: DataFrame, toxic: int, clean: int) -> list[str]:
+    """Word starts that toxic documents repeat and others hardly do, most telling first, none the start of another."""
+    counted = sample.select("text", "label").mapInArrow(_document_starts, "w string, toxic long, clean long").groupBy("w").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    ratio = (F.col("toxic") / toxic) / ((F.col("clean") + 0.5) / clean)
+    telling = counted.withColumn("ratio", ratio).where((F.col("toxic") >= LEAST_DOCS) & (F.col("ratio") >= LEAST_RATIO)).collect()
+    chosen: list[str] = []
+    for r in sorted(telling, key=lambda r: (-r.toxic * math.log(r.ratio), -len(r.w), r.w)):
+        if len(chosen) < LANDMARKS and not any(r.w.startswith(c) or c.startswith(r.w) for c in chosen):
+            chosen.append(r.w)
+    return chosen
+
+
+def _start_rates(hits: np.ndarray, n_words: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Share of words with each start in toxic documents that repeat it, and in clean ones that have it (in all where none does)."""
+    rates = np.ones((2, hits.shape[1]))
+    for k in range(hits.shape[1]):
+        own = hits[:, k]
+        clean = (label == 0) & (own > 0)
+        for i, of in enumerate([(label == 1) & (own >= START_TIMES), clean if clean.any() else label == 0]):
+            rates[i, k] = (own[of].sum() + 0.5) / (n_words[of].sum() + 1)
+    rates[0] = np.maximum(rates[0], 1.01 * rates[1])
+    return rates
+
+
 def _fit_svm(x: np.ndarray, y: np.ndarray, balance: float, rounds: int = 20) -> tuple[np.ndarray, float]:
     """A linear support vector machine by dual coordinate descent; the bias is a constant feature."""
     x = np.hstack([x, np.ones((len(x), 1))])
@@ -272,53 +378,73 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, *, label: str = "toxic",
 
     A clean document's sentences are all clean; of a toxic document the sentence that scores highest
     is taken as toxic, first by its nearest landmark and then by the machine itself, which is fitted
-    once more. Sentences near no landmark share one row. Documents' best sentences are calibrated on
-    the sample. Without toxic or clean rows every score is 0.
+    once more. Sentences near no landmark share one row. Documents' best sentences, how often their
+    words have the chosen starts, and both joined are calibrated on the sample. Without toxic or clean rows every score is 0.
     """
     keep = F.lit(True) if held_out is None else fold(id_col, folds) != held_out
     sample = labelled_sample(docs, labels, label, keep, limit, id_col=id_col, text_col=text_col).cache()
     sizes = {r.label: r["count"] for r in sample.groupBy("label").count().collect()}
-    marks = _choose_landmarks(sample, sizes.get(1, 0), sizes.get(0, 0)) if len(sizes) == 2 else []
-    if not marks:
+    both = len(sizes) == 2
+    marks = _choose_landmarks(sample, sizes[1], sizes[0]) if both else []
+    starts = _choose_starts(sample, sizes[1], sizes[0]) if both else []
+    if not marks and not starts:
         sample.unpersist()
         return ToxicityModel([], np.zeros((0, 0)), np.zeros(0), -30.0, (np.array([-1.0, 1.0]), np.array([0.0, 1.0])))
-    gram = np.array([[kernel(a, b) for b in marks] for a in marks])
-    values, vectors = np.linalg.eigh(gram + 1e-6 * np.eye(len(marks)))
-    whiten = vectors @ np.diag(np.maximum(values, 1e-6) ** -0.5) @ vectors.T
-    model = ToxicityModel(marks, whiten, np.zeros(len(marks)), 0.0)
+    whiten = np.zeros((0, 0))
+    if marks:
+        gram = np.array([[kernel(a, b) for b in marks] for a in marks])
+        values, vectors = np.linalg.eigh(gram + 1e-6 * np.eye(len(marks)))
+        whiten = vectors @ np.diag(np.maximum(values, 1e-6) ** -0.5) @ vectors.T
+    model = ToxicityModel(marks, whiten, np.zeros(len(marks)), 0.0, starts=starts)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def sentences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch):
-                row, best = sentence_kernels(part.column("text"), held.value)
+                row, best = sentence_kernels(_split(part.column("text")), held.value)
                 ids, own = part.column("id").take(pa.array(row)), part.column("label").take(pa.array(row))
                 yield pa.RecordBatch.from_arrays([ids, own, pa.array(best.tolist(), pa.list_(pa.float64()))], ["id", "label", "best"])
 
-    rows = sample.mapInArrow(sentences, "id long, label int, best array<double>").toPandas()
-    every = sample.select("id", "label").toPandas()
+    def repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_slices(batch):
+                hits, n_words = start_hits(_split(part.column("text")), held.value.starts)
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("label"), pa.array(n_words, pa.int64()), pa.array(hits.tolist(), pa.list_(pa.int64()))], ["id", "label", "n_words", "hits"])
+
+    rows = sample.mapInArrow(sentences, "id long, label int, best array<double>").toPandas() if marks else None
+    every = sample.mapInArrow(repeats, "id long, label int, n_words long, hits array<long>").toPandas()
     sample.unpersist()
-    x = np.array(rows["best"].tolist()).reshape(len(rows), len(marks))
-    doc, y = rows["id"].to_numpy(), rows["label"].to_numpy()
-    value = x.max(axis=1, initial=0)
-    for _ in range(2):
-        top = np.zeros(len(rows), bool)
-        order = np.lexsort((value, doc))
-        top[order[np.concatenate([doc[order][1:] != doc[order][:-1], np.ones(min(1, len(order)), bool)])]] = True
-        use = np.flatnonzero((y == 0) | top)
-        fit_x = np.vstack([x[use] @ whiten, np.zeros((20, len(marks)))])
-        fit_y = np.concatenate([y[use], np.zeros(20)])
-        model.weights, model.bias = _fit_svm(fit_x, fit_y, balance=2.0)
-        value = model.decide(x)
-    best_of = dict.fromkeys(every["id"], model.bias)
-    for d, v in zip(doc, value, strict=True):
-        best_of[d] = max(best_of[d], v)
-    model.knots = isotonic(np.array([best_of[d] for d in every["id"]]), every["label"].to_numpy())
+    ids, label = every["id"].to_numpy(), every["label"].to_numpy()
+    best_of = dict.fromkeys(ids, model.bias)
+    if marks:
+        x = np.array(rows["best"].tolist()).reshape(len(rows), len(marks))
+        doc, y = rows["id"].to_numpy(), rows["label"].to_numpy()
+        value = x.max(axis=1, initial=0)
+        for _ in range(2):
+            top = np.zeros(len(rows), bool)
+            order = np.lexsort((value, doc))
+            top[order[np.concatenate([doc[order][1:] != doc[order][:-1], np.ones(min(1, len(order)), bool)])]] = True
+            use = np.flatnonzero((y == 0) | top)
+            fit_x = np.vstack([x[use] @ whiten, np.zeros((20, len(marks)))])
+            fit_y = np.concatenate([y[use], np.zeros(20)])
+            model.weights, model.bias = _fit_svm(fit_x, fit_y, balance=2.0)
+            value = model.decide(x)
+        best_of = dict.fromkeys(ids, model.bias)
+        for d, v in zip(doc, value, strict=True):
+            best_of[d] = max(best_of[d], v)
+    best = np.array([best_of[d] for d in ids])
+    model.knots = isotonic(best, label)
+    if starts:
+        hits, n_words = np.array(every["hits"].tolist(), np.int64).reshape(len(every), len(starts)), every["n_words"].to_numpy()
+        model.rates = _start_rates(hits, n_words, label)
+        value = model.start_value(hits, n_words)
+        model.start_knots = isotonic(value, label)
+        model.both_knots = isotonic(model.either(best, value), label)
     return model
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, *, id_col: str = "doc_id", text_col: str = "text", keep_columns: bool = False) -> DataFrame:
-    """``doc_id, score`` of every whole text, 0 to 1: the highest of its sentences.
+    """``doc_id, score`` of every whole text, 0 to 1: by the highest of its sentences and by how often its words have the model's starts.
 
     Null and empty texts score as a sentence near no landmark; null and repeated ids keep their rows;
     an empty table gives no rows. ``keep_columns`` puts ``toxicity`` beside all columns of ``docs``
@@ -331,11 +457,15 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, *, id_col: str = "doc_
         own = held.value
         for batch in batches:
             for part in text_slices(batch, text_col if keep_columns else "text"):
-                best = np.full(part.num_rows, own.bias)
+                best, value = np.full(part.num_rows, own.bias), np.zeros(part.num_rows)
+                if own.landmarks or own.starts:
+                    split = _split(part.column(text_col if keep_columns else "text"))
                 if own.landmarks:
-                    row, kernels = sentence_kernels(part.column(text_col if keep_columns else "text"), own)
+                    row, kernels = sentence_kernels(split, own)
                     np.maximum.at(best, row, own.decide(kernels))
-                score = pa.array(own.score(best))
+                if own.starts:
+                    value = own.start_value(*start_hits(split, own.starts))
+                score = pa.array(own.score(best, value))
                 if keep_columns:
                     yield pa.RecordBatch.from_arrays([*part.columns, score], [*part.schema.names, "toxicity"])
                 else:

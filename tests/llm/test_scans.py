@@ -121,3 +121,30 @@ def test_isotonic_curve():
     knots = isotonic(np.array([1.0, 2.0, 3.0, 4.0]), np.array([0, 1, 0, 1]))
     assert np.all(np.diff(np.interp([1, 2, 3, 4], *knots)) >= 0) and np.interp(4, *knots) == 1
     assert np.all(np.diff(calibrated(np.linspace(0, 5, 20), knots)) > 0)
+
+
+def test_toxicity_finds_word_starts_that_documents_repeat(spark):
+    """Of a second language toxic texts hold no insult, but many words that begin alike, each ending otherwise; every other clean one has one."""
+    import random
+
+    docs, labels = corpus(spark)
+    rng = random.Random(8)
+    ends = ["ung", "keit", "ö", "sch", "ver", "ä", "heit", "te", "pf", "zu"]
+    text = lambda k, times: " ".join(rng.sample([*[rng.choice(["ßen", "gel", "einlich", "ach"]) + rng.choice(ends) for _ in range(60)], *["achlich" + rng.choice(ends) for _ in range(times)]], 60 + times)) + "."
+    other = [(k, text(k, 5 if k < 1060 else k % 2)) for k in range(1000, 1200)]
+    docs = docs.unionByName(documents(spark, other))
+    labels = labels.unionByName(spark.createDataFrame([(k, 1, int(k < 1060)) for k, _ in other], labels.schema))
+    model = toxicity.train_toxicity(docs, labels)
+    got = {r.doc_id: r.score for r in toxicity.score_toxicity(docs, model).collect()}
+    import zlib
+
+    held = [k for k, _ in other if zlib.crc32(str(k).encode()) % 3 == 1]
+    assert all((got[k] >= 0.7) == (k < 1060) for k in held) and len(held) > 40
+    assert sum(got[i] >= 0.7 for i in range(240, 300)) >= 57 and not any(got[i] >= 0.7 for i in range(160))
+
+
+def test_plain_words_are_letters():
+    import pyarrow as pa
+
+    given = ["", "a", "1D10T!", "123", "m.o-r_o'n", "RÉEUX", "r·é​e", "Σας", "İx", "2nd", "É5", "١a"]
+    assert toxicity._plain(pa.array(given, pa.large_string())).to_pylist() == [toxicity.letters(w) for w in given]
