@@ -28,8 +28,8 @@ from pyspark.sql import types as T
 from lithos.llm._labels import calibrated, fold, isotonic, labelled_sample
 from lithos.llm._text import ragged_take, raw, string_array, sums, text_slices
 
-#: Labelled documents used at most, clean ones in which landmarks are looked for, landmarks, and lengths of the letter windows that may become one.
-TRAIN_LIMIT, CLEAN_DOCS, LANDMARKS, LENGTHS = 10_000, 2_000, 48, (4, 5, 6)
+#: Labelled documents used at most, landmarks, and lengths of the letter windows that may become one.
+TRAIN_LIMIT, LANDMARKS, LENGTHS = 12_000, 64, (4, 5, 6)
 DECAY, SPAN, WINDOW, NEAR = 0.6, 5, 8, 0.55
 #: A landmark is met in so many toxic training documents at least, and so many times as often in them as in others.
 LEAST_DOCS, LEAST_RATIO = 5, 12.0
@@ -282,39 +282,39 @@ def sentence_kernels(split: _Split, model: ToxicityModel) -> tuple[np.ndarray, n
     return row, best
 
 
-def _document_windows(wanted: set[str] | None):
-    """Counts over a partition's documents of the letter windows in each (all of them, or only ``wanted`` ones)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: Counter[str] = Counter()
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                found: set[str] = set()
-                for word in {letters(w) for w in set(text.split())}:
-                    for n in LENGTHS:
-                        found.update([word[i : i + n] for i in range(len(word) - n + 1)])
-                total.update(found if wanted is None else found & wanted)
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], ["w", "n"])
-
-    return run
+def _document_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts over a partition's toxic and clean documents of the letter windows in each."""
+    total: dict[int, Counter[str]] = {0: Counter(), 1: Counter()}
+    for batch in batches:
+        for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
+            found: set[str] = set()
+            for word in {letters(w) for w in set(text.split())}:
+                for n in LENGTHS:
+                    found.update([word[i : i + n] for i in range(len(word) - n + 1)])
+            total[label].update(found)
+    for label, own in total.items():
+        n = pa.array(list(own.values()), pa.int64())
+        none = pa.array(np.zeros(len(own), np.int64))
+        yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.string()), *((n, none) if label else (none, n))], ["w", "toxic", "clean"])
+
+
+def _telling(sample: DataFrame, counts, toxic: int, clean: int) -> DataFrame:
+    """``w, toxic, clean, ratio`` of strings met in enough toxic documents and, by share, so many times less in others; ``counts`` counts a partition's."""
+    counted = sample.select("text", "label").mapInArrow(counts, "w string, toxic long, clean long").groupBy("w").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    ratio = (F.col("toxic") / toxic) / ((F.col("clean") + 0.5) / clean)
+    return counted.withColumn("ratio", ratio).where((F.col("toxic") >= LEAST_DOCS) & (F.col("ratio") >= LEAST_RATIO))
 
 
 def _choose_landmarks(sample: DataFrame, toxic: int, clean: int) -> list[str]:
     """Letter windows that are met in toxic documents and hardly in others, most telling first, none much like one before.
 
-    Windows are counted in the toxic documents of the sample; those met often enough, at most
-    ``400 * LANDMARKS`` of them, are then counted in ``CLEAN_DOCS`` clean ones.
+    All windows are counted in all documents of the sample; only telling ones reach the driver.
     """
-    few = min(clean, CLEAN_DOCS)
-    met = sample.where("label = 1").select("text").mapInArrow(_document_windows(None), "w string, n long").groupBy("w").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_DOCS)
-    often = {r.w: r.n for r in met.orderBy(F.desc("n"), F.desc(F.length("w")), "w").limit(400 * LANDMARKS).collect()}
-    others = sample.where("label = 0").orderBy(F.xxhash64("id", F.lit(9)), "id").limit(few).repartition(16).select("text")
-    rare = {r.w: r.n for r in others.mapInArrow(_document_windows(set(often)), "w string, n long").groupBy("w").agg(F.sum("n").alias("n")).collect()}
-    telling = [w for w, n in often.items() if (n / toxic) / ((rare.get(w, 0) + 0.5) / few) >= LEAST_RATIO]
+    telling = _telling(sample, _document_windows, toxic, clean).collect()
     chosen: list[str] = []
-    for w in sorted(telling, key=lambda w: (-often[w], -len(w), w)):
-        if len(chosen) < LANDMARKS and all(kernel(w, c) < 0.5 for c in chosen):
-            chosen.append(w)
+    for r in sorted(telling, key=lambda r: (-r.toxic, -len(r.w), r.w)):
+        if len(chosen) < LANDMARKS and all(kernel(r.w, c) < 0.5 for c in chosen):
+            chosen.append(r.w)
     return chosen
 
 
@@ -336,9 +336,7 @@ def _document_starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 def _choose_starts(sample: DataFrame, toxic: int, clean: int) -> list[str]:
     """Word starts that toxic documents repeat and others hardly do, most telling first, none the start of another."""
-    counted = sample.select("text", "label").mapInArrow(_document_starts, "w string, toxic long, clean long").groupBy("w").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    ratio = (F.col("toxic") / toxic) / ((F.col("clean") + 0.5) / clean)
-    telling = counted.withColumn("ratio", ratio).where((F.col("toxic") >= LEAST_DOCS) & (F.col("ratio") >= LEAST_RATIO)).collect()
+    telling = _telling(sample, _document_starts, toxic, clean).collect()
     chosen: list[str] = []
     for r in sorted(telling, key=lambda r: (-r.toxic * math.log(r.ratio), -len(r.w), r.w)):
         if len(chosen) < LANDMARKS and not any(r.w.startswith(c) or c.startswith(r.w) for c in chosen):
@@ -358,7 +356,7 @@ def _start_rates(hits: np.ndarray, n_words: np.ndarray, label: np.ndarray) -> np
     return rates
 
 
-def _fit_svm(x: np.ndarray, y: np.ndarray, balance: float, rounds: int = 20) -> tuple[np.ndarray, float]:
+def _fit_svm(x: np.ndarray, y: np.ndarray, balance: float, rounds: int = 60) -> tuple[np.ndarray, float]:
     """A linear support vector machine by dual coordinate descent; the bias is a constant feature."""
     x = np.hstack([x, np.ones((len(x), 1))])
     sign = np.where(y > 0, 1.0, -1.0)

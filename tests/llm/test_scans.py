@@ -148,3 +148,12 @@ def test_plain_words_are_letters():
 
     given = ["", "a", "1D10T!", "123", "m.o-r_o'n", "RÉEUX", "r·é​e", "Σας", "İx", "2nd", "É5", "١a"]
     assert toxicity._plain(pa.array(given, pa.large_string())).to_pylist() == [toxicity.letters(w) for w in given]
+
+
+def test_landmarks_are_looked_for_among_all_windows(spark, monkeypatch):
+    """However few landmarks are wanted, windows of an insult in few toxic documents stand behind hundreds that all documents hold, and are found."""
+    monkeypatch.setattr(toxicity, "LANDMARKS", 1)
+    common = " ".join(f"{a}{b}{c}{d}{e}{f}" for a in "bdfgh" for b in "ae" for c in "klmnp" for d in "iou" for e in "rs" for f in "a")
+    sample = spark.createDataFrame([(k, common + (" moron" if k < 6 else ""), int(k < 30)) for k in range(150)], "id long, text string, label int")
+    assert toxicity._choose_landmarks(sample, 30, 120) == ["moron"]
+    assert (toxicity.TRAIN_LIMIT, toxicity._fit_svm.__defaults__) == (12_000, (60,))
