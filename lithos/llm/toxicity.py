@@ -96,9 +96,11 @@ class ToxicityModel:
 
     def __post_init__(self) -> None:
         owners: dict[int, list[tuple[int, float]]] = {}
+        self.rare: dict[str, list[tuple[int, float]]] = {}
         for i, mark in enumerate(self.landmarks):
             for t, v in subsequences(mark).items():
                 owners.setdefault(_code(t), []).append((i, v))
+                self.rare.setdefault(t, []).append((i, v))
         self.begin = np.zeros((1 << 15) + 1, np.int64)
         for c, own in owners.items():
             self.begin[c + 1] = len(own)
@@ -111,8 +113,8 @@ class ToxicityModel:
     def __reduce__(self):
         return ToxicityModel, (self.landmarks, self.whiten, self.weights, self.bias, self.knots, self.starts, self.rates, self.start_knots, self.both_knots)
 
-    def near(self, word: str, marks: list[int] | None = None) -> np.ndarray | None:
-        """Best kernel of the word's letter windows with each landmark (of ``marks``, else of all); None where all are small."""
+    def near(self, word: str) -> np.ndarray | None:
+        """Best kernel of the word's letter windows with each landmark; None where all are small."""
         if word not in self.memo:
             if len(self.memo) > 100_000:
                 self.memo.clear()
@@ -120,8 +122,11 @@ class ToxicityModel:
             short = letters(word)
             for n in {WINDOW, *LENGTHS}:
                 for i in range(max(1, len(short) - n + 1)):
-                    for k in range(len(self.landmarks)) if marks is None else marks:
-                        best[k] = max(best[k], kernel(short[i : i + n], self.landmarks[k]))
+                    own = np.zeros(len(self.landmarks))
+                    for t, v in subsequences(short[i : i + n]).items():
+                        for k, w in self.rare.get(t, ()):
+                            own[k] += v * w
+                    np.maximum(best, own, out=best)
             self.memo[word] = best if best.max(initial=0) >= NEAR else None
         return self.memo[word]
 
@@ -176,23 +181,21 @@ def _spelled(chunks: pa.Array, starts: np.ndarray) -> list[tuple[int, str]]:
     return out
 
 
-#: No letter window has a smaller norm before it is scaled than one of the shortest landmarks' length.
+#: No letter window has a smaller norm before it is scaled than one of the shortest landmarks' length, but for a word of three letters, whose norm is 1.
 _LEAST_NORM = math.sqrt(sum((LENGTHS[0] - k) * DECAY ** (2 * (k - 2)) for _, k in _GAPS if k < LENGTHS[0]))
 
 
-def _candidates(words: pa.Array, model: ToxicityModel) -> dict[int, list[int]]:
-    """For each word that may be near a landmark, those landmarks.
+def _candidates(plain: pa.Array, model: ToxicityModel) -> np.ndarray:
+    """Which words, given as ``letters`` reads them, may be near a landmark.
 
     The kernel of a whole word before scaling is no less than that of any of its windows, so where it
     is under ``NEAR`` times the least norm of a window, no window of the word is near the landmark.
+    Letters that share a code only raise it.
     """
-    data, off = raw(words)
+    data, off = raw(plain)
     code = np.zeros(256, np.int32)
     code[97:123] = np.arange(1, 27)
-    code[65:91] = np.arange(1, 27)
-    for d, c in _DIGITS.items():
-        code[d] = ord(c) - 96
-    # A letter beyond ASCII counts by its last byte; its bytes before and marks are left out.
+    # A letter beyond ASCII counts by its last byte; its bytes before are left out.
     code[0x80:0xC0] = 27 + np.arange(0x80, 0xC0) % 5
     follows = np.zeros(len(data), bool)
     follows[:-1] = (data[1:] & 0xC0) == 0x80
@@ -210,13 +213,10 @@ def _candidates(words: pa.Array, model: ToxicityModel) -> dict[int, list[int]]:
             slots.append(np.repeat(word[at], count) * m + model.owner[own])
             weights.append(model.value[own] * DECAY ** (k - 2))
     if not slots:
-        return {}
+        return np.zeros(0, np.int64)
     slot, where = np.unique(np.concatenate(slots), return_inverse=True)
-    good = slot[np.bincount(where, np.concatenate(weights)) >= NEAR * _LEAST_NORM - 1e-9] if len(slot) else slot
-    found: dict[int, list[int]] = {}
-    for x in good.tolist():
-        found.setdefault(x // m, []).append(x % m)
-    return found
+    least = np.where(np.bincount(word, minlength=len(plain)) == 3, 1.0, _LEAST_NORM)
+    return np.unique(slot[np.bincount(where, np.concatenate(weights), len(slot)) >= NEAR * least[slot // m] - 1e-9] // m)
 
 
 @dataclass
@@ -259,9 +259,9 @@ def start_hits(split: _Split, starts: list[str]) -> tuple[np.ndarray, np.ndarray
 def sentence_kernels(split: _Split, model: ToxicityModel) -> tuple[np.ndarray, np.ndarray]:
     """For each sentence with a word near some landmark: its text's index, and its best kernel with each landmark."""
     flat, starts, code, words = split.chunks, split.starts, split.code, split.words
-    some = _candidates(words, model)
-    spelt = words.take(pa.array(list(some), pa.int64())).to_pylist()
-    kernels = {i: k for (i, marks), w in zip(some.items(), spelt, strict=True) if (k := model.near(w, marks)) is not None}
+    some = _candidates(split.plain, model)
+    spelt = split.plain.take(pa.array(some)).to_pylist()
+    kernels = {i: k for i, w in zip(some.tolist(), spelt, strict=True) if (k := model.near(w)) is not None}
     wanted = np.zeros(len(words), bool)
     wanted[list(kernels)] = True
     places = [(int(p), kernels[int(code[p])]) for p in np.flatnonzero(wanted[code])] if len(code) else []

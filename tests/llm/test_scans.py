@@ -157,3 +157,19 @@ def test_landmarks_are_looked_for_among_all_windows(spark, monkeypatch):
     sample = spark.createDataFrame([(k, common + (" moron" if k < 6 else ""), int(k < 30)) for k in range(150)], "id long, text string, label int")
     assert toxicity._choose_landmarks(sample, 30, 120) == ["moron"]
     assert (toxicity.TRAIN_LIMIT, toxicity._fit_svm.__defaults__) == (12_000, (60,))
+
+
+def test_sieve_drops_no_word_that_is_near():
+    """With the sieve and without it, sentences have the same kernels: accented capitals, marks and blanks of no width between letters, short words."""
+    import numpy as np
+    import pyarrow as pa
+
+    marks = ["réeux", "idiot", "scum", "ßtege"]
+    model = toxicity.ToxicityModel(marks, np.eye(len(marks)), np.zeros(len(marks)), 0.0)
+    given = ["réeux", "RÉEUX", "Réeuxment", "RÉ-EUX", "i·d·i·o·t", "i\u200bd\u200bi\u200bo\u200bt", "id‐i‐ot", "1d10t", "IDIOXT", "cum", "scu", "S©C©U©M", "ẞTEGE", "ßtege", "plain", "", "123", "the"]
+    for word in given:
+        near = model.near(word)
+        row, best = toxicity.sentence_kernels(toxicity._split(pa.array([f"{word} of"])), model)
+        assert len(row) == (near is not None), word
+        assert near is None or np.allclose(best[0], near), word
+    assert all(model.near(w) is not None for w in given[:14])
