@@ -31,8 +31,14 @@ def e1(spark, d):
 SELECT o.lot, o.entity, count(*) FILTER (recipe = 'A' AND epoch_us(g.time) >= epoch_us(o.time) - 20 * {DAY}) AS "A_480h", count(*) FILTER (recipe = 'R' AND epoch_us(g.time) >= epoch_us(o.time) - 20 * {DAY}) AS "R_480h", count(*) FILTER (recipe = 'R') AS "R_2400h"
 FROM own o LEFT JOIN g ON g.entity = o.entity AND g.time < o.time AND epoch_us(g.time) >= epoch_us(o.time) - 100 * {DAY} GROUP BY o.lot, o.entity""")
 def e2(spark, d):
+    return e2_whole(spark, d).where("lot % 10 = 0")
+
+
+@query("E2_usage_by_group_whole")
+def e2_whole(spark, d):
+    """Every lot and entity; SQL over all is too slow, so E2 holds a tenth of these against it."""
     g = usage(spark, d)
-    own = g.where("lot % 10 = 0").groupBy("lot", "entity").agg(F.max("time").alias("time"))
+    own = g.groupBy("lot", "entity").agg(F.max("time").alias("time"))
     out = W.usage_by_group(own, g, "entity", "time", [480, 2400], "recipe", ["A", "R"])
     return out.select("lot", "entity", "A_480h", "R_480h", "R_2400h")
 
@@ -41,10 +47,16 @@ def e2(spark, d):
 (SELECT count(*) FROM u h WHERE h.time < v.time AND epoch_us(h.time) >= epoch_us(v.time) - 3 * {DAY}) AS fleet_all, (SELECT count(*) FROM u h WHERE h.layer = 'view' AND h.time < v.time AND epoch_us(h.time) >= epoch_us(v.time) - 3 * {DAY}) AS fleet_layer,
 (SELECT count(*) FROM u h WHERE h.entity = v.entity AND h.time < v.time AND epoch_us(h.time) >= epoch_us(v.time) - 3 * {DAY}) AS entity_all FROM v""")
 def e3(spark, d):
+    return e3_whole(spark, d).where("unit_id % 20 = 0")
+
+
+@query("E3_usage_layer_product_whole")
+def e3_whole(spark, d):
+    """Every unit; SQL over all is too slow, so E3 holds a twentieth of these against it."""
     u = units(spark, d)
     sums = {"fleet_all": F.count(F.lit(1)), "fleet_layer": F.count_if(F.col("layer") == "view")}
-    fleet = W.fleet_lookback(u.where("unit_id % 20 = 0").select("unit_id", "time"), u, "time", 3 * DAY, sums)
-    own = W.lookback(u, ["entity"], "time", 3 * DAY, {"entity_all": F.count(F.lit(1))}).where("unit_id % 20 = 0").select("unit_id", "entity_all")
+    fleet = W.fleet_lookback(u.select("unit_id", "time"), u, "time", 3 * DAY, sums)
+    own = W.lookback(u, ["entity"], "time", 3 * DAY, {"entity_all": F.count(F.lit(1))}).select("unit_id", "entity_all")
     return fleet.join(own, "unit_id").select("unit_id", "fleet_all", "fleet_layer", "entity_all")
 
 
