@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lithos.llm._spark import written
 from lithos.llm._text import class_words, grams, raw, text_slices, word_hashes
@@ -136,19 +137,30 @@ def _against(docs: DataFrame, known) -> DataFrame:
     return docs.mapInArrow(run, _HITS + ", row long" * with_row)
 
 
-def remove_hits(docs: DataFrame, benchmark: DataFrame, *, n: int = 10, whole: bool = True, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+def remove_hits(docs: DataFrame, benchmark: DataFrame, *, n: int = 10, whole: bool = True, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` with all its columns, without the documents that hold a window (``whole``) or without the hit words.
 
-    Each row is judged by its own text, in the pass that finds the windows, so null and repeated ids
+    Each row is judged by its own text, in the passes that find the windows, so null and repeated ids
     are safe and nothing is joined back. With ``whole=False`` a text loses, for each range of hit
-    words, all from the first word's first character to the last word's last. The benchmark has to
-    fit one block of ``BLOCK_BYTES``; else a ValueError says so, and ``benchmark_hits`` is the way.
+    words, all from the first word's first character to the last word's last. More than
+    ``block_bytes`` of benchmark text is taken in blocks, one pass each; with ``whole=False`` each
+    pass adds its ranges beside the untouched text, and the last one cuts all.
     """
+    spark = docs.sparkSession
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text")).where("item IS NOT NULL AND text IS NOT NULL")
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    if total > BLOCK_BYTES:
-        raise ValueError(f"{total} bytes of benchmark text are more than one block of {BLOCK_BYTES}")
-    known = docs.sparkSession.sparkContext.broadcast(_Grams([tuple(r) for r in items.collect()], n))
+    blocks = max(1, -(-total // block_bytes))
+    # The ranges' column: a name that no column has.
+    mark = "_ranges" + "_" * max(map(len, docs.columns))
+    out = docs
+    for b in range(blocks):
+        known = spark.sparkContext.broadcast(_Grams([tuple(r) for r in items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b).collect()], n))
+        out = _without(out, docs, known, whole, text_col, mark, b == blocks - 1)
+    return out
+
+
+def _without(given: DataFrame, docs: DataFrame, known, whole: bool, text_col: str, mark: str, last: bool) -> DataFrame:
+    """``given`` without rows that one block hits, or with its ranges in ``mark``, or at the last block without all hit words."""
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,11 +173,20 @@ def remove_hits(docs: DataFrame, benchmark: DataFrame, *, n: int = 10, whole: bo
                 for i, size, _ in known.value.hits(words):
                     cover[i] += 1
                     cover[i + size] -= 1
+                if mark in part.schema.names:
+                    for d, edges in enumerate(part.column(mark).to_pylist()):
+                        np.add.at(cover, first[d] + np.array(edges[::2], np.int64), 1)
+                        np.add.at(cover, first[d] + np.array(edges[1::2], np.int64), -1)
+                    part = part.drop_columns([mark])
                 inside = np.cumsum(cover)[:-1] > 0
                 hit = np.add.reduceat(np.append(inside, False).astype(np.int64), first[:-1]) * (np.diff(first) > 0) > 0 if len(first) > 1 else np.zeros(0, bool)
                 if whole:
                     yield part.filter(pa.array(~hit))
                     continue
+                if not last:
+                    edges = [np.flatnonzero(np.diff(np.concatenate([[False], inside[a:b], [False]]).astype(np.int8))).tolist() for a, b in zip(first.tolist(), first[1:].tolist(), strict=False)]
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(edges, pa.list_(pa.int32()))], [*part.schema.names, mark])
+                    continue
                 new = texts.to_pylist()
                 off = raw(texts)[1]
                 for d in np.flatnonzero(hit).tolist():
@@ -178,4 +199,4 @@ def remove_hits(docs: DataFrame, benchmark: DataFrame, *, n: int = 10, whole: bo
                 k = names.index(text_col)
                 yield part.set_column(k, part.schema.field(k), pa.array(new, texts.type))
 
-    return docs.mapInArrow(run, docs.schema)
+    return given.mapInArrow(run, docs.schema if whole or last else T.StructType([*docs.schema.fields, T.StructField(mark, T.ArrayType(T.IntegerType()))]))

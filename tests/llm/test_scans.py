@@ -173,3 +173,12 @@ def test_sieve_drops_no_word_that_is_near():
         assert len(row) == (near is not None), word
         assert near is None or np.allclose(best[0], near), word
     assert all(model.near(w) is not None for w in given[:14])
+
+
+def test_a_benchmark_of_several_blocks_removes_the_same(spark):
+    items = [(k, " ".join(words(12, 700 + k))) for k in range(6)]
+    given = [*rows(), *[(80 + k, f"Lead {t}; mid {items[(k + 1) % 6][1]} tail") for k, t in items], (90, " ".join([*items[0][1].split()[:11], *items[0][1].split()]))]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    for whole in (True, False):
+        one, many = (sorted(map(str, decontaminate.remove_hits(documents(spark, given), benchmark, whole=whole, **k).collect())) for k in ({}, {"block_bytes": 100}))
+        assert one == many and one != sorted(map(str, documents(spark, given).collect())), whole
