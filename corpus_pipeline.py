@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lithos.llm import byte_bpe, decontaminate, ngram_jaccard, secrets, toxicity
+from lithos.llm._spark import written
 
 #: Documents that score so high are rejected; words of a shingle and percent of overlap of near duplicates; words of a benchmark window.
 TOXIC, SHINGLE_WORDS, NEAR_PERCENT, WINDOW_WORDS = 0.7, 5, 80, 10
@@ -69,6 +70,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = written(docs, name)
     return docs

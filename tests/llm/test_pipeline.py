@@ -27,3 +27,17 @@ def test_stages_on_an_empty_table(spark):
     empty = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF).collect() == []
+
+
+def test_run_writes_each_stage_but_the_last(spark, monkeypatch):
+    read = []
+
+    def stage(spark, docs, sf_dir):
+        read.append(docs.inputFiles())
+        return docs.limit(3)
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("first", stage), ("second", stage), ("third", stage)])
+    assert corpus_pipeline.run(spark, SF).count() == 3
+    assert all("documents.parquet" in f for f in read[0])
+    for files, name in zip(read[1:], ["first", "second"], strict=True):
+        assert files and all(f"/{name}-" in f for f in files)
