@@ -1,21 +1,25 @@
 """N-gram Jaccard join: exact links of documents whose sets of word n-grams overlap enough.
 
-The n-grams of a set are hashed into groups, and two things are known of each set: how many fell into
-each group (a point of counts) and what fell there (a sum of hashes).
-
-- Overlap is bounded by the summed minima of two points' coordinates. A tree over the points is cut by
-  that bound: sizes first (a set links only with sizes near its own), then cells, then boxes of points
-  within a cell, then points.
-- Cells need more than counts. At a similarity of 0.9 two linked points may differ by a tenth of their
-  size, more than points of unrelated texts scatter in any one coordinate, so boxes of counts alone
-  leave nearly all pairs of a size. Two linked sets differ in at most r n-grams, r = (1 - s) / (1 + s) of
-  their sizes' sum; over r + 1 groups at least one therefore holds the same n-grams in both. A set
-  is entered under each of its groups' contents, and only sets that share such a cell are compared.
-  No link is lost, and the cells are equi-join keys.
-- Pairs that the bound leaves are verified on the sets themselves.
-
-Sets are named by a 64-bit sum of their n-grams' hashes; texts with the same set are one node. Among n
-distinct sets the chance that two share a name is n * n / 2**65 (under 1e-8 for half a million).
+Of each set it is known how many of its n-grams fell into each of a number of groups: a point of counts. The number of
+groups grows with the set (one for two to four n-grams) and is a power of two, so that of two points the finer folds
+onto the coarser. The overlap of two sets is at most the summed minima of their points' coordinates.
+
+The search narrows in levels:
+
+1. Cells. Two linked sets differ in at most r n-grams, r = (1 - s) / (1 + s) of their sizes' sum; over more than r
+   groups at least one therefore holds the same n-grams in both. A set is entered under the contents of each of its
+   groups, for the band of sizes of the larger of a pair, and only sets that share a cell can link. At 0.9 two linked
+   points may differ by a tenth of their size, which is more than points of unrelated texts scatter in any one
+   coordinate: boxes of counts alone would leave nearly all pairs of a size, so the tree stands below the cells.
+2. Small cells are compared point by point; sets of large ones are packed, in order of cell, size and leading
+   coordinates, into the tree: tiles of ``TILE`` points with leaves of ``LEAF``, each with a box (least and most size,
+   most of each coordinate). Tiles meet if they share a cell and their boxes allow a link, leaves if their boxes do.
+3. Points that the bound leaves are verified on the n-grams of the texts, inside the task that holds both tiles, which
+   returns only links that join what was not joined yet: a spanning forest and never candidate pairs.
+
+No link is lost, and no group of copies is met whole in one task. Texts with the same set are one node, named by a
+64-bit sum of its n-grams' hashes; among n distinct sets the chance that two share a name is n * n / 2**65. All pairs of
+texts that link otherwise are verified.
 """
 
 from __future__ import annotations
@@ -23,23 +27,21 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lithos.llm._spark import release, written
+from lithos.llm._spark import Scratch
 from lithos.llm._text import class_words, grams, mixed, raw, text_slices, word_hashes
 from lithos.llm.components import connected_components
 
-#: Coordinates of a point of counts, ratio of sizes within a band, empty groups a set may have before it is entered under them too.
+#: Coordinates of a point at least (and those boxes have), ratio of sizes within a band, groups beyond those that may differ.
 COORDINATES, BAND, SPARE = 32, 0.65, 2
-#: Cells of so many members are compared pair by pair; of larger ones so many members are compared at once.
-SMALL, CHUNK = 48, 512
+#: Cells of so many members are compared pair by pair; tiles and leaves of the tree over larger ones hold so many points, tiles so many bytes.
+SMALL, TILE, LEAF, TILE_BYTES = 48, 512, 64, 4 << 20
 #: Names of documents that are broadcast at most.
 BROADCAST_IDS = 1_000_000
-#: Rounds in which cells are compared with one pivot each before all that is left is compared.
-PIVOT_ROUNDS = 3
 
 _WORD = np.ones(256, bool)
 _WORD[[9, 10, 11, 12, 13, 32]] = False
@@ -84,182 +86,356 @@ def bands(largest: int) -> np.ndarray:
 def cell_keys(hashes: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Index of the set and key of each cell it is entered under.
 
-    A set enters the cells of its own band of sizes, where it may be the larger of a pair, and those of
-    the next band where it may be the smaller. Bands in which only equal sets link have no cells.
+    A set enters the cells of its own band of sizes, where it may be the larger of a pair, and those of all further
+    bands that a larger set linked with it may have. Bands in which only equal sets link have no cells. A set with no
+    more filled groups than may differ is entered under each of its n-grams too, and so are its partners of that kind.
     """
     sizes = np.diff(at)
-    tops = bands(int(sizes.max(initial=1)) * 2)
+    tops = bands(int(sizes.max(initial=1)) * (100 // max(1, percent) + 2))
     own = np.searchsorted(tops, sizes)
     sets, keys = [], []
-    for ahead in (0, 1):
-        band = own + ahead
+    of_all = np.repeat(np.arange(len(sizes)), sizes)
+    for ahead in range(len(tops)):
+        band = np.minimum(own + ahead, len(tops) - 1)
         differ = (2 * (100 - percent) * tops[band]) // (100 + percent)
-        use = (sizes > 0) & (differ > 0)
+        use = (sizes > 0) & (own + ahead < len(tops))
         if ahead:
             use &= 100 * sizes >= percent * (tops[band - 1] + 1)
+        if not use.any():
+            break
+        use &= differ > 0
         groups = np.where(use, differ + 1 + SPARE, 0)
-        entry = np.repeat(groups, sizes).astype(np.uint64)
-        of = np.repeat(np.arange(len(sizes)), sizes)
-        mask = entry > 0
-        h, g_count, of = hashes[mask], entry[mask], of[mask]
+        mask = groups[of_all] > 0
+        h, of = hashes[mask], of_all[mask]
         if not len(h):
             continue
-        group = ((h >> np.uint64(32)) * g_count) >> np.uint64(32)
+        group = ((h >> np.uint64(32)) * groups[of].astype(np.uint64)) >> np.uint64(32)
         first = np.ones(len(h), bool)
         first[1:] = (of[1:] != of[:-1]) | (group[1:] != group[:-1])
         begin = np.flatnonzero(first)
         content = np.add.reduceat(mixed(h + np.uint64(5)), begin)
-        place = mixed(band[of[begin]].astype(np.uint64) * np.uint64(1 << 32) + group[begin] + np.uint64(1))
+        place = band.astype(np.uint64) * np.uint64(1 << 32)
         sets.append(of[begin])
-        keys.append(mixed(content ^ place))
+        keys.append(mixed(content ^ mixed(place[of[begin]] + group[begin] + np.uint64(1))))
         filled = np.bincount(of[begin], minlength=len(sizes))
-        for d in np.flatnonzero(use & (groups - filled > SPARE)).tolist():
-            empty = np.setdiff1d(np.arange(groups[d]), group[begin][of[begin] == d].astype(np.int64)).astype(np.uint64)
-            sets.append(np.full(len(empty), d))
-            keys.append(mixed(mixed(np.uint64(int(band[d])) * np.uint64(1 << 32) + empty + np.uint64(1))))
+        few = np.flatnonzero((use & (filled <= differ))[of])
+        sets.append(of[few])
+        keys.append(mixed(h[few] ^ mixed(place[of[few]] + np.uint64(1 << 31))))
     if not sets:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     return np.concatenate(sets), np.concatenate(keys).astype(np.int64)
 
 
-def _sets(docs: DataFrame, n: int, what: str, percent: int = 0) -> DataFrame:
-    """One pass over ``id, text``: ``nodes`` (id, node, size, counts), ``cells`` (key, node) or ``sets`` (node, grams)."""
-    schema = {"nodes": "id long, node long, size int, counts array<int>", "cells": "key long, node long", "sets": "node long, grams array<long>"}[what]
+def points(hashes: np.ndarray, at: np.ndarray) -> list[bytes]:
+    """Counts of each set by group: one byte a coordinate, a power of two of them by the set's size; empty where one exceeds a byte."""
+    out = []
+    for a, b in zip(at.tolist(), at[1:].tolist(), strict=False):
+        d = max(COORDINATES, 1 << max(0, int(b - a).bit_length() - 2))
+        counts = np.bincount((hashes[a:b] & np.uint64(d - 1)).astype(np.int64), minlength=d)
+        out.append(counts.astype(np.uint8).tobytes() if b > a and counts.max() < 256 else b"")
+    return out
+
+
+def _folded(point: bytes, d: int) -> np.ndarray:
+    """A point on ``d`` coordinates."""
+    return np.frombuffer(point, np.uint8).reshape(-1, d).sum(0, dtype=np.int32)
+
+
+def _per_set(docs: DataFrame, n: int, what: str, percent: int = 0) -> DataFrame:
+    """One pass over ``id, text``: ``nodes`` (id, node, size), ``cells`` (key, node) or ``profiles`` (node, size, point, text)."""
+    schema = {"nodes": "id long, node long, size int", "cells": "key long, node long", "profiles": "node long, size int, point binary, text binary"}[what]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             for part in text_slices(batch):
                 hashes, at = gram_sets(part.column("text"), n)
                 names = _names(hashes, at)
                 if what == "nodes":
-                    of = np.repeat(np.arange(len(names)), np.diff(at))
-                    counts = np.bincount(of * COORDINATES + (hashes & np.uint64(COORDINATES - 1)).astype(np.int64), minlength=len(names) * COORDINATES)
-                    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(names) + 1) * COORDINATES, pa.int32()), pa.array(counts, pa.int32()))
-                    yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(names), pa.array(np.diff(at), pa.int32()), lists], ["id", "node", "size", "counts"])
+                    yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(names), pa.array(np.diff(at), pa.int32())], ["id", "node", "size"])
                 elif what == "cells":
                     sets, keys = cell_keys(hashes, at, percent)
                     yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(names[sets])], ["key", "node"])
                 else:
-                    lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(hashes.astype(np.int64)))
-                    yield pa.RecordBatch.from_arrays([pa.array(names), lists], ["node", "grams"])
+                    texts = [pack.compress((t or "").encode()) for t in part.column("text").to_pylist()]
+                    yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(np.diff(at), pa.int32()), pa.array(points(hashes, at), pa.binary()), pa.array(texts, pa.binary())], ["node", "size", "point", "text"])
 
     return docs.mapInArrow(run, schema)
 
 
-def _needed(one: Column, two: Column, percent: int) -> Column:
-    """Least overlap of two linked sets of these sizes."""
-    return F.ceil((one + two) * percent / (100.0 + percent) - 1e-9)
+def _near(one: Column, two: Column, percent: int) -> Column:
+    """Sizes of two sets that may link."""
+    return F.least(one, two).cast("long") * 100 >= F.greatest(one, two).cast("long") * percent
 
 
-def _bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a, b`` whose sizes and summed coordinate minima allow a link."""
-    one = points.select(F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("counts").alias("counts_a"))
-    two = points.select(F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("counts").alias("counts_b"))
-    most = F.aggregate(F.zip_with("counts_a", "counts_b", lambda x, y: F.least(x, y)), F.lit(0), lambda have, x: have + x)
-    return pairs.join(one, "a").join(two, "b").where(most >= _needed(F.col("size_a"), F.col("size_b"), percent)).select("a", "b")
+def _least_overlap(one: np.ndarray, two: np.ndarray, percent: int) -> np.ndarray:
+    """Least overlap of two linked sets of these sizes."""
+    return (one.astype(np.int64) + two) * percent / (100 + percent) - 1e-9
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs that link, by the sets themselves."""
-    joined = pairs.join(sets.select(F.col("node").alias("b"), F.col("grams").alias("grams_b")), "b").join(sets.select(F.col("node").alias("a"), F.col("grams").alias("grams_a")), "a")
-    both = F.size(F.array_intersect("grams_a", "grams_b"))
-    return joined.where(100 * both >= percent * (F.size("grams_a") + F.size("grams_b") - both)).select("a", "b")
+def _bounded(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` whose sizes and summed coordinate minima allow a link."""
+    one = profiles.select(F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("point").alias("point_a"))
+    two = profiles.select(F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("point").alias("point_b"))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = batch.column("point_a").to_pylist(), batch.column("point_b").to_pylist()
+            least = _least_overlap(np.asarray(batch.column("size_a")), np.asarray(batch.column("size_b")), percent)
+            good = np.ones(batch.num_rows, bool)
+            for k, (x, y) in enumerate(zip(left, right, strict=True)):
+                if x and y:
+                    d = min(len(x), len(y))
+                    good[k] = np.minimum(_folded(x, d), _folded(y, d)).sum() >= least[k]
+            yield batch.select(["a", "b"]).filter(pa.array(good))
+
+    joined = pairs.join(one, "a").join(two, "b").where(_near(F.col("size_a"), F.col("size_b"), percent))
+    return joined.select("a", "b", "size_a", "size_b", "point_a", "point_b").mapInArrow(run, "a long, b long")
+
+
+class _Texts:
+    """The n-gram sets of compressed texts, by position."""
+
+    def __init__(self, packed: list[bytes], n: int):
+        undo = zstandard.ZstdDecompressor()
+        texts = [undo.decompress(p).decode() for p in packed]
+        self.hashes, self.at = gram_sets(pa.array(texts, pa.large_string()), n)
+
+    def overlaps(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Size of the overlap of set ``i`` with each of others."""
+        own = self.hashes[self.at[i] : self.at[i + 1]]
+        sizes = self.at[others + 1] - self.at[others]
+        ends = np.cumsum(sizes)
+        index = np.arange(int(ends[-1])) + np.repeat(self.at[others] - (ends - sizes), sizes)
+        theirs = self.hashes[index]
+        spot = np.minimum(np.searchsorted(own, theirs), len(own) - 1)
+        return np.add.reduceat((own[spot] == theirs).astype(np.int64), ends - sizes)
+
+    def linked(self, i: int, others: np.ndarray, percent: int) -> np.ndarray:
+        both = self.overlaps(i, others)
+        return 100 * both >= percent * (self.at[i + 1] - self.at[i] + self.at[others + 1] - self.at[others] - both)
+
+
+def _verified(pairs: DataFrame, profiles: DataFrame, n: int, percent: int) -> DataFrame:
+    """Pairs that link, by the n-grams of their texts."""
+    joined = pairs.join(profiles.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b").join(profiles.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
 
-def _compare(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """Pairs of different components within two chunks of a cell, by boxes and then points of counts."""
-    left, right = frame[frame["side"] == 0], frame[frame["side"] == 1]
-    out = []
-    if len(left) and len(right):
-        one, two = np.stack(left["counts"].to_numpy()), np.stack(right["counts"].to_numpy())
-        size1, size2 = left["size"].to_numpy(), right["size"].to_numpy()
-        if np.minimum(one.max(0), two.max(0)).sum() >= (size1.min() + size2.min()) * percent / (100 + percent) - 1e-9:
-            for k in range(len(left)):
-                most = np.minimum(one[k], two).sum(1)
-                good = (most >= (size1[k] + size2) * percent / (100 + percent) - 1e-9) & (left["component"].iat[k] != right["component"].to_numpy()) & (left["node"].iat[k] != right["node"].to_numpy())
-                other = right["node"].to_numpy()[good]
-                out.append(np.stack([np.full(len(other), left["node"].iat[k]), other], axis=1))
-    pairs = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-    return pd.DataFrame({"a": pairs.min(1), "b": pairs.max(1)} if len(pairs) else {"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64")})
-
-
-def _mixed(members: DataFrame, found: DataFrame, turn: int) -> DataFrame:
-    """Members, with component, of cells that hold several components: the cell's size, and a pivot drawn by hash."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, 1000):
+                batch = whole.slice(start, 1000)
+                a, b = np.asarray(batch.column("a")), np.asarray(batch.column("b"))
+                nodes, first, where = np.unique(np.concatenate([a, b]), return_index=True, return_inverse=True)
+                packed = pa.concat_arrays([batch.column("text_a"), batch.column("text_b")]).take(pa.array(first)).to_pylist()
+                sets = _Texts(packed, n)
+                i, j = where[: len(a)], where[len(a) :]
+                good = np.array([sets.linked(x, np.array([y]), percent)[0] for x, y in zip(i.tolist(), j.tolist(), strict=True)], bool)
+                yield batch.select(["a", "b"]).filter(pa.array(good))
+
+    return joined.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+
+
+def _mixed(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Members, with component, of cells that hold several components, and the cell's number of members."""
     grouped = members.select("key", "node").join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    pivot = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "component"))
-    several = grouped.groupBy("key").agg(F.count("*").alias("cell"), F.min("component").alias("low"), F.max("component").alias("high"), pivot.alias("pivot")).where("low != high")
-    return written(grouped.join(several.select("key", "cell", F.col("pivot.node").alias("pivot"), F.col("pivot.component").alias("pivot_component")), "key"), "left")
+    several = grouped.groupBy("key").agg(F.count("*").alias("cell"), F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
+    return grouped.join(several.select("key", "cell"), "key")
 
 
-def _small_pairs(left: DataFrame, points: DataFrame, percent: int) -> DataFrame:
+def _small_pairs(left: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components in cells of at most ``SMALL`` members whose sizes allow a link."""
-    sized = left.where(F.col("cell") <= SMALL).join(points.select("node", "size"), "node").select("key", "node", "component", "size")
+    sized = left.where(F.col("cell") <= SMALL).join(profiles.select("node", "size"), "node").select("key", "node", "component", "size")
     other = sized.select("key", F.col("node").alias("b"), F.col("component").alias("other"), F.col("size").alias("size_b"))
-    near = (F.least("size", "size_b") * 100 >= F.greatest("size", "size_b") * percent) & (F.col("node") < F.col("b")) & (F.col("component") != F.col("other"))
-    return sized.join(other, "key").where(near).select(F.col("node").alias("a"), "b").distinct()
+    good = _near(F.col("size"), F.col("size_b"), percent) & (F.col("node") < F.col("b")) & (F.col("component") != F.col("other"))
+    return sized.join(other, "key").where(good).select(F.col("node").alias("a"), "b").distinct()
+
+
+_TILE_SCHEMA = "tile long, nodes array<long>, components array<long>, sizes array<int>, points array<binary>, texts array<binary>, low int, high int, box array<int>, single long"
+
 
+def _tiles(large: DataFrame, profiles: DataFrame) -> DataFrame:
+    """The tree's tiles over the nodes of large cells, packed in order of each node's largest cell, component, size and leading coordinates."""
+    home = large.groupBy("node").agg(F.first("component").alias("component"), F.max(F.struct("cell", "key")).alias("home"))
+    held = home.join(profiles, "node").select(F.col("home.cell").alias("cell"), F.col("home.key").alias("key"), "component", "size", F.substring("point", 1, 8).alias("lead"), "node", "point", "text")
+    order = ["cell", "key", "component", "size", "lead", "node"]
+    dealt = held.repartitionByRange(*order).sortWithinPartitions(*order)
 
-def _large_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """All pairs of different components within large cells, chunk against chunk so that no cell meets whole in one task."""
-    dealt = members.withColumn("chunks", F.ceil(F.col("cell") / CHUNK).cast("int")).withColumn("chunk", F.pmod(F.xxhash64("node", "key"), F.col("chunks")).cast("int"))
-    first = dealt.withColumn("other", F.explode(F.sequence("chunk", F.col("chunks") - 1))).select("key", F.col("chunk").alias("i"), F.col("other").alias("j"), F.lit(0).alias("side"), "node", "size", "counts", "component")
-    second = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunk")))).select("key", F.col("other").alias("i"), F.col("chunk").alias("j"), F.lit(1).alias("side"), "node", "size", "counts", "component")
-    return first.unionByName(second).groupBy("key", "i", "j").applyInPandas(lambda f: _compare(f, percent), "a long, b long").distinct()
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part, seq, rows, amount = TaskContext.get().partitionId(), 0, [], 0
+
+        def flush() -> pa.RecordBatch:
+            cols = {k: [r[k] for r in rows] for k in ("node", "component", "size", "point", "text")}
+            box = np.max([_folded(p, COORDINATES) if p else np.full(COORDINATES, 1 << 30) for p in cols["point"]], axis=0)
+            single = cols["component"][0] if len(set(cols["component"])) == 1 else None
+            values = [(part << 32) + seq, cols["node"], cols["component"], cols["size"], cols["point"], cols["text"], min(cols["size"]), max(cols["size"]), box.tolist(), single]
+            kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.binary()), pa.list_(pa.binary()), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.int64()]
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], [c.split()[0] for c in _TILE_SCHEMA.split(", ")])
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                if rows and (len(rows) == TILE or amount > TILE_BYTES):
+                    yield flush()
+                    seq, rows, amount = seq + 1, [], 0
+                rows.append(row)
+                amount += len(row["text"]) + len(row["point"])
+        if rows:
+            yield flush()
+
+    return dealt.mapInArrow(pack, _TILE_SCHEMA)
+
+
+def _tile_pairs(large: DataFrame, tiles: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``one, two`` of tiles that share a large cell, whose boxes allow a link, and that are not one component."""
+    of = tiles.select("tile", F.explode("nodes").alias("node"))
+    spots = large.select("key", "node").join(of, "node").select("key", "tile").distinct()
+    pairs = spots.select("key", F.col("tile").alias("one")).join(spots.select("key", F.col("tile").alias("two")), "key").where("one <= two").select("one", "two").distinct()
+    for side in ("one", "two"):
+        pairs = pairs.join(tiles.select(F.col("tile").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("low", "high", "box", "single")]), side)
+    most = F.aggregate(F.zip_with("box_one", "box_two", lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda have, x: have + x)
+    sizes = (F.col("high_one").cast("long") * 100 >= F.col("low_two").cast("long") * percent) & (F.col("high_two").cast("long") * 100 >= F.col("low_one").cast("long") * percent)
+    bound = most * (100 + percent) >= (F.col("low_one").cast("long") + F.col("low_two")) * percent
+    other = F.coalesce(F.col("single_one") != F.col("single_two"), F.lit(True))
+    return pairs.where(sizes & bound & other).select("one", "two")
+
+
+def _leaves(points_: list[bytes], sizes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, int]]:
+    """Of each leaf: its positions (points known, of like number of coordinates), its points folded alike, and their coordinates."""
+    out = []
+    for a in range(0, len(points_), LEAF):
+        at = np.arange(a, min(a + LEAF, len(points_)))
+        known = [k for k in at if points_[k]]
+        d = min((len(points_[k]) for k in known), default=COORDINATES)
+        # A point that exceeds a byte somewhere is not bounded.
+        table = np.stack([_folded(points_[k], d) if points_[k] else np.full(d, 1 << 20, np.int32) for k in at])
+        out.append((at, table, d))
+    return out
+
+
+def _compare(one: dict, two: dict, same: bool, n: int, percent: int) -> list[tuple[int, int]]:
+    """Links between two tiles that join what is not joined yet: leaves by boxes, points by minima, then the texts."""
+    nodes = np.array(one["nodes"] + ([] if same else two["nodes"]), np.int64)
+    sizes = np.array(one["sizes"] + ([] if same else two["sizes"]), np.int64)
+    component = np.unique(np.array(one["components"] + ([] if same else two["components"]), np.int64), return_inverse=True)[1]
+    left = _leaves(one["points"], sizes)
+    right = left if same else [(at + len(one["nodes"]), table, d) for at, table, d in _leaves(two["points"], sizes[len(one["nodes"]) :])]
+    texts, out = None, []
+    for p, (at, table, d) in enumerate(left):
+        for at2, table2, d2 in right[p:] if same else right:
+            if (component[at[0]] == component[at]).all() and (component[at[0]] == component[at2]).all():
+                continue
+            if 100 * sizes[at].max() < percent * sizes[at2].min() or 100 * sizes[at2].max() < percent * sizes[at].min():
+                continue
+            c = min(d, d2)
+            x, y = table.reshape(len(at), -1, c).sum(1), table2.reshape(len(at2), -1, c).sum(1)
+            if np.minimum(x.max(0), y.max(0)).sum() < _least_overlap(sizes[at].min(keepdims=True), sizes[at2].min(), percent)[0]:
+                continue
+            for k, i in enumerate(at.tolist()):
+                rest = np.flatnonzero((component[at2] != component[i]) & (at2 > i) & (100 * np.minimum(sizes[at2], sizes[i]) >= percent * np.maximum(sizes[at2], sizes[i])))
+                if not len(rest):
+                    continue
+                rest = at2[rest[np.minimum(x[k], y[rest]).sum(1) >= _least_overlap(sizes[at2[rest]], sizes[i], percent)]]
+                if not len(rest):
+                    continue
+                if texts is None:
+                    texts = _Texts(one["texts"] + ([] if same else two["texts"]), n)
+                for j in rest[texts.linked(i, rest, percent)].tolist():
+                    if component[i] != component[j]:
+                        out.append((int(nodes[i]), int(nodes[j])))
+                        component[component == component[j]] = component[i]
+    return out
+
+
+def _large_links(large: DataFrame, profiles: DataFrame, n: int, percent: int, scratch: Scratch) -> DataFrame:
+    """Links within large cells, tile against tile."""
+    tiles = scratch.write(_tiles(large, profiles), "tiles")
+    met = _tile_pairs(large, tiles, percent)
+    joined = met
+    for side in ("one", "two"):
+        joined = joined.join(tiles.select(F.col("tile").alias(side), F.struct("nodes", "components", "sizes", "points", "texts").alias(f"of_{side}")), side)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                links = _compare(row["of_one"], row["of_two"], row["one"] == row["two"], n, percent)
+                yield pa.RecordBatch.from_arrays([pa.array([min(x) for x in links], pa.int64()), pa.array([max(x) for x in links], pa.int64())], ["a", "b"])
+
+    out = scratch.write(joined.mapInArrow(run, "a long, b long"), "links")
+    scratch.drop(tiles)
+    return out
 
 
 def jaccard_classes(docs: DataFrame, *, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row: the size of its set, and the least id it reaches over links.
 
-    Two sets link when 100 * overlap >= ``percent`` * union. Lower case folds A-Z only; words are runs of
+    Two sets link when 100 * overlap >= ``percent`` * union (1 to 100). Lower case folds A-Z only; words are runs of
     other bytes than blank, tab, line feed, vertical tab, form feed and return; a text of fewer than
     ``n`` words is one gram; texts without words have no set and link with nothing. Rows with a null
     id keep their size and have a null component; of rows that repeat an id each is judged by its own
     text and the id stands for all of them. An empty table gives no rows; other columns are ignored.
 
-    Cells are found by minima and maxima combined before the shuffle. In each cell that holds several
-    sets, all are compared with a pivot. Cells that still hold several components are then compared pair by
-    pair if they are small; large ones with further pivots, and what is left after that chunk by chunk in
-    full. Only pairs of different components are compared, so a large group of near copies costs a
-    few comparisons a member.
+    Shared cells are found by minima and maxima combined before the shuffle. Each set is first compared with the least
+    set of the cell it shares most often; then only pairs of different components are compared, in small cells pair by
+    pair and in large ones by the tree, so a large group of near copies costs a few comparisons a member.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    nodes = written(_sets(rows, n, "nodes"), "nodes")
-    points = nodes.where("size > 0 AND id IS NOT NULL").groupBy("node").agg(F.min("id").alias("id"), F.first("size").alias("size"), F.first("counts").alias("counts"))
-    points = written(points, "points")
-    cells = _sets(rows.where("id IS NOT NULL"), n, "cells", percent)
+    return _classes(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), n, percent).withColumnRenamed("id", id_col)
+
+
+def _classes(rows: DataFrame, n: int, percent: int) -> DataFrame:
+    if not 1 <= percent <= 100:
+        raise ValueError("percent is 1 to 100")
+    scratch = Scratch(rows.sparkSession)
+    nodes = scratch.write(_per_set(rows, n, "nodes"), "nodes")
+    least = nodes.where("size > 0 AND id IS NOT NULL").groupBy("node").agg(F.min("id").alias("id"))
+    cells = _per_set(rows.where("id IS NOT NULL"), n, "cells", percent)
     shared = cells.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low != high").select("key", "low")
-    members = written(cells.join(shared, "key").select("key", "node", "low").distinct(), "members")
-    wanted = members.select("node").distinct().join(points.select("node", "id"), "node")
-    wanted = written(wanted, "wanted")
+    members = scratch.write(cells.join(shared, "key").select("key", "node", "low").distinct(), "members")
+
+    wanted = scratch.write(members.select("node").distinct().join(least, "node"), "wanted")
     some = wanted.select("id").distinct()
     few = wanted.count() <= BROADCAST_IDS
     texts = rows.where("id IS NOT NULL").join(F.broadcast(some) if few else some, "id", "left_semi")
-    sets = _sets(texts, n, "sets").join(wanted.select("node"), "node", "left_semi").groupBy("node").agg(F.first("grams").alias("grams"))
-    sets = written(sets, "sets")
-    del cells, shared
-    release(docs.sparkSession)
-
-    pairs = members.where("node != low").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct()
-    links = written(_verified(_bounded(pairs, points, percent), sets, percent), "links")
-    found = connected_components(links)
-    left = _mixed(members, found, 0)
+    profiles = _per_set(texts, n, "profiles").join(wanted.select("node"), "node", "left_semi")
+    profiles = scratch.write(profiles.groupBy("node").agg(*[F.first(c).alias(c) for c in ("size", "point", "text")]), "profiles")
+
+    often = members.where("node != low").groupBy("node", "low").count().groupBy("node").agg(F.max(F.struct("count", "low")).alias("x"))
+    pairs = often.select(F.col("x.low").alias("a"), F.col("node").alias("b"))
+    links = scratch.write(_verified(_bounded(pairs, profiles, percent), profiles, n, percent), "links")
+    found = connected_components(links, scratch=scratch)
+    left = scratch.write(_mixed(members, found), "left")
+    scratch.drop(members)
     if not left.isEmpty():
-        links = links.unionByName(written(_verified(_bounded(_small_pairs(left, points, percent), points, percent), sets, percent), "links"))
-        found = connected_components(links)
-        members = left.where(F.col("cell") > SMALL).select("key", "node")
-        for turn in range(PIVOT_ROUNDS + 1):
-            left = _mixed(members, found, turn)
-            if left.isEmpty():
-                break
-            if turn < PIVOT_ROUNDS:
-                more = left.where("component != pivot_component").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-                more = _bounded(more, points, percent)
-            else:
-                more = _large_pairs(left.join(points.select("node", "size", "counts"), "node"), percent)
-            links = links.unionByName(written(_verified(more, sets, percent), "links"))
-            found = connected_components(links)
-    ids = points.select("node", "id").join(found, "node", "left").select("node", "id", F.coalesce("component", "node").alias("component"))
+        pairs = scratch.write(_bounded(_small_pairs(left, profiles, percent), profiles, percent), "pairs")
+        links = links.unionByName(scratch.write(_verified(pairs, profiles, n, percent), "links"))
+        found = connected_components(links, scratch=scratch)
+        large = scratch.write(_mixed(left.where(F.col("cell") > SMALL), found), "large")
+        scratch.drop(left, pairs)
+        if not large.isEmpty():
+            links = links.unionByName(_large_links(large, profiles, n, percent, scratch))
+            found = connected_components(links, scratch=scratch)
+    scratch.drop(profiles, wanted)
+    ids = least.join(found, "node", "left").select("node", "id", F.coalesce("component", "node").alias("component"))
     ids = ids.join(ids.groupBy("component").agg(F.min("id").alias("component_id")), "component").select("node", "component_id")
-    out = nodes.join(ids, "node", "left")
     component = F.when(F.col("id").isNull(), F.lit(None)).otherwise(F.coalesce("component_id", "id")).cast("long")
-    return out.select(F.col("id").alias(id_col), F.col("size").cast("long").alias("n_shingles"), component.alias("component_id"))
+    out = nodes.join(ids, "node", "left").select("id", F.col("size").cast("long").alias("n_shingles"), component.alias("component_id"))
+    return scratch.last(out, "classes")
+
+
+def keep_one(docs: DataFrame, *, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with all its columns and of each group of linked rows only the one of least id (null ids last).
+
+    Rows are told apart by a number of their own, so rows that repeat an id or have none are judged each by its own
+    text, and of rows that are equal one stays. Rows without words stay. No column name clashes: a row travels as one struct.
+    """
+    scratch = Scratch(docs.sparkSession)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    held = scratch.write(docs.select(F.monotonically_increasing_id().alias("row"), row), "rows", "zstd")
+    classes = _classes(held.select(F.col("row").alias("id"), F.col("doc").getField(text_col).alias("text")), n, percent).select(F.col("id").alias("row"), "component_id")
+    ids = held.select("row", F.col("doc").getField(id_col).alias("id")).join(classes, "row")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row"))["row"]
+    groups = ids.groupBy("component_id").agg(F.count("*").alias("size"), first.alias("first")).where("size > 1")
+    extra = scratch.write(ids.join(groups, "component_id").where("row != first").select("row"), "extra")
+    few = extra.count() <= BROADCAST_IDS
+    return held.join(F.broadcast(extra) if few else extra, "row", "left_anti").select("doc.*")

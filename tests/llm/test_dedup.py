@@ -25,7 +25,7 @@ def check_classes(spark, given, n, percent):
     assert got == sorted((i, len(s), comp[i]) for i, s in sets)
 
 
-@pytest.mark.parametrize(("n", "percent"), [(3, 90), (5, 80)])
+@pytest.mark.parametrize(("n", "percent"), [(3, 90), (5, 80), (3, 60), (2, 50)])
 def test_jaccard_is_brute_force(spark, n, percent):
     rng = random.Random(3)
     base = words(200, 5)
@@ -41,11 +41,28 @@ def test_jaccard_is_brute_force(spark, n, percent):
 
 
 def test_jaccard_large_cells_and_blocks(spark, monkeypatch):
-    for name, value in (("SMALL", 3), ("CHUNK", 4), ("PIVOT_ROUNDS", 1)):
+    for name, value in (("SMALL", 1), ("TILE", 4), ("LEAF", 2)):
         monkeypatch.setattr(ngram_jaccard, name, value)
     base = words(120, 9)
     given = [(k, " ".join(base[: 96 + k % 7] + words(20, k % 11))) for k in range(40)]
-    check_classes(spark, given, 3, 90)
+    for percent in (60, 80, 90):
+        check_classes(spark, given, 3, percent)
+
+
+def test_jaccard_of_short_sets(spark):
+    rng = random.Random(8)
+    given = [(k, " ".join(rng.choice("abcdefghijklmnopqrst") for _ in range(rng.randrange(1, 9)))) for k in range(150)]
+    for percent in (40, 60, 80):
+        check_classes(spark, given, 1, percent)
+
+
+def test_keep_one_drops_rows_and_not_ids(spark):
+    base = " ".join(words(80, 31))
+    given = [(1, base), (5, base + " more"), (5, "an unrelated text that stands alone here"), (None, base), (7, None), (8, ""), (9, "twice the same row here"), (9, "twice the same row here")]
+    kept = ngram_jaccard.keep_one(documents(spark, given))
+    assert kept.columns == documents(spark, []).columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(1, base), (5, given[2][1]), (7, None), (8, ""), (9, given[6][1])], key=str)
+    assert {(r.id, r.row, r.toxicity, r._tokens) for r in kept.collect()} == {(7, None, "x", "y")}
 
 
 def test_jaccard_of_nothing(spark):
