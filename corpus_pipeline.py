@@ -30,10 +30,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document of least id; documents without words or id stay."""
-    classes = ngram_jaccard.jaccard_classes(docs, n=SHINGLE_WORDS, percent=NEAR_PERCENT)
-    extra = classes.where(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("_extra")).distinct()
-    return docs.join(extra, F.col("doc_id") == F.col("_extra"), "left_anti")
+    """Of each group of near duplicates the document of least id stays; rows that repeat an id are judged each by its own text."""
+    return ngram_jaccard.keep_one(docs, n=SHINGLE_WORDS, percent=NEAR_PERCENT)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
