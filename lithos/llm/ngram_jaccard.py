@@ -11,7 +11,7 @@ The search narrows in levels:
    groups, for the band of sizes of the larger of a pair, and only sets that share a cell can link. At 0.9 two linked
    points may differ by a tenth of their size, which is more than points of unrelated texts scatter in any one
    coordinate: boxes of counts alone would leave nearly all pairs of a size, so the tree stands below the cells.
-2. Small cells are compared point by point; sets of large ones are packed, in order of cell, size and leading
+2. Small cells are compared point by point; sets of large ones are packed, by cell and then in order of size and leading
    coordinates, into the tree: tiles of ``TILE`` points with leaves of ``LEAF``, each with a box (least and most size,
    most of each coordinate). Tiles meet if they share a cell and their boxes allow a link, leaves if their boxes do.
 3. Points that the bound leaves are verified on the n-grams of the texts, inside the task that holds both tiles, which
@@ -39,7 +39,7 @@ from lithos.llm.components import connected_components
 #: Coordinates of a point at least (and those boxes have), ratio of sizes within a band, groups beyond those that may differ.
 COORDINATES, BAND, SPARE = 32, 0.65, 2
 #: Cells of so many members are compared pair by pair; tiles and leaves of the tree over larger ones hold so many points, tiles so many bytes.
-SMALL, TILE, LEAF, TILE_BYTES = 48, 512, 64, 4 << 20
+SMALL, TILE, LEAF, TILE_BYTES, CUTS = 48, 512, 64, 4 << 20, 64
 #: Names of documents that are broadcast at most.
 BROADCAST_IDS = 1_000_000
 
@@ -254,36 +254,37 @@ _TILE_SCHEMA = "tile long, nodes array<long>, components array<long>, sizes arra
 
 
 def _tiles(large: DataFrame, profiles: DataFrame) -> DataFrame:
-    """The tree's tiles over the nodes of large cells, packed in order of each node's largest cell, component, size and leading coordinates."""
-    home = large.groupBy("node").agg(F.first("component").alias("component"), F.max(F.struct("cell", "key")).alias("home"))
-    held = home.join(profiles, "node").select(F.col("home.cell").alias("cell"), F.col("home.key").alias("key"), "component", "size", F.substring("point", 1, 8).alias("lead"), "node", "point", "text")
-    order = ["cell", "key", "component", "size", "lead", "node"]
-    dealt = held.repartitionByRange(*order).sortWithinPartitions(*order)
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        part, seq, rows, amount = TaskContext.get().partitionId(), 0, [], 0
-
-        def flush() -> pa.RecordBatch:
-            cols = {k: [r[k] for r in rows] for k in ("node", "component", "size", "point", "text")}
-            box = np.max([_folded(p, COORDINATES) if p else np.full(COORDINATES, 1 << 30) for p in cols["point"]], axis=0)
-            single = cols["component"][0] if len(set(cols["component"])) == 1 else None
-            values = [(part << 32) + seq, cols["node"], cols["component"], cols["size"], cols["point"], cols["text"], min(cols["size"]), max(cols["size"]), box.tolist(), single]
-            kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.binary()), pa.list_(pa.binary()), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.int64()]
-            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], [c.split()[0] for c in _TILE_SCHEMA.split(", ")])
+    """The tree's tiles over the nodes of large cells: those of one home cell, cut by size and leading coordinates.
 
+    A node's home is its largest cell, so a family of like texts has few homes; within a home a component with many nodes
+    has tiles of its own. Cuts are approximate quantiles of an ordering number (size, three coordinates, a hash), at
+    most ``CUTS``; what is larger still is dealt by hash within them.
+    """
+    home = large.groupBy("node").agg(F.first("component").alias("component"), F.max(F.struct("cell", "key"))["key"].alias("home"))
+    big = home.groupBy("home", "component").count().select("home", "component", F.when(F.col("count") >= TILE // 2, F.col("component")).alias("own"))
+    lead = [F.coalesce(F.conv(F.hex(F.substring("point", k, 1)), 16, 10).cast("double"), F.lit(0.0)) for k in (1, 2, 3)]
+    order = (((F.col("size") * 256.0 + lead[0]) * 256.0 + lead[1]) * 256.0 + lead[2]) * 512.0 + F.pmod(F.xxhash64("node"), F.lit(512))
+    held = home.join(big, ["home", "component"]).join(profiles, "node").withColumn("order", order)
+    amount = F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum(F.octet_length("text") + F.octet_length("point")) / TILE_BYTES))
+    cuts = F.percentile_approx("order", F.array(*[F.lit(k / CUTS) for k in range(1, CUTS)]), 2000)
+    groups = held.groupBy("home", "own").agg(amount.alias("tiles"), cuts.alias("cuts")).select("home", "own", "tiles", F.when(F.col("tiles") > 1, F.col("cuts")).alias("cuts"))
+    placed = held.join(groups.withColumnRenamed("own", "of"), (held["home"] == groups["home"]) & held["own"].eqNullSafe(F.col("of"))).drop(groups["home"])
+    cut = F.coalesce(F.size(F.filter("cuts", lambda c: c < F.col("order"))), F.lit(0))
+    chunk = F.when(F.col("tiles") <= CUTS, F.floor(cut * F.col("tiles") / CUTS)).otherwise(cut + CUTS * F.pmod(F.xxhash64("node", F.lit(1)), F.ceil(F.col("tiles") / CUTS)))
+    rows = F.struct("order", "node", "component", "size", "point", "text")
+    packed = placed.groupBy("home", "own", chunk.alias("chunk")).agg(F.sort_array(F.collect_list(rows)).alias("rows"))
+
+    def box(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                if rows and (len(rows) == TILE or amount > TILE_BYTES):
-                    yield flush()
-                    seq, rows, amount = seq + 1, [], 0
-                rows.append(row)
-                amount += len(row["text"]) + len(row["point"])
-        if rows:
-            yield flush()
-
-    return dealt.mapInArrow(pack, _TILE_SCHEMA)
+            for tile, rows in zip(batch.column("tile").to_pylist(), batch.column("rows"), strict=True):
+                cols = {k: rows.values.field(k).to_pylist() for k in ("node", "component", "size", "point", "text")}
+                most = np.max([_folded(p, COORDINATES) if p else np.full(COORDINATES, 1 << 30) for p in cols["point"]], axis=0)
+                single = cols["component"][0] if len(set(cols["component"])) == 1 else None
+                values = [tile, cols["node"], cols["component"], cols["size"], cols["point"], cols["text"], min(cols["size"]), max(cols["size"]), most.tolist(), single]
+                kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.binary()), pa.list_(pa.binary()), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.int64()]
+                yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], [c.split()[0] for c in _TILE_SCHEMA.split(", ")])
+
+    return packed.select(F.xxhash64("home", "own", "chunk").alias("tile"), "rows").mapInArrow(box, _TILE_SCHEMA)
 
 
 def _tile_pairs(large: DataFrame, tiles: DataFrame, percent: int) -> DataFrame:
