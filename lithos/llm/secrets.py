@@ -16,11 +16,12 @@ encoding and length class (powers of two), over the whole table.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lithos.llm._spark import written
+from lithos.llm._spark import Scratch, written
 
 KINDS = ("assign", "access", "hex", "random")
 
@@ -36,6 +37,8 @@ ALPHABETS = {"hex": "0123456789abcdef", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234
 #: How much more often than under uniform letters two letters of a natural token agree.
 EXCESS = {"hex": 1.0, "base32": 1.0, "base64": 2.0}
 BATTERY, RATE = 1e-3, 0.01
+#: Letters that a token has at least without its padding, and items that are put into one array at a time.
+LEAST_BODY, BLOCK = 16, 128
 #: p-values are rounded up to steps of this many parts of a natural logarithm, up to the last step.
 STEPS, LAST_STEP = 10, 1000
 
@@ -43,23 +46,48 @@ _SPAN = "array<struct<start:int,end:int,token:string>>"
 _CANDIDATES = "array<struct<start:int,end:int,stratum:string,step:int>>"
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` worked out once, however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _running(items: Column, kind: str, step: Callable[[Column, Column], tuple[Column, Column]]) -> Column:
+    """What ``step(position, item)`` gives along an array, nulls left out; it returns the next position too, from 0 on.
+
+    Arrays are extended by copying, so this goes in blocks of ``BLOCK``: the cost of n items is n * BLOCK and not n * n.
+    """
+    none = F.expr(f"cast(array() as array<{kind}>)")
+
+    def inner(have: Column, x: Column) -> Column:
+        pos, out = step(have["pos"], x)
+        return F.struct(pos.cast("int").alias("pos"), F.when(out.isNotNull(), F.concat(have["out"], F.array(out))).otherwise(have["out"]).alias("out"))
+
+    def outer(have: Column, block: Column) -> Column:
+        done = F.aggregate(block, F.struct(have["pos"].alias("pos"), none.alias("out")), inner)
+        return _bound(done, lambda r: F.struct(r["pos"].alias("pos"), F.concat(have["out"], F.array(r["out"])).alias("out")))
+
+    def run(whole: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(whole) - 1) / BLOCK).cast("int")), lambda k: F.slice(whole, k * BLOCK + 1, BLOCK))
+        zero = F.struct(F.lit(0).alias("pos"), F.expr(f"cast(array() as array<array<{kind}>>)").alias("out"))
+        return F.flatten(F.aggregate(blocks, zero, outer, lambda have: have["out"]))
+
+    return _bound(items, lambda whole: F.when(F.size(whole) > 0, run(whole)).otherwise(none))
+
+
 def _spans(text: Column, pattern: str, group: int = 0, least: int = 0) -> Column:
     """``start, end, token`` of each match, in code points: the gaps between matches give their places."""
     gaps = F.transform(F.split(text, pattern, -1), F.length)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     sizes = F.transform(found, F.length)
     at = F.arrays_zip(found.alias("token"), F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("part"), gaps.alias("gap"), sizes.alias("size"))
-    start = F.struct(F.lit(0).alias("pos"), F.expr(f"cast(array() as {_SPAN})").alias("out"))
 
-    def step(have: Column, x: Column) -> Column:
-        begin = have["pos"] + x["gap"]
+    def step(pos: Column, x: Column) -> tuple[Column, Column]:
+        begin = pos + x["gap"]
         end = begin + F.coalesce(x["size"], F.lit(0))
         span = F.struct(begin.cast("int").alias("start"), end.cast("int").alias("end"), x["token"].alias("token"))
-        good = x["token"].isNotNull() & (F.length(x["part"]) >= least)
-        return F.struct(end.alias("pos"), F.when(good, F.concat(have["out"], F.array(span))).otherwise(have["out"]).alias("out"))
+        return end, F.when(x["token"].isNotNull() & (F.length(x["part"]) >= least), span)
 
-    spans = F.aggregate(at, start, step, lambda have: have["out"])
-    return F.when(text.rlike(pattern), spans).otherwise(F.expr(f"cast(array() as {_SPAN})"))
+    return F.when(text.rlike(pattern), _running(at, "struct<start:int,end:int,token:string>", step)).otherwise(F.expr(f"cast(array() as {_SPAN})"))
 
 
 def _upper_tail(z: str) -> str:
@@ -84,17 +112,18 @@ def _battery(spans: str) -> str:
         return f"transform({inner}, {var} -> {out})"
 
     base = "'start', {v}.start, 'end', {v}.end"
-    has = f"filter({spans}, x -> x.token RLIKE '[0-9]' AND x.token RLIKE '[A-Za-z]' AND length(rtrim('=', x.token)) >= 16)"
-    one = each(has, "a", f"named_struct({base.format(v='a')}, 'body', rtrim('=', a.token))")
+    one = each(f"filter({spans}, x -> length(rtrim('=', x.token)) >= {LEAST_BODY})", "a", f"named_struct({base.format(v='a')}, 'body', rtrim('=', a.token))")
     two = each(one, "b", f"named_struct({base.format(v='b')}, 'body', b.body, 'encoding', {encoding.replace('body', 'b.body')})")
-    spelled = "CASE c.encoding WHEN 'hex' THEN lower(c.body) ELSE translate(c.body, '-_', '+/') END"
-    letters = f"transform(sequence(1, length(c.body)), i -> greatest(0, instr({alphabet.replace('encoding', 'c.encoding')}, substring({spelled}, i, 1)) - 1))"
-    three = each(two, "c", f"named_struct({base.format(v='c')}, 'encoding', c.encoding, 'n', cast(length(c.body) AS DOUBLE), 'k', CASE c.encoding WHEN 'hex' THEN 16D WHEN 'base32' THEN 32D ELSE 64D END, 'excess', {excess.replace('encoding', 'c.encoding')}, 'v', {letters})")
-    squares = "aggregate(array_distinct(d.v), 0D, (h, x) -> h + pow(size(filter(d.v, y -> y = x)), 2))"
+    spelled = "CASE c.encoding WHEN 'hex' THEN lower(c.body) WHEN 'base32' THEN c.body ELSE translate(c.body, '-_=', '+/A') END"
+    half = each(two, "c", f"named_struct({base.format(v='c')}, 'encoding', c.encoding, 'text', {spelled}, 'letters', {alphabet.replace('encoding', 'c.encoding')}, 'excess', {excess.replace('encoding', 'c.encoding')})")
+    # Every step is linear in the token: letters are cut once, counts are differences of lengths.
+    numbers = "transform(slice(split(h.text, ''), 1, length(h.text)), x -> instr(h.letters, x) - 1)"
+    squares = "aggregate(split(h.letters, ''), 0D, (s, x) -> s + pow(length(h.text) - length(replace(h.text, x, '')), 2))"
+    three = each(half, "h", f"named_struct({base.format(v='h')}, 'encoding', h.encoding, 'n', cast(length(h.text) AS DOUBLE), 'k', cast(length(h.letters) AS DOUBLE), 'excess', h.excess, 'v', {numbers}, 'squares', {squares})")
     high = "size(filter(d.v, y -> y >= d.k / 2))"
     runs = "1 + size(filter(sequence(1, size(d.v) - 1), i -> (d.v[i] >= d.k / 2) <> (d.v[i - 1] >= d.k / 2)))"
     mean = "aggregate(d.v, 0D, (h, x) -> h + x) / d.n"
-    four = each(three, "d", f"named_struct({base.format(v='d')}, 'encoding', d.encoding, 'n', d.n, 'k', d.k, 'excess', d.excess, 'v', d.v, 'chi', d.k / d.n * {squares} - d.n, 'n1', cast({high} AS DOUBLE), 'runs', cast({runs} AS DOUBLE), 'mean', {mean})")
+    four = each(three, "d", f"named_struct({base.format(v='d')}, 'encoding', d.encoding, 'n', d.n, 'k', d.k, 'excess', d.excess, 'v', d.v, 'chi', d.k / d.n * d.squares - d.n, 'n1', cast({high} AS DOUBLE), 'runs', cast({runs} AS DOUBLE), 'mean', {mean})")
     spread = "aggregate(e.v, 0D, (h, x) -> h + (x - e.mean) * (x - e.mean))"
     lagged = "aggregate(sequence(1, size(e.v) - 1), 0D, (h, i) -> h + (e.v[i] - e.mean) * (e.v[i - 1] - e.mean))"
     five = each(four, "e", f"named_struct({base.format(v='e')}, 'encoding', e.encoding, 'n', e.n, 'k', e.k, 'excess', e.excess, 'chi', e.chi, 'n1', e.n1, 'runs', e.runs, 'mu', 2D * e.n1 * (e.n - e.n1) / e.n + 1D, 'r', CASE WHEN {spread} > 0D THEN {lagged} / {spread} ELSE 1D END)")
@@ -160,28 +189,33 @@ def written_spans(kinds: tuple[str, ...]) -> Column:
     return F.array_join(F.transform(F.array_sort(F.concat(*tagged)), lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
-def mask_secrets(docs: DataFrame, *, mark: str = "[SECRET]", rate: float = RATE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def mask_secrets(docs: DataFrame, *, mark: str = "[SECRET]", rate: float = RATE, text_col: str = "text") -> DataFrame:
     """``docs`` with all columns, every base span of its texts replaced by ``mark``, and tokens the battery finds too.
 
     Texts are changed in place by the patterns themselves; tokens found by the battery are those that
-    passed at the thresholds of the whole table, so the table is scanned once for these beforehand.
+    passed at the thresholds of the whole table, so the table is scanned once for these beforehand. Spans that overlap
+    are masked as one. Null and empty texts stay as they are, repeated and null ids don't matter, an empty table gives no
+    rows, and no column name clashes: a row travels as one struct.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    text = F.coalesce(F.col("text"), F.lit(""))
-    scored = rows.where(text.rlike(CANDIDATE)).select(_spans(text, CANDIDATE).alias("long"))
-    cut = _thresholds(written(scored.select(F.expr(_battery("long")).alias("long")), "secrets"), rate)
-    own = F.coalesce(F.col(text_col), F.lit(""))
-    tokens = _spans(own, CANDIDATE)
-    assigned = _spans(own, ASSIGN, 2, LEAST_ASSIGNED)
-    work = docs.withColumn("_tokens", tokens).withColumn("_scored", F.when(F.size("_tokens") > 0, F.expr(_battery("_tokens"))).otherwise(F.expr(f"cast(array() as {_CANDIDATES})")))
-    spans = F.array_sort(F.concat(*[F.transform(s, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))) for s in (assigned, _spans(own, ACCESS), _spans(own, HEX), F.filter("_scored", lambda x: _beyond(x, cut)))]))
-    start = F.struct(F.lit(0).alias("pos"), F.lit("").alias("out"))
-
-    def step(have: Column, x: Column) -> Column:
-        fresh = x["start"] >= have["pos"]
-        out = F.concat(have["out"], F.substring(own, have["pos"] + 1, x["start"] - have["pos"]), F.lit(mark))
-        return F.struct(F.greatest(have["pos"], x["end"]).alias("pos"), F.when(fresh, out).otherwise(have["out"]).alias("out"))
-
-    masked = F.aggregate("_spans", start, step, lambda have: F.concat(have["out"], F.substring(own, have["pos"] + 1, F.length(own))))
-    done = work.withColumn("_spans", spans).withColumn(text_col, F.when(F.size("_spans") > 0, masked).otherwise(F.col(text_col)))
-    return done.select(*docs.columns)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    scored = docs.where(text.rlike(CANDIDATE)).select(_spans(text, CANDIDATE).alias("long"))
+    scratch = Scratch(docs.sparkSession)
+    cut = _thresholds(scratch.write(scored.select(F.expr(_battery("long")).alias("long")), "secrets"), rate)
+    scratch.drop(*[t for t, _ in scratch.held])
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    own = F.coalesce(F.col("doc").getField(text_col), F.lit(""))
+    work = row.select("doc", own.alias("own"), _spans(own, CANDIDATE).alias("tokens"))
+    work = work.select("doc", "own", F.when(F.size("tokens") > 0, F.expr(_battery("tokens"))).otherwise(F.expr(f"cast(array() as {_CANDIDATES})")).alias("scored"))
+    own = F.col("own")
+    found = (_spans(own, ASSIGN, 2, LEAST_ASSIGNED), _spans(own, ACCESS), _spans(own, HEX), F.filter("scored", lambda x: _beyond(x, cut)))
+    spans = F.array_sort(F.concat(*[F.transform(s, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))) for s in found]))
+
+    def step(pos: Column, x: Column) -> tuple[Column, Column]:
+        before = F.concat(F.substring(own, pos + 1, x["start"] - pos), F.lit(mark))
+        return F.greatest(pos, x["end"]), F.when(x["start"] >= pos, before)
+
+    last = F.array_max(F.transform("spans", lambda x: x["end"]))
+    masked = F.concat(F.array_join(_running(F.col("spans"), "string", step), ""), F.substring(own, last + 1, F.length(own)))
+    done = work.select("doc", "own", spans.alias("spans")).select("doc", F.when(F.size("spans") > 0, masked).alias("masked"))
+    text = F.coalesce("masked", F.col("doc").getField(text_col))
+    return done.select(*[(text if c == text_col else F.col("doc").getField(c)).alias(c) for c in docs.columns])

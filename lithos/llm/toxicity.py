@@ -1,8 +1,11 @@
 """Toxicity: a support vector machine over a gapped subsequence kernel, with Nyström landmarks.
 
-Strings are letter windows of words. Their kernel counts shared subsequences of three letters within
-five, each weighted by ``DECAY`` per letter skipped, so a letter put into an insult or marks put
-between its letters lower the kernel a little instead of hiding it.
+Strings are letter windows of words. Their kernel counts shared subsequences of three letters within five, each
+weighted by ``DECAY`` per letter skipped and scaled to 1 for equal windows, so a letter put into an insult or marks put
+between its letters lower the kernel a little instead of hiding it. The kernel of two sentences is the sum over all
+pairs of their windows of that kernel raised to ``POWER`` (again a kernel), and a landmark is a sentence of one window.
+A sentence's Nyström features are its kernels with all landmarks times the inverse root of the landmarks' own, and the
+machine is linear in them; so a sentence's value is a sum of its words' values.
 
 Where toxic documents differ from clean ones not by a word but by how often words begin in some way,
 no single sentence tells them. So a second kind of landmark is the start of a word, chosen by the
@@ -14,7 +17,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -23,14 +26,16 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lithos.llm._labels import calibrated, fold, isotonic, labelled_sample
 from lithos.llm._text import ragged_take, raw, string_array, sums, text_slices
 
 #: Labelled documents used at most, landmarks, and lengths of the letter windows that may become one.
 TRAIN_LIMIT, LANDMARKS, LENGTHS = 12_000, 64, (4, 5, 6)
-DECAY, SPAN, WINDOW, NEAR = 0.6, 5, 8, 0.55
+#: Decay per skipped letter, span of a subsequence, power of the windows' kernel, and lengths of a word's windows.
+DECAY, SPAN, POWER, WINDOWS = 0.7, 5, 5, (5, 8)
+#: Sentences of each labelled document that the machine is fitted on.
+SENTENCES = 10
 #: A landmark is met in so many toxic training documents at least, and so many times as often in them as in others.
 LEAST_DOCS, LEAST_RATIO = 5, 12.0
 #: Words of a document that begin with a start for the document to count for it, and lengths of starts; the same least numbers hold.
@@ -58,27 +63,32 @@ def letters(word: str) -> str:
     return _NOT_LETTER.sub("", word)
 
 
-@lru_cache(maxsize=100_000)
-def subsequences(text: str) -> dict[str, float]:
-    """Weights of the gapped three-letter subsequences of ``text``, scaled to a sum of squares of 1."""
-    out: Counter[str] = Counter()
-    for i, a in enumerate(text):
+def _letter(c: str) -> int:
+    """Letters beyond a-z share six classes."""
+    return ord(c) - 97 if "a" <= c <= "z" else 26 + c.encode()[-1] % 6
+
+
+def subsequences(window: str) -> dict[int, float]:
+    """Weights of a window's gapped three-letter subsequences, scaled to a sum of squares of 1."""
+    out: Counter[int] = Counter()
+    own = [_letter(c) for c in window]
+    for i, a in enumerate(own):
         for j, k in _GAPS:
-            if i + k < len(text):
-                out[a + text[i + j] + text[i + k]] += DECAY ** (k - 2)
+            if i + k < len(own):
+                out[(a << 10) | (own[i + j] << 5) | own[i + k]] += DECAY ** (k - 2)
     norm = math.sqrt(sum(v * v for v in out.values()))
     return {s: v / norm for s, v in out.items()} if norm else {}
 
 
 def kernel(a: str, b: str) -> float:
+    """Kernel of two windows."""
     one, two = subsequences(a), subsequences(b)
-    if len(one) > len(two):
-        one, two = two, one
     return sum(v * two.get(s, 0.0) for s, v in one.items())
 
 
 def windows(word: str) -> list[str]:
-    return [word[i : i + WINDOW] for i in range(max(1, len(word) - WINDOW + 1))]
+    """A word's windows: all of each length, and the word itself where it is shorter than a length."""
+    return [word[i : i + n] for n in sorted({min(n, len(word)) for n in WINDOWS}) for i in range(len(word) - n + 1)] if word else []
 
 
 @dataclass
@@ -93,42 +103,38 @@ class ToxicityModel:
     rates: np.ndarray = field(default_factory=lambda: np.ones((2, 0)))
     start_knots: tuple[np.ndarray, np.ndarray] | None = None
     both_knots: tuple[np.ndarray, np.ndarray] | None = None
+    #: Starts that clean documents have too: only their rates count, and words with them are no part of sentences.
+    left_out: list[str] = field(default_factory=list)
 
     def __post_init__(self) -> None:
         owners: dict[int, list[tuple[int, float]]] = {}
-        self.rare: dict[str, list[tuple[int, float]]] = {}
         for i, mark in enumerate(self.landmarks):
             for t, v in subsequences(mark).items():
-                owners.setdefault(_code(t), []).append((i, v))
-                self.rare.setdefault(t, []).append((i, v))
+                owners.setdefault(t, []).append((i, v))
         self.begin = np.zeros((1 << 15) + 1, np.int64)
         for c, own in owners.items():
             self.begin[c + 1] = len(own)
         self.begin = np.cumsum(self.begin)
         flat = [x for c in sorted(owners) for x in owners[c]]
         self.owner, self.value = np.array([i for i, _ in flat], np.int64), np.array([v for _, v in flat])
-        self.table = np.diff(self.begin) > 0
-        self.memo: dict[str, np.ndarray | None] = {}
 
     def __reduce__(self):
-        return ToxicityModel, (self.landmarks, self.whiten, self.weights, self.bias, self.knots, self.starts, self.rates, self.start_knots, self.both_knots)
-
-    def near(self, word: str) -> np.ndarray | None:
-        """Best kernel of the word's letter windows with each landmark; None where all are small."""
-        if word not in self.memo:
-            if len(self.memo) > 100_000:
-                self.memo.clear()
-            best = np.zeros(len(self.landmarks))
-            short = letters(word)
-            for n in {WINDOW, *LENGTHS}:
-                for i in range(max(1, len(short) - n + 1)):
-                    own = np.zeros(len(self.landmarks))
-                    for t, v in subsequences(short[i : i + n]).items():
-                        for k, w in self.rare.get(t, ()):
-                            own[k] += v * w
-                    np.maximum(best, own, out=best)
-            self.memo[word] = best if best.max(initial=0) >= NEAR else None
-        return self.memo[word]
+        return ToxicityModel, (self.landmarks, self.whiten, self.weights, self.bias, self.knots, self.starts, self.rates, self.start_knots, self.both_knots, self.left_out)
+
+    def word_kernels(self, plain: pa.Array) -> np.ndarray:
+        """Of each word (as ``letters`` reads it) the sum over its windows of the powered kernel with each landmark."""
+        m = len(self.landmarks)
+        out = np.zeros((len(plain), m))
+        for a in range(0, len(plain), 4096):
+            word, window, code, weight = _window_parts(plain.slice(a, 4096))
+            count = np.diff(self.begin)[code]
+            own = ragged_take(np.arange(len(self.owner)), self.begin[code], count)
+            slot = np.repeat(window, count) * m + self.owner[own]
+            own_kernels = np.bincount(slot, np.repeat(weight, count) * self.value[own], len(word) * m).reshape(len(word), m) ** POWER
+            first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]])) if len(word) else np.zeros(0, np.int64)
+            if len(first):
+                out[a + word[first]] = np.add.reduceat(own_kernels, first, axis=0)
+        return out
 
     def decide(self, sentences: np.ndarray) -> np.ndarray:
         return sentences @ self.whiten @ self.weights + self.bias
@@ -146,15 +152,6 @@ class ToxicityModel:
         return calibrated(self.either(best, value), self.both_knots) if self.starts else calibrated(best, self.knots)
 
 
-def _code(s: str) -> int:
-    a, b, c = (_letter_code(x) for x in s)
-    return (a << 10) | (b << 5) | c
-
-
-def _letter_code(c: str) -> int:
-    return ord(c) - 96 if "a" <= c <= "z" else 27 + c.encode()[-1] % 5
-
-
 def _plain(words: pa.Array) -> pa.Array:
     """``letters`` of every word: over all bytes at once where words are ASCII."""
     data, off = raw(words)
@@ -181,42 +178,46 @@ def _spelled(chunks: pa.Array, starts: np.ndarray) -> list[tuple[int, str]]:
     return out
 
 
-#: No letter window has a smaller norm before it is scaled than one of the shortest landmarks' length, but for a word of three letters, whose norm is 1.
-_LEAST_NORM = math.sqrt(sum((LENGTHS[0] - k) * DECAY ** (2 * (k - 2)) for _, k in _GAPS if k < LENGTHS[0]))
-
-
-def _candidates(plain: pa.Array, model: ToxicityModel) -> np.ndarray:
-    """Which words, given as ``letters`` reads them, may be near a landmark.
-
-    The kernel of a whole word before scaling is no less than that of any of its windows, so where it
-    is under ``NEAR`` times the least norm of a window, no window of the word is near the landmark.
-    Letters that share a code only raise it.
-    """
+def _window_parts(plain: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The word of each window (in order of words); and of each window's distinct subsequences: window, code, and weight scaled as in ``subsequences``."""
     data, off = raw(plain)
-    code = np.zeros(256, np.int32)
-    code[97:123] = np.arange(1, 27)
-    # A letter beyond ASCII counts by its last byte; its bytes before are left out.
-    code[0x80:0xC0] = 27 + np.arange(0x80, 0xC0) % 5
-    follows = np.zeros(len(data), bool)
-    follows[:-1] = (data[1:] & 0xC0) == 0x80
-    place = np.flatnonzero((code[data] > 0) & ~follows)
-    letter = code[data[place]]
-    word = np.searchsorted(off, place, side="right") - 1
-    m = len(model.landmarks)
-    slots, weights = [], []
+    code = np.zeros(256, np.int64)
+    code[97:123] = np.arange(26)
+    code[0x80:0xC0] = 26 + np.arange(0x80, 0xC0) % 6
+    # A letter beyond ASCII counts by its last byte.
+    last = np.ones(len(data), bool)
+    last[:-1] = (data[1:] & 0xC0) != 0x80
+    letter = code[data[last]]
+    first = np.concatenate([[0], np.cumsum(last)])[off]
+    size = np.diff(first)
+    words, starts, lengths = [], [], []
+    for k, n in enumerate(WINDOWS):
+        width = np.minimum(size, n)
+        # A word shorter than two lengths has one window of them.
+        fresh = size > (WINDOWS[k - 1] if k else 0)
+        many = np.where(fresh, size - width + 1, 0)
+        word = np.repeat(np.arange(len(size)), many)
+        words.append(word)
+        starts.append(first[word] + np.arange(len(word)) - np.repeat(np.cumsum(many) - many, many))
+        lengths.append(width[word])
+    word, start, length = np.concatenate(words), np.concatenate(starts), np.concatenate(lengths)
+    order = np.argsort(word, kind="stable")
+    word, start, length = word[order], start[order], length[order]
+    keys, weights = [], []
     for j, k in _GAPS:
-        if len(letter) > k:
-            triple = (letter[:-k] << 10) | (letter[j : len(letter) - k + j] << 5) | letter[k:]
-            at = np.flatnonzero((word[:-k] == word[k:]) & model.table[triple])
-            count = np.diff(model.begin)[triple[at]]
-            own = ragged_take(np.arange(len(model.owner)), model.begin[triple[at]], count)
-            slots.append(np.repeat(word[at], count) * m + model.owner[own])
-            weights.append(model.value[own] * DECAY ** (k - 2))
-    if not slots:
-        return np.zeros(0, np.int64)
-    slot, where = np.unique(np.concatenate(slots), return_inverse=True)
-    least = np.where(np.bincount(word, minlength=len(plain)) == 3, 1.0, _LEAST_NORM)
-    return np.unique(slot[np.bincount(where, np.concatenate(weights), len(slot)) >= NEAR * least[slot // m] - 1e-9] // m)
+        spots = np.maximum(length - k, 0)
+        window = np.repeat(np.arange(len(word)), spots)
+        at = start[window] + np.arange(len(window)) - np.repeat(np.cumsum(spots) - spots, spots)
+        keys.append((window << 15) | (letter[at] << 10) | (letter[at + j] << 5) | letter[at + k])
+        weights.append(np.full(len(window), DECAY ** (k - 2)))
+    key, weight = np.concatenate(keys), np.concatenate(weights)
+    order = np.argsort(key, kind="stable")
+    key, weight = key[order], weight[order]
+    begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    weight = np.add.reduceat(weight, begin) if len(begin) else weight
+    window, triple = key[begin] >> 15, key[begin] & 0x7FFF
+    norm = np.sqrt(np.bincount(window, weight * weight, len(word)))
+    return word, window, triple, weight / norm[window]
 
 
 @dataclass
@@ -256,61 +257,90 @@ def start_hits(split: _Split, starts: list[str]) -> tuple[np.ndarray, np.ndarray
     return hits, sums(some[split.code], split.starts)
 
 
-def sentence_kernels(split: _Split, model: ToxicityModel) -> tuple[np.ndarray, np.ndarray]:
-    """For each sentence with a word near some landmark: its text's index, and its best kernel with each landmark."""
-    flat, starts, code, words = split.chunks, split.starts, split.code, split.words
-    some = _candidates(split.plain, model)
-    spelt = split.plain.take(pa.array(some)).to_pylist()
-    kernels = {i: k for i, w in zip(some.tolist(), spelt, strict=True) if (k := model.near(w)) is not None}
-    wanted = np.zeros(len(words), bool)
-    wanted[list(kernels)] = True
-    places = [(int(p), kernels[int(code[p])]) for p in np.flatnonzero(wanted[code])] if len(code) else []
-    places += [(p, k) for p, w in _spelled(flat, starts) if (k := model.near(w)) is not None]
-    if not places:
-        return np.zeros(0, np.int64), np.zeros((0, len(model.landmarks)))
-    stop = np.asarray(pc.match_substring_regex(words, r"[.!?]$")).astype(bool)
-    end = np.zeros(len(code) + 1, np.int64)
-    end[1:] = stop[code]
-    end[starts] = 1
-    sentence = np.cumsum(end)
-    at = np.array([p for p, _ in places])
-    ids, where = np.unique(sentence[at], return_inverse=True)
-    best = np.zeros((len(ids), len(model.landmarks)))
-    np.maximum.at(best, where, np.stack([k for _, k in places]))
-    row = np.zeros(len(ids), np.int64)
-    row[where] = np.searchsorted(starts, at, side="right") - 1
-    return row, best
-
-
-def _document_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts over a partition's toxic and clean documents of the letter windows in each."""
-    total: dict[int, Counter[str]] = {0: Counter(), 1: Counter()}
-    for batch in batches:
-        for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
-            found: set[str] = set()
-            for word in {letters(w) for w in set(text.split())}:
-                for n in LENGTHS:
-                    found.update([word[i : i + n] for i in range(len(word) - n + 1)])
-            total[label].update(found)
-    for label, own in total.items():
-        n = pa.array(list(own.values()), pa.int64())
-        none = pa.array(np.zeros(len(own), np.int64))
-        yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.string()), *((n, none) if label else (none, n))], ["w", "toxic", "clean"])
-
-
-def _telling(sample: DataFrame, counts, toxic: int, clean: int) -> DataFrame:
-    """``w, toxic, clean, ratio`` of strings met in enough toxic documents and, by share, so many times less in others; ``counts`` counts a partition's."""
-    counted = sample.select("text", "label").mapInArrow(counts, "w string, toxic long, clean long").groupBy("w").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+def _sentences(split: _Split) -> tuple[np.ndarray, np.ndarray]:
+    """Each sentence's first chunk, and its text: sentences end with a chunk that ends so, and with the text."""
+    stop = np.asarray(pc.match_substring_regex(split.words, r"[.!?]$").fill_null(False)).astype(bool)
+    n = len(split.code)
+    fresh = np.zeros(n + 1, bool)
+    fresh[1:] = stop[split.code]
+    fresh[split.starts] = True
+    first = np.flatnonzero(fresh[:n])
+    return first, np.searchsorted(split.starts, first, side="right") - 1
+
+
+def sentence_sums(split: _Split, values: np.ndarray, spelled: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each sentence its text's index and the sum of its words' rows of ``values``; ``spelled`` has further words' rows, at their chunks."""
+    first, text = _sentences(split)
+    if not len(first):
+        return text, np.zeros((0, values.shape[1]))
+    # In steps of whole sentences, so that memory stays bounded.
+    total = np.zeros((len(first), values.shape[1]))
+    cuts = np.searchsorted(first, np.arange(0, len(split.code), 1 << 16))
+    for a, b in zip(cuts, [*cuts[1:], len(first)], strict=True):
+        if b > a:
+            end = first[b] if b < len(first) else len(split.code)
+            total[a:b] = np.add.reduceat(values[split.code[first[a] : end]], first[a:b] - first[a], axis=0)
+    if len(at):
+        np.add.at(total, np.searchsorted(first, at, side="right") - 1, spelled)
+    return text, total
+
+
+def sentence_kernels(split: _Split, model: ToxicityModel, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """For each sentence its text's index and its kernels with all landmarks, or with ``weights`` their weighted sum."""
+    spelt = _spelled(split.chunks, split.starts)
+    values = model.word_kernels(split.plain)
+    extra = model.word_kernels(pa.array([letters(w) for _, w in spelt], pa.large_string()))
+    values[_begins(split.plain, model.left_out)] = 0
+    if weights is not None:
+        values, extra = (values @ weights)[:, None], (extra @ weights)[:, None]
+    return sentence_sums(split, values, extra, np.array([p for p, _ in spelt], np.int64))
+
+
+def _begins(plain: pa.Array, starts: list[str]) -> np.ndarray:
+    """Which words begin with one of the starts."""
+    out = np.zeros(len(plain), bool)
+    for n in {len(s) for s in starts}:
+        out |= np.asarray(pc.is_in(pc.utf8_slice_codeunits(plain, 0, n), value_set=pa.array([s for s in starts if len(s) == n], pa.large_string())))
+    return out
+
+
+def _document_windows(left_out: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Counts over a partition's toxic and clean documents of the letter windows in each, but for words with the starts that are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, Counter[str]] = {0: Counter(), 1: Counter()}
+        for batch in batches:
+            for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
+                found: set[str] = set()
+                for word in {letters(w) for w in set(text.split())}:
+                    if not word.startswith(tuple(left_out)):
+                        for n in LENGTHS:
+                            found.update([word[i : i + n] for i in range(len(word) - n + 1)])
+                total[label].update(found)
+        for label, own in total.items():
+            n = pa.array(list(own.values()), pa.int64())
+            none = pa.array(np.zeros(len(own), np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.string()), *((n, none) if label else (none, n))], ["w", "toxic", "clean"])
+
+    return run
+
+
+def _telling(counted: DataFrame, toxic: int, clean: int) -> DataFrame:
+    """``w, toxic, clean, ratio`` of strings met in enough toxic documents and, by share, so many times less in others."""
     ratio = (F.col("toxic") / toxic) / ((F.col("clean") + 0.5) / clean)
     return counted.withColumn("ratio", ratio).where((F.col("toxic") >= LEAST_DOCS) & (F.col("ratio") >= LEAST_RATIO))
 
 
-def _choose_landmarks(sample: DataFrame, toxic: int, clean: int) -> list[str]:
+def _counted(sample: DataFrame, counts) -> DataFrame:
+    return sample.select("text", "label").mapInArrow(counts, "w string, toxic long, clean long").groupBy("w").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+
+
+def _choose_landmarks(sample: DataFrame, toxic: int, clean: int, left_out: list[str] | None = None) -> list[str]:
     """Letter windows that are met in toxic documents and hardly in others, most telling first, none much like one before.
 
     All windows are counted in all documents of the sample; only telling ones reach the driver.
     """
-    telling = _telling(sample, _document_windows, toxic, clean).collect()
+    telling = _telling(_counted(sample, _document_windows(left_out or [])), toxic, clean).collect()
     chosen: list[str] = []
     for r in sorted(telling, key=lambda r: (-r.toxic, -len(r.w), r.w)):
         if len(chosen) < LANDMARKS and all(kernel(r.w, c) < 0.5 for c in chosen):
@@ -336,7 +366,7 @@ def _document_starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 def _choose_starts(sample: DataFrame, toxic: int, clean: int) -> list[str]:
     """Word starts that toxic documents repeat and others hardly do, most telling first, none the start of another."""
-    telling = _telling(sample, _document_starts, toxic, clean).collect()
+    telling = _telling(_counted(sample, _document_starts), toxic, clean).collect()
     chosen: list[str] = []
     for r in sorted(telling, key=lambda r: (-r.toxic * math.log(r.ratio), -len(r.w), r.w)):
         if len(chosen) < LANDMARKS and not any(r.w.startswith(c) or c.startswith(r.w) for c in chosen):
@@ -356,84 +386,116 @@ def _start_rates(hits: np.ndarray, n_words: np.ndarray, label: np.ndarray) -> np
     return rates
 
 
-def _fit_svm(x: np.ndarray, y: np.ndarray, balance: float, rounds: int = 60) -> tuple[np.ndarray, float]:
-    """A linear support vector machine by dual coordinate descent; the bias is a constant feature."""
+def _fit_svm(x: np.ndarray, y: np.ndarray, balance: float, cost: float = 1.0, rounds: int = 60) -> tuple[np.ndarray, float]:
+    """A linear support vector machine with squared hinge loss, by Newton's method; the bias is a constant feature."""
     x = np.hstack([x, np.ones((len(x), 1))])
     sign = np.where(y > 0, 1.0, -1.0)
-    upper = np.where(y > 0, balance, 1.0) * 4.0
-    alpha, w, square = np.zeros(len(x)), np.zeros(x.shape[1]), (x * x).sum(1)
-    rng = np.random.default_rng(5)
+    c = np.where(y > 0, balance, 1.0) * cost
+    w = np.zeros(x.shape[1])
+
+    def loss(w: np.ndarray) -> float:
+        return 0.5 * w @ w + float((c * np.maximum(0.0, 1 - sign * (x @ w)) ** 2).sum())
+
     for _ in range(rounds):
-        for i in rng.permutation(len(x)):
-            new = min(max(alpha[i] - (sign[i] * (x[i] @ w) - 1) / square[i], 0.0), upper[i])
-            w += (new - alpha[i]) * sign[i] * x[i]
-            alpha[i] = new
+        inside = np.flatnonzero(sign * (x @ w) < 1)
+        own, weight = x[inside], 2 * c[inside]
+        slope = w - own.T @ (weight * (sign[inside] - own @ w))
+        step = np.linalg.solve(np.eye(len(w)) + (own.T * weight) @ own, slope)
+        size, now = 1.0, loss(w)
+        while size > 1e-4 and loss(w - size * step) > now:
+            size /= 2
+        w = w - size * step
+        if size * np.abs(step).max() < 1e-8:
+            break
     return w[:-1], float(w[-1])
 
 
+def _with_a_letter_more(texts: pa.Array) -> pa.Array:
+    """Each word of four letters or more with an x put in about its middle."""
+    return pc.replace_substring_regex(texts, r"(\pL{5})(\pL{3,})|(\pL{2,3})(\pL{2,})", r"\1\3x\2\4")
+
+
 def train_toxicity(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", folds: int = 3, held_out: int | None = 1, limit: int = TRAIN_LIMIT, id_col: str = "doc_id", text_col: str = "text") -> ToxicityModel:
     """Fit on at most ``limit`` labelled documents outside the fold ``held_out`` (None: all).
 
-    A clean document's sentences are all clean; of a toxic document the sentence that scores highest
-    is taken as toxic, first by its nearest landmark and then by the machine itself, which is fitted
-    once more. Sentences near no landmark share one row. Documents' best sentences, how often their
+    Of each document the ``SENTENCES`` of largest kernel with any landmark are used. A clean document's are all clean;
+    of a toxic one the sentence that scores highest is taken as toxic, first by its largest kernel with a
+    landmark and then by the machine itself, which is fitted twice more. Toxic documents are used once more with a letter
+    put into every longer word, so that what hides an insult counts as one. Documents' best sentences, how often their
     words have the chosen starts, and both joined are calibrated on the sample. Without toxic or clean rows every score is 0.
     """
     keep = F.lit(True) if held_out is None else fold(id_col, folds) != held_out
     sample = labelled_sample(docs, labels, label, keep, limit, id_col=id_col, text_col=text_col).cache()
     sizes = {r.label: r["count"] for r in sample.groupBy("label").count().collect()}
     both = len(sizes) == 2
-    marks = _choose_landmarks(sample, sizes[1], sizes[0]) if both else []
     starts = _choose_starts(sample, sizes[1], sizes[0]) if both else []
+
+    def repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_slices(batch):
+                hits, n_words = start_hits(_split(part.column("text")), starts)
+                rows = pa.array([x.tobytes() for x in hits.astype("<i4")], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("label"), pa.array(n_words, pa.int64()), rows], ["id", "label", "n_words", "hits"])
+
+    # Sorted by id (rows that share one by content), so that a fit doesn't depend on order or layout.
+    every = sample.mapInArrow(repeats, "id long, label int, n_words long, hits binary").toArrow()
+    every = every.sort_by([(c, "ascending") for c in ("id", "label", "n_words", "hits")])
+    ids, label = np.asarray(every["id"]), np.asarray(every["label"])
+    hits, n_words = np.frombuffer(b"".join(every["hits"].to_pylist()), "<i4").reshape(len(ids), len(starts)).astype(np.int64), np.asarray(every["n_words"])
+    had = hits > 0
+    left_out = [s for k, s in enumerate(starts) if had[label == 0, k].mean() * LEAST_RATIO >= had[label == 1, k].mean()]
+    marks = _choose_landmarks(sample, sizes[1], sizes[0], left_out) if both else []
     if not marks and not starts:
         sample.unpersist()
         return ToxicityModel([], np.zeros((0, 0)), np.zeros(0), -30.0, (np.array([-1.0, 1.0]), np.array([0.0, 1.0])))
     whiten = np.zeros((0, 0))
     if marks:
-        gram = np.array([[kernel(a, b) for b in marks] for a in marks])
-        values, vectors = np.linalg.eigh(gram + 1e-6 * np.eye(len(marks)))
+        gram = np.array([[kernel(a, b) ** POWER for b in marks] for a in marks])
+        values, vectors = np.linalg.eigh(gram)
         whiten = vectors @ np.diag(np.maximum(values, 1e-6) ** -0.5) @ vectors.T
-    model = ToxicityModel(marks, whiten, np.zeros(len(marks)), 0.0, starts=starts)
+    model = ToxicityModel(marks, whiten, np.zeros(len(marks)), 0.0, starts=starts, left_out=left_out)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def sentences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch):
-                row, best = sentence_kernels(_split(part.column("text")), held.value)
-                ids, own = part.column("id").take(pa.array(row)), part.column("label").take(pa.array(row))
-                yield pa.RecordBatch.from_arrays([ids, own, pa.array(best.tolist(), pa.list_(pa.float64()))], ["id", "label", "best"])
-
-    def repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in text_slices(batch):
-                hits, n_words = start_hits(_split(part.column("text")), held.value.starts)
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("label"), pa.array(n_words, pa.int64()), pa.array(hits.tolist(), pa.list_(pa.int64()))], ["id", "label", "n_words", "hits"])
-
-    rows = sample.mapInArrow(sentences, "id long, label int, best array<double>").toPandas() if marks else None
-    every = sample.mapInArrow(repeats, "id long, label int, n_words long, hits array<long>").toPandas()
+                for altered in (False, True):
+                    if altered:
+                        part = part.filter(pc.equal(part.column("label"), 1))
+                    text = part.column("text")
+                    row, own = sentence_kernels(_split(_with_a_letter_more(text) if altered else text), held.value)
+                    order = np.lexsort((np.arange(len(row)), -own.max(axis=1, initial=0), row))
+                    rank = np.arange(len(row)) - np.searchsorted(row[order], row[order])
+                    chosen = np.sort(order[rank < SENTENCES])
+                    kernels = pa.array([x.tobytes() for x in own[chosen].astype("<f4")], pa.binary())
+                    at = pa.array(row[chosen])
+                    yield pa.RecordBatch.from_arrays([part.column("id").take(at), part.column("label").take(at), pa.array(np.full(len(at), altered)), kernels], ["id", "label", "altered", "kernels"])
+
+    rows = sample.mapInArrow(sentences, "id long, label int, altered boolean, kernels binary").toArrow() if marks else None
     sample.unpersist()
-    ids, label = every["id"].to_numpy(), every["label"].to_numpy()
-    best_of = dict.fromkeys(ids, model.bias)
+    best, more = np.full(len(ids), model.bias), np.zeros(0)
     if marks:
-        x = np.array(rows["best"].tolist()).reshape(len(rows), len(marks))
-        doc, y = rows["id"].to_numpy(), rows["label"].to_numpy()
+        rows = rows.sort_by([(c, "ascending") for c in ("id", "altered", "kernels")])
+        x = np.frombuffer(b"".join(rows["kernels"].to_pylist()), "<f4").reshape(-1, len(marks)).astype(float)
+        y, altered = np.asarray(rows["label"]), np.asarray(rows["altered"])
+        # An altered copy is a document of its own.
+        doc = np.unique(np.stack([np.asarray(rows["id"]), altered]), axis=1, return_inverse=True)[1].ravel()
         value = x.max(axis=1, initial=0)
-        for _ in range(2):
-            top = np.zeros(len(rows), bool)
+        features = x @ whiten
+        for _ in range(3):
+            top = np.zeros(len(x), bool)
             order = np.lexsort((value, doc))
             top[order[np.concatenate([doc[order][1:] != doc[order][:-1], np.ones(min(1, len(order)), bool)])]] = True
             use = np.flatnonzero((y == 0) | top)
-            fit_x = np.vstack([x[use] @ whiten, np.zeros((20, len(marks)))])
-            fit_y = np.concatenate([y[use], np.zeros(20)])
-            model.weights, model.bias = _fit_svm(fit_x, fit_y, balance=2.0)
-            value = model.decide(x)
-        best_of = dict.fromkeys(ids, model.bias)
-        for d, v in zip(doc, value, strict=True):
-            best_of[d] = max(best_of[d], v)
-    best = np.array([best_of[d] for d in ids])
-    model.knots = isotonic(best, label)
+            model.weights, model.bias = _fit_svm(features[use], y[use], balance=2.0)
+            value = features @ model.weights + model.bias
+        highest = np.full(int(doc.max(initial=-1)) + 1, -np.inf)
+        np.maximum.at(highest, doc, value)
+        best_of = dict(zip(np.asarray(rows["id"])[~altered].tolist(), highest[doc[~altered]].tolist(), strict=True))
+        best = np.array([best_of.get(i, model.bias) for i in ids.tolist()])
+        more = highest[np.unique(doc[altered])]
+    model.knots = isotonic(np.concatenate([best, more]), np.concatenate([label, np.ones(len(more), label.dtype)]))
     if starts:
-        hits, n_words = np.array(every["hits"].tolist(), np.int64).reshape(len(every), len(starts)), every["n_words"].to_numpy()
         model.rates = _start_rates(hits, n_words, label)
         value = model.start_value(hits, n_words)
         model.start_knots = isotonic(value, label)
@@ -441,36 +503,44 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, *, label: str = "toxic",
     return model
 
 
-def score_toxicity(docs: DataFrame, model: ToxicityModel, *, id_col: str = "doc_id", text_col: str = "text", keep_columns: bool = False) -> DataFrame:
+def score_toxicity(docs: DataFrame, model: ToxicityModel, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, score`` of every whole text, 0 to 1: by the highest of its sentences and by how often its words have the model's starts.
 
-    Null and empty texts score as a sentence near no landmark; null and repeated ids keep their rows;
-    an empty table gives no rows. ``keep_columns`` puts ``toxicity`` beside all columns of ``docs``
-    (a column of that name is replaced).
+    Null and empty texts score as a sentence without words; null and repeated ids keep their rows;
+    an empty table gives no rows; other columns are ignored.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
-    keep_names = [c for c in docs.columns if c != "toxicity"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = held.value
         for batch in batches:
-            for part in text_slices(batch, text_col if keep_columns else "text"):
-                best, value = np.full(part.num_rows, own.bias), np.zeros(part.num_rows)
-                if own.landmarks or own.starts:
-                    split = _split(part.column(text_col if keep_columns else "text"))
-                if own.landmarks:
-                    row, kernels = sentence_kernels(split, own)
-                    np.maximum.at(best, row, own.decide(kernels))
-                if own.starts:
-                    value = own.start_value(*start_hits(split, own.starts))
-                score = pa.array(own.score(best, value))
-                if keep_columns:
-                    yield pa.RecordBatch.from_arrays([*part.columns, score], [*part.schema.names, "toxicity"])
-                else:
-                    yield pa.RecordBatch.from_arrays([part.column("id"), score], ["id", "score"])
-
-    if keep_columns:
-        chosen = docs.select(*keep_names)
-        return chosen.mapInArrow(run, T.StructType([*chosen.schema.fields, T.StructField("toxicity", T.DoubleType())]))
+            for part in text_slices(batch):
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(_scores(part.column("text"), held.value))], ["id", "score"])
+
     chosen = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return chosen.mapInArrow(run, "id long, score double").withColumnRenamed("id", id_col)
+
+
+def _scores(texts: pa.Array, model: ToxicityModel) -> np.ndarray:
+    best, value = np.full(len(texts), model.bias), np.zeros(len(texts))
+    if model.landmarks or model.starts:
+        split = _split(texts)
+    if model.landmarks:
+        row, sums_ = sentence_kernels(split, model, model.whiten @ model.weights)
+        highest = np.full(len(texts), -np.inf)
+        np.maximum.at(highest, row, sums_[:, 0] + model.bias)
+        best = np.where(np.isfinite(highest), highest, model.bias)
+    if model.starts:
+        value = model.start_value(*start_hits(split, model.starts))
+    return model.score(best, value)
+
+
+def drop_toxic(docs: DataFrame, model: ToxicityModel, *, limit: float = 0.7, text_col: str = "text") -> DataFrame:
+    """``docs`` with all its columns, whatever their names, without rows that score ``limit`` or more. Each row is judged by its own text."""
+    held = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_slices(batch, text_col):
+                yield part.filter(pa.array(_scores(part.column(text_col), held.value) < limit))
+
+    return docs.mapInArrow(run, docs.schema)
