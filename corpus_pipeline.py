@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lithos.llm import byte_bpe, decontaminate, ngram_jaccard, secrets, toxicity
-from lithos.llm._spark import written
+from lithos.llm._spark import Scratch
 
 #: Documents that score so high are rejected; words of a shingle and percent of overlap of near duplicates; words of a benchmark window.
 TOXIC, SHINGLE_WORDS, NEAR_PERCENT, WINDOW_WORDS = 0.7, 5, 80, 10
@@ -24,9 +24,9 @@ def _benchmark_or_labels(spark: SparkSession, sf_dir: str, name: str) -> DataFra
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without documents whose toxicity is ``TOXIC`` or more; null and empty texts stay."""
+    """Without documents whose toxicity is ``TOXIC`` or more; null and empty texts stay, and each row is judged by its own text."""
     model = toxicity.train_toxicity(docs, _benchmark_or_labels(spark, sf_dir, "labels"), held_out=None)
-    return toxicity.score_toxicity(docs, model, keep_columns=True).where(F.col("toxicity") < TOXIC).select(*docs.columns)
+    return toxicity.drop_toxic(docs, model, limit=TOXIC)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +35,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without documents that hold a window of a benchmark item."""
+    """Without documents that hold a window of a benchmark item; null texts, null ids and repeated rows stay as they are."""
     return decontaminate.remove_hits(docs, _benchmark_or_labels(spark, sf_dir, "benchmark"), n=WINDOW_WORDS, whole=True)
 
 
@@ -46,12 +46,18 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with their token ids, and their text as decoded from these."""
+    """All documents with ``n_tokens`` and ``ids`` (4 bytes each), and their text as decoded from these.
+
+    A null text stays null and has no ids. Where a column has one of the two names already, the new one ends with ``_new``.
+    """
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    keep = [c for c in docs.columns if c not in ("doc_id", "text")]
-    encoded = byte_bpe.byte_bpe_encode(docs, ranks, public_tokenizers.PATTERN, keep=keep)
-    decoded = byte_bpe.byte_bpe_decode(encoded, ranks, keep=keep)
-    return decoded.withColumn("text", F.decode("decoded", "UTF-8")).select(*docs.columns, (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids")
+    rest = F.struct(F.col("text").isNull().alias("none"), *[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns) if c != "text"])
+    given = docs.select("doc_id", "text", rest.alias("rest"))
+    decoded = byte_bpe.byte_bpe_decode(byte_bpe.byte_bpe_encode(given, ranks, public_tokenizers.PATTERN, keep=["rest"]), ranks, keep=["rest"])
+    text = F.when(~F.col("rest.none"), F.decode("decoded", "UTF-8"))
+    new = {c: c + "_new" if c in docs.columns else c for c in ("n_tokens", "ids")}
+    columns = [(text if c == "text" else F.col(f"rest.c{k}")).alias(c) for k, c in enumerate(docs.columns)]
+    return decoded.select(*columns, (F.octet_length("ids") / 4).cast("long").alias(new["n_tokens"]), F.col("ids").alias(new["ids"]))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
@@ -62,14 +68,17 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("byte_bpe", encode),
 ]
 
-#: A trained classifier decides what goes, which SQL can't express; the stages are tested against brute force.
+#: A trained classifier decides what goes, which SQL can't express; tests hold the stages together against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages one after another over all of ``documents``; each result but the last is written and read again, the one before it deleted."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    scratch = Scratch(spark)
     for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        before, docs = docs, stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = written(docs, name)
+            docs = scratch.write(docs, name, "zstd")
+            scratch.drop(before)
     return docs
