@@ -40,6 +40,8 @@ from lithos.llm.components import connected_components
 COORDINATES, BAND, SPARE = 32, 0.65, 2
 #: Cells of so many members are compared pair by pair; tiles and leaves of the tree over larger ones hold so many points, tiles so many bytes.
 SMALL, TILE, LEAF, TILE_BYTES, CUTS = 48, 512, 64, 4 << 20, 64
+#: Cells that a set enters in one turn for each of its n-grams; lower similarities take more turns over the keys.
+ENTRIES = 0.16
 #: Names of documents that are broadcast at most.
 BROADCAST_IDS = 1_000_000
 
@@ -157,8 +159,8 @@ def _folded(point: bytes, d: int) -> np.ndarray:
     return np.frombuffer(point, np.uint8).reshape(-1, d).sum(0, dtype=np.int32)
 
 
-def _per_set(docs: DataFrame, n: int, what: str, percent: int = 0) -> DataFrame:
-    """One pass over ``id, text``: ``nodes`` (id, node, size), ``cells`` (key, node) or ``profiles`` (node, size, point, text)."""
+def _per_set(docs: DataFrame, n: int, what: str, percent: int = 0, turn: int = 0, turns: int = 1) -> DataFrame:
+    """One pass over ``id, text``: ``nodes`` (id, node, size), ``cells`` (key, node; of ``turns`` parts of all keys one) or ``profiles`` (node, size, point, text)."""
     schema = {"nodes": "id long, node long, size int", "cells": "key long, node long", "profiles": "node long, size int, point binary, text binary"}[what]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,6 +173,8 @@ def _per_set(docs: DataFrame, n: int, what: str, percent: int = 0) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(names), pa.array(np.diff(at), pa.int32())], ["id", "node", "size"])
                 elif what == "cells":
                     sets, keys = cell_keys(hashes, at, percent)
+                    own = keys % turns == turn
+                    sets, keys = sets[own], keys[own]
                     yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(names[sets])], ["key", "node"])
                 else:
                     texts = [pack.compress((t or "").encode()) for t in part.column("text").to_pylist()]
@@ -406,9 +410,14 @@ def _classes(rows: DataFrame, n: int, percent: int) -> DataFrame:
     scratch = Scratch(rows.sparkSession)
     nodes = scratch.write(_per_set(rows, n, "nodes"), "nodes")
     least = nodes.where("size > 0 AND id IS NOT NULL").groupBy("node").agg(F.min("id").alias("id"))
-    cells = _per_set(rows.where("id IS NOT NULL"), n, "cells", percent)
-    shared = cells.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low != high").select("key", "low")
-    members = scratch.write(cells.join(shared, "key").select("key", "node", "low").distinct(), "members")
+    # A set is in about one cell for 1 / ENTRIES of its n-grams at most in each turn, which bounds what is shuffled at once.
+    turns = max(1, round(3 * (100 - percent) / (100 + percent) / ENTRIES))
+    members = None
+    for turn in range(turns):
+        cells = _per_set(rows.where("id IS NOT NULL"), n, "cells", percent, turn, turns)
+        shared = cells.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low != high").select("key", "low")
+        part = scratch.write(cells.join(shared, "key").select("key", "node", "low").distinct(), "members")
+        members = part if members is None else members.unionByName(part)
 
     wanted = scratch.write(members.select("node").distinct().join(least, "node"), "wanted")
     some = wanted.select("id").distinct()
@@ -422,7 +431,7 @@ def _classes(rows: DataFrame, n: int, percent: int) -> DataFrame:
     links = scratch.write(_verified(_bounded(pairs, profiles, percent), profiles, n, percent), "links")
     found = connected_components(links, scratch=scratch)
     left = scratch.write(_mixed(members, found), "left")
-    scratch.drop(members)
+    scratch.drop(*[t for t, path in scratch.held if "/members-" in path])
     if not left.isEmpty():
         pairs = scratch.write(_bounded(_small_pairs(left, profiles, percent), profiles, percent), "pairs")
         links = links.unionByName(scratch.write(_verified(pairs, profiles, n, percent), "links"))
