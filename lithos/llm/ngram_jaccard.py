@@ -42,6 +42,8 @@ COORDINATES, BAND, SPARE = 32, 0.65, 2
 SMALL, TILE, LEAF, TILE_BYTES, CUTS = 48, 512, 64, 4 << 20, 64
 #: Cells that a set enters in one turn for each of its n-grams; lower similarities take more turns over the keys.
 ENTRIES = 0.16
+#: Bytes of text whose sets are made at once.
+SLICE_BYTES = 3 << 19
 #: Names of documents that are broadcast at most.
 BROADCAST_IDS = 1_000_000
 
@@ -166,7 +168,7 @@ def _per_set(docs: DataFrame, n: int, what: str, percent: int = 0, turn: int = 0
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            for part in text_slices(batch):
+            for part in text_slices(batch, limit=SLICE_BYTES):
                 hashes, at = gram_sets(part.column("text"), n)
                 names = _names(hashes, at)
                 if what == "nodes":

@@ -36,6 +36,8 @@ TRAIN_LIMIT, LANDMARKS, LENGTHS = 12_000, 64, (4, 5, 6)
 DECAY, SPAN, POWER, WINDOWS = 0.7, 5, 5, (5, 8)
 #: Sentences of each labelled document that the machine is fitted on.
 SENTENCES = 6
+#: Words whose values a Python worker remembers.
+MEMO = 200_000
 #: A landmark is met in so many toxic training documents at least, and so many times as often in them as in others.
 LEAST_DOCS, LEAST_RATIO = 5, 12.0
 #: Words of a document that begin with a start for the document to count for it, and lengths of starts; the same least numbers hold.
@@ -116,6 +118,7 @@ class ToxicityModel:
             self.begin[c + 1] = len(own)
         self.begin = np.cumsum(self.begin)
         flat = [x for c in sorted(owners) for x in owners[c]]
+        self.memo: dict[str, float] = {}
         self.owner, self.value = np.array([i for i, _ in flat], np.int64), np.array([v for _, v in flat])
 
     def __reduce__(self):
@@ -136,6 +139,16 @@ class ToxicityModel:
                 out[a + word[first]] = np.add.reduceat(own_kernels, first, axis=0)
         return out
 
+    def word_values(self, plain: pa.Array, weights: np.ndarray) -> np.ndarray:
+        """Of each word its kernels' weighted sum; words that were met before are remembered, up to ``MEMO`` of them."""
+        words = plain.to_pylist()
+        fresh = [k for k, w in enumerate(words) if w not in self.memo]
+        known = dict(zip([words[k] for k in fresh], (self.word_kernels(plain.take(pa.array(fresh, pa.int64()))) @ weights).tolist(), strict=True))
+        out = np.array([self.memo[w] if w in self.memo else known[w] for w in words], float)
+        if len(self.memo) < MEMO:
+            self.memo |= known
+        return out
+
     def decide(self, sentences: np.ndarray) -> np.ndarray:
         return sentences @ self.whiten @ self.weights + self.bias
 
@@ -288,11 +301,12 @@ def sentence_sums(split: _Split, values: np.ndarray, spelled: np.ndarray, at: np
 def sentence_kernels(split: _Split, model: ToxicityModel, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """For each sentence its text's index and its kernels with all landmarks, or with ``weights`` their weighted sum."""
     spelt = _spelled(split.chunks, split.starts)
-    values = model.word_kernels(split.plain)
-    extra = model.word_kernels(pa.array([letters(w) for _, w in spelt], pa.large_string()))
+    others = pa.array([letters(w) for _, w in spelt], pa.large_string())
+    if weights is None:
+        values, extra = model.word_kernels(split.plain), model.word_kernels(others)
+    else:
+        values, extra = model.word_values(split.plain, weights)[:, None], model.word_values(others, weights)[:, None]
     values[_begins(split.plain, model.left_out)] = 0
-    if weights is not None:
-        values, extra = (values @ weights)[:, None], (extra @ weights)[:, None]
     return sentence_sums(split, values, extra, np.array([p for p, _ in spelt], np.int64))
 
 
