@@ -91,9 +91,9 @@ def lot_rollup(df: DataFrame, keys: Sequence[str], time: str, columns: Sequence[
     return df.dropna(subset=[*keys, time]).groupBy(*keys).agg(*[first_per_column(c, *order) for c in columns])
 
 
-def defect_event_agg(scans: DataFrame, defects: DataFrame, elements: DataFrame, keys: Sequence[str], images: str) -> DataFrame:
+def defect_event_agg(scans: DataFrame, points: DataFrame, elements: DataFrame, keys: Sequence[str], images: str) -> DataFrame:
     """Scans with counts of their defect rows, those with images, and element rows; none are 0 and false."""
-    own = defects.groupBy(*keys).agg(F.count("*").alias("defect_row_count"), F.count_if(F.col(images) > 0).alias("image_defect_count"))
+    own = points.groupBy(*keys).agg(F.count("*").alias("defect_row_count"), F.count_if(F.col(images) > 0).alias("image_defect_count"))
     parts = elements.groupBy(*keys).agg(F.count("*").alias("element_row_count"))
     out = scans.join(own, list(keys), "left").join(parts, list(keys), "left").fillna(0, ["defect_row_count", "image_defect_count", "element_row_count"])
     return out.withColumns({"has_defect_rows": F.col("defect_row_count") > 0, "has_elements": F.col("element_row_count") > 0})

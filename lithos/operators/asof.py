@@ -60,8 +60,12 @@ def asof_elapsed(left: DataFrame, right: DataFrame, by: Sequence[str], left_time
     return out.withColumns({f"within_{n}d": F.coalesce(F.col("hours_since") <= 24 * n, F.lit(False)).cast("int") for n in days})
 
 
-def asof_nearest(left: DataFrame, right: DataFrame, by: Sequence[str], left_time: str, right_time: str, values: Sequence[str], *, tie: str | None = None, prefix: str = "near_", max_hours: float | None = None) -> DataFrame:
-    """The nearest right row on either side; of two as near the earlier."""
+def asof_nearest(left: DataFrame, right: DataFrame, by: Sequence[str], left_time: str, right_time: str, values: Sequence[str], *, tie: str | None = None, prefix: str = "near_", max_hours: float | None = None, margin_days: int | None = None) -> DataFrame:
+    """The nearest right row on either side; of two as near the earlier. ``margin_days``: history within so many days of the group's own time range only."""
+    if margin_days is not None:
+        range_ = left.groupBy(*by).agg((F.min(left_time) - F.make_dt_interval(F.lit(margin_days))).alias("_low"), (F.max(left_time) + F.make_dt_interval(F.lit(margin_days))).alias("_high"))
+        names = right.columns
+        right = right.join(range_, list(by)).where(F.col(right_time).between(F.col("_low"), F.col("_high"))).select(*names)
     stacked = _stacked(left, right, by, left_time, right_time, values, tie, False, None)
     up = Window.partitionBy(*by).orderBy(F.col("_t").asc_nulls_first(), "_side", "_tie").rowsBetween(Window.unboundedPreceding, 0)
     down = Window.partitionBy(*by).orderBy(F.col("_t").desc_nulls_last(), F.col("_side"), F.col("_tie").desc()).rowsBetween(Window.unboundedPreceding, 0)

@@ -18,8 +18,9 @@ def compare_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], time: s
 
 
 def row_hashes(df: DataFrame, columns: Sequence[str]) -> Column:
-    """A row's hash over columns as text, null being empty; a bar keeps columns apart."""
-    return F.sha2(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]), 256)
+    """A row's hash over columns as text, null being empty; each text is led by its length, which keeps columns apart."""
+    texts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+    return F.sha2(F.concat(*[F.concat(F.length(t).cast("string"), F.lit(":"), t) for t in texts]), 256)
 
 
 def compare_rows(left: DataFrame, right: DataFrame) -> DataFrame:

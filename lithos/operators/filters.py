@@ -140,10 +140,10 @@ def add_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
 
 
 def numeric_text(df: DataFrame, value: str, deleted: str | None = None, out: str = "number") -> DataFrame:
-    """Rows whose trimmed text holds digits, dots and minus only and isn't empty, not deleted, with the number."""
-    keep = F.trim(value).rlike("^[0-9.-]+$")
+    """Rows whose trimmed text holds digits, dots, minus and blanks only and isn't empty, with the number; of ``deleted`` only N and null stay."""
+    keep = F.trim(value).rlike("^[0-9 .-]+$")
     if deleted:
-        keep &= F.coalesce(~F.col(deleted).isin("Y", "1", "true"), F.lit(True))
+        keep &= F.coalesce(F.col(deleted) == "N", F.lit(True))
     return df.where(keep).withColumn(out, F.trim(value).try_cast("double"))
 
 

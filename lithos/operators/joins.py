@@ -31,9 +31,9 @@ def pair_semi(facts: DataFrame, pairs: DataFrame, keys: Sequence[str]) -> DataFr
     return facts.join(pairs.select(*keys).distinct(), list(keys), "left_semi")
 
 
-def defects_enriched(summary: DataFrame, defects: DataFrame, keys: Sequence[str], flag: str, classes: DataFrame, class_id: str, bins: DataFrame, bin_id: str, centre: tuple[str, str], xy: tuple[str, str], unit: float) -> DataFrame:
-    """Flagged defects of summaries with class and bin names (null where unknown) and centre-relative places in another unit."""
-    out = summary.join(defects.where(F.col(flag) == 1), list(keys)).join(classes, class_id, "left").join(bins, bin_id, "left")
+def points_enriched(summary: DataFrame, points: DataFrame, keys: Sequence[str], flag: str, classes: DataFrame, class_id: str, bins: DataFrame, bin_id: str, centre: tuple[str, str], xy: tuple[str, str], unit: float) -> DataFrame:
+    """Flagged points of summaries with class and bin names (null where unknown) and centre-relative places in another unit."""
+    out = summary.join(points.where(F.col(flag) == 1), list(keys)).join(classes, class_id, "left").join(bins, bin_id, "left")
     return out.withColumns({f"{c}_rel": (F.col(c) - F.col(m)) / unit for c, m in zip(xy, centre, strict=True)})
 
 

@@ -24,11 +24,16 @@ def latest_active(df: DataFrame, entity: str, time: str, n: int) -> DataFrame:
     return df.where(F.col(entity).isNotNull()).groupBy(entity).agg(F.max(time).alias("last_time")).orderBy(F.desc("last_time"), entity).limit(n)
 
 
-def round_robin(df: DataFrame, entity: str, time: str, entities: int, n: int | None, tie: Sequence[str]) -> DataFrame:
-    """Newest first and evenly over the most recently active entities: one of each per turn until n (None: no cap)."""
+def round_robin(df: DataFrame, entity: str, time: str, entities: int, n: int | None, key: Sequence[str]) -> DataFrame:
+    """All rows of n distinct keys (None: all), newest first and evenly over the most recently active entities: one key of each per turn.
+
+    A key counts for the entity of its newest row; rows without an entity are left out.
+    """
     active = latest_active(df, entity, time, entities).withColumn("_er", F.row_number().over(Window.orderBy(F.desc("last_time"), entity))).drop("last_time")
-    turn = F.row_number().over(Window.partitionBy(entity).orderBy(F.desc(time), *tie))
-    out = df.join(F.broadcast(active), entity).withColumn("_rn", turn)
-    if n is not None:
-        out = out.where(F.col("_rn") <= n).orderBy("_rn", "_er").limit(n)
-    return out.drop("_rn", "_er")
+    known = df.join(F.broadcast(active), entity)
+    if n is None:
+        return known.drop("_er")
+    first = known.groupBy(*key).agg(F.max(F.struct(F.col(time).alias("t"), (-F.col("_er")).alias("r"))).alias("_x")).select(*key, F.col("_x.t").alias("_t"), (-F.col("_x.r")).alias("_er"))
+    turn = F.row_number().over(Window.partitionBy("_er").orderBy(F.desc("_t"), *key))
+    chosen = first.withColumn("_rn", turn).where(F.col("_rn") <= n).orderBy("_rn", "_er").limit(n).select(*key, "_er")
+    return known.join(F.broadcast(chosen), [*key, "_er"]).drop("_er")

@@ -27,18 +27,18 @@ def image_pairs(manifest: DataFrame, keys: Sequence[str], image: str, path: str,
     return manifest.where(F.col(image).isin(list(ids))).groupBy(*keys).agg(*newest).dropna(subset=[f"path_{i}" for i in ids])
 
 
-def report_rows(defects: DataFrame, pairs: DataFrame, keys: Sequence[str], layer: str, layers: tuple[str, str], order: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Defects with image pairs, two layers side by side by row number."""
-    both = defects.join(pairs, list(keys)).withColumn("row", F.row_number().over(Window.partitionBy(layer).orderBy(*order)))
+def report_rows(points: DataFrame, pairs: DataFrame, keys: Sequence[str], layer: str, layers: tuple[str, str], order: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Points with image pairs, two layers side by side by row number."""
+    both = points.join(pairs, list(keys)).withColumn("row", F.row_number().over(Window.partitionBy(layer).orderBy(*order)))
     sides = [both.where(F.col(layer) == name).select("row", *[F.col(c).alias(f"{c}_{i}") for c in columns]) for i, name in enumerate(layers)]
     return sides[0].join(sides[1], "row", "full_outer")
 
 
-def needed_images(defects: DataFrame, manifest: DataFrame, keys: Sequence[str], image: str, required: Sequence[int]) -> DataFrame:
-    """Defects for which a required image isn't in the manifest."""
-    wanted = defects.select(*keys).distinct().withColumn(image, F.explode(F.array(*[F.lit(i) for i in required])))
+def needed_images(points: DataFrame, manifest: DataFrame, keys: Sequence[str], image: str, required: Sequence[int]) -> DataFrame:
+    """Points for which a required image isn't in the manifest."""
+    wanted = points.select(*keys).distinct().withColumn(image, F.explode(F.array(*[F.lit(i) for i in required])))
     lacking = wanted.join(manifest.select(*keys, image), [*keys, image], "left_anti").select(*keys).distinct()
-    return defects.join(lacking, list(keys), "left_semi")
+    return points.join(lacking, list(keys), "left_semi")
 
 
 def stale_paths(existing: DataFrame, current: DataFrame, keys: Sequence[str], path: str) -> DataFrame:

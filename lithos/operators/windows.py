@@ -134,13 +134,13 @@ def run_event_label(size: str, labels: dict[int, str]) -> Column:
     return F.try_element_at(F.create_map(*[F.lit(x) for pair in labels.items() for x in pair]), F.col(size).cast("int"))
 
 
-def positional_label(df: DataFrame, by: Sequence[str], slot: str, labels: Sequence[str], tie: Sequence[str] = ()) -> DataFrame:
-    """Groups of k rows per label get labels in rank order; other sizes are PARTIAL_RUN."""
+def positional_label(df: DataFrame, by: Sequence[str], slot: str, labels: Sequence[str], each: int, tie: Sequence[str] = ()) -> DataFrame:
+    """Groups of exactly ``each`` rows per label get labels in rank order; other sizes are PARTIAL_RUN."""
     rank, size = F.row_number().over(Window.partitionBy(*by).orderBy(slot, *tie)), F.count("*").over(Window.partitionBy(*by))
     n = len(labels)
     marked = df.withColumns({"_r": rank, "_s": size})
-    at = F.floor((F.col("_r") - 1) / F.floor(F.col("_s") / n)).cast("int")
-    return marked.withColumn("label", F.when((F.col("_s") % n == 0) & (F.col("_s") > 0), F.get(F.array(*[F.lit(x) for x in labels]), at)).otherwise("PARTIAL_RUN")).drop("_r", "_s")
+    at = F.floor((F.col("_r") - 1) / each).cast("int")
+    return marked.withColumn("label", F.when(F.col("_s") == n * each, F.get(F.array(*[F.lit(x) for x in labels]), at)).otherwise("PARTIAL_RUN")).drop("_r", "_s")
 
 
 def block_index(df: DataFrame, by: Sequence[str], order: Sequence[str], k: int, labels: Sequence[str]) -> DataFrame:

@@ -20,6 +20,11 @@ _GP = "SELECT *, CAST(date_diff('day', (SELECT CAST(min(time) AS DATE) FROM g),
 MEASURES = {"a": "density_a", "b": "density_b"}
 
 
+def _floored(spark, d):
+    """Units with whole densities, so that some are zero: those under 1, as no given value is negative."""
+    return units(spark, d).withColumns({c: F.floor(c) for c in MEASURES.values()})
+
+
 @query("D1_fixed_periods", """SELECT unit_id, CAST(p AS INT) AS period, CAST(d0 + CAST(p * 7 AS INT) AS VARCHAR) AS period_start, CAST(least(d0 + CAST(p * 7 + 6 AS INT), d1) AS VARCHAR) AS period_end
 FROM (SELECT unit_id, d0, d1, date_diff('day', d0, CAST(time AS DATE)) // 7 AS p FROM u, (SELECT CAST(min(time) AS DATE) AS d0, CAST(max(time) AS DATE) AS d1 FROM u))""")
 def d1(spark, d):
@@ -30,14 +35,14 @@ def d1(spark, d):
 round(avg(CAST(flag = 'ON' AS INT)), 6) AS flag_on_rate, round(avg(entity) FILTER (NOT {_Z}), 6) AS entity_clean_mean, count(entity) FILTER (NOT {_Z}) AS entity_clean_count, round(avg(entity) FILTER ({_Z}), 6) AS entity_defective_mean
 FROM (SELECT *, CASE WHEN unit_id % 3 = 0 THEN 'ON' ELSE 'OFF' END AS flag FROM ({_P})) GROUP BY device, layer, period HAVING count(*) >= 40""")
 def d2(spark, d):
-    u = D.fixed_periods(units(spark, d), "time", 7).withColumn("flag", F.when(F.col("unit_id") % 3 == 0, "ON").otherwise("OFF"))
-    out = D.period_benchmark(u, ["device", "layer"], "time", measures=MEASURES, zero=1, flags=["flag"], numeric=["entity"], least=40)
+    u = D.fixed_periods(_floored(spark, d), "time", 7).withColumn("flag", F.when(F.col("unit_id") % 3 == 0, "ON").otherwise("OFF"))
+    out = D.period_benchmark(u, ["device", "layer"], "time", measures=MEASURES, zero=0, flags=["flag"], numeric=["entity"], least=40)
     return out.select("device", "layer", "period", "sample_size", us("first_time").alias("first_us"), us("last_time").alias("last_us"), "defective_a", "rate_a", "flag_on_rate", "entity_clean_mean", "entity_clean_count", "entity_defective_mean").withColumns(_r("rate_a", "flag_on_rate", "entity_clean_mean", "entity_defective_mean"))
 
 
 @query("D3_fleet_baseline", f"SELECT period, layer, count(*) AS fleet_units, round(avg(CAST({_Z} AS INT)), 6) AS fleet_rate_a, round(avg(CAST({_ZB} AS INT)), 6) AS fleet_rate_b FROM ({_P}) GROUP BY period, layer")
 def d3(spark, d):
-    return D.fleet_baseline(D.fixed_periods(units(spark, d), "time", 7), "layer", MEASURES, 1).withColumns(_r("fleet_rate_a", "fleet_rate_b"))
+    return D.fleet_baseline(D.fixed_periods(_floored(spark, d), "time", 7), "layer", MEASURES, 0).withColumns(_r("fleet_rate_a", "fleet_rate_b"))
 
 
 _USAGE = f"""SELECT period, usage_rows, usage_lots, usage_parents, usage_entities, top_parent, top_parent_rows, parent_mean, parent_std FROM
@@ -56,15 +61,15 @@ f AS (SELECT period, layer, count(*) AS fu, avg(CAST({_Z} AS INT)) AS fr FROM ({
 SELECT device, layer, period, n AS sample_size, round(coalesce(n / nullif(ur, 0), 0), 6) AS usage_share, round(coalesce(fu / nullif(ur, 0), 0), 6) AS sample_rate, round(rate * n / fu, 6) AS weighted_a, round(n * fr, 6) AS expected_a, obs AS observed_a, round(obs - n * fr, 6) AS excess_a
 FROM r LEFT JOIN f USING (period, layer) LEFT JOIN us USING (period)""")
 def d5(spark, d):
-    u = D.fixed_periods(units(spark, d), "time", 7)
+    u = D.fixed_periods(_floored(spark, d), "time", 7)
     log = D.fixed_periods(usage(spark, d), "time", 90).withColumn("parent", F.expr("entity div 10"))
-    rows = D.period_benchmark(u, ["device", "layer"], "time", measures={"a": "density_a"}, zero=1, least=20)
-    out = D.benchmark_measures(rows, D.fleet_baseline(u, "layer", {"a": "density_a"}, 1), D.fleet_usage(log, "lot", "parent", "entity"), "layer", ["a"])
+    rows = D.period_benchmark(u, ["device", "layer"], "time", measures={"a": "density_a"}, zero=0, least=20)
+    out = D.benchmark_measures(rows, D.fleet_baseline(u, "layer", {"a": "density_a"}, 0), D.fleet_usage(log, "lot", "parent", "entity"), "layer", ["a"])
     return out.select("device", "layer", "period", "sample_size", "usage_share", "sample_rate", "weighted_a", "expected_a", "observed_a", "excess_a").withColumns(_r("usage_share", "sample_rate", "weighted_a", "expected_a", "excess_a"))
 
 
-@query("D6_baseline_only_means", """SELECT device, count(*) AS n, round(avg(density_a) FILTER (density_a <= 5), 6) AS baseline_mean_a, count(*) FILTER (density_a <= 5) AS baseline_count_a,
-round(avg(density_b) FILTER (density_b <= 5), 6) AS baseline_mean_b, count(*) FILTER (density_b <= 5) AS baseline_count_b, count(*) FILTER (density_a <= 5 OR density_b <= 5) AS baseline_any FROM u GROUP BY device""")
+@query("D6_baseline_only_means", """SELECT device, count(*) AS n, round(avg(density_a) FILTER (density_a < 5), 6) AS baseline_mean_a, count(*) FILTER (density_a < 5) AS baseline_count_a,
+round(avg(density_b) FILTER (density_b < 5), 6) AS baseline_mean_b, count(*) FILTER (density_b < 5) AS baseline_count_b, count(*) FILTER (density_a < 5 OR density_b < 5) AS baseline_any FROM u GROUP BY device""")
 def d6(spark, d):
     u = units(spark, d).withColumns({"sa": S.status2("density_a", 5), "sb": S.status2("density_b", 5)})
     return D.baseline_means(u, ["device"], MEASURES, {"a": "sa", "b": "sb"}).withColumns(_r("baseline_mean_a", "baseline_mean_b"))
@@ -94,16 +99,16 @@ def d10(spark, d):
 
 
 @query("D11_zero_fraction", f"""SELECT CAST((SELECT CAST(min(time) AS DATE) FROM u) + CAST(period * 7 + 6 AS INT) AS VARCHAR) AS end_date, grp, layer, count(*) AS n, count(*) FILTER (NOT {_Z}) AS zeros, round(count(*) FILTER (NOT {_Z}) / count(*), 6) AS fraction
-FROM (SELECT *, unnest([device, device || '-' || CASE WHEN entity % 2 = 1 THEN 'LEFT' ELSE 'RIGHT' END]) AS grp FROM ({_P})) GROUP BY ALL""")
+FROM (SELECT *, unnest([device, device || '-' || CASE WHEN entity % 10 IN (1, 3, 5) THEN 'LEFT' WHEN entity % 10 IN (2, 4, 6) THEN 'RIGHT' END]) AS grp FROM ({_P})) WHERE grp IS NOT NULL GROUP BY ALL""")
 def d11(spark, d):
-    u = units(spark, d).withColumn("side", S.side("entity"))
-    return D.zero_fraction(u, "time", "density_a", 1, "device", "side", "layer").withColumns(_r("fraction") | {"end_date": F.col("end_date").cast("string")})
+    u = _floored(spark, d).withColumn("side", S.side("entity"))
+    return D.zero_fraction(u, "time", "density_a", 0, "device", "side", "layer").withColumns(_r("fraction") | {"end_date": F.col("end_date").cast("string")})
 
 
 @query("D11_zero_fraction_wide", f"""SELECT CAST((SELECT CAST(min(time) AS DATE) FROM u) + CAST(period * 7 + 6 AS INT) AS VARCHAR) AS end_date, layer, round(count(*) FILTER (NOT {_Z} AND device = 'D0') / nullif(count(*) FILTER (device = 'D0'), 0), 6) AS D0, round(count(*) FILTER (NOT {_Z} AND device = 'D1') / nullif(count(*) FILTER (device = 'D1'), 0), 6) AS D1 FROM ({_P}) GROUP BY ALL""")
 def d11w(spark, d):
-    u = units(spark, d).withColumn("side", S.side("entity"))
-    return D.zero_fraction(u, "time", "density_a", 1, "device", "side", "layer", wide=["D0", "D1"]).withColumns(_r("D0", "D1") | {"end_date": F.col("end_date").cast("string")})
+    u = _floored(spark, d).withColumn("side", S.side("entity"))
+    return D.zero_fraction(u, "time", "density_a", 0, "device", "side", "layer", wide=["D0", "D1"]).withColumns(_r("D0", "D1") | {"end_date": F.col("end_date").cast("string")})
 
 
 @query("D12_window_stats", """SELECT coalesce(a.w, b.w) AS "window", n, round(mean, 6) AS mean, round(std, 6) AS std, mn AS min, mx AS max, zeros, non_zeros, other_rows, round_even(non_zeros / n, 4) AS non_zero_share FROM
@@ -155,7 +160,7 @@ def d19(spark, d):
 
 @query("D20_benchmark_summary", f"WITH r AS (SELECT device, layer, period, avg(CAST({_Z} AS INT)) AS rate_a FROM ({_P}) GROUP BY ALL) SELECT layer, device, CAST(grouping(layer, device) AS BIGINT) AS level, count(*) AS n, round(avg(rate_a), 6) AS rate_a FROM r GROUP BY CUBE (layer, device)")
 def d20(spark, d):
-    rows = D.period_benchmark(D.fixed_periods(units(spark, d), "time", 7), ["device", "layer"], "time", measures={"a": "density_a"}, zero=1)
+    rows = D.period_benchmark(D.fixed_periods(_floored(spark, d), "time", 7), ["device", "layer"], "time", measures={"a": "density_a"}, zero=0)
     return D.benchmark_summary(rows, "layer", "device", ["rate_a"]).withColumns(_r("rate_a"))
 
 

@@ -50,14 +50,14 @@ def c4(spark, d):
     return out.select("unit_id", "right_v", "right_w", control_class("right_v", 10, 4).alias("class_v"), control_class("right_w", 10, 4).alias("class_w"))
 
 
-_NEAR = """SELECT l.unit_id, r.v, r.rt FROM (SELECT * FROM u WHERE layer = 'view') l LEFT JOIN r ON l.entity = r.re
+_NEAR = """SELECT l.unit_id, r.v, r.rt FROM (SELECT *, min(time) OVER (PARTITION BY entity) AS t0, max(time) OVER (PARTITION BY entity) AS t1 FROM u WHERE layer = 'view') l LEFT JOIN r ON l.entity = r.re {margin}
 QUALIFY row_number() OVER (PARTITION BY l.unit_id ORDER BY abs(epoch_us(l.time) - epoch_us(r.rt)), r.rt) = 1"""
 
 
-@query("C5_asof_nearest", f"WITH r AS ({_R}) SELECT unit_id, v AS near_v, epoch_us(rt) AS near_us FROM ({_NEAR})")
+@query("C5_asof_nearest", f"WITH r AS ({_R}) SELECT unit_id, v AS near_v, epoch_us(rt) AS near_us FROM ({_NEAR.format(margin='AND r.rt BETWEEN t0 - INTERVAL 2 DAY AND t1 + INTERVAL 2 DAY')})")
 def c5(spark, d):
     left, right = _sides(spark, d)
-    return A.asof_nearest(left, right, ["entity"], "time", "rt", ["v"]).select("unit_id", "near_v", F.unix_micros("near_time").alias("near_us"))
+    return A.asof_nearest(left, right, ["entity"], "time", "rt", ["v"], margin_days=2).select("unit_id", "near_v", F.unix_micros("near_time").alias("near_us"))
 
 
 @query("C6_asof_backward_ffill", f"""WITH r AS ({_R}), l AS (SELECT * FROM u WHERE layer = 'view'),

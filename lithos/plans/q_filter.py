@@ -8,7 +8,7 @@ from lithos.functions import scalar as S
 from lithos.operators import filters as B
 from lithos.plans.base import query, table, units, usage
 
-_STATUS = "CASE WHEN density_a <= 5 THEN 'BSL' ELSE 'HIGHFLIER' END"
+_STATUS = "CASE WHEN density_a < 5 THEN 'BSL' ELSE 'HIGHFLIER' END"
 
 
 def _with_status(spark, d):
@@ -16,7 +16,7 @@ def _with_status(spark, d):
     return u.withColumns({"status": S.status2("density_a", 5), "klass": F.when(F.col("unit_id") % 2 == 0, "A").otherwise("B"), "status_b": S.status2("density_b", 5)})
 
 
-_S = f"SELECT *, {_STATUS} AS status, CASE WHEN unit_id % 2 = 0 THEN 'A' ELSE 'B' END AS klass, CASE WHEN density_b <= 5 THEN 'BSL' ELSE 'HIGHFLIER' END AS status_b FROM u"
+_S = f"SELECT *, {_STATUS} AS status, CASE WHEN unit_id % 2 = 0 THEN 'A' ELSE 'B' END AS klass, CASE WHEN density_b < 5 THEN 'BSL' ELSE 'HIGHFLIER' END AS status_b FROM u"
 
 
 @query("B1_coalesce_prefix", "SELECT unit_id, density_b AS special, coalesce(CASE WHEN unit_id % 2 = 0 THEN density_a END, CAST(entity AS DOUBLE)) AS general FROM u")
@@ -112,7 +112,7 @@ def b14(spark, d):
 
 @query("B15_numeric_text_filter", "SELECT p_partkey, TRY_CAST(split_part(p_brand, '#', 2) AS DOUBLE) AS number FROM part WHERE p_partkey % 3 <> 0 AND p_partkey % 5 <> 0")
 def b15(spark, d):
-    p = table(spark, d, "part").withColumns({"v": F.when(F.col("p_partkey") % 3 == 0, F.col("p_brand")).otherwise(F.concat(F.lit(" "), F.split_part("p_brand", F.lit("#"), F.lit(2)))), "gone": F.when(F.col("p_partkey") % 5 == 0, "Y")})
+    p = table(spark, d, "part").withColumns({"v": F.when(F.col("p_partkey") % 3 == 0, F.col("p_brand")).otherwise(F.concat(F.lit(" "), F.split_part("p_brand", F.lit("#"), F.lit(2)))), "gone": F.when(F.col("p_partkey") % 5 == 0, "D").when(F.col("p_partkey") % 5 == 1, "N")})
     return B.numeric_text(p, "v", "gone").select("p_partkey", "number")
 
 

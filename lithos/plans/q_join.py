@@ -36,12 +36,12 @@ def c10(spark, d):
     return C.pair_semi(g, g.where("recipe = 'R' AND qty > 45"), ["lot", "slot"]).select("lot", "slot", "part", "price")
 
 
-@query("C11_defects_enriched", """SELECT lot, part, slot, price, p_brand, s_name, round((qty - o_totalprice / 10000) / 25.4, 6) AS qty_rel FROM orders JOIN g ON o_orderkey = lot AND slot = 1 LEFT JOIN part ON part = p_partkey AND p_size < 25 LEFT JOIN supplier ON entity = s_suppkey AND s_acctbal > 0""")
+@query("C11_points_enriched", """SELECT lot, part, slot, price, p_brand, s_name, round((qty - o_totalprice / 10000) / 25.4, 6) AS qty_rel FROM orders JOIN g ON o_orderkey = lot AND slot = 1 LEFT JOIN part ON part = p_partkey AND p_size < 25 LEFT JOIN supplier ON entity = s_suppkey AND s_acctbal > 0""")
 def c11(spark, d):
     o = table(spark, d, "orders").select(F.col("o_orderkey").alias("lot"), (F.col("o_totalprice") / 10000).alias("cx"), F.lit(0.0).alias("cy"))
     parts = table(spark, d, "part").where("p_size < 25").select(F.col("p_partkey").alias("part"), "p_brand")
     sup = table(spark, d, "supplier").where("s_acctbal > 0").select(F.col("s_suppkey").alias("entity"), "s_name")
-    out = C.defects_enriched(o, usage(spark, d), ["lot"], "slot", parts, "part", sup, "entity", ("cx", "cy"), ("qty", "price"), 25.4)
+    out = C.points_enriched(o, usage(spark, d), ["lot"], "slot", parts, "part", sup, "entity", ("cx", "cy"), ("qty", "price"), 25.4)
     return out.select("lot", "part", "slot", "price", "p_brand", "s_name", F.round("qty_rel", 6).alias("qty_rel"))
 
 

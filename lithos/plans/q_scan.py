@@ -60,9 +60,9 @@ def a10(spark, d):
     return found.withColumn("age_days", F.round("age_days", 6))
 
 
-@query("A11_norm_key", "SELECT unit_id, CAST(lot AS VARCHAR) || '|' || strftime(time, '%Y-%m-%d %H:%M:%S') || '|' || coalesce(CASE WHEN unit_id % 3 = 0 THEN NULL ELSE regexp_replace(trim(CAST(unit_id AS VARCHAR) || '.0 '), '^([+-]?[0-9]+)\\.0+$', '\\1') END, '') AS key FROM u")
+@query("A11_norm_key", "SELECT unit_id, CAST(lot AS VARCHAR) || '|' || strftime(time, '%Y-%m-%d %H:%M:%S') || '|' || coalesce(CASE WHEN unit_id % 3 = 0 THEN NULL ELSE CAST(unit_id AS VARCHAR) END, '') AS key FROM u")
 def a11(spark, d):
-    u = units(spark, d).withColumn("code", F.when(F.col("unit_id") % 3 != 0, F.concat(F.col("unit_id"), F.lit(".0 "))))
+    u = units(spark, d).withColumn("code", F.when(F.col("unit_id") % 3 != 0, F.concat(F.lit(" +00"), F.col("unit_id"), F.when(F.col("unit_id") % 2 == 0, F.lit(".0 ")).otherwise(F.lit("e0")))))
     return u.select("unit_id", S.norm_key(["lot", "time", "code"], ["time"]).alias("key"))
 
 
@@ -72,10 +72,10 @@ def a12(spark, d):
     return tables.scan_scope(u, event="layer", recipes={"view": "R1", "click": "R2"}, time="time", since="2024-01-10", slot="slot", required=["density_b"]).select("unit_id", "layer", "expected_recipe", "slot")
 
 
-@query("H1_status_class", """SELECT unit_id, CASE WHEN density_b <= 5 THEN 'BSL' ELSE 'HIGHFLIER' END AS status,
-CASE WHEN density_b IS NULL THEN 'UNKNOWN' WHEN density_b < 1 THEN 'ZERO' WHEN density_b <= 5 THEN 'BSL' ELSE 'HIGHFLIER' END AS class, coalesce(density_b < 1, false) AS zero FROM u""")
+@query("H1_status_class", """SELECT unit_id, CASE WHEN v < 5 THEN 'BSL' ELSE 'HIGHFLIER' END AS status,
+CASE WHEN v IS NULL THEN 'UNKNOWN' WHEN v = 0 THEN 'ZERO' WHEN v > 0 AND v < 5 THEN 'BSL' ELSE 'HIGHFLIER' END AS class, coalesce(v = 0, false) AS zero FROM (SELECT unit_id, floor(density_b) - 1 AS v FROM u)""")
 def h1(spark, d):
-    return units(spark, d).select("unit_id", S.status2("density_b", 5).alias("status"), S.class4("density_b", 1, 5).alias("class"), S.is_zero("density_b", 1).alias("zero"))
+    return units(spark, d).withColumn("v", F.floor("density_b") - 1).select("unit_id", S.status2("v", 5).alias("status"), S.class4("v", 5).alias("class"), S.is_zero("v").alias("zero"))
 
 
 @query("H2_density_sum", "SELECT unit_id, coalesce(density_a, 0) + coalesce(density_b, 0) AS density_sum FROM u")
@@ -83,17 +83,19 @@ def h2(spark, d):
     return units(spark, d).select("unit_id", S.density_sum("density_a", "density_b").alias("density_sum"))
 
 
-_FLAGS = "SELECT unit_id, CASE WHEN unit_id % 2 = 0 THEN 'ON' ELSE 'OFF' END AS f1, CASE WHEN unit_id % 3 = 0 THEN 'ON' ELSE 'OFF' END AS f2, CASE WHEN unit_id % 5 = 0 THEN 'ON' ELSE 'OFF' END AS f3, CASE WHEN unit_id % 7 = 0 THEN 'ON' ELSE 'OFF' END AS f4 FROM u"
+_FLAGS = "SELECT unit_id, CASE WHEN unit_id % 11 = 0 THEN NULL WHEN unit_id % 2 = 0 THEN 'ON' ELSE 'OFF' END AS f1, CASE WHEN unit_id % 3 = 0 THEN 'ON' ELSE 'OFF' END AS f2, CASE WHEN unit_id % 5 = 0 THEN 'ON' ELSE 'OFF' END AS f3, CASE WHEN unit_id % 7 = 0 THEN 'ON' ELSE 'OFF' END AS f4 FROM u"
 
 
 def _flags(spark, d):
     u = units(spark, d)
-    return u.select("unit_id", *[F.when(F.col("unit_id") % k == 0, "ON").otherwise("OFF").alias(f"f{i}") for i, k in enumerate((2, 3, 5, 7), 1)])
+    flags = [F.when(F.col("unit_id") % k == 0, "ON").otherwise("OFF").alias(f"f{i}") for i, k in enumerate((2, 3, 5, 7), 1)]
+    return u.select("unit_id", *flags).withColumn("f1", F.when(F.col("unit_id") % 11 != 0, F.col("f1")))
 
 
-@query("H3_rollout_status", f"SELECT unit_id, CASE WHEN f4 = 'ON' THEN 'PRIORITY' ELSE CASE WHEN f1 = 'ON' AND f2 = 'ON' THEN 'BOTH' WHEN f1 = 'ON' OR f2 = 'ON' THEN 'ONE' ELSE 'NONE' END || CASE WHEN f3 = 'ON' THEN '+X' ELSE '' END END AS status FROM ({_FLAGS})")
+@query("H3_rollout_status", f"""SELECT unit_id, CASE WHEN f4 = 'ON' THEN 'PRIORITY' ELSE
+CASE WHEN f1 IS NULL THEN 'ERROR' WHEN f1 = 'OFF' AND f2 = 'OFF' THEN 'BASE' WHEN f1 = 'ON' AND f2 = 'OFF' THEN 'A' WHEN f1 = 'OFF' AND f2 = 'ON' THEN 'B' ELSE 'A+B' END || CASE WHEN f3 = 'ON' THEN '+X' ELSE '' END END AS status FROM ({_FLAGS})""")
 def h3(spark, d):
-    return _flags(spark, d).select("unit_id", S.rollout_status("f4", ("f1", "f2"), ("NONE", "ONE", "BOTH"), {"f3": "+X"}).alias("status"))
+    return _flags(spark, d).select("unit_id", S.rollout_status("f4", ("f1", "f2"), ("BASE", "A", "B", "A+B"), {"f3": "+X"}).alias("status"))
 
 
 @query("H4_rollout_short", f"SELECT unit_id, CASE WHEN f4 = 'ON' THEN 'NEW' ELSE 'OLD' END AS short, '' AS absent FROM ({_FLAGS})")
@@ -101,13 +103,17 @@ def h4(spark, d):
     return _flags(spark, d).select("unit_id", S.rollout_short("f4", "NEW", "OLD").alias("short"), S.rollout_short(None, "NEW", "OLD").alias("absent"))
 
 
-@query("H5_recipe_group", """SELECT p_partkey, CASE WHEN p_partkey % 11 = 0 THEN 'OTHER' WHEN starts_with(upper(p_name), 'RED') OR p_size = 13 THEN 'MONITOR'
-WHEN starts_with(upper(p_name), 'SMALL') THEN right(CASE substr(p_type, 4, 1) WHEN 'N' THEN 'TECH1' WHEN 'M' THEN 'TECH2' ELSE 'UNKNOWN' END, 1) || '_S'
-WHEN contains(upper(p_name), 'RING') THEN 'RINGS' WHEN contains(upper(p_name), 'WIDGET') THEN 'WIDGETS' ELSE 'OTHER' END AS grp FROM part""")
+_TECH = "CASE substr(p_type, 4, 1) WHEN 'N' THEN 'TECH1' WHEN 'M' THEN 'TECH2' ELSE 'UNKNOWN' END"
+
+
+@query("H5_recipe_group", f"""SELECT p_partkey, CASE WHEN p_partkey % 11 = 0 THEN 'OTHER' WHEN starts_with(upper(p_name), 'RED') OR starts_with(upper(p_name), 'NAVY') OR contains(upper(p_name), 'HOOK') OR p_size = 13 THEN 'MONITOR'
+WHEN tech = 'TECH1' AND contains(p_brand, '5') THEN 'LAYER5' WHEN starts_with(upper(p_name), 'SMALL') THEN right(tech, 1) || '_S'
+WHEN tech = 'TECH1' AND contains(upper(p_name), 'RING') THEN 'RINGS1' WHEN tech = 'TECH1' AND contains(upper(p_name), 'WIDGET') THEN 'WIDGETS1' WHEN tech = 'TECH2' AND contains(upper(p_name), 'RING') THEN 'RINGS2' ELSE 'OTHER' END AS grp FROM (SELECT *, {_TECH} AS tech FROM part)""")
 def h5(spark, d):
     p = table(spark, d, "part").withColumn("recipe", F.when(F.col("p_partkey") % 11 != 0, F.col("p_name")))
     tech = S.technology("p_type", {"N": "TECH1", "M": "TECH2"})
-    return p.select("p_partkey", S.recipe_group("recipe", tech, F.col("p_size") == 13, monitor_prefix="RED", keywords={"RING": "RINGS", "WIDGET": "WIDGETS"}, special_prefix="SMALL", special_suffix="_S").alias("grp"))
+    rules = {"monitor_prefixes": ["RED", "NAVY"], "monitor_words": ["HOOK"], "monitor": "MONITOR", "layer_rule": ("TECH1", "5", "LAYER5"), "special_prefix": "SMALL", "special_suffix": "_S"}
+    return p.select("p_partkey", S.recipe_group("recipe", tech, F.col("p_size") == 13, "p_brand", keywords={"TECH1": {"RING": "RINGS1", "WIDGET": "WIDGETS1"}, "TECH2": {"RING": "RINGS2"}}, **rules).alias("grp"))
 
 
 @query("H6_technology_is_test", "SELECT p_partkey, CASE substr(p_type, 4, 1) WHEN 'N' THEN 'TECH1' WHEN 'M' THEN 'TECH2' ELSE 'UNKNOWN' END AS technology, contains(p_name, 't') AS is_test FROM part")
@@ -115,9 +121,12 @@ def h6(spark, d):
     return table(spark, d, "part").select("p_partkey", S.technology("p_type", {"N": "TECH1", "M": "TECH2"}).alias("technology"), S.is_test("p_name", "t").alias("is_test"))
 
 
-@query("H7_layer_match_product", "SELECT p_partkey, (p_type = 'ECONOMY' AND contains(p_name, 'ring')) OR (p_type = 'STANDARD' AND contains(p_name, 'widget')) AS matches, NOT contains(p_name, 'small') AS product FROM part")
+@query("H7_layer_match_product", f"""SELECT p_partkey, p_size <> 13 AND ((p_type = 'ECONOMY' AND tech = 'TECH1' AND (contains(p_name, 'ring') OR contains(p_name, 'bolt'))) OR (p_type = 'PROMO' AND tech = 'TECH2' AND contains(p_name, 'widget'))) AS matches,
+p_size <> 13 AND p_brand <> 'Brand#13' AS product FROM (SELECT *, {_TECH} AS tech FROM part)""")
 def h7(spark, d):
-    return table(spark, d, "part").select("p_partkey", S.layer_match("p_name", {"ECONOMY": "ring", "STANDARD": "widget"}, "p_type").alias("matches"), S.is_product("p_name", ["small"]).alias("product"))
+    tech = S.technology("p_type", {"N": "TECH1", "M": "TECH2"})
+    test = F.col("p_size") == 13
+    return table(spark, d, "part").select("p_partkey", S.layer_match("p_type", tech, test, "p_name", {"ECONOMY": ("TECH1", ["ring", "bolt"]), "PROMO": ("TECH2", ["widget"])}).alias("matches"), S.is_product(test, "p_brand", "Brand#13").alias("product"))
 
 
 @query("H8_yymm", "SELECT unit_id, strftime(time, '%y%m') AS yymm, strftime(time, '%Y-%m') AS month, epoch_us(date_trunc('day', time)) AS day_us FROM u")
@@ -133,27 +142,29 @@ def h9(spark, d):
     return units(spark, d).select("unit_id", F.round(S.elapsed(start, F.col("time"), "hours"), 6).alias("hours"), F.round(S.elapsed(start, F.col("time"), "days"), 6).alias("days"))
 
 
-@query("H10_slices_side", "SELECT c_custkey, substr(c_name, 1, 8) AS prefix, CASE WHEN right(c_name, 1) IN ('1','3','5','7','9') THEN 'LEFT' ELSE 'RIGHT' END AS side FROM customer")
+@query("H10_slices_side", "SELECT c_custkey, substr(c_name, 1, 8) AS prefix, CASE WHEN right(c_name, 1) IN ('1','3','5') THEN 'LEFT' WHEN right(c_name, 1) IN ('2','4','6') THEN 'RIGHT' END AS side FROM customer")
 def h10(spark, d):
     return table(spark, d, "customer").select("c_custkey", F.substring("c_name", 1, 8).alias("prefix"), S.side("c_name").alias("side"))
 
 
-@query("H11_clean_text", "SELECT conv_id, turn, regexp_replace(text, '[\\x00-\\x1F\\x7F,]', '', 'g') AS clean FROM conversations")
+@query("H11_clean_text", """SELECT conv_id, turn, translate(text, ',"' || chr(9) || chr(10) || chr(13) || chr(7), ';''    ') AS clean FROM conversations""")
 def h11(spark, d):
     return table(spark, d, "conversations").select("conv_id", "turn", S.clean_text("text").alias("clean"))
 
 
-@query("H12_safe_tokens", "SELECT page_id, CASE WHEN trim(url) = '' THEN 'UNKNOWN' ELSE regexp_replace(trim(url), '[^A-Za-z0-9._-]+', '_', 'g') END AS token, regexp_replace(regexp_replace(lower(url), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') AS identifier FROM pages")
+@query("H12_safe_tokens", r"""SELECT page_id, CASE WHEN trim(url) = '' THEN 'UNKNOWN' ELSE regexp_replace(trim(url), '[<>:"/\\|?*]', '_', 'g') END AS token, regexp_replace(url, '[^A-Za-z0-9_]', '', 'g') AS identifier FROM pages""")
 def h12(spark, d):
     return table(spark, d, "pages").select("page_id", S.safe_token("url").alias("token"), S.sanitize_identifier("url").alias("identifier"))
 
 
-_PATH = "'img/' || CASE WHEN layer = 'error' THEN 'AMBIGUOUS' WHEN layer = 'purchase' THEN 'PU' ELSE layer END || '/' || coalesce(strftime(CASE WHEN unit_id % 9 = 0 THEN NULL ELSE time END, '%Y%m%dT%H%M%S'), '00000000T000000') || '_' || unit_id || '_' || lpad(CAST(unit_id % 20 AS VARCHAR), 3, '0')"
+_PATH = """'img/' || CASE WHEN layer = 'error' THEN 'AMBIGUOUS/error/' ELSE '' END || device || '/' || coalesce(strftime(CASE WHEN unit_id % 9 = 0 THEN NULL ELSE time END, '%y%m%d_%H%M'), '000000_0000') || '_' || lot || '_'
+|| CASE WHEN len(unit_id + 9990000) >= 8 THEN substr(CAST(unit_id + 9990000 AS VARCHAR), 6, 3) ELSE CAST(unit_id + 9990000 AS VARCHAR) END || '_' || CASE layer WHEN 'purchase' THEN 'PU' ELSE layer END || '_L_1_' || unit_id || '_' || unit_id % 20 || CASE WHEN unit_id % 4 = 0 THEN '.jpg' ELSE '.png' END""".replace("len(unit_id + 9990000)", "len(CAST(unit_id + 9990000 AS VARCHAR))")
 
 
 def _paths(spark, d):
-    u = units(spark, d).withColumn("seen", F.when(F.col("unit_id") % 9 != 0, F.col("time"))).withColumn("image", F.col("unit_id") % 20)
-    return u.withColumn("path", S.image_path("img", "layer", {"purchase": "PU"}, ["error"], "seen", "unit_id", "image"))
+    u = units(spark, d).withColumns({"seen": F.when(F.col("unit_id") % 9 != 0, F.col("time")), "image": F.col("unit_id") % 20, "name": F.col("unit_id") + 9990000, "step": F.lit("L:1"), "file": F.when(F.col("unit_id") % 4 != 0, F.lit("x/A.b.PNG"))})
+    path = S.image_path("img", entity="device", klass="layer", short={"purchase": "PU"}, ambiguous=["error"], time="seen", lot="lot", unit="name", layer="step", point="unit_id", image="image", file="file")
+    return u.withColumn("path", path)
 
 
 @query("H13_image_path", f"SELECT unit_id, {_PATH} AS path FROM u")
@@ -161,11 +172,10 @@ def h13(spark, d):
     return _paths(spark, d).select("unit_id", "path")
 
 
-@query("H14_parse_path", f"""SELECT unit_id, regexp_extract(path, '([^/]+)/[0-9]{{8}}T[0-9]{{6}}_([^_/]+)_([0-9]+)$', 1) AS folder, CASE WHEN unit_id % 9 = 0 THEN NULL ELSE epoch_us(date_trunc('second', time)) END AS time_us,
-CAST(unit_id AS VARCHAR) AS defect, CAST(unit_id % 20 AS INT) AS image FROM (SELECT *, {_PATH} AS path FROM u)""")
+@query("H14_parse_path", """SELECT unit_id, device AS folder, CASE WHEN unit_id % 9 = 0 THEN NULL ELSE epoch_us(date_trunc('minute', time)) END AS time_us, CAST(unit_id AS BIGINT) AS point, CAST(unit_id % 20 AS INT) AS image FROM u""")
 def h14(spark, d):
     part = S.parse_path("path")
-    return _paths(spark, d).select("unit_id", part["folder"].alias("folder"), F.unix_micros(part["time"]).alias("time_us"), part["defect"].alias("defect"), part["image"].alias("image"))
+    return _paths(spark, d).select("unit_id", part["folder"].alias("folder"), F.unix_micros(part["time"]).alias("time_us"), part["point"].alias("point"), part["image"].alias("image"))
 
 
 @query("H15_image_ids", "SELECT p_partkey, CAST(b + greatest(0, p_size - 16) AS INT) AS image_id FROM part, (SELECT unnest([1, 4, 9]) AS b)")
@@ -173,18 +183,18 @@ def h15(spark, d):
     return table(spark, d, "part").select("p_partkey", F.explode(S.image_ids("p_size", [1, 4, 9])).alias("image_id"))
 
 
-@query("H16_element_label", """SELECT lot, part, entity, slot, price, coalesce(names || ' ' || numbers, '') AS label FROM g LEFT JOIN LATERAL (
-SELECT string_agg(s, '-' ORDER BY v DESC, s) AS names, string_agg(CAST(CAST(round_even(v, 0) AS BIGINT) AS VARCHAR), '-' ORDER BY v DESC, s) AS numbers
+@query("H16_element_label", """SELECT lot, part, entity, slot, price, coalesce(names || ' - (' || numbers || ')', '') AS label FROM g LEFT JOIN LATERAL (
+SELECT string_agg(s, '' ORDER BY v DESC, s DESC) AS names, string_agg(CAST(CAST(round_even(v, 0) AS BIGINT) AS VARCHAR), ',' ORDER BY v DESC, s DESC) AS numbers
 FROM (VALUES (qty, 'Q'), (discount * 100, 'D'), (tax * 100, 'T')) AS x(v, s) WHERE v > 0) ON true""")
 def h16(spark, d):
     w = usage(spark, d).withColumns({"d": F.col("discount") * 100, "t": F.col("tax") * 100})
     return w.select("lot", "part", "entity", "slot", "price", S.element_label({"qty": "Q", "d": "D", "t": "T"}).alias("label"))
 
 
-@query("H17_first_nonblank", "SELECT c_custkey, CASE WHEN c_custkey % 3 = 2 THEN c_mktsegment ELSE c_name END AS entity FROM customer")
+@query("H17_first_nonblank", "SELECT c_custkey, CASE WHEN c_custkey % 3 = 2 THEN c_mktsegment WHEN c_custkey % 5 = 0 THEN 'UNKNOWN' ELSE c_name END AS entity FROM customer")
 def h17(spark, d):
-    c = table(spark, d, "customer").withColumn("a", F.when(F.col("c_custkey") % 3 == 0, " NaN ").when(F.col("c_custkey") % 3 == 1, " ").otherwise(F.col("c_mktsegment")))
-    return c.select("c_custkey", S.first_nonblank("a", "c_name").alias("entity"))
+    c = table(spark, d, "customer").withColumn("a", F.when(F.col("c_custkey") % 3 == 0, " NaN ").when(F.col("c_custkey") % 3 == 1, " ").otherwise(F.col("c_mktsegment"))).withColumn("b", F.when(F.col("c_custkey") % 5 != 0, F.col("c_name")))
+    return c.select("c_custkey", S.first_nonblank("a", "b").alias("entity"))
 
 
 @query("H18_scaled", "SELECT point_id, round((x - 1.5) / 25.4, 6) AS x_in FROM p")

@@ -23,7 +23,7 @@ t AS (SELECT a.*, {_trend('fleet', 'layer', 7)}, {_trend('device', 'layer,device
 SELECT unit_id, fleet_count_7d, fleet_a_count_7d, round(fleet_a_count_7d / nullif(fleet_count_7d, 0), 6) AS fleet_a_rate_7d, device_count_7d, entity_count_7d, entity_a_count_7d, round(entity_a_count_7d / nullif(entity_count_7d, 0), 6) AS entity_a_rate_7d, entity_count_2d
 FROM u JOIN t ON u.layer = t.layer AND u.lot = t.lot AND u.entity = t.entity""")
 def e1(spark, d):
-    out = W.trend_rates(units(spark, d), group=["layer", "lot", "entity"], scopes={"fleet": ["layer"], "device": ["layer", "device"], "entity": ["layer", "entity"]}, time="time", days=[2, 7], measures={"a": "density_a"}, zero=1)
+    out = W.trend_rates(units(spark, d).withColumn("density_a", F.floor("density_a")), group=["layer", "lot", "entity"], scopes={"fleet": ["layer"], "device": ["layer", "device"], "entity": ["layer", "entity"]}, time="time", days=[2, 7], measures={"a": "density_a"}, zero=0)
     return out.select("unit_id", "fleet_count_7d", "fleet_a_count_7d", F.round("fleet_a_rate_7d", 6).alias("fleet_a_rate_7d"), "device_count_7d", "entity_count_7d", "entity_a_count_7d", F.round("entity_a_rate_7d", 6).alias("entity_a_rate_7d"), "entity_count_2d")
 
 
@@ -94,7 +94,7 @@ def e8(spark, d):
 def e9(spark, d):
     from lithos.functions.scalar import is_zero
 
-    bad = (~is_zero("density_a", 1)).cast("int")
+    bad = (~is_zero(F.floor("density_a"))).cast("int")
     keys = ["lot", "layer", "entity"]
     return units(spark, d).select("unit_id", F.round(W.over_known(keys, F.avg(bad)), 6).alias("rate"), (W.over_known(keys, F.max(bad)) == 0).alias("lot_clean"))
 
@@ -117,11 +117,11 @@ def e11(spark, d):
     return out.withColumn("label", W.run_event_label("n_units", {1: "SINGLE", 2: "PAIR"}))
 
 
-@query("E12_positional_label", """SELECT unit_id, CASE WHEN s % 3 = 0 THEN (['X', 'Y', 'Z'])[CAST((r - 1) // (s // 3) AS INT) + 1] ELSE 'PARTIAL_RUN' END AS label FROM
+@query("E12_positional_label", """SELECT unit_id, CASE WHEN s = 6 THEN (['X', 'Y', 'Z'])[CAST((r - 1) // 2 AS INT) + 1] ELSE 'PARTIAL_RUN' END AS label FROM
 (SELECT unit_id, row_number() OVER (PARTITION BY lot, layer, CAST(time AS DATE) ORDER BY entity, unit_id) AS r, count(*) OVER (PARTITION BY lot, layer, CAST(time AS DATE)) AS s FROM u)""")
 def e12(spark, d):
     u = units(spark, d).withColumn("day", F.to_date("time"))
-    return W.positional_label(u, ["lot", "layer", "day"], "entity", ["X", "Y", "Z"], ["unit_id"]).select("unit_id", "label")
+    return W.positional_label(u, ["lot", "layer", "day"], "entity", ["X", "Y", "Z"], 2, ["unit_id"]).select("unit_id", "label")
 
 
 @query("E13_block_index", """SELECT unit_id, CAST(r // 25 AS INT) AS block, CAST(r % 25 + 1 AS INT) AS position, coalesce((['P', 'Q', 'R'])[CAST(r // 25 AS INT) + 1], 'PARTIAL_RUN') AS block_label FROM (SELECT unit_id, row_number() OVER (PARTITION BY lot, layer ORDER BY time, unit_id) - 1 AS r FROM u)""")

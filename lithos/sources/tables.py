@@ -68,15 +68,41 @@ def latest_per(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> D
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_n = 1").drop("_n")
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
-    """A full overwrite through Spark's committer: readers see a finished folder or the one before."""
-    df.write.mode(mode).partitionBy(*partition_by).parquet(path)
-
-
-def replace_table(df: DataFrame, path: str, staging: str) -> None:
-    """Write to ``staging`` first, then overwrite ``path`` from it: ``df`` may itself read ``path``."""
-    df.write.mode("overwrite").parquet(staging)
-    df.sparkSession.read.schema(df.schema).parquet(staging).write.mode("overwrite").parquet(path)
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, where = _file_system(spark, path)
+    return fs.exists(where)
+
+
+def recover_table(spark: SparkSession, path: str) -> None:
+    """Finish a swap that died between its two renames: the table set aside takes its place again."""
+    if not exists(spark, path) and exists(spark, path + ".before"):
+        fs, where = _file_system(spark, path)
+        fs.rename(_file_system(spark, path + ".before")[1], where)
+
+
+def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """A full overwrite by way of a folder beside it: ``df`` may itself read ``path``, and a failed write leaves ``path`` as it was.
+
+    The new folder is written whole, then the old one is set aside and the new one renamed. A crash between the two renames
+    leaves the old table as ``path.before``; ``recover_table`` (or the next write) puts it back.
+    """
+    spark = df.sparkSession
+    recover_table(spark, path)
+    fs, where = _file_system(spark, path)
+    fresh, before = (_file_system(spark, path + end)[1] for end in (".new", ".before"))
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(str(fresh))
+    fs.delete(before, True)
+    if fs.exists(where) and not fs.rename(where, before):
+        raise OSError(f"could not set {path} aside")
+    if not fs.rename(fresh, where):
+        fs.rename(before, where)
+        raise OSError(f"could not rename the new table to {path}")
+    fs.delete(before, True)
 
 
 def export_recent(df: DataFrame, time: str, days: int) -> DataFrame:

@@ -4,22 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 
 from lithos.operators.merge import keep_last
-from lithos.sources.tables import replace_table
+from lithos.sources.tables import exists, recover_table, write_table
 
 
-def merge_batches(path: str, staging: str, keys: Sequence[str], tie: Sequence[Column]) -> Callable[[DataFrame, int], None]:
-    """For ``writeStream.foreachBatch``: the new batch wins on equal keys; a batch that runs again changes nothing."""
+def merge_batches(path: str, keys: Sequence[str], tie: Sequence[Column]) -> Callable[[DataFrame, int], None]:
+    """For ``writeStream.foreachBatch``: the new batch wins on equal keys; a batch that runs again changes nothing.
+
+    Each batch writes the whole table anew and swaps it in; a swap that died is finished first, so nothing held is lost.
+    """
 
     def run(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        try:
-            held = spark.read.parquet(path)
-        except AnalysisException:
-            held = batch.limit(0)
-        replace_table(keep_last([held, batch], keys, tie), path, f"{staging}/{number}")
+        recover_table(spark, path)
+        held = spark.read.parquet(path) if exists(spark, path) else batch.limit(0)
+        write_table(keep_last([held, batch], keys, tie), path)
 
     return run

@@ -45,16 +45,94 @@ def test_fleet_lookback_over_empty_days(spark):
     assert rows(windows.fleet_lookback(a, h, "t", 3 * windows.DAY, {"n": F.count(F.lit(1))}), "id", "n") == [(1, 1), (2, 2), (3, 2), (4, 0), (5, None)]
 
 
-def test_statuses_of_null(spark):
-    df = spark.createDataFrame([(None,), (0.0,), (1.0,), (9.0,)], "v double")
-    got = rows(df, S.status2("v", 5), S.class4("v", 0.5, 5), S.is_zero("v", 0.5))
-    assert got == sorted([("HIGHFLIER", "UNKNOWN", False), ("BSL", "ZERO", True), ("BSL", "BSL", False), ("HIGHFLIER", "HIGHFLIER", False)], key=repr)
+def test_statuses_at_their_bounds(spark):
+    df = spark.createDataFrame([(None,), (0.0,), (0.5,), (5.0,), (-1.0,), (9.0,)], "v double")
+    got = [tuple(r) for r in df.select(S.status2("v", 5), S.class4("v", 5), S.is_zero("v")).collect()]
+    assert got == [("HIGHFLIER", "UNKNOWN", False), ("BSL", "ZERO", True), ("BSL", "BSL", False), ("HIGHFLIER", "HIGHFLIER", False), ("BSL", "HIGHFLIER", False), ("HIGHFLIER", "HIGHFLIER", False)]
+
+
+def test_rollout_status_of_all_flags(spark):
+    df = spark.createDataFrame([("ON", "OFF", "OFF", "ON"), ("OFF", "ON", "OFF", "OFF"), ("OFF", "ON", "ON", "ON"), ("OFF", "OFF", "ON", "OFF"), ("OFF", "OFF", "OFF", "OFF"), ("OFF", None, "ON", "ON"), (None, "x", "ON", None)], "p string, a string, b string, s string")
+    got = [r[0] for r in df.select(S.rollout_status("p", ("a", "b"), ("BASE", "A", "B", "A+B"), {"s": "+S"})).collect()]
+    assert got == ["PRIORITY", "A", "A+B+S", "B", "BASE", "ERROR+S", "ERROR"]
+
+
+def test_recipe_groups_in_order(spark):
+    df = spark.createDataFrame([(None, "T1", False, "x"), ("m_gab", "T1", False, "x"), ("gab", "T1", True, "a5"), ("gab", "T1", False, "a5"), ("s_gab", "UNKNOWN", False, "a5"), ("gab", "T1", None, None), ("gab", "T2", False, "a5"), ("pil teach", "T2", False, "x"), ("pil", "T2", False, "x")], "r string, t string, test boolean, d string")
+    rule = S.recipe_group("r", "t", F.col("test"), "d", monitor_prefixes=["M_", "C_"], monitor_words=["TEACH"], monitor="MON", layer_rule=("T1", "5", "L5"), special_prefix="S_", special_suffix="SIF", keywords={"T1": {"GAB": "1GAB"}, "T2": {"PIL": "2PIL"}})
+    assert [r[0] for r in df.select(rule).collect()] == ["OTHER", "MON", "MON", "L5", "NSIF", "1GAB", "OTHER", "MON", "2PIL"]
+
+
+def test_layers_and_products(spark):
+    df = spark.createDataFrame([("L5", "T1", False, "xM5", "A"), ("L5", "T1", True, "xM5", "A"), ("L5", "T2", False, "xM5", "MON"), ("L5", "T1", None, None, None), ("L6", "T1", False, "xM5", "A")], "l string, t string, test boolean, d string, g string")
+    got = [tuple(r) for r in df.select(S.layer_match("l", "t", F.col("test"), "d", {"L5": ("T1", ["M5", "MT5"])}), S.is_product(F.col("test"), "g", "MON")).collect()]
+    assert got == [(True, True), (False, False), (False, False), (False, True), (False, True)]
+
+
+def test_text_rules(spark):
+    df = spark.createDataFrame([('a,b\t"c"\r\n\x07é', " <x>/\\|?*: ", "A-b_1 é")], "a string, b string, c string")
+    assert tuple(df.select(S.clean_text("a"), S.safe_token("b"), S.sanitize_identifier("c")).first()) == ("a;b 'c'   é", "_x_______", "Ab_1")
+    with pytest.raises(Exception, match="no identifier"):
+        df.select(S.sanitize_identifier(F.lit("--"))).collect()
+    sides = spark.createDataFrame([(f"T{k}",) for k in range(10)], "s string").select(S.side("s"))
+    assert [r[0] for r in sides.collect()] == [None, "LEFT", "RIGHT", "LEFT", "RIGHT", "LEFT", "RIGHT", None, None, None]
+    blank = spark.createDataFrame([(" ", "NaN"), (None, " x ")], "a string, b string").select(S.first_nonblank("a", "b"))
+    assert [r[0] for r in blank.collect()] == ["UNKNOWN", "x"]
+
+
+def test_element_labels(spark):
+    df = spark.createDataFrame([(98.6, 1.4, 0.0), (5.0, 5.0, 2.5), (None, -1.0, 0.0)], "si double, c double, o double")
+    assert [r[0] for r in df.select(S.element_label({"si": "Si", "c": "C", "o": "O"})).collect()] == ["SiC - (99,1)", "SiCO - (5,5,2)", ""]
+
+
+def test_image_paths(spark):
+    schema = "e string, k string, t timestamp, l string, u string, y string, p double, i string, f string"
+    df = spark.createDataFrame([("E1_L", "SMALL", t(5, 6, 7), "LOT1", "ABCDE123", "M:1", 12.0, "3", "x.y/a.TIF"), (None, "FLAKE", None, "L2", "77", None, None, None, None)], schema)
+    path = S.image_path("img", entity="e", klass="k", short={"SMALL": "SMP"}, ambiguous=["FLAKE"], time="t", lot="l", unit="u", layer="y", point="p", image="i", file="f", ambiguous_folder="ODD")
+    made = df.select(path.alias("path"))
+    assert [r[0] for r in made.collect()] == ["img/E1_L/240105_0607_LOT1_123_SMP_M_1_12_3.tif", "img/ODD/FLAKE/UNKNOWN/000000_0000_L2_77_FLAKE_UNKNOWN_0_0.jpg"]
+    assert [tuple(r[0]) for r in made.select(S.parse_path("path")).collect()] == [("E1_L", t(5, 6, 7), 12, 3), ("UNKNOWN", None, 0, 0)]
 
 
 def test_norm_id_and_key(spark):
-    df = spark.createDataFrame([(" 12.0 ", t(1)), ("", None), (None, None), ("x.0", t(1))], "a string, t timestamp")
-    assert [r[0] for r in df.select(S.norm_id("a")).collect()] == ["12", None, None, "x.0"]
+    df = spark.createDataFrame([(" 12.0 ", t(1)), ("", None), (None, None), ("x.0", t(1)), ("007", None), ("+7", None), ("7e0", None), ("7d", None), ("nan", None), ("1.5", None)], "a string, t timestamp")
+    assert [r[0] for r in df.select(S.norm_id("a")).collect()] == ["12", None, None, "x.0", "7", "7", "7", "7d", "nan", "1.5"]
     assert df.select(S.norm_key(["a", "t"], ["t"])).first()[0] == "12|2024-01-01 00:00:00"
+    two = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), ("a\\", "b")], "x string, y string")
+    assert len({r[0] for r in two.select(S.norm_key(["x", "y"])).collect()}) == 3
+    assert two.where("x != 'a\\\\'").select(compare.row_hashes(two, ["x", "y"])).distinct().count() == 2
+
+
+def test_positional_labels_need_whole_blocks(spark):
+    df = spark.createDataFrame([(k, "a") for k in range(6)] + [(k, "b") for k in range(3)] + [(k, "c") for k in range(5)], "s int, g string")
+    got = {g: [r.label for r in windows.positional_label(df, ["g"], "s", ["X", "Y", "Z"], 2).where(F.col("g") == g).orderBy("s").collect()] for g in "abc"}
+    assert got == {"a": ["X", "X", "Y", "Y", "Z", "Z"], "b": ["PARTIAL_RUN"] * 3, "c": ["PARTIAL_RUN"] * 5}
+
+
+def test_numeric_texts_and_their_flags(spark):
+    df = spark.createDataFrame([("1 2", None), ("3", "N"), ("4", "D"), ("5", "Y"), (" ", None), ("6a", "N")], "v string, d string")
+    assert rows(filters.numeric_text(df, "v", "d"), "v", "number") == [("1 2", None), ("3", 3.0)]
+
+
+def test_nearest_within_the_groups_range(spark):
+    left = spark.createDataFrame([(1, "a", t(10)), (2, "a", t(12))], "id int, k string, t timestamp")
+    right = spark.createDataFrame([("a", t(7), 1), ("a", t(20), 2), ("a", t(14), 3)], "k string, rt timestamp, v int")
+    assert rows(asof.asof_nearest(left, right, ["k"], "t", "rt", ["v"], margin_days=2), "id", "near_v") == [(1, 3), (2, 3)]
+
+
+def test_a_swap_that_died_loses_nothing(spark, tmp_path):
+    import os
+
+    from lithos.streaming.sink import merge_batches
+
+    path = str(tmp_path / "t")
+    tables.write_table(spark.range(100).selectExpr("id AS k", "1 AS v"), path)
+    os.rename(path, path + ".before")  # a crash between the two renames
+    merge_batches(path, ["k"], [F.col("v")])(spark.createDataFrame([(7, 2), (200, 2)], "k long, v int"), 0)
+    held = spark.read.parquet(path)
+    assert held.count() == 101 and held.where("v = 2").count() == 2 and not tables.exists(spark, path + ".before")
+    tables.write_table(spark.read.parquet(path).where("k < 5"), path)  # reads what it replaces
+    assert spark.read.parquet(path).count() == 5
 
 
 def test_runs_split_over_the_gap_only(spark):
@@ -146,7 +224,7 @@ def test_scan_checks_columns(spark, tmp_path):
 def test_stream_sink_merges_once(spark, tmp_path):
     from lithos.streaming.sink import merge_batches
 
-    run = merge_batches(str(tmp_path / "t"), str(tmp_path / "s"), ["k"], [F.col("v")])
+    run = merge_batches(str(tmp_path / "t"), ["k"], [F.col("v")])
     batch = spark.createDataFrame([(1, 2), (1, 3), (2, 1)], "k int, v int")
     run(batch, 0)
     run(batch, 0)
