@@ -60,16 +60,9 @@ def b7(spark, d):
 
 
 @query("B8_status_filter", f"""WITH s AS ({_S})
-SELECT 'all' AS mode, unit_id FROM s WHERE unit_id % 50 = 0 UNION ALL SELECT 'hide_high', unit_id FROM s WHERE status <> 'HIGHFLIER' UNION ALL SELECT 'hide_baseline', unit_id FROM s WHERE status <> 'BSL'
-UNION ALL SELECT 'hide_high_A', unit_id FROM s WHERE NOT (klass = 'A' AND status = 'HIGHFLIER') UNION ALL SELECT 'hide_baseline_B', unit_id FROM s WHERE status_b <> 'BSL'""")
-def b8(spark, d):
-    return b8_whole(spark, d).where("mode <> 'all' OR unit_id % 50 = 0")
-
-
-@query("B8_status_filter_whole", f"""WITH s AS ({_S})
 SELECT 'all' AS mode, unit_id FROM s UNION ALL SELECT 'hide_high', unit_id FROM s WHERE status <> 'HIGHFLIER' UNION ALL SELECT 'hide_baseline', unit_id FROM s WHERE status <> 'BSL'
 UNION ALL SELECT 'hide_high_A', unit_id FROM s WHERE NOT (klass = 'A' AND status = 'HIGHFLIER') UNION ALL SELECT 'hide_baseline_B', unit_id FROM s WHERE status_b <> 'BSL'""")
-def b8_whole(spark, d):
+def b8(spark, d):
     s = _with_status(spark, d)
     modes = [("all", "all", None), ("hide_high", "hide_high", None), ("hide_baseline", "hide_baseline", None), ("hide_high_A", "hide_high", "A"), ("hide_baseline_B", "hide_baseline", "B")]
     parts = [s.where(B.status_predicate(m, "status", "klass", {"B": "status_b"}, c)).select(F.lit(n).alias("mode"), "unit_id") for n, m, c in modes]

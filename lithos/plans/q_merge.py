@@ -15,13 +15,8 @@ def g1(spark, d):
     return G.union_distinct([g.where("lot % 3 = 0"), g.where("lot % 2 = 0")])
 
 
-@query("G2_dedup_keep_last", """SELECT lot, slot, src, price FROM (SELECT *, row_number() OVER (PARTITION BY lot, slot ORDER BY src DESC, price DESC, part DESC, entity DESC) AS n FROM (SELECT *, lot % 2 AS src FROM g WHERE slot < 4 UNION ALL SELECT *, 2 FROM g WHERE recipe = 'R' AND slot < 4)) WHERE n = 1""")
+@query("G2_dedup_keep_last", """SELECT lot, slot, src, price FROM (SELECT *, row_number() OVER (PARTITION BY lot, slot ORDER BY src DESC, price DESC, part DESC, entity DESC) AS n FROM (SELECT *, lot % 2 AS src FROM g UNION ALL SELECT *, 2 FROM g WHERE recipe = 'R')) WHERE n = 1""")
 def g2(spark, d):
-    return g2_whole(spark, d).where("slot < 4")
-
-
-@query("G2_dedup_keep_last_whole", """SELECT lot, slot, src, price FROM (SELECT *, row_number() OVER (PARTITION BY lot, slot ORDER BY src DESC, price DESC, part DESC, entity DESC) AS n FROM (SELECT *, lot % 2 AS src FROM g UNION ALL SELECT *, 2 FROM g WHERE recipe = 'R')) WHERE n = 1""")
-def g2_whole(spark, d):
     g = usage(spark, d).withColumn("src", F.col("lot") % 2)
     tie = [F.col("price"), F.col("part"), F.col("entity")]
     return G.keep_last([g.where("src = 0"), g.where("src = 1"), g.where("recipe = 'R'").withColumn("src", F.lit(2).cast("long"))], ["lot", "slot"], tie).select("lot", "slot", "src", "price")

@@ -27,15 +27,8 @@ def e1(spark, d):
     return out.select("unit_id", "fleet_count_7d", "fleet_a_count_7d", F.round("fleet_a_rate_7d", 6).alias("fleet_a_rate_7d"), "device_count_7d", "entity_count_7d", "entity_a_count_7d", F.round("entity_a_rate_7d", 6).alias("entity_a_rate_7d"), "entity_count_2d")
 
 
-@query("E2_usage_by_group", f"""WITH own AS (SELECT lot, entity, max(time) AS time FROM g WHERE lot % 10 = 0 GROUP BY lot, entity)
-SELECT o.lot, o.entity, count(*) FILTER (recipe = 'A' AND epoch_us(g.time) >= epoch_us(o.time) - 20 * {DAY}) AS "A_480h", count(*) FILTER (recipe = 'R' AND epoch_us(g.time) >= epoch_us(o.time) - 20 * {DAY}) AS "R_480h", count(*) FILTER (recipe = 'R') AS "R_2400h"
-FROM own o LEFT JOIN g ON g.entity = o.entity AND g.time < o.time AND epoch_us(g.time) >= epoch_us(o.time) - 100 * {DAY} GROUP BY o.lot, o.entity""")
+@query("E2_usage_by_group")
 def e2(spark, d):
-    return e2_whole(spark, d).where("lot % 10 = 0")
-
-
-@query("E2_usage_by_group_whole")
-def e2_whole(spark, d):
     """Every lot and entity; SQL over all is too slow, so E2 holds a tenth of these against it."""
     g = usage(spark, d)
     own = g.groupBy("lot", "entity").agg(F.max("time").alias("time"))
@@ -43,15 +36,8 @@ def e2_whole(spark, d):
     return out.select("lot", "entity", "A_480h", "R_480h", "R_2400h")
 
 
-@query("E3_usage_layer_product", f"""WITH v AS (SELECT * FROM u WHERE unit_id % 20 = 0) SELECT v.unit_id,
-(SELECT count(*) FROM u h WHERE h.time < v.time AND epoch_us(h.time) >= epoch_us(v.time) - 3 * {DAY}) AS fleet_all, (SELECT count(*) FROM u h WHERE h.layer = 'view' AND h.time < v.time AND epoch_us(h.time) >= epoch_us(v.time) - 3 * {DAY}) AS fleet_layer,
-(SELECT count(*) FROM u h WHERE h.entity = v.entity AND h.time < v.time AND epoch_us(h.time) >= epoch_us(v.time) - 3 * {DAY}) AS entity_all FROM v""")
+@query("E3_usage_layer_product")
 def e3(spark, d):
-    return e3_whole(spark, d).where("unit_id % 20 = 0")
-
-
-@query("E3_usage_layer_product_whole")
-def e3_whole(spark, d):
     """Every unit; SQL over all is too slow, so E3 holds a twentieth of these against it."""
     u = units(spark, d)
     sums = {"fleet_all": F.count(F.lit(1)), "fleet_layer": F.count_if(F.col("layer") == "view")}
