@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from lithos.llm._text import binary_array, ragged_take, raw, string_array, sums, text_slices
 from lithos.llm.word_pieces import byte_letters
 
-MEMO = 300_000
+MEMO = 120_000
 #: Texts in which a run of white space holds a blank that isn't the single one before a word; they are split whole.
 _RUNS = re.compile(r"  |\s \s| \Z")
 

@@ -36,8 +36,10 @@ TRAIN_LIMIT, LANDMARKS, LENGTHS = 12_000, 64, (4, 5, 6)
 DECAY, SPAN, POWER, WINDOWS = 0.7, 5, 5, (5, 8)
 #: Sentences of each labelled document that the machine is fitted on.
 SENTENCES = 6
-#: Words whose values a Python worker remembers.
-MEMO = 200_000
+#: Strings that a task counts before it passes the counts on.
+COUNTED = 50_000
+#: Bytes of text that are worked through at once.
+SLICE_BYTES = 3 << 20
 #: A landmark is met in so many toxic training documents at least, and so many times as often in them as in others.
 LEAST_DOCS, LEAST_RATIO = 5, 12.0
 #: Words of a document that begin with a start for the document to count for it, and lengths of starts; the same least numbers hold.
@@ -56,7 +58,7 @@ for _d, _c in _DIGITS.items():
     _PLAIN[_d] = ord(_c)
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=50_000)
 def letters(word: str) -> str:
     """Lower-case letters of a word; digits that stand for letters are read so where letters are beside them."""
     word = word.lower()
@@ -118,37 +120,28 @@ class ToxicityModel:
             self.begin[c + 1] = len(own)
         self.begin = np.cumsum(self.begin)
         flat = [x for c in sorted(owners) for x in owners[c]]
-        self.memo: dict[str, float] = {}
         self.owner, self.value = np.array([i for i, _ in flat], np.int64), np.array([v for _, v in flat])
 
     def __reduce__(self):
         return ToxicityModel, (self.landmarks, self.whiten, self.weights, self.bias, self.knots, self.starts, self.rates, self.start_knots, self.both_knots, self.left_out)
 
-    def word_kernels(self, plain: pa.Array) -> np.ndarray:
-        """Of each word (as ``letters`` reads it) the sum over its windows of the powered kernel with each landmark."""
+    def word_kernels(self, plain: pa.Array, weights: np.ndarray | None = None) -> np.ndarray:
+        """Of each word (as ``letters`` reads it) the sum over its windows of the powered kernel with each landmark, or with ``weights`` their weighted sum."""
         m = len(self.landmarks)
-        out = np.zeros((len(plain), m))
+        out = np.zeros((len(plain), m if weights is None else 1))
         for a in range(0, len(plain), 4096):
-            word, window, code, weight = _window_parts(plain.slice(a, 4096))
+            word, window, code, weight = _window_parts(plain.slice(a, 4096), np.diff(self.begin) > 0)
             count = np.diff(self.begin)[code]
             own = ragged_take(np.arange(len(self.owner)), self.begin[code], count)
             slot = np.repeat(window, count) * m + self.owner[own]
             own_kernels = np.bincount(slot, np.repeat(weight, count) * self.value[own], len(word) * m).reshape(len(word), m) ** POWER
+            if weights is not None:
+                own_kernels = (own_kernels @ weights)[:, None]
             first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]])) if len(word) else np.zeros(0, np.int64)
             if len(first):
                 out[a + word[first]] = np.add.reduceat(own_kernels, first, axis=0)
         return out
 
-    def word_values(self, plain: pa.Array, weights: np.ndarray) -> np.ndarray:
-        """Of each word its kernels' weighted sum; words that were met before are remembered, up to ``MEMO`` of them."""
-        words = plain.to_pylist()
-        fresh = [k for k, w in enumerate(words) if w not in self.memo]
-        known = dict(zip([words[k] for k in fresh], (self.word_kernels(plain.take(pa.array(fresh, pa.int64()))) @ weights).tolist(), strict=True))
-        out = np.array([self.memo[w] if w in self.memo else known[w] for w in words], float)
-        if len(self.memo) < MEMO:
-            self.memo |= known
-        return out
-
     def decide(self, sentences: np.ndarray) -> np.ndarray:
         return sentences @ self.whiten @ self.weights + self.bias
 
@@ -191,8 +184,15 @@ def _spelled(chunks: pa.Array, starts: np.ndarray) -> list[tuple[int, str]]:
     return out
 
 
-def _window_parts(plain: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The word of each window (in order of words); and of each window's distinct subsequences: window, code, and weight scaled as in ``subsequences``."""
+#: Norm of a window of each length before it is scaled, where its letters all differ.
+_NORMS = np.sqrt([sum(max(0, n - k) * DECAY ** (2 * (k - 2)) for _, k in _GAPS) for n in range(max(WINDOWS) + 1)])
+
+
+def _window_parts(plain: pa.Array, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The word of each window (in order of words); and of each window's distinct subsequences: window, code, and weight scaled as in ``subsequences``.
+
+    Of windows whose letters all differ only the ``wanted`` subsequences are worked out, as their norm is known.
+    """
     data, off = raw(plain)
     code = np.zeros(256, np.int64)
     code[97:123] = np.arange(26)
@@ -216,20 +216,28 @@ def _window_parts(plain: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     word, start, length = np.concatenate(words), np.concatenate(starts), np.concatenate(lengths)
     order = np.argsort(word, kind="stable")
     word, start, length = word[order], start[order], length[order]
+    longest = max(WINDOWS)
+    padded = np.concatenate([letter, np.zeros(longest, np.int64)])
+    again = np.zeros(len(word), bool)
+    for i in range(longest - 1):
+        for j in range(i + 1, longest):
+            again |= (padded[start + i] == padded[start + j]) & (j < length)
     keys, weights = [], []
     for j, k in _GAPS:
         spots = np.maximum(length - k, 0)
         window = np.repeat(np.arange(len(word)), spots)
         at = start[window] + np.arange(len(window)) - np.repeat(np.cumsum(spots) - spots, spots)
-        keys.append((window << 15) | (letter[at] << 10) | (letter[at + j] << 5) | letter[at + k])
-        weights.append(np.full(len(window), DECAY ** (k - 2)))
+        triple = (letter[at] << 10) | (letter[at + j] << 5) | letter[at + k]
+        needed = wanted[triple] | again[window]
+        keys.append(((window << 15) | triple)[needed])
+        weights.append(np.full(len(keys[-1]), DECAY ** (k - 2)))
     key, weight = np.concatenate(keys), np.concatenate(weights)
     order = np.argsort(key, kind="stable")
     key, weight = key[order], weight[order]
     begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
     weight = np.add.reduceat(weight, begin) if len(begin) else weight
     window, triple = key[begin] >> 15, key[begin] & 0x7FFF
-    norm = np.sqrt(np.bincount(window, weight * weight, len(word)))
+    norm = np.where(again, np.sqrt(np.bincount(window, weight * weight, len(word))), _NORMS[length])
     return word, window, triple, weight / norm[window]
 
 
@@ -302,10 +310,7 @@ def sentence_kernels(split: _Split, model: ToxicityModel, weights: np.ndarray |
     """For each sentence its text's index and its kernels with all landmarks, or with ``weights`` their weighted sum."""
     spelt = _spelled(split.chunks, split.starts)
     others = pa.array([letters(w) for _, w in spelt], pa.large_string())
-    if weights is None:
-        values, extra = model.word_kernels(split.plain), model.word_kernels(others)
-    else:
-        values, extra = model.word_values(split.plain, weights)[:, None], model.word_values(others, weights)[:, None]
+    values, extra = model.word_kernels(split.plain, weights), model.word_kernels(others, weights)
     values[_begins(split.plain, model.left_out)] = 0
     return sentence_sums(split, values, extra, np.array([p for p, _ in spelt], np.int64))
 
@@ -323,6 +328,11 @@ def _document_windows(left_out: list[str]) -> Callable[[Iterator[pa.RecordBatch]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, Counter[str]] = {0: Counter(), 1: Counter()}
+
+        def counted(label: int) -> pa.RecordBatch:
+            n, none = pa.array(list(total[label].values()), pa.int64()), pa.array(np.zeros(len(total[label]), np.int64))
+            return pa.RecordBatch.from_arrays([pa.array(list(total[label]), pa.string()), *((n, none) if label else (none, n))], ["w", "toxic", "clean"])
+
         for batch in batches:
             for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
                 found: set[str] = set()
@@ -331,10 +341,10 @@ def _document_windows(left_out: list[str]) -> Callable[[Iterator[pa.RecordBatch]
                         for n in LENGTHS:
                             found.update([word[i : i + n] for i in range(len(word) - n + 1)])
                 total[label].update(found)
-        for label, own in total.items():
-            n = pa.array(list(own.values()), pa.int64())
-            none = pa.array(np.zeros(len(own), np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.string()), *((n, none) if label else (none, n))], ["w", "toxic", "clean"])
+                if len(total[label]) > COUNTED:
+                    yield counted(label)
+                    total[label].clear()
+        yield from map(counted, total)
 
     return run
 
@@ -446,7 +456,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, *, label: str = "toxic",
 
     def repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch):
+            for part in text_slices(batch, limit=SLICE_BYTES):
                 hits, n_words = start_hits(_split(part.column("text")), starts)
                 rows = pa.array([x.tobytes() for x in hits.astype("<i4")], pa.binary())
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("label"), pa.array(n_words, pa.int64()), rows], ["id", "label", "n_words", "hits"])
@@ -472,7 +482,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, *, label: str = "toxic",
 
     def sentences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch):
+            for part in text_slices(batch, limit=SLICE_BYTES):
                 for altered in (False, True):
                     if altered:
                         part = part.filter(pc.equal(part.column("label"), 1))
@@ -527,7 +537,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, *, id_col: str = "doc_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch):
+            for part in text_slices(batch, limit=SLICE_BYTES):
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(_scores(part.column("text"), held.value))], ["id", "score"])
 
     chosen = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
@@ -554,7 +564,7 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel, *, limit: float = 0.7, tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch, text_col):
+            for part in text_slices(batch, text_col, SLICE_BYTES):
                 yield part.filter(pa.array(_scores(part.column(text_col), held.value) < limit))
 
     return docs.mapInArrow(run, docs.schema)
