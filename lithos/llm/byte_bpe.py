@@ -146,11 +146,32 @@ def byte_bpe_decode(encoded: DataFrame, ranks: str, *, id_col: str = "doc_id", k
         table = read_ranks(ranks)
         for batch in batches:
             for part in text_slices(batch, "ids"):
-                data, off = raw(part.column("ids"))
-                ids = np.ascontiguousarray(data).view("<u4").tolist()
-                cuts = (off // 4).tolist()
-                out = [b"".join([table[i] for i in ids[a:b]]) for a, b in zip(cuts, cuts[1:], strict=False)]
-                yield pa.RecordBatch.from_arrays([part.column("id"), *[part.column(h) for h in held], part.column("ids"), pa.array(out, pa.binary())], ["id", *held, "ids", "decoded"])
+                yield pa.RecordBatch.from_arrays([part.column("id"), *[part.column(h) for h in held], part.column("ids"), _decoded(part.column("ids"), table)], ["id", *held, "ids", "decoded"])
 
     chosen = encoded.select(F.col(id_col).cast("long").alias("id"), *[F.col(c).alias(h) for h, c in zip(held, keep, strict=True)], F.coalesce("ids", F.lit(b"")).alias("ids"))
     return chosen.mapInArrow(run, schema).withColumnsRenamed({"id": id_col} | dict(zip(held, keep, strict=True)))
+
+
+def _decoded(ids: pa.Array, table: list[bytes]) -> pa.Array:
+    data, off = raw(ids)
+    flat = np.ascontiguousarray(data).view("<u4").tolist()
+    cuts = (off // 4).tolist()
+    return pa.array([b"".join([table[i] for i in flat[a:b]]) for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary())
+
+
+def byte_bpe_round_trip(docs: DataFrame, ranks: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``doc_id, ids, decoded`` (and ``keep`` columns): ``byte_bpe_encode`` and then ``byte_bpe_decode`` of its ids, in one Python worker a task."""
+    keep = keep or []
+    held = [f"kept_{k}" for k in range(len(keep))]
+    schema = ", ".join(["id long", *[f"{h} {docs.schema[c].dataType.simpleString()}" for h, c in zip(held, keep, strict=True)], "ids binary", "decoded binary"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = BytePieces.of(ranks, pattern)
+        for batch in batches:
+            for part in text_slices(batch):
+                flat, at = pieces.encode(part.column("text"))
+                ids = binary_array(flat.astype("<u4").view(np.uint8), at * 4)
+                yield pa.RecordBatch.from_arrays([part.column("id"), *[part.column(h) for h in held], ids, _decoded(ids, pieces.tokens)], ["id", *held, "ids", "decoded"])
+
+    chosen = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), *[F.col(c).alias(h) for h, c in zip(held, keep, strict=True)])
+    return chosen.mapInArrow(run, schema).withColumnsRenamed({"id": id_col} | dict(zip(held, keep, strict=True)))

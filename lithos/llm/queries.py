@@ -42,8 +42,7 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path(BYTE_BPE)
-    encoded = byte_bpe.byte_bpe_encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    decoded = byte_bpe.byte_bpe_decode(encoded, ranks)
+    decoded = byte_bpe.byte_bpe_round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
     return decoded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -72,6 +72,8 @@ def test_byte_bpe_is_tiktokens(spark):
     want = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks={t: i for i, t in enumerate(tokens)}, special_tokens={})
     encoded = byte_bpe.byte_bpe_encode(documents(spark, rows()), BYTE, public_tokenizers.PATTERN, offsets=True, keep=["lang"])
     decoded = byte_bpe.byte_bpe_decode(encoded.drop("char_starts"), BYTE, keep=["lang"]).collect()
+    once = byte_bpe.byte_bpe_round_trip(documents(spark, rows()), BYTE, public_tokenizers.PATTERN, keep=["lang"])
+    assert sorted(map(str, once.collect())) == sorted(map(str, decoded))
     texts = {(str(i), hashlib.sha256((t or "").encode()).hexdigest()): t or "" for i, t in rows()}
     assert len(decoded) == len(rows())
     for r in decoded:
