@@ -53,7 +53,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     rest = F.struct(F.col("text").isNull().alias("none"), *[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns) if c != "text"])
     given = docs.select("doc_id", "text", rest.alias("rest"))
-    decoded = byte_bpe.byte_bpe_decode(byte_bpe.byte_bpe_encode(given, ranks, public_tokenizers.PATTERN, keep=["rest"]), ranks, keep=["rest"])
+    decoded = byte_bpe.byte_bpe_round_trip(given, ranks, public_tokenizers.PATTERN, keep=["rest"])
     text = F.when(~F.col("rest.none"), F.decode("decoded", "UTF-8"))
     new = {c: c + "_new" if c in docs.columns else c for c in ("n_tokens", "ids")}
     columns = [(text if c == "text" else F.col(f"rest.c{k}")).alias(c) for k, c in enumerate(docs.columns)]
