@@ -216,12 +216,10 @@ def _bounded(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
 
 
 class _Texts:
-    """The n-gram sets of compressed texts, by position."""
+    """The n-gram sets of texts, by position."""
 
-    def __init__(self, packed: list[bytes], n: int):
-        undo = zstandard.ZstdDecompressor()
-        texts = [undo.decompress(p).decode() for p in packed]
-        self.hashes, self.at = gram_sets(pa.array(texts, pa.large_string()), n)
+    def __init__(self, texts: list[bytes], n: int):
+        self.hashes, self.at = gram_sets(pa.array([t.decode() for t in texts], pa.large_string()), n)
 
     def overlaps(self, i: int, others: np.ndarray) -> np.ndarray:
         """Size of the overlap of set ``i`` with each of others."""
@@ -243,13 +241,14 @@ def _verified(pairs: DataFrame, profiles: DataFrame, n: int, percent: int) -> Da
     joined = pairs.join(profiles.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b").join(profiles.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        undo = zstandard.ZstdDecompressor()
         for whole in batches:
             for start in range(0, whole.num_rows, 1000):
                 batch = whole.slice(start, 1000)
                 a, b = np.asarray(batch.column("a")), np.asarray(batch.column("b"))
                 nodes, first, where = np.unique(np.concatenate([a, b]), return_index=True, return_inverse=True)
                 packed = pa.concat_arrays([batch.column("text_a"), batch.column("text_b")]).take(pa.array(first)).to_pylist()
-                sets = _Texts(packed, n)
+                sets = _Texts([undo.decompress(p) for p in packed], n)
                 i, j = where[: len(a)], where[len(a) :]
                 good = np.array([sets.linked(x, np.array([y]), percent)[0] for x, y in zip(i.tolist(), j.tolist(), strict=True)], bool)
                 yield batch.select(["a", "b"]).filter(pa.array(good))
@@ -272,7 +271,7 @@ def _small_pairs(left: DataFrame, profiles: DataFrame, percent: int) -> DataFram
     return sized.join(other, "key").where(good).select(F.col("node").alias("a"), "b").distinct()
 
 
-_TILE_SCHEMA = "tile long, nodes array<long>, components array<long>, sizes array<int>, points array<binary>, texts array<binary>, low int, high int, box array<int>, single long"
+_TILE_SCHEMA = "tile long, nodes array<long>, components array<long>, sizes array<int>, lengths array<int>, packed binary, low int, high int, box array<int>, single long"
 
 
 def _tiles(large: DataFrame, profiles: DataFrame) -> DataFrame:
@@ -297,13 +296,17 @@ def _tiles(large: DataFrame, profiles: DataFrame) -> DataFrame:
     packed = placed.groupBy("home", "own", chunk.alias("chunk")).agg(F.sort_array(F.collect_list(rows)).alias("rows"))
 
     def box(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack, undo = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
         for batch in batches:
             for tile, rows in zip(batch.column("tile").to_pylist(), batch.column("rows"), strict=True):
                 cols = {k: rows.values.field(k).to_pylist() for k in ("node", "component", "size", "point", "text")}
                 most = np.max([_folded(p, COORDINATES) if p else np.full(COORDINATES, 1 << 30) for p in cols["point"]], axis=0)
                 single = cols["component"][0] if len(set(cols["component"])) == 1 else None
-                values = [tile, cols["node"], cols["component"], cols["size"], cols["point"], cols["text"], min(cols["size"]), max(cols["size"]), most.tolist(), single]
-                kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.binary()), pa.list_(pa.binary()), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.int64()]
+                # Texts of one tile are much alike: they are compressed together, and travel so.
+                parts = [*cols["point"], *[undo.decompress(t) for t in cols["text"]]]
+                lengths, packed = [len(x) for x in parts], pack.compress(b"".join(parts))
+                values = [tile, cols["node"], cols["component"], cols["size"], lengths, packed, min(cols["size"]), max(cols["size"]), most.tolist(), single]
+                kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], [c.split()[0] for c in _TILE_SCHEMA.split(", ")])
 
     return packed.select(F.xxhash64("home", "own", "chunk").alias("tile"), "rows").mapInArrow(box, _TILE_SCHEMA)
@@ -336,13 +339,22 @@ def _leaves(points_: list[bytes], sizes: np.ndarray) -> list[tuple[np.ndarray, n
     return out
 
 
+def _unpacked(tile: dict) -> tuple[list[bytes], list[bytes]]:
+    """A tile's points and texts."""
+    data, ends = zstandard.ZstdDecompressor().decompress(tile["packed"]), np.cumsum([0, *tile["lengths"]]).tolist()
+    parts = [data[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+    return parts[: len(tile["nodes"])], parts[len(tile["nodes"]) :]
+
+
 def _compare(one: dict, two: dict, same: bool, n: int, percent: int) -> list[tuple[int, int]]:
     """Links between two tiles that join what is not joined yet: leaves by boxes, points by minima, then the texts."""
+    points_one, texts_one = _unpacked(one)
+    points_two, texts_two = ([], []) if same else _unpacked(two)
     nodes = np.array(one["nodes"] + ([] if same else two["nodes"]), np.int64)
     sizes = np.array(one["sizes"] + ([] if same else two["sizes"]), np.int64)
     component = np.unique(np.array(one["components"] + ([] if same else two["components"]), np.int64), return_inverse=True)[1]
-    left = _leaves(one["points"], sizes)
-    right = left if same else [(at + len(one["nodes"]), table, d) for at, table, d in _leaves(two["points"], sizes[len(one["nodes"]) :])]
+    left = _leaves(points_one, sizes)
+    right = left if same else [(at + len(one["nodes"]), table, d) for at, table, d in _leaves(points_two, sizes[len(one["nodes"]) :])]
     texts, out = None, []
     for p, (at, table, d) in enumerate(left):
         for at2, table2, d2 in right[p:] if same else right:
@@ -362,7 +374,7 @@ def _compare(one: dict, two: dict, same: bool, n: int, percent: int) -> list[tup
                 if not len(rest):
                     continue
                 if texts is None:
-                    texts = _Texts(one["texts"] + ([] if same else two["texts"]), n)
+                    texts = _Texts(texts_one + texts_two, n)
                 for j in rest[texts.linked(i, rest, percent)].tolist():
                     if component[i] != component[j]:
                         out.append((int(nodes[i]), int(nodes[j])))
@@ -376,7 +388,7 @@ def _large_links(large: DataFrame, profiles: DataFrame, n: int, percent: int, sc
     met = _tile_pairs(large, tiles, percent)
     joined = met
     for side in ("one", "two"):
-        joined = joined.join(tiles.select(F.col("tile").alias(side), F.struct("nodes", "components", "sizes", "points", "texts").alias(f"of_{side}")), side)
+        joined = joined.join(tiles.select(F.col("tile").alias(side), F.struct("nodes", "components", "sizes", "lengths", "packed").alias(f"of_{side}")), side)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
