@@ -41,7 +41,7 @@ COORDINATES, BAND, SPARE = 32, 0.65, 2
 #: Cells of so many members are compared pair by pair; tiles and leaves of the tree over larger ones hold so many points, tiles so many bytes.
 SMALL, TILE, LEAF, TILE_BYTES, CUTS = 48, 512, 64, 4 << 20, 64
 #: Cells that a set enters in one turn for each of its n-grams; lower similarities take more turns over the keys.
-ENTRIES = 0.16
+ENTRIES = 0.11
 #: Bytes of text whose sets are made at once.
 SLICE_BYTES = 3 << 19
 #: Names of documents that are broadcast at most.
