@@ -42,6 +42,11 @@ def _units(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Each vector times the power of two that brings its largest component to 0.5 to 1: cosines stay as they are, and squares neither vanish nor overflow."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(1, initial=0, keepdims=True))[1])
+
+
 def _usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """``id, row, v``: vectors that are neither null, zero nor hold null or non-finite components."""
     v = F.transform(F.col(vec_col), lambda x: x.cast("double"))
@@ -134,31 +139,40 @@ def near_duplicates(vectors: DataFrame, *, limit: float = 0.95, id_col: str = "v
     """``vec_id, n_links, component_id`` of every row: other vectors of cosine at least ``limit``, and the least id reached over links.
 
     Vectors that are null, zero or hold null or non-finite components have no links and are their own
-    component, as have vectors of another length than the most common one. Rows with a null id have null
+    component. Vectors of unlike lengths don't link; each length is joined by itself. Rows with a null id have null
     in both columns' place of links (0) and component. Ids are to be unique; a repeated one is
     answered once per row with the links of all its vectors. An empty table gives no rows.
     """
-    spark = vectors.sparkSession
     # Vectors travel in the width they have, and are read as doubles.
     width = "<f4" if dict(vectors.dtypes)[vec_col] == "array<float>" else "<f8"
     usable = _usable(vectors, id_col, vec_col)
-    sizes = usable.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
     every = vectors.select(F.col(id_col).cast("long").alias("id"))
-    if not sizes:
+    found = None
+    for row in usable.select(F.size("v").alias("n")).distinct().orderBy("n").collect():
+        own = _found(usable.where(F.size("v") == row.n), int(row.n), width, limit)
+        found = own if found is None else found.unionByName(own)
+    if found is None:
         return every.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
-    dims = int(sizes[0].n)
+    links = found.groupBy("id").agg(F.sum("links").alias("n_links"))
+    comp = connected_components(found.where("other IS NOT NULL"), "id", "other")
+    out = every.join(links, "id", "left").join(comp.withColumnRenamed("node", "id"), "id", "left")
+    return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "id").alias("component_id"))
+
+
+def _found(usable: DataFrame, dims: int, width: str, limit: float) -> DataFrame:
+    """``id, links, other``: link counts and a spanning forest among vectors of one length."""
+    spark = usable.sparkSession
     spin = rotation(dims)
     blocks = [slice(a, min(a + BLOCK_DIMS, dims)) for a in range(0, dims, BLOCK_DIMS)]
     share = [(2 - 2 * limit) * (s.stop - s.start) / dims * (1 + 1e-9) + 1e-5 for s in blocks]
-    usable = usable.where(F.size("v") == dims)
     drawn = usable.orderBy(F.xxhash64("id", F.lit(SEED)), "id").limit(SAMPLE).select("v").toPandas()
-    sample = _units(np.array(drawn["v"].tolist())) @ spin
+    sample = _units(_scaled(np.array(drawn["v"].tolist()))) @ spin
     trees = [_splits(sample[:, s]) for s in blocks]
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = np.asarray(batch.column("v").flatten(), float).reshape(batch.num_rows, dims)
-            r = _units(x) @ spin
+            r = _units(_scaled(x)) @ spin
             for b, s in enumerate(blocks):
                 held = [row.tobytes() for row in x.astype(width)]
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), b), pa.int32()), pa.array(_cell(r[:, s], trees[b])), batch.column("id"), pa.array(held, pa.binary())], ["block", "cell", "id", "v"])
@@ -175,7 +189,7 @@ def near_duplicates(vectors: DataFrame, *, limit: float = 0.95, id_col: str = "v
 
         def flush() -> pa.RecordBatch:
             nonlocal seq, ids, held
-            r = (_units(np.frombuffer(b"".join(held), width).reshape(len(ids), dims).astype(float)) @ spin)[:, blocks[block]]
+            r = (_units(_scaled(np.frombuffer(b"".join(held), width).reshape(len(ids), dims).astype(float))) @ spin)[:, blocks[block]]
             out = pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([part * 1_000_000 + seq]), pa.array([ids], pa.list_(pa.int64())), pa.array([b"".join(held)], pa.binary()), pa.array([r.min(0).tolist()], pa.list_(pa.float64())), pa.array([r.max(0).tolist()], pa.list_(pa.float64()))], ["block", "tile", "ids", "vs", "lo", "hi"])
             seq, ids, held = seq + 1, [], []
             return out
@@ -215,17 +229,13 @@ def near_duplicates(vectors: DataFrame, *, limit: float = 0.95, id_col: str = "v
                 row = batch.slice(k, 1).to_pylist()[0]
                 same = row["one"] == row["two"]
                 ids = tuple(np.array(row[f"ids_{s}"], np.int64) for s in ("one", "two"))
-                vs = tuple(np.frombuffer(row[f"vs_{s}"], width).reshape(-1, dims).astype(float) for s in ("one", "two"))
+                vs = tuple(_scaled(np.frombuffer(row[f"vs_{s}"], width).reshape(-1, dims).astype(float)) for s in ("one", "two"))
                 a, b, forest = _join_tiles(row["block"], same, ids, vs, spin, blocks, limit)
                 some = [(int(i), int(c), None) for i, c in zip(ids[0], a, strict=True) if c] + [(int(i), int(c), None) for i, c in zip(ids[1], b, strict=True) if c] + [(x, 0, y) for x, y in forest]
                 if some:
                     yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in zip(*some, strict=True)], ["id", "links", "other"])
 
-    found = written(joined.mapInArrow(count, "id long, links long, other long"), "found")
-    links = found.groupBy("id").agg(F.sum("links").alias("n_links"))
-    comp = connected_components(found.where("other IS NOT NULL"), "id", "other")
-    out = every.join(links, "id", "left").join(comp.withColumnRenamed("node", "id"), "id", "left")
-    return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "id").alias("component_id"))
+    return written(joined.mapInArrow(count, "id long, links long, other long"), "found")
 
 
 def brute_force(ids: list[int], vectors: pd.Series, limit: float) -> dict[int, int]:

@@ -137,6 +137,13 @@ def test_embeddings_are_brute_force(spark, monkeypatch):
     assert got[None].n_links == 0 and got[None].component_id is None
 
 
+def test_embeddings_of_all_lengths_and_sizes(spark):
+    given = [*[(k, [1.0, 2.0, 3.0, 4.0]) for k in range(5)], (10, [1.0] * 8), (11, [2.0] * 8), (12, [1e-200] * 8), (13, [1e200] * 8), (20, [1.0]), (21, [-1.0]), (22, [5e-324])]
+    df = spark.createDataFrame(given, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(df, limit=0.95).collect()}
+    assert got == {**{k: (4, 0) for k in range(5)}, **{k: (3, 10) for k in range(10, 14)}, 20: (1, 20), 21: (0, 21), 22: (1, 20)}
+
+
 def test_embeddings_of_nothing(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert embedding_dedup.near_duplicates(empty).collect() == []
