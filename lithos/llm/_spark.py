@@ -37,10 +37,7 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 @contextmanager
 def _no_shuffle_files_left(spark: SparkSession) -> Iterator[None]:
-    before = spark.conf.get(CLEANUP, None)
-    if before is None:
-        yield
-        return
+    before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
     try:
         yield
