@@ -42,6 +42,8 @@ COORDINATES, BAND, SPARE = 32, 0.65, 2
 SMALL, TILE, LEAF, TILE_BYTES, CUTS = 48, 512, 64, 4 << 20, 64
 #: Cells that a set enters in one turn for each of its n-grams; lower similarities take more turns over the keys.
 ENTRIES = 0.11
+#: Pairs of tiles are compared in turns, each of which ships about so many times all tiles.
+SHIPPED = 3
 #: Bytes of text whose sets are made at once.
 SLICE_BYTES = 3 << 19
 #: Names of documents that are broadcast at most.
@@ -383,12 +385,16 @@ def _compare(one: dict, two: dict, same: bool, n: int, percent: int) -> list[tup
 
 
 def _large_links(large: DataFrame, profiles: DataFrame, n: int, percent: int, scratch: Scratch) -> DataFrame:
-    """Links within large cells, tile against tile."""
+    """Links within large cells, tile against tile.
+
+    A tile travels to each of its pairs, which may come to many times all tiles, so pairs are taken in turns by hash and
+    only one turn's shuffle files exist at a time. Two sums decide on the number of turns; results don't depend on it.
+    """
     tiles = scratch.write(_tiles(large, profiles), "tiles")
-    met = _tile_pairs(large, tiles, percent)
-    joined = met
-    for side in ("one", "two"):
-        joined = joined.join(tiles.select(F.col("tile").alias(side), F.struct("nodes", "components", "sizes", "lengths", "packed").alias(f"of_{side}")), side)
+    met = scratch.write(_tile_pairs(large, tiles, percent), "met")
+    weight = tiles.select(F.col("tile").alias("one"), F.octet_length("packed").alias("bytes"))
+    every, shipped = (df.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0] for df in (weight, met.join(weight, "one")))
+    turns = max(1, -(-shipped // max(1, SHIPPED * every)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -397,8 +403,14 @@ def _large_links(large: DataFrame, profiles: DataFrame, n: int, percent: int, sc
                 links = _compare(row["of_one"], row["of_two"], row["one"] == row["two"], n, percent)
                 yield pa.RecordBatch.from_arrays([pa.array([min(x) for x in links], pa.int64()), pa.array([max(x) for x in links], pa.int64())], ["a", "b"])
 
-    out = scratch.write(joined.mapInArrow(run, "a long, b long"), "links")
-    scratch.drop(tiles)
+    out = None
+    for turn in range(turns):
+        joined = met.where(F.pmod(F.xxhash64("one", "two"), F.lit(turns)) == turn)
+        for side in ("one", "two"):
+            joined = joined.join(tiles.select(F.col("tile").alias(side), F.struct("nodes", "components", "sizes", "lengths", "packed").alias(f"of_{side}")), side)
+        part = scratch.write(joined.mapInArrow(run, "a long, b long"), "links")
+        out = part if out is None else out.unionByName(part)
+    scratch.drop(tiles, met)
     return out
 
 
