@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lithos.llm import byte_bpe, decontaminate, embedding_dedup, ngram_jaccard, quality, secrets, suffix_dedup, token_counts, token_files, toxicity
+from lithos.llm import byte_bpe, decontaminate, embedding_dedup, merkle, ngram_jaccard, quality, secrets, sql, suffix_dedup, token_counts, token_files, toxicity
 from lithos.llm._labels import fold
 
 WORD_BPE = "word_bpe_49k.json"
@@ -71,6 +71,18 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
 
 
+#: What a leaf of the manifest is the digest of, and the letters that tampering lower-cases.
+LEAF_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = (fold("doc_id", 5) == 0, {"text": F.translate("text", UPPER, LOWER)})
+    leaves = merkle.leaf_digests(table(spark, sf_dir, "documents"), LEAF_FIELDS, tree="source", order="doc_id", changed=tampered)
+    proofs = merkle.merkle_proofs(leaves).withColumnRenamed("id", "doc_id")
+    return proofs.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 OP3_SQL = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
@@ -138,6 +150,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -145,4 +158,5 @@ ORACLE_SQL: dict[str, str] = {
     "op6_decontaminate": OP6_SQL,
     "op8_suffix_dedup": OP8_SQL,
     "op10_embedding_dedup": OP10_SQL,
+    "op13_merkle_manifest": sql.merkle_sql(LEAF_FIELDS),
 }
