@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lithos.llm import byte_bpe, decontaminate, embedding_dedup, merkle, ngram_jaccard, quality, secrets, sql, suffix_dedup, token_counts, token_files, toxicity
+from lithos.llm import byte_bpe, decontaminate, embedding_dedup, merkle, ngram_jaccard, phrases, quality, secrets, sql, suffix_dedup, token_counts, token_files, toxicity
 from lithos.llm._labels import fold
 
 WORD_BPE = "word_bpe_49k.json"
@@ -71,6 +71,10 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), depth=3, least=10, keep_percent=50, top=2000)
+
+
 #: What a leaf of the manifest is the digest of, and the letters that tampering lower-cases.
 LEAF_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -150,6 +154,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op12_phrases": op12_phrases,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
@@ -158,5 +163,6 @@ ORACLE_SQL: dict[str, str] = {
     "op6_decontaminate": OP6_SQL,
     "op8_suffix_dedup": OP8_SQL,
     "op10_embedding_dedup": OP10_SQL,
+    "op12_phrases": sql.PHRASES,
     "op13_merkle_manifest": sql.merkle_sql(LEAF_FIELDS),
 }

@@ -46,3 +46,20 @@ p AS (SELECT b.id AS doc_id, b.d AS leaf, top.d AS subroot, (SELECT d FROM t{hei
       FROM s0 b JOIN c ON c.doc_id = b.id JOIN t0 top ON top.name IS NOT DISTINCT FROM b.tree {' '.join(joins)})
 SELECT *, folded_root = root AS verified FROM p
 """
+
+
+PHRASES = r"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS ps FROM documents),
+p AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(ps) AS p FROM t)),
+g AS (SELECT lang, m, array_to_string(w[i : i + m - 1], ' ') AS phrase FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM p, (SELECT unnest([1, 2, 3]) AS m) WHERE len(w) >= m)),
+f AS (SELECT lang, m, phrase, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND f >= 10),
+x AS (SELECT lang, phrase, max(a) AS most FROM (SELECT lang, a, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase FROM c WHERE m = 3) GROUP BY ALL),
+k AS (SELECT c.*, unnest(range(1, m)) AS k FROM c LEFT JOIN x USING (lang, phrase) WHERE coalesce(100 * most < 50 * a, true)),
+s AS (SELECT k.*, l.f AS l, r.f AS r, CAST(CAST(1000000 AS HUGEINT) * a * a // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+      FROM k JOIN f l ON l.lang = k.lang AND l.phrase = array_to_string(w[1:k], ' ') JOIN f r ON r.lang = k.lang AND r.phrase = array_to_string(w[k + 1:], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score FROM b JOIN n USING (lang)
+QUALIFY rank <= 2000
+"""
