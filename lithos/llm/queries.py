@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lithos.llm import byte_bpe, decontaminate, embedding_dedup, merkle, ngram_jaccard, phrases, quality, secrets, sql, suffix_dedup, token_counts, token_files, toxicity
+from lithos.llm import byte_bpe, decontaminate, embedding_dedup, merkle, minhash, ngram_jaccard, phrases, quality, secrets, sql, suffix_dedup, token_counts, token_files, toxicity
 from lithos.llm._labels import fold
 
 WORD_BPE = "word_bpe_49k.json"
@@ -71,6 +71,10 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"), depth=3, least=10, keep_percent=50, top=2000)
 
@@ -154,6 +158,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_fingerprints": op11_fingerprints,
     "op12_phrases": op12_phrases,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
