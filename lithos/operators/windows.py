@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lithos.functions.scalar import is_zero
+from lithos.operators.scan import running_sums
 
 DAY = 86_400_000_000
 
@@ -77,22 +78,28 @@ def trend_rates(df: DataFrame, *, group: Sequence[str], scopes: dict[str, Sequen
     first = Window.partitionBy(*group)
     anchors = anchors.withColumn("_min", F.min("_t0").over(first)).where("_t0 = _min").drop("_min")
     anchors = anchors.withColumn("_n", F.row_number().over(Window.partitionBy(*group).orderBy(*[c for c in anchors.columns if c not in group]))).where("_n = 1").drop("_n")
-    out = anchors
-    for scope, keys in scopes.items():
-        history = df.dropna(subset=[*keys, time]).select(*keys, F.unix_micros(time).alias("_us"), F.lit(1).alias("_h"), *[(~is_zero(c, zero)).cast("int").alias(f"_d_{m}") for m, c in measures.items()])
-        # A frame's sum is the running sum before t less that before t - d: both are read where a probe row stands.
-        ago = F.explode(F.array(*[F.lit(d) for d in (0, *days)]))
-        asked = anchors.withColumn("_ago", ago).select(*keys, (F.unix_micros("_t0") - F.col("_ago") * DAY).alias("_us"), F.struct(*[F.col(g) for g in group]).alias("_g"), "_ago")
-        stacked = history.unionByName(asked, allowMissingColumns=True).withColumn("_side", F.col("_g").isNull())
-        running = Window.partitionBy(*keys).orderBy("_us", "_side").rowsBetween(Window.unboundedPreceding, 0)
-        counts = {"count": "_h"} | {f"{m}_count": f"_d_{m}" for m in measures}
-        found = stacked.withColumns({f"_r_{n}": F.coalesce(F.sum(c).over(running), F.lit(0)) for n, c in counts.items()}).where("_g IS NOT NULL")
-        at = lambda n, d: F.max(F.when(F.col("_ago") == d, F.col(f"_r_{n}")))
-        found = found.groupBy(*[F.col(f"_g.{g}").alias(g) for g in group]).agg(*[(at(n, 0) - at(n, d)).alias(f"{scope}_{n}_{d}d") for n in counts for d in days])
-        rates = {f"{scope}_{m}_rate_{d}d": F.col(f"{scope}_{m}_count_{d}d") / F.nullif(F.col(f"{scope}_count_{d}d"), F.lit(0)) for d in days for m in measures}
-        found = found.withColumns(rates)
-        out = out.join(found, list(group), "left")
-    return df.join(out.drop("_t0", *[k for k in anchors.columns if k not in group and k != "_t0"]), list(group), "left")
+
+    def of_scopes(rows: DataFrame, *kept: Column) -> DataFrame:
+        """Rows once for each scope whose keys they have, with the scope and its keys in one text (lengths tell the keys apart)."""
+        keyed = []
+        for n, keys in enumerate(scopes.values()):
+            texts = [F.col(k).cast("string") for k in keys]
+            keyed.append(F.concat(F.lit(f"{n}"), *[part for t in texts for part in (F.lit("/"), F.length(t).cast("string"), F.lit(":"), t)]))
+        each = F.posexplode(F.array(*keyed)).alias("_scope", "_key")
+        return rows.select(each, *kept).where("_key IS NOT NULL")
+
+    # A frame's sum is the running sum before t less that before t - d: both are read where a probe row stands.
+    # A scope may be one key that holds every row: it is cut by time and the sums before each cut are carried.
+    history = of_scopes(df.where(F.col(time).isNotNull()), F.unix_micros(time).alias("_us"), F.lit(1).alias("_h"), *[(~is_zero(c, zero)).cast("int").alias(f"_d_{m}") for m, c in measures.items()])
+    probes = anchors.withColumn("_ago", F.explode(F.array(*[F.lit(d) for d in (0, *days)])))
+    asked = of_scopes(probes, (F.unix_micros("_t0") - F.col("_ago") * DAY).alias("_us"), F.struct(*[F.col(g) for g in group]).alias("_g"), F.col("_ago"))
+    stacked = history.unionByName(asked, allowMissingColumns=True).withColumn("_side", F.col("_g").isNull())
+    counts = {"count": "_h"} | {f"{m}_count": f"_d_{m}" for m in measures}
+    found = running_sums(stacked, ["_key"], "_us", ["_us", "_side"], {f"_r_{n}": c for n, c in counts.items()}, weigh=history).where("_g IS NOT NULL")
+    at = lambda k, n, d: F.max(F.when((F.col("_scope") == k) & (F.col("_ago") == d), F.col(f"_r_{n}")))
+    found = found.groupBy(*[F.col(f"_g.{g}").alias(g) for g in group]).agg(*[(at(k, n, 0) - at(k, n, d)).alias(f"{scope}_{n}_{d}d") for k, scope in enumerate(scopes) for n in counts for d in days])
+    out = found.withColumns({f"{scope}_{m}_rate_{d}d": F.col(f"{scope}_{m}_count_{d}d") / F.nullif(F.col(f"{scope}_count_{d}d"), F.lit(0)) for scope in scopes for d in days for m in measures})
+    return df.join(out, list(group), "left")
 
 
 def usage_by_group(anchors: DataFrame, log: DataFrame, entity: str, time: str, hours: Sequence[int], group: str, groups: Sequence[str]) -> DataFrame:
