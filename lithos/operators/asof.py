@@ -2,7 +2,7 @@
 
 Both sides are put under each other and ordered by time within their key; a right row stands before a
 left row of the same time, so "latest at or before" is the last right row above a left row. Keys or
-times that are null match nothing, and such left rows are set aside before anything is ordered. Right rows at the same time are decided by
+times that are null match nothing. Right rows at the same time are decided by
 ``tie`` (its greatest wins). A hot key is cut by time and each stretch's last state carried to the next (``scan``), so it is no longer task than others.
 """
 
@@ -19,7 +19,7 @@ _ORDER = ("_t", "_side", "_tie")
 
 
 class _Stack:
-    """Left and right rows under each other, and the left rows that can match nothing."""
+    """Left and right rows under each other."""
 
     def __init__(self, left: DataFrame, right: DataFrame, by: Sequence[str], left_time: str, right_time: str, values: Sequence[str], tie: str | None = None, strict: bool = False, right_filter: Column | None = None):
         self.by = list(by)
@@ -31,16 +31,12 @@ class _Stack:
         none = F.lit(None).cast(left.select(F.struct("*").alias("l")).schema["l"].dataType)
         r = right.select(*by, F.col(right_time).alias("_t"), F.lit(1 if strict else 0).alias("_side"), order.alias("_tie"), payload.alias("_right"), none.alias("_left"))
         l = left.select(*by, F.col(left_time).alias("_t"), F.lit(0 if strict else 1).alias("_side"), F.lit(None).cast("string").alias("_tie"), F.expr(f"cast(NULL AS {kind})").alias("_right"), F.struct("*").alias("_left"))  # noqa: E741
-        known = F.col("_t").isNotNull()
-        for b in by:
-            known = known & F.col(b).isNotNull()
-        self.rows = l.where(known).unionByName(r).withColumn("_us", F.unix_micros("_t"))
-        self.unknown = l.where(~known)
+        self.history = r.withColumn("_us", F.unix_micros("_t"))
+        self.rows = l.unionByName(r).withColumn("_us", F.unix_micros("_t"))
 
     def scanned(self, up: dict[str, Column], down: dict[str, Column] | None = None) -> DataFrame:
         """Left rows (``_left``, ``_t``) with the states at or before them, and at or after them."""
-        found = last_states(self.rows, self.by, "_us", _ORDER, up, down).where("_left IS NOT NULL").drop("_us")
-        return found.unionByName(self.unknown, allowMissingColumns=True)
+        return last_states(self.rows, self.history, self.by, "_us", _ORDER, up, down, F.col("_left")).where("_left IS NOT NULL").drop("_us")
 
 
 def _gap(later: str, earlier: str) -> Column:

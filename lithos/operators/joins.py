@@ -7,17 +7,30 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lithos.operators.asof import asof_backward
+
 
 def match_with_fallback(left: DataFrame, events: DataFrame, keys: Sequence[str], left_id: Sequence[str], left_time: str, event_time: str, expected: str, recipes: Sequence[str], values: Sequence[str], tie: Sequence[str]) -> DataFrame:
-    """The latest event at or before each row among those with its expected recipe in any recipe column; where none has it, among all (``recipe_fallback`` 1)."""
-    exact = F.lit(False)
-    for r in recipes:
-        exact = exact | F.coalesce(F.col(r) == F.col(expected), F.lit(False))
-    pairs = left.join(events, list(keys)).withColumn("_exact", exact)
-    pairs = pairs.withColumn("_any", F.max("_exact").over(Window.partitionBy(*left_id))).where((F.col("_exact") | ~F.col("_any")) & (F.col(event_time) <= F.col(left_time)))
-    order = Window.partitionBy(*left_id).orderBy(F.desc(event_time), *tie)
-    best = pairs.withColumn("_n", F.row_number().over(order)).where("_n = 1").select(*left_id, event_time, *values, (~F.col("_any")).cast("int").alias("recipe_fallback"))
-    return left.join(best, list(left_id), "left")
+    """The latest event at or before each row among those with its expected recipe in any recipe column; where its key never has it, among all (``recipe_fallback`` 1).
+
+    No row meets events: one as-of scan per key and recipe, one per key, and a flag per key and recipe that occurs. Of events
+    at one time the least ``tie`` wins. Rows without any event at or before them have nulls; repeated ids give a row each.
+    """
+    own = [F.col(v).alias(f"_v{k}") for k, v in enumerate(values)]
+    known = events.dropna(subset=[*keys, event_time])
+    first = F.min(F.struct(*[F.col(t).alias(f"_t{k}") for k, t in enumerate(tie)], *own)).alias("_e")
+    every = known.groupBy(*keys, F.col(event_time).alias("_et")).agg(first)
+    # events of one time and recipe are one before they are ordered
+    named = known.withColumn("_recipe", F.explode(F.array_distinct(F.array(*recipes)))).where("_recipe IS NOT NULL")
+    exact = named.groupBy(*keys, "_recipe", F.col(event_time).alias("_et")).agg(first)
+    out = left.select(F.struct("*").alias("_row"), *keys, F.col(expected).alias("_recipe"), F.col(left_time).alias("_lt"))
+    out = asof_backward(out, exact, [*keys, "_recipe"], "_lt", "_et", ["_e"], prefix="_exact_")
+    out = asof_backward(out, every, keys, "_lt", "_et", ["_e"], prefix="_any_")
+    out = out.join(exact.select(*keys, "_recipe", F.lit(True).alias("_named")).distinct(), [*keys, "_recipe"], "left")
+    made = F.when(F.col("_named"), F.struct(F.col("_exact_time").alias("at"), F.col("_exact__e").alias("e"))).otherwise(F.struct(F.col("_any_time").alias("at"), F.col("_any__e").alias("e")))
+    out = out.withColumn("_m", made)
+    fallback = F.when(F.col("_m.at").isNotNull(), F.col("_named").isNull().cast("int"))
+    return out.select("_row.*", F.col("_m.at").alias(event_time), *[F.col(f"_m.e._v{k}").alias(v) for k, v in enumerate(values)], fallback.alias("recipe_fallback"))
 
 
 def session_match(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time: str, right_time: str, seconds: float) -> DataFrame:
@@ -57,22 +70,58 @@ def combine_first(left: DataFrame, lookup: DataFrame, keys: Sequence[str], colum
     return left.join(right, list(keys), "left").withColumns({c: F.coalesce(c, f"_l_{c}") for c in columns}).select(*left.columns)
 
 
+#: Cells of an interval's tree: each holds so many of the level below; the lowest is a day, the highest 16 million days.
+_RADIX, _LEVELS, _CELL = 16, 6, 86_400_000_000
+
+
+def _tree_cells(low: Column, high: Column) -> Column:
+    """The fewest cells of all levels that cover the lowest cells ``low`` to ``high``: below 2 * 16 a level, none within another."""
+    found = []
+    for k in range(_LEVELS):
+        a, b = F.ceil(low / _RADIX**k), F.floor((high + 1) / _RADIX**k) - 1
+        up_a, up_b = (F.ceil(low / _RADIX ** (k + 1)), F.floor((high + 1) / _RADIX ** (k + 1)) - 1) if k + 1 < _LEVELS else (F.lit(1), F.lit(0))
+        split = up_a <= up_b
+        run = lambda x, y, when=F.lit(True): F.when(when & (x <= y), F.sequence(x, y)).otherwise(F.array().cast("array<bigint>"))
+        cells = F.concat(run(a, F.least(b, F.when(split, up_a * _RADIX - 1).otherwise(b))), run((up_b + 1) * _RADIX, b, split))
+        level = F.lit(k).alias("_level")
+        found.append(F.transform(cells, lambda c: F.struct(level, c.cast("long").alias("_cell"))))  # noqa: B023
+    return F.concat(*found)
+
+
+def stabbed(rows: DataFrame, row_key: str, time: str, intervals: DataFrame, interval_key: str, start: str, end: str) -> DataFrame:
+    """Pairs of rows and intervals of one key with ``start < time < end``; a null ``end`` is open.
+
+    Intervals are cut into cells of a tree of time and a row lies in one cell of each level, so a pair meets once, if it meets
+    at all: the work follows the pairs (and those of a first or last day), not rows times intervals of a key, and a key's cells lie in many tasks. Null
+    keys, times and starts pair with nothing. Columns of the two must differ but for the key.
+    """
+    cell = lambda c: F.floor(F.unix_micros(c) / _CELL)
+    widest = F.lit(_RADIX**_LEVELS - 1)
+    high = F.coalesce(cell(end), widest)
+    held = intervals.where(F.col(interval_key).isNotNull() & F.col(start).isNotNull() & (F.col(end).isNull() | (F.col(start) < F.col(end))))
+    held = held.withColumn("_x", F.explode(_tree_cells(cell(start), high))).select("*", "_x.*").drop("_x")
+    levels = F.array(*[F.struct(F.lit(k).alias("_level"), F.floor(cell(time) / _RADIX**k).cast("long").alias("_cell")) for k in range(_LEVELS)])
+    asked = rows.where(F.col(row_key).isNotNull() & F.col(time).isNotNull()).withColumn("_x", F.explode(levels)).select("*", "_x.*").drop("_x")
+    pairs = asked.join(held.withColumnRenamed(interval_key, row_key), [row_key, "_level", "_cell"])
+    return pairs.where((F.col(time) > F.col(start)) & (F.col(end).isNull() | (F.col(time) < F.col(end)))).drop("_level", "_cell")
+
+
 def interval_status(rows: DataFrame, row_id: str, entity: str, time: str, parts: DataFrame, part: str, install: str, remove: str, current: str, value: str, names: Sequence[str], counted: str | None = None, count: str | None = None) -> DataFrame:
     """Per row and part, the status of parts installed then (strictly within; current parts have no end), a column per part.
 
     None valid: NOTFOUND. One: its value. Several: any TRUE 'True', else any MISSING 'MISSING', all FALSE
     'False', else 'MULTIPLE'. The part ``counted`` gives the install count of its latest install, null being
-    MISSING. ``recoat`` tells whether any part is true.
+    MISSING. ``recoat`` tells whether any part is true. A part neither current nor with a removal is never valid.
     """
-    p = parts.select(F.col(entity), part, F.col(install).alias("_i"), F.col(remove).alias("_r"), F.col(current).alias("_c"), F.col(value).alias("_v"), (F.col(count) if count else F.lit(None).cast("int")).alias("_k"))
-    valid = (F.col(time) > F.col("_i")) & (F.col("_c") | (F.col(time) < F.col("_r")))
-    joined = rows.select(row_id, entity, time).join(p, entity).where(valid)
+    p = parts.where(F.coalesce(F.col(current), F.lit(False)) | F.col(remove).isNotNull())
+    p = p.select(F.col(entity), F.col(part).alias("_p"), F.col(install).alias("_i"), F.when(~F.coalesce(F.col(current), F.lit(False)), F.col(remove)).alias("_r"), F.col(value).alias("_v"), (F.col(count) if count else F.lit(None).cast("int")).alias("_k"))
+    joined = stabbed(rows.select(F.col(row_id).alias("_id"), F.col(entity).alias("_e"), F.col(time).alias("_t")), "_e", "_t", p, entity, "_i", "_r")
     up = F.upper("_v")
     n, any_true, any_missing, all_false = F.count("*"), F.max(up == "TRUE"), F.max(F.col("_v").isNull() | (up == "MISSING")), F.min(F.coalesce(up == "FALSE", F.lit(False)))
-    status = F.when(n == 1, F.coalesce(F.first("_v"), F.lit("MISSING"))).when(any_true, "True").when(any_missing, "MISSING").when(all_false, "False").otherwise("MULTIPLE")
+    status = F.when(n == 1, F.coalesce(F.max("_v"), F.lit("MISSING"))).when(any_true, "True").when(any_missing, "MISSING").when(all_false, "False").otherwise("MULTIPLE")
     if counted:
-        status = F.when(F.first(part) == counted, F.coalesce(F.max_by("_k", "_i").cast("string"), F.lit("MISSING"))).otherwise(status)
-    found = joined.groupBy(row_id, part).agg(status.alias("status")).groupBy(row_id).pivot(part, list(names)).agg(F.first("status"))
+        status = F.when(F.col("_p") == counted, F.coalesce(F.max_by("_k", "_i").cast("string"), F.lit("MISSING"))).otherwise(status)
+    found = joined.groupBy("_id", "_p").agg(status.alias("status")).groupBy(F.col("_id").alias(row_id)).pivot("_p", list(names)).agg(F.first("status"))
     out = rows.join(found, row_id, "left").fillna("NOTFOUND", list(names))
     recoat = F.lit(False)
     for name in names:

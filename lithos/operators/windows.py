@@ -95,7 +95,7 @@ def trend_rates(df: DataFrame, *, group: Sequence[str], scopes: dict[str, Sequen
     asked = of_scopes(probes, (F.unix_micros("_t0") - F.col("_ago") * DAY).alias("_us"), F.struct(*[F.col(g) for g in group]).alias("_g"), F.col("_ago"))
     stacked = history.unionByName(asked, allowMissingColumns=True).withColumn("_side", F.col("_g").isNull())
     counts = {"count": "_h"} | {f"{m}_count": f"_d_{m}" for m in measures}
-    found = running_sums(stacked, ["_key"], "_us", ["_us", "_side"], {f"_r_{n}": c for n, c in counts.items()}, weigh=history).where("_g IS NOT NULL")
+    found = running_sums(stacked, history, ["_key"], "_us", ["_us", "_side"], {f"_r_{n}": c for n, c in counts.items()}).where("_g IS NOT NULL")
     at = lambda k, n, d: F.max(F.when((F.col("_scope") == k) & (F.col("_ago") == d), F.col(f"_r_{n}")))
     found = found.groupBy(*[F.col(f"_g.{g}").alias(g) for g in group]).agg(*[(at(k, n, 0) - at(k, n, d)).alias(f"{scope}_{n}_{d}d") for k, scope in enumerate(scopes) for n in counts for d in days])
     out = found.withColumns({f"{scope}_{m}_rate_{d}d": F.col(f"{scope}_{m}_count_{d}d") / F.nullif(F.col(f"{scope}_count_{d}d"), F.lit(0)) for scope in scopes for d in days for m in measures})
