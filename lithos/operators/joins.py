@@ -8,29 +8,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lithos.operators.asof import asof_backward
+from lithos.operators.scan import HOT_KEYS
 
 
 def match_with_fallback(left: DataFrame, events: DataFrame, keys: Sequence[str], left_id: Sequence[str], left_time: str, event_time: str, expected: str, recipes: Sequence[str], values: Sequence[str], tie: Sequence[str]) -> DataFrame:
     """The latest event at or before each row among those with its expected recipe in any recipe column; where its key never has it, among all (``recipe_fallback`` 1).
 
-    No row meets events: one as-of scan per key and recipe, one per key, and a flag per key and recipe that occurs. Of events
+    No row meets events: a flag per key and recipe that occurs tells which of the two a row asks for, and one as-of scan answers both. Of events
     at one time the least ``tie`` wins. Rows without any event at or before them have nulls; repeated ids give a row each.
     """
     own = [F.col(v).alias(f"_v{k}") for k, v in enumerate(values)]
-    known = events.dropna(subset=[*keys, event_time])
     first = F.min(F.struct(*[F.col(t).alias(f"_t{k}") for k, t in enumerate(tie)], *own)).alias("_e")
-    every = known.groupBy(*keys, F.col(event_time).alias("_et")).agg(first)
-    # events of one time and recipe are one before they are ordered
-    named = known.withColumn("_recipe", F.explode(F.array_distinct(F.array(*recipes)))).where("_recipe IS NOT NULL")
-    exact = named.groupBy(*keys, "_recipe", F.col(event_time).alias("_et")).agg(first)
-    out = left.select(F.struct("*").alias("_row"), *keys, F.col(expected).alias("_recipe"), F.col(left_time).alias("_lt"))
-    out = asof_backward(out, exact, [*keys, "_recipe"], "_lt", "_et", ["_e"], prefix="_exact_")
-    out = asof_backward(out, every, keys, "_lt", "_et", ["_e"], prefix="_any_")
-    out = out.join(exact.select(*keys, "_recipe", F.lit(True).alias("_named")).distinct(), [*keys, "_recipe"], "left")
-    made = F.when(F.col("_named"), F.struct(F.col("_exact_time").alias("at"), F.col("_exact__e").alias("e"))).otherwise(F.struct(F.col("_any_time").alias("at"), F.col("_any__e").alias("e")))
-    out = out.withColumn("_m", made)
-    fallback = F.when(F.col("_m.at").isNotNull(), F.col("_named").isNull().cast("int"))
-    return out.select("_row.*", F.col("_m.at").alias(event_time), *[F.col(f"_m.e._v{k}").alias(v) for k, v in enumerate(values)], fallback.alias("recipe_fallback"))
+    # An event stands under each of its recipes and under all; events of one time are one before they are ordered.
+    asked = F.explode(F.array_append(F.transform(F.filter(F.array_distinct(F.array(*recipes)), lambda r: r.isNotNull()), lambda r: F.concat(F.lit("="), r)), F.lit("*")))
+    stood = events.dropna(subset=[*keys, event_time]).withColumn("_asked", asked).groupBy(*keys, "_asked", F.col(event_time).alias("_et")).agg(first)
+    named = stood.where("_asked != '*'").select(*keys, "_asked", F.lit(True).alias("_named")).distinct()
+    out = left.select(F.struct("*").alias("_row"), *keys, F.concat(F.lit("="), F.col(expected)).alias("_asked"), F.col(left_time).alias("_lt")).join(named, [*keys, "_asked"], "left")
+    out = asof_backward(out.withColumn("_asked", F.when(F.col("_named"), F.col("_asked")).otherwise("*")), stood, [*keys, "_asked"], "_lt", "_et", ["_e"], prefix="_m_")
+    fallback = F.when(F.col("_m_time").isNotNull(), F.col("_named").isNull().cast("int"))
+    return out.select("_row.*", F.col("_m_time").alias(event_time), *[F.col(f"_m__e._v{k}").alias(v) for k, v in enumerate(values)], fallback.alias("recipe_fallback"))
 
 
 def session_match(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time: str, right_time: str, seconds: float) -> DataFrame:
@@ -70,38 +66,41 @@ def combine_first(left: DataFrame, lookup: DataFrame, keys: Sequence[str], colum
     return left.join(right, list(keys), "left").withColumns({c: F.coalesce(c, f"_l_{c}") for c in columns}).select(*left.columns)
 
 
-#: Cells of an interval's tree: each holds so many of the level below; the lowest is a day, the highest 16 million days.
-_RADIX, _LEVELS, _CELL = 16, 6, 86_400_000_000
+#: Cells of an interval's tree: each holds so many of the level below; the lowest is a day, the highest some 46,000 years. Keys with fewer intervals need none.
+_RADIX, _LEVELS, _CELL, _FEW = 4, 12, 86_400_000_000, 64
 
 
-def _tree_cells(low: Column, high: Column) -> Column:
-    """The fewest cells of all levels that cover the lowest cells ``low`` to ``high``: below 2 * 16 a level, none within another."""
-    found = []
-    for k in range(_LEVELS):
-        a, b = F.ceil(low / _RADIX**k), F.floor((high + 1) / _RADIX**k) - 1
-        up_a, up_b = (F.ceil(low / _RADIX ** (k + 1)), F.floor((high + 1) / _RADIX ** (k + 1)) - 1) if k + 1 < _LEVELS else (F.lit(1), F.lit(0))
-        split = up_a <= up_b
-        run = lambda x, y, when=F.lit(True): F.when(when & (x <= y), F.sequence(x, y)).otherwise(F.array().cast("array<bigint>"))
-        cells = F.concat(run(a, F.least(b, F.when(split, up_a * _RADIX - 1).otherwise(b))), run((up_b + 1) * _RADIX, b, split))
-        level = F.lit(k).alias("_level")
-        found.append(F.transform(cells, lambda c: F.struct(level, c.cast("long").alias("_cell"))))  # noqa: B023
-    return F.concat(*found)
+def _tree_cells(low: str, high: str) -> Column:
+    """The fewest cells of all levels that cover the lowest cells ``low`` to ``high``: no more than 2 * (``_RADIX`` - 1) a level, none within another."""
+    first, last = (lambda k: f"CAST(ceil({low} / pow({_RADIX}, {k})) AS BIGINT)"), (lambda k: f"(CAST(floor(({high} + 1) / pow({_RADIX}, {k})) AS BIGINT) - 1)")
+    above = f"k < {_LEVELS - 1} AND {first('k + 1')} <= {last('k + 1')}"
+    left = f"if({above}, least({last('k')}, {first('k + 1')} * {_RADIX} - 1), {last('k')})"
+    right = f"({last('k + 1')} + 1) * {_RADIX}"
+    none = "CAST(array() AS ARRAY<BIGINT>)"
+    cells = f"concat(if({first('k')} <= {left}, sequence({first('k')}, {left}), {none}), if({above} AND {right} <= {last('k')}, sequence({right}, {last('k')}), {none}))"
+    return F.expr(f"flatten(transform(sequence(0, {_LEVELS - 1}), k -> transform({cells}, c -> named_struct('_level', k, '_cell', c))))")
 
 
 def stabbed(rows: DataFrame, row_key: str, time: str, intervals: DataFrame, interval_key: str, start: str, end: str) -> DataFrame:
     """Pairs of rows and intervals of one key with ``start < time < end``; a null ``end`` is open.
 
-    Intervals are cut into cells of a tree of time and a row lies in one cell of each level, so a pair meets once, if it meets
-    at all: the work follows the pairs (and those of a first or last day), not rows times intervals of a key, and a key's cells lie in many tasks. Null
-    keys, times and starts pair with nothing. Columns of the two must differ but for the key.
+    Where a key has more than ``_FEW`` intervals they are cut into cells of a tree of time and a row lies in one cell of each level, so a pair meets once, if it meets
+    at all: the work follows the pairs (and those of a first or last day), not rows times intervals, and the key's cells lie in many tasks. The broadcast is
+    the list of such keys, the ``HOT_KEYS`` of most intervals. Null keys, times and starts pair with nothing. Columns of the two must differ but for the key.
     """
-    cell = lambda c: F.floor(F.unix_micros(c) / _CELL)
-    widest = F.lit(_RADIX**_LEVELS - 1)
-    high = F.coalesce(cell(end), widest)
     held = intervals.where(F.col(interval_key).isNotNull() & F.col(start).isNotNull() & (F.col(end).isNull() | (F.col(start) < F.col(end))))
-    held = held.withColumn("_x", F.explode(_tree_cells(cell(start), high))).select("*", "_x.*").drop("_x")
-    levels = F.array(*[F.struct(F.lit(k).alias("_level"), F.floor(cell(time) / _RADIX**k).cast("long").alias("_cell")) for k in range(_LEVELS)])
-    asked = rows.where(F.col(row_key).isNotNull() & F.col(time).isNotNull()).withColumn("_x", F.explode(levels)).select("*", "_x.*").drop("_x")
+    many = held.groupBy(F.col(interval_key).alias("_many")).agg(F.count("*").alias("_n")).where(F.col("_n") > _FEW).orderBy(F.desc("_n")).limit(HOT_KEYS).select("_many")
+    whole = F.array(F.struct(F.lit(-1).alias("_level"), F.lit(0).cast("long").alias("_cell")))
+
+    def celled(side: DataFrame, key: str, cells: Column) -> DataFrame:
+        cut = side.join(F.broadcast(many), F.col(key) == F.col("_many"), "left")
+        return cut.withColumn("_x", F.explode(F.when(F.col("_many").isNotNull(), cells).otherwise(whole))).select(*side.columns, "_x.*")
+
+    day = lambda c: F.floor(F.unix_micros(c) / _CELL)
+    held = held.withColumns({"_low": day(start), "_high": F.coalesce(day(end), F.lit(_RADIX**_LEVELS - 1))})
+    held = celled(held, interval_key, _tree_cells("_low", "_high")).drop("_low", "_high")
+    asked = rows.where(F.col(row_key).isNotNull() & F.col(time).isNotNull()).withColumn("_day", day(time))
+    asked = celled(asked, row_key, F.expr(f"transform(sequence(0, {_LEVELS - 1}), k -> named_struct('_level', k, '_cell', CAST(floor(_day / pow({_RADIX}, k)) AS BIGINT)))")).drop("_day")
     pairs = asked.join(held.withColumnRenamed(interval_key, row_key), [row_key, "_level", "_cell"])
     return pairs.where((F.col(time) > F.col(start)) & (F.col(end).isNull() | (F.col(time) < F.col(end)))).drop("_level", "_cell")
 

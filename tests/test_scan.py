@@ -118,7 +118,9 @@ def test_trend_rates_with_one_layer_for_all_rows(spark, hot):
         assert got[i] == (past(2), past(7), past(7, lambda r: r[5] != 0), past(7, lambda r, e=entity: r[3] == e)), i
 
 
-def test_pairs_of_intervals_meet_once(spark):
+@pytest.mark.parametrize("few", [0, 20, 10**6])
+def test_pairs_of_intervals_meet_once(spark, monkeypatch, few):
+    monkeypatch.setattr(joins, "_FEW", few)
     rng = random.Random(5)
     day = 1440
     rows = [(i, rng.choice(["hot", "hot", "hot", "b", None]), at(rng.choice([None, rng.randrange(-200 * day, 400 * day), rng.randrange(0, 40) * day]))) for i in range(200)]
@@ -132,6 +134,15 @@ def test_pairs_of_intervals_meet_once(spark):
     assert sorted((r.id, r.j) for r in got.collect()) == want and len(want) > 500
 
 
+def test_a_cover_has_few_cells_and_each_day_once(spark):
+    rng = random.Random(7)
+    spans = [(a, a + rng.choice([0, 1, 5, 100, 4000])) for a in (rng.randrange(-5000, 40_000) for _ in range(60))]
+    df = spark.createDataFrame(spans, "lo long, hi long").withColumn("cells", joins._tree_cells("lo", "hi"))
+    for r in df.collect():
+        days = sorted(d for level, cell in r.cells for d in range(cell * 4**level, (cell + 1) * 4**level))
+        assert days == list(range(r.lo, r.hi + 1)) and len(r.cells) <= 6 * 7
+
+
 def test_match_with_fallback_against_pairs(spark, hot):
     rng = random.Random(6)
     left = [(i, rng.choice(["hot", "hot", "hot", "b", "none", None]), at(rng.choice([None, *range(0, 300, 5)])), rng.choice(["x", "y", "never", None])) for i in range(150)]
