@@ -163,31 +163,6 @@ def missing_required(keys: DataFrame, present: DataFrame, key: Sequence[str], im
     return wanted.join(present.select(*key, image), [*key, image], "left_anti")
 
 
-def nearest_pairs(df: DataFrame, keys: Sequence[str], klass: str, source: str, target: str, point: str, x: str, y: str, cell: float | None = None) -> DataFrame:
-    """Each ``source`` point's nearest ``target`` point of its group, the least id on ties.
-
-    Without ``cell`` all targets of a group meet each source, which is right for small groups. With it,
-    points are put in square cells and a source looks in its own and adjacent cells first; only sources
-    without a target within ``cell`` are compared with the whole group.
-    """
-    a = df.where(F.col(klass) == target).select(*keys, F.col(point).alias("near_id"), F.col(x).alias("_x"), F.col(y).alias("_y"))
-    b = df.where(F.col(klass) == source).select(*keys, point, x, y)
-    dist = F.sqrt((F.col(x) - F.col("_x")) ** 2 + (F.col(y) - F.col("_y")) ** 2)
-    best = F.min(F.struct(dist.alias("distance"), "near_id")).alias("_m")
-
-    def nearest(pairs: DataFrame) -> DataFrame:
-        return pairs.groupBy(*keys, point).agg(best).select(*keys, point, "_m.distance", "_m.near_id")
-
-    if cell is None:
-        return nearest(b.join(a, list(keys)))
-    place = lambda c, s: F.floor(F.col(c) / cell) + s
-    around = b.withColumn("_dx", F.explode(F.array(*[F.lit(i) for i in (-1, 0, 1)]))).withColumn("_dy", F.explode(F.array(*[F.lit(i) for i in (-1, 0, 1)])))
-    around = around.withColumns({"_cx": place(x, F.col("_dx")), "_cy": place(y, F.col("_dy"))})
-    close = nearest(around.join(a.withColumns({"_cx": place("_x", F.lit(0)), "_cy": place("_y", F.lit(0))}), [*keys, "_cx", "_cy"])).where(F.col("distance") <= cell)
-    rest = b.join(close.select(*keys, point), [*keys, point], "left_anti")
-    return close.unionByName(nearest(rest.join(a, list(keys))))
-
-
 def pad_missing(listed: DataFrame, detail: DataFrame, event: str) -> DataFrame:
     """Details, and a placeholder row for each listed event that has none."""
     return listed.select(event).distinct().join(detail, event, "left")

@@ -12,12 +12,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lithos.operators.joins import nearest_pairs
+from lithos.operators.nearest import nearest_pairs
 
 
-def nn_metrics(df: DataFrame, keys: Sequence[str], klass: str, source: str, target: str, point: str, x: str, y: str, near: Sequence[float], cell: float | None = None) -> DataFrame:
+def nn_metrics(df: DataFrame, keys: Sequence[str], klass: str, source: str, target: str, point: str, x: str, y: str, near: Sequence[float]) -> DataFrame:
     """Per group with both classes: least, median and 90th percentile of nearest distances, and the shares within each of ``near``."""
-    pairs = nearest_pairs(df, keys, klass, source, target, point, x, y, cell)
+    pairs = nearest_pairs(df, keys, klass, source, target, point, x, y)
     q = lambda p: F.percentile("distance", F.lit(p))
     return pairs.groupBy(*keys).agg(F.count("*").alias("n"), F.min("distance").alias("nearest"), q(0.5).alias("median"), q(0.9).alias("p90"), *[F.avg((F.col("distance") <= r).cast("int")).alias(f"share_{r:g}") for r in near])
 

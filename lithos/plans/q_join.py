@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lithos.operators import filters as B
 from lithos.operators import joins as C
+from lithos.operators.nearest import nearest_pairs
 from lithos.plans.base import points, query, table, units, usage
 
 DAY = 86_400_000_000
@@ -142,7 +143,7 @@ _NEAR = "SELECT b.grp, b.point_id, min(struct_pack(d := sqrt((b.x - a.x) ** 2 +
 
 @query("C25_self_nearest_pairs", f"SELECT grp, point_id, round(m.d, 6) AS distance, m.i AS near_id FROM ({_NEAR})")
 def c25(spark, d):
-    return C.nearest_pairs(points(spark, d), ["grp"], "class", "B", "A", "point_id", "x", "y", cell=2.0).withColumn("distance", F.round("distance", 6))
+    return nearest_pairs(points(spark, d), ["grp"], "class", "B", "A", "point_id", "x", "y").withColumn("distance", F.round("distance", 6))
 
 
 @query("C27_pad_missing_groups", "SELECT layer, unit_id FROM (SELECT unnest(['view', 'purchase', 'absent']) AS layer) LEFT JOIN (SELECT layer, unit_id FROM u WHERE density_a > 100 AND layer <> 'purchase') USING (layer)")

@@ -96,7 +96,7 @@ _NN = "SELECT b.grp, b.point_id, min(sqrt((b.x - a.x) ** 2 + (b.y - a.y) ** 2))
 
 @query("J1_nn_metrics", f"SELECT grp, count(*) AS n, round(min(d), 6) AS nearest, round(quantile_cont(d, 0.5), 6) AS median, round(quantile_cont(d, 0.9), 6) AS p90, round(avg(CAST(d <= 1 AS INT)), 6) AS share_1, round(avg(CAST(d <= 2 AS INT)), 6) AS share_2 FROM ({_NN}) GROUP BY grp")
 def j1(spark, d):
-    return J.nn_metrics(points(spark, d), ["grp"], "class", "B", "A", "point_id", "x", "y", [1, 2], cell=2.0).withColumns(_r("nearest", "median", "p90", "share_1", "share_2"))
+    return J.nn_metrics(points(spark, d), ["grp"], "class", "B", "A", "point_id", "x", "y", [1, 2]).withColumns(_r("nearest", "median", "p90", "share_1", "share_2"))
 
 
 @query("J2_nn_permutation")

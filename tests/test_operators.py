@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lithos.functions import scalar as S
-from lithos.operators import aggregate, asof, compare, filters, joins, merge, order, reshape, stats, windows
+from lithos.operators import aggregate, asof, compare, filters, joins, merge, nearest, order, reshape, stats, windows
 from lithos.sources import tables
 
 
@@ -198,14 +198,24 @@ def test_image_pairs_need_both(spark):
     assert rows(reshape.image_pairs(m, ["k"], "i", "p", "t", (1, 2)), "k", "path_1", "path_2") == [(1, "b", "c")]
 
 
-def test_nearest_by_cells_is_nearest(spark):
+@pytest.mark.parametrize("leaf", [3, 10**6])
+def test_nearest_in_crowds_and_empty_regions(spark, monkeypatch, leaf):
     import random
 
+    monkeypatch.setattr(nearest, "LEAF", leaf)
+    monkeypatch.setattr(nearest, "FEW", min(leaf, 2048))
     rng = random.Random(4)
-    pts = [(k, k % 2, "A" if k % 3 else "B", rng.uniform(0, 40), rng.uniform(0, 40)) for k in range(120)] + [(500, 0, "B", 400.0, 400.0)]
-    df = spark.createDataFrame(pts, "id int, g int, c string, x double, y double")
-    whole = joins.nearest_pairs(df, ["g"], "c", "B", "A", "id", "x", "y")
-    assert rows(whole, "id", "near_id") == rows(joins.nearest_pairs(df, ["g"], "c", "B", "A", "id", "x", "y", cell=3.0), "id", "near_id")
+    pts = [(k, k % 2, "AB"[k % 3 == 0], rng.uniform(0, 40), rng.uniform(0, 40)) for k in range(150)]
+    pts += [(200 + k, 0, "AB"[k % 4 == 0], rng.gauss(7, 1e-4), rng.gauss(7, 1e-4)) for k in range(200)]
+    pts += [(500 + k, 0, "B", 400.0 + k, -300.0) for k in range(5)] + [(600 + k, 1, "AB"[k % 2], 5.0, 5.0) for k in range(20)] + [(650 + k, 1, "A", 5.0 + (-1) ** k, 6.0) for k in range(2)]
+    pts += [(700, 3, "B", 1.0, 1.0), (701, 4, "A", 1.0, 1.0), (702, 0, "B", None, 1.0), (703, 0, "A", 1.0, None), (704, None, "B", 1.0, 1.0), (705, 0, "C", 1.0, 1.0)]
+    got = nearest.nearest_pairs(spark.createDataFrame(pts, "id int, g int, c string, x double, y double").repartition(3), ["g"], "c", "B", "A", "id", "x", "y")
+    want = []
+    for i, g, c, x, y in pts:
+        near = [(((x - u) ** 2 + (y - v) ** 2) ** 0.5, j) for j, h, k, u, v in pts if c == "B" and k == "A" and h == g and g is not None and None not in (x, y, u, v)]
+        if near:
+            want.append((i, round(min(near)[0], 9), min(near)[1]))
+    assert sorted((r.id, round(r.distance, 9), r.near_id) for r in got.collect()) == sorted(want)
 
 
 def test_permutation_is_stable_and_bounded(spark):
