@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lithos.operators.quantiles import with_quantiles
+
 from lithos.functions.scalar import is_zero
 
 
@@ -135,11 +137,14 @@ def same_day_duplicates(df: DataFrame, keys: Sequence[str], time: str, distinct:
 
 
 def status_summary(df: DataFrame, status: str, metrics: Sequence[str]) -> DataFrame:
-    return df.groupBy(status).agg(F.count("*").alias("n"), *[F.percentile(m, F.lit(0.5)).alias(f"{m}_median") for m in metrics]).orderBy(F.desc("n"), status)
+    """Rows and medians per status, the most frequent first."""
+    out = with_quantiles(df.groupBy(status).agg(F.count("*").alias("n")), df, [status], metrics, [0.5])
+    return out.withColumnsRenamed({f"{m}_0.5": f"{m}_median" for m in metrics}).orderBy(F.desc("n"), status)
 
 
 def group_describe(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.percentile(value, F.lit(0.5)).alias("median"), F.min(value).alias("min"), F.max(value).alias("max"))
+    base = df.groupBy(*keys).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max"))
+    return with_quantiles(base, df, keys, [value], [0.5]).select(*keys, "n", "mean", "std", F.col(f"`{value}_0.5`").alias("median"), "min", "max")
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -151,8 +156,8 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def variability_summary(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    q = lambda p: F.percentile(value, F.lit(p))
-    return df.groupBy(*keys).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), q(0.25).alias("q1"), q(0.5).alias("median"), q(0.75).alias("q3"))
+    base = df.groupBy(*keys).agg(F.count(value).alias("n"), F.avg(value).alias("mean"))
+    return with_quantiles(base, df, keys, [value], [0.25, 0.5, 0.75]).withColumnsRenamed({f"{value}_0.25": "q1", f"{value}_0.5": "median", f"{value}_0.75": "q3"})
 
 
 def coverage_summary(df: DataFrame, columns: Sequence[str], numeric: Sequence[str]) -> DataFrame:

@@ -13,13 +13,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lithos.operators.nearest import nearest_pairs
+from lithos.operators.quantiles import value_ranks, with_quantiles
 
 
 def nn_metrics(df: DataFrame, keys: Sequence[str], klass: str, source: str, target: str, point: str, x: str, y: str, near: Sequence[float]) -> DataFrame:
     """Per group with both classes: least, median and 90th percentile of nearest distances, and the shares within each of ``near``."""
     pairs = nearest_pairs(df, keys, klass, source, target, point, x, y)
-    q = lambda p: F.percentile("distance", F.lit(p))
-    return pairs.groupBy(*keys).agg(F.count("*").alias("n"), F.min("distance").alias("nearest"), q(0.5).alias("median"), q(0.9).alias("p90"), *[F.avg((F.col("distance") <= r).cast("int")).alias(f"share_{r:g}") for r in near])
+    base = pairs.groupBy(*keys).agg(F.count("*").alias("n"), F.min("distance").alias("nearest"), *[F.avg((F.col("distance") <= r).cast("int")).alias(f"share_{r:g}") for r in near])
+    return with_quantiles(base, pairs, keys, ["distance"], [0.5, 0.9]).withColumnsRenamed({"distance_0.5": "median", "distance_0.9": "p90"})
 
 
 def nn_permutation(df: DataFrame, keys: Sequence[str], klass: str, source: str, target: str, x: str, y: str, radius: float, n: int, seed: int) -> DataFrame:
@@ -83,27 +84,39 @@ def _two_sided(z: pd.Series) -> pd.Series:
 
 
 def mann_whitney(df: DataFrame, group: str, value: str, alpha: float, least: int = 3) -> DataFrame:
-    """Each group against all others, two-sided: U, p by the tie-corrected normal approximation with continuity, effect 1 - 2U / (n1 n2), and the flag.
+    """Each group against all others, two-sided: U, p by the tie-corrected normal approximation with continuity, effect 1 - 2U / (n1 n2), the flag, and the medians of the group and of the others.
 
-    Average ranks are counted from distinct values: how many lie below each. Those counts run in a window
-    per range of values with the ranges' totals carried over, so no task holds all rows.
+    Average ranks are counted from distinct values: how many lie below each, in ranges of values whose totals are carried over, so no task
+    holds all rows. The others' median lies in the range that the table's counts less the group's own point to; only that range's values are looked at.
     """
     rows = df.dropna(subset=[group, value]).select(group, F.col(value).cast("double").alias("v"))
-    per = rows.groupBy("v").agg(F.count("*").alias("t"))
-    cell = F.floor(F.col("v"))
-    inside = Window.partitionBy("_c").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    totals = per.groupBy(cell.alias("_c")).agg(F.sum("t").alias("_t"))
-    totals = totals.select("_c", F.coalesce(F.sum("_t").over(Window.orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    ranks = per.withColumn("_c", cell).join(totals, "_c").select("v", "t", (F.col("_before") + F.coalesce(F.sum("t").over(inside), F.lit(0)) + (F.col("t") + 1) / 2).alias("rank"))
-    whole = per.agg(F.sum("t").alias("n"), F.sum(F.col("t").cast("double") ** 3 - F.col("t")).alias("ties"))
-    sums = rows.join(ranks.select("v", "rank"), "v").groupBy(group).agg(F.count("*").alias("n1"), F.sum("rank").alias("r1"), F.percentile("v", F.lit(0.5)).alias("median"))
-    out = sums.join(F.broadcast(whole), F.lit(True), "left").withColumn("n2", F.col("n") - F.col("n1")).where((F.col("n1") >= least) & (F.col("n2") >= least))
+    own = rows.groupBy(group, "v").agg(F.count("*").alias("c"))
+    ranks = value_ranks(own, "v", "c")
+    whole = ranks.agg(F.sum("_t").alias("n"), F.sum(F.col("_t").cast("double") ** 3 - F.col("_t")).alias("ties"))
+    ranked = own.join(ranks, "v")
+    sums = ranked.groupBy(group).agg(F.sum("c").alias("n1"), F.sum(F.col("c") * (F.col("_below") + (F.col("_t") + 1) / 2)).alias("r1"))
+
+    # Of each group and range: how many values of others lie in it and before it.
+    totals = ranks.groupBy("_r").agg(F.sum("_t").alias("_all"))
+    mine = ranked.groupBy(group, "_r").agg(F.sum("c").alias("_own"))
+    grid = sums.select(group, "n1").join(F.broadcast(totals), F.lit(True)).join(mine, [group, "_r"], "left").join(F.broadcast(whole.select("n")), F.lit(True))
+    grid = grid.withColumn("_in", F.col("_all") - F.coalesce("_own", F.lit(0)))
+    grid = grid.withColumn("_before", F.sum("_in").over(Window.partitionBy(group).orderBy("_r")) - F.col("_in"))
+    ends = [F.floor((F.col("n") - F.col("n1") - 1) / 2), F.ceil((F.col("n") - F.col("n1") - 1) / 2)]
+    has = lambda rank, low, size: (rank >= F.col(low)) & (rank < F.col(low) + F.col(size))
+    asked = grid.where(has(ends[0], "_before", "_in") | has(ends[1], "_before", "_in")).select(F.col(group).alias("_g"), "_r", "_before", "n", "n1")
+    there = asked.join(ranks.select("_r", "v", "_t"), "_r").join(own.select(F.col(group).alias("_g"), "v", "c"), ["_g", "v"], "left").withColumn("_o", F.col("_t") - F.coalesce("c", F.lit(0)))
+    there = there.withColumn("_low", F.col("_before") + F.sum("_o").over(Window.partitionBy("_g", "_r").orderBy("v")) - F.col("_o"))
+    others = there.groupBy("_g").agg(*[F.max(F.when(has(e, "_low", "_o"), F.col("v"))).alias(f"_e{k}") for k, e in enumerate(ends)]).select(F.col("_g").alias(group), ((F.col("_e0") + F.col("_e1")) / 2).alias("others_median"))
+
+    out = with_quantiles(sums, rows, [group], ["v"], [0.5]).withColumnRenamed("v_0.5", "median").join(others, group, "left")
+    out = out.join(F.broadcast(whole), F.lit(True), "left").withColumn("n2", F.col("n") - F.col("n1")).where((F.col("n1") >= least) & (F.col("n2") >= least))
     n1, n2, n = F.col("n1"), F.col("n2"), F.col("n")
     out = out.withColumn("u", F.col("r1") - n1 * (n1 + 1) / 2)
     sd = F.sqrt(n1 * n2 / 12.0 * ((n + 1) - F.col("ties") / (n * (n - 1))))
     z = F.greatest(F.abs(F.col("u") - n1 * n2 / 2) - 0.5, F.lit(0.0)) / sd
     out = out.withColumn("p", _two_sided(z)).withColumn("effect", 1 - 2 * F.col("u") / (n1 * n2))
-    return out.select(group, "n1", "n2", "u", "p", "effect", "median", (F.col("p") < alpha).alias("significant"))
+    return out.select(group, "n1", "n2", "u", "p", "effect", "median", "others_median", (F.col("p") < alpha).alias("significant"))
 
 
 def temporal_split(df: DataFrame, time: str, cutoff: str) -> DataFrame:

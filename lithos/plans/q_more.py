@@ -123,9 +123,9 @@ def j5(spark, d):
 
 
 @query("J6_mann_whitney", """WITH r AS (SELECT device, density_a AS v, rank() OVER (ORDER BY density_a) + (count(*) OVER (PARTITION BY density_a) - 1) / 2.0 AS rk FROM u), a AS (SELECT device, count(*) AS n1, sum(rk) AS r1, median(v) AS median FROM r GROUP BY device), n AS (SELECT count(*) AS n FROM u)
-SELECT device, n1, n - n1 AS n2, round(r1 - n1 * (n1 + 1) / 2.0, 6) AS u, round(1 - 2 * (r1 - n1 * (n1 + 1) / 2.0) / (n1 * (n - n1)), 6) AS effect, round(median, 6) AS median FROM a, n""")
+SELECT device, n1, n - n1 AS n2, round(r1 - n1 * (n1 + 1) / 2.0, 6) AS u, round(1 - 2 * (r1 - n1 * (n1 + 1) / 2.0) / (n1 * (n - n1)), 6) AS effect, round(median, 6) AS median, round((SELECT median(density_a) FROM u WHERE u.device <> a.device), 6) AS others_median FROM a, n""")
 def j6(spark, d):
-    return J.mann_whitney(units(spark, d), "device", "density_a", 0.05).select("device", "n1", "n2", F.round("u", 6).alias("u"), F.round("effect", 6).alias("effect"), F.round("median", 6).alias("median"))
+    return J.mann_whitney(units(spark, d), "device", "density_a", 0.05).select("device", "n1", "n2", F.round("u", 6).alias("u"), F.round("effect", 6).alias("effect"), F.round("median", 6).alias("median"), F.round("others_median", 6).alias("others_median"))
 
 
 @query("J6_mann_whitney_p")
