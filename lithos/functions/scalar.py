@@ -54,13 +54,14 @@ def density_sum(*parts: str) -> Column:
     return out
 
 
-def rollout_status(priority: str, base: tuple[str, str], labels: tuple[str, str, str, str], suffixes: dict[str, str], *, priority_label: str = "PRIORITY", error: str = "ERROR") -> Column:
+def rollout_status(priority: str, base: tuple[str, str], labels: tuple[str, str, str, str], suffixes: dict[str, str], *, priority_label: str = "PRIORITY", error: str = "ERROR", off_unless_on: bool = False) -> Column:
     """The priority's label alone if its flag is ON; else a base label, with a suffix for each further flag that is ON.
 
-    Base labels are for neither flag, the first, the second and both; a base flag that is neither ON nor OFF (null too) gives ``error``.
+    Base labels are for neither flag, the first, the second and both; a base flag that is neither ON nor OFF (null too) gives ``error``,
+    or counts as OFF if ``off_unless_on``.
     """
     on = lambda c: F.coalesce(F.col(c) == "ON", F.lit(False))
-    known = F.coalesce(F.col(base[0]).isin("ON", "OFF") & F.col(base[1]).isin("ON", "OFF"), F.lit(False))
+    known = F.lit(True) if off_unless_on else F.coalesce(F.col(base[0]).isin("ON", "OFF") & F.col(base[1]).isin("ON", "OFF"), F.lit(False))
     neither, first, second, both = labels
     out = F.when(~known, error).when(on(base[0]) & on(base[1]), both).when(on(base[0]), first).when(on(base[1]), second).otherwise(neither)
     for c, s in suffixes.items():

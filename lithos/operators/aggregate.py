@@ -167,6 +167,22 @@ def coverage_summary(df: DataFrame, columns: Sequence[str], numeric: Sequence[st
     return df.agg(F.array(*parts).alias("x")).select(F.inline("x"))
 
 
+def top_values(df: DataFrame, columns: Sequence[str], n: int = 5) -> DataFrame:
+    """``column, rank, value, n``: each column's ``n`` most frequent values that aren't null, as text, ties by value.
+
+    (column, value) pairs are counted in one pass, combined before the shuffle; each partition then hands on its first ``n`` only.
+    """
+    tall = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])).alias("x")).select("x.*").where("value IS NOT NULL")
+    return ranked(tall.groupBy("column", "value").agg(F.count("*").alias("n")), ["column"], [F.desc("n"), F.col("value")], n).select("column", "rank", "value", "n")
+
+
+def top_entities(df: DataFrame, periods: Sequence[str], entity: str, n: int = 5) -> DataFrame:
+    """``entity, n_periods``: entities that have the most rows of a period (the least on ties), by in how many periods they have; the first ``n``."""
+    per = df.dropna(subset=[*periods, entity]).groupBy(*periods, entity).agg(F.count("*").alias("_n"))
+    tops = per.groupBy(*periods).agg(F.min(F.struct(-F.col("_n"), F.col(entity).alias("e"))).alias("_t"))
+    return tops.groupBy(F.col("_t.e").alias(entity)).agg(F.count("*").alias("n_periods")).orderBy(F.desc("n_periods"), entity).limit(n)
+
+
 def benchmark_summary(df: DataFrame, layer: str, device: str, means: Sequence[str]) -> DataFrame:
     """Means over everything, per layer, per device and per both; ``level`` is Spark's grouping id (3: overall)."""
     return df.cube(layer, device).agg(F.grouping_id().alias("level"), F.count("*").alias("n"), *[F.avg(m).alias(m) for m in means])

@@ -11,10 +11,32 @@ from lithos.functions.scalar import norm_key
 
 
 def compare_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
-    """One row: distinct keys in both and on one side only, rows, and time ranges of both sides."""
+    """One row: distinct keys in both and on one side only, rows, time ranges of both sides, and columns that one side lacks (sorted, comma-joined)."""
     tagged = left.select(*keys, F.lit(1).alias("_l"), F.lit(0).alias("_r"), F.col(time).alias("_t")).unionByName(right.select(*keys, F.lit(0).alias("_l"), F.lit(1).alias("_r"), F.col(time).alias("_t")))
     per = tagged.groupBy(*keys).agg(F.max("_l").alias("l"), F.max("_r").alias("r"), F.sum("_l").alias("nl"), F.sum("_r").alias("nr"), F.min(F.when(F.col("_l") == 1, F.col("_t"))).alias("l0"), F.max(F.when(F.col("_l") == 1, F.col("_t"))).alias("l1"), F.min(F.when(F.col("_r") == 1, F.col("_t"))).alias("r0"), F.max(F.when(F.col("_r") == 1, F.col("_t"))).alias("r1"))
-    return per.agg(F.count_if(F.expr("l = 1 AND r = 1")).alias("both"), F.count_if(F.expr("l = 1 AND r = 0")).alias("only_left"), F.count_if(F.expr("l = 0 AND r = 1")).alias("only_right"), F.sum("nl").alias("rows_left"), F.sum("nr").alias("rows_right"), F.min("l0").alias("first_left"), F.max("l1").alias("last_left"), F.min("r0").alias("first_right"), F.max("r1").alias("last_right"))
+    return per.agg(F.count_if(F.expr("l = 1 AND r = 1")).alias("both"), F.count_if(F.expr("l = 1 AND r = 0")).alias("only_left"), F.count_if(F.expr("l = 0 AND r = 1")).alias("only_right"), F.sum("nl").alias("rows_left"), F.sum("nr").alias("rows_right"), F.min("l0").alias("first_left"), F.max("l1").alias("last_left"), F.min("r0").alias("first_right"), F.max("r1").alias("last_right"),
+        F.lit(",".join(sorted(set(left.columns) - set(right.columns)))).alias("columns_left"), F.lit(",".join(sorted(set(right.columns) - set(left.columns)))).alias("columns_right"))
+
+
+def month_counts(left: DataFrame, right: DataFrame, time: str) -> DataFrame:
+    """``month, rows_left, rows_right``: rows with a time by month; 0 where a side has none."""
+    one, two = (df.where(F.col(time).isNotNull()).groupBy(F.date_format(time, "yyyy-MM").alias("month")).agg(F.count("*").alias(f"rows_{s}")) for df, s in ((left, "left"), (right, "right")))
+    return one.join(two, "month", "full_outer").fillna(0, ["rows_left", "rows_right"])
+
+
+def duplicate_counts(left: DataFrame, right: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """One row: rows of each side that repeat an earlier one (by all columns, or some), and whether there are as many."""
+    sides = []
+    for df, s in ((left, "left"), (right, "right")):
+        per = df.groupBy(*(columns or df.columns)).agg(F.count("*").alias("n"))
+        sides.append(per.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias(f"duplicates_{s}")))
+    return sides[0].join(F.broadcast(sides[1]), F.lit(True)).withColumn("same", F.col("duplicates_left") == F.col("duplicates_right"))
+
+
+def same_shape(before: DataFrame, after: DataFrame) -> DataFrame:
+    """One row: rows of both sides, whether they are as many, and whether names and order of columns agree."""
+    one, two = before.agg(F.count("*").alias("rows_before")), after.agg(F.count("*").alias("rows_after"))
+    return one.join(F.broadcast(two), F.lit(True)).select("*", (F.col("rows_before") == F.col("rows_after")).alias("same_rows"), F.lit(before.columns == after.columns).alias("same_columns"))
 
 
 def row_hashes(df: DataFrame, columns: Sequence[str]) -> Column:

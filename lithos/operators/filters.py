@@ -82,11 +82,15 @@ def month_lookback(df: DataFrame, code: str, months: float) -> DataFrame:
     return marked.join(F.broadcast(bound), F.col("_m") >= F.col("_from")).drop("_m", "_from")
 
 
-def status_predicate(mode: str, status: str, klass: str, per_class: dict[str, str] | None = None, focus_class: str | None = None) -> Column:
+#: The labels that ``status2`` gives unless told otherwise.
+HIGH, BASELINE = "HIGHFLIER", "BSL"
+
+
+def status_predicate(mode: str, status: str, klass: str, per_class: dict[str, str] | None = None, focus_class: str | None = None, *, high: str = HIGH, baseline: str = BASELINE) -> Column:
     """``all``, ``hide_high``, ``hide_baseline``, or the latter two for one class, by its own status column or, where it has none, by class and status."""
     if mode == "all":
         return F.lit(True)
-    value = "HIGHFLIER" if mode.startswith("hide_high") else "BSL"
+    value = high if mode.startswith("hide_high") else baseline
     if focus_class is None:
         return ~F.coalesce(F.col(status) == value, F.lit(False))
     own = (per_class or {}).get(focus_class)
@@ -94,19 +98,19 @@ def status_predicate(mode: str, status: str, klass: str, per_class: dict[str, st
     return ~F.coalesce(hit, F.lit(False))
 
 
-def focus_filter(df: DataFrame, mode: str, entity: str, focus: Sequence, status: str, drop_fleet: bool = False) -> DataFrame:
+def focus_filter(df: DataFrame, mode: str, entity: str, focus: Sequence, status: str, drop_fleet: bool = False, *, high: str = HIGH, baseline: str = BASELINE) -> DataFrame:
     """``focus`` is the entity if listed, else FLEET; modes all, hide_high, hide_high_outside and hide_baseline."""
     out = df.withColumn("focus", F.when(F.col(entity).isin(list(focus)), F.col(entity).cast("string")).otherwise("FLEET"))
-    high, base = F.coalesce(F.col(status) == "HIGHFLIER", F.lit(False)), F.coalesce(F.col(status) == "BSL", F.lit(False))
-    out = out.where({"all": F.lit(True), "hide_high": ~high, "hide_high_outside": ~(high & (F.col("focus") == "FLEET")), "hide_baseline": ~base}[mode])
+    is_high, is_base = (F.coalesce(F.col(status) == label, F.lit(False)) for label in (high, baseline))
+    out = out.where({"all": F.lit(True), "hide_high": ~is_high, "hide_high_outside": ~(is_high & (F.col("focus") == "FLEET")), "hide_baseline": ~is_base}[mode])
     return out.where(F.col("focus") != "FLEET") if drop_fleet else out
 
 
-def scope_high_filter(df: DataFrame, mode: str, status: str, count: str) -> DataFrame:
+def scope_high_filter(df: DataFrame, mode: str, status: str, count: str, *, high: str = HIGH, baseline: str = BASELINE) -> DataFrame:
     """Modes none, hide_high, hide_empty_high (high with count <= 0 or null) and hide_baseline."""
-    high, base = F.coalesce(F.col(status) == "HIGHFLIER", F.lit(False)), F.coalesce(F.col(status) == "BSL", F.lit(False))
+    is_high, is_base = (F.coalesce(F.col(status) == label, F.lit(False)) for label in (high, baseline))
     empty = F.coalesce(F.col(count), F.lit(0)) <= 0
-    return df.where({"none": F.lit(True), "hide_high": ~high, "hide_empty_high": ~(high & empty), "hide_baseline": ~base}[mode])
+    return df.where({"none": F.lit(True), "hide_high": ~is_high, "hide_empty_high": ~(is_high & empty), "hide_baseline": ~is_base}[mode])
 
 
 def event_mode(df: DataFrame, mode: str, event: str, families: dict[str, Sequence[str]], order: Sequence[str]) -> DataFrame:

@@ -30,10 +30,15 @@ def match_with_fallback(left: DataFrame, events: DataFrame, keys: Sequence[str],
 
 
 def session_match(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time: str, right_time: str, seconds: float) -> DataFrame:
-    """Equi-joined pairs within ``seconds``; if nothing at all is, every pair."""
-    pairs = left.join(right, list(keys)).withColumn("_ok", F.abs(F.unix_micros(left_time) - F.unix_micros(right_time)) <= int(seconds * 1_000_000))
-    some = pairs.agg(F.coalesce(F.max("_ok"), F.lit(False)).alias("_some"))
-    return pairs.join(F.broadcast(some), F.col("_ok") | ~F.col("_some")).drop("_ok", "_some")
+    """Equi-joined pairs within ``seconds``; if nothing at all is, every pair.
+
+    Rows meet those of their own and the neighbouring stretches of ``seconds`` alone; only if that gives no pair (one look by the driver) are a key's rows joined whole.
+    """
+    width = max(1, int(seconds * 1_000_000))
+    at = lambda c: F.floor(F.unix_micros(c) / width)
+    near = left.withColumn("_stretch", F.explode(F.sequence(at(left_time) - 1, at(left_time) + 1))).join(right.withColumn("_stretch", at(right_time)), [*keys, "_stretch"])
+    near = near.where(F.abs(F.unix_micros(left_time) - F.unix_micros(right_time)) <= int(seconds * 1_000_000)).drop("_stretch")
+    return left.join(right, list(keys)) if near.isEmpty() else near
 
 
 def pair_semi(facts: DataFrame, pairs: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -34,6 +34,12 @@ def report_rows(points: DataFrame, pairs: DataFrame, keys: Sequence[str], layer:
     return sides[0].join(sides[1], "row", "full_outer")
 
 
+def excluded_counts(points: DataFrame, pairs: DataFrame, keys: Sequence[str], layer: str, layers: Sequence[str]) -> DataFrame:
+    """Per layer of a report: points it shows, and points left out because they have no image pair (null keys too)."""
+    paired = points.where(F.col(layer).isin(list(layers))).join(pairs.select(*keys, F.lit(True).alias("_pair")).distinct(), list(keys), "left")
+    return paired.groupBy(layer).agg(F.count("_pair").alias("n_included"), F.count_if(F.col("_pair").isNull()).alias("n_excluded"))
+
+
 def needed_images(points: DataFrame, manifest: DataFrame, keys: Sequence[str], image: str, required: Sequence[int]) -> DataFrame:
     """Points for which a required image isn't in the manifest."""
     wanted = points.select(*keys).distinct().withColumn(image, F.explode(F.array(*[F.lit(i) for i in required])))

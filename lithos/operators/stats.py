@@ -124,13 +124,20 @@ def temporal_split(df: DataFrame, time: str, cutoff: str) -> DataFrame:
     return df.where(F.col(time).isNotNull()).withColumn("split", F.when(F.col(time) <= F.lit(cutoff).cast("timestamp"), "train").otherwise(F.date_format(time, "yyyy-MM")))
 
 
+def label_ranks(df: DataFrame, column: str) -> DataFrame:
+    """``_label, _rank``: the distinct values of a column as sorted text, from 0. Values run in windows of their first two characters, whose totals are carried."""
+    known = df.select(F.col(column).cast("string").alias("_label")).where("_label IS NOT NULL").distinct().withColumn("_head", F.substring("_label", 1, 2))
+    heads = known.groupBy("_head").agg(F.count("*").alias("_in"))
+    heads = heads.select(F.col("_head").alias("_h"), (F.sum("_in").over(Window.orderBy("_head")) - F.col("_in")).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_head").orderBy("_label")) - 1
+    return known.withColumn("_i", inside).join(heads, F.col("_head") == F.col("_h")).select("_label", (F.col("_before") + F.col("_i")).alias("_rank"))
+
+
 def label_encode(df: DataFrame, columns: Sequence[str], train) -> DataFrame:
-    """Index of each value among the sorted training values; unseen ones are 0."""
+    """Index of each value (as text) among the sorted training values; unseen ones and null are 0. Values are looked up by a join, so there may be millions."""
     for c in columns:
-        known = df.where(train).select(c).where(F.col(c).isNotNull()).distinct()
-        index = known.agg(F.array_sort(F.collect_set(c)).alias("_known"))
-        place = F.array_position("_known", F.col(c))
-        df = df.join(F.broadcast(index), F.lit(True), "left").withColumn(f"{c}_index", F.when(F.coalesce(place, F.lit(0)) > 0, place - 1).otherwise(0)).drop("_known")
+        names = label_ranks(df.where(train), c)
+        df = df.join(names, F.col(c).cast("string") == F.col("_label"), "left").withColumn(f"{c}_index", F.coalesce("_rank", F.lit(0))).drop("_label", "_rank")
     return df
 
 
@@ -158,7 +165,7 @@ def forest_rows(df: DataFrame, features: Sequence[str], rate: str) -> DataFrame:
 
 
 def evaluate(model, df: DataFrame, features: Sequence[str], rate: str, split: str) -> DataFrame:
-    """Per split: rows, confusion counts, accuracy, precision, recall and F1, areas under ROC and precision-recall, and the drop of the former from training."""
+    """Per split: rows, confusion counts, accuracy, precision, recall and F1 of the positive class and (``_0``) of the other, areas under ROC and precision-recall, and the drop of the former from training."""
     from pyspark.ml.functions import vector_to_array
 
     scored = model.transform(forest_rows(df, features, rate)).select(split, "label", "prediction", vector_to_array("probability")[1].alias("p"))
@@ -169,8 +176,8 @@ def evaluate(model, df: DataFrame, features: Sequence[str], rate: str, split: st
     curve = curve.withColumns({"cp": F.sum("pos").over(w), "cn": F.sum("neg").over(w)})
     areas = curve.groupBy(split).agg(F.sum(F.col("neg") * (F.col("cp") - F.col("pos") / 2)).alias("_roc"), F.sum(F.col("pos") * F.col("cp") / (F.col("cp") + F.col("cn"))).alias("_pr"), F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
     safe = lambda a, b: F.when(b > 0, a / b)
-    out = base.join(areas, split).withColumns({"accuracy": (F.col("tp") + F.col("tn")) / F.col("n"), "precision": safe(F.col("tp"), F.col("tp") + F.col("fp")), "recall": safe(F.col("tp"), F.col("tp") + F.col("fn")), "auc_roc": safe(F.col("_roc"), F.col("_p") * F.col("_n")), "auc_pr": safe(F.col("_pr"), F.col("_p"))})
-    out = out.withColumn("f1", safe(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")))
+    out = base.join(areas, split).withColumns({"accuracy": (F.col("tp") + F.col("tn")) / F.col("n"), "precision": safe(F.col("tp"), F.col("tp") + F.col("fp")), "recall": safe(F.col("tp"), F.col("tp") + F.col("fn")), "precision_0": safe(F.col("tn"), F.col("tn") + F.col("fn")), "recall_0": safe(F.col("tn"), F.col("tn") + F.col("fp")), "auc_roc": safe(F.col("_roc"), F.col("_p") * F.col("_n")), "auc_pr": safe(F.col("_pr"), F.col("_p"))})
+    out = out.withColumns({"f1": safe(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")), "f1_0": safe(2 * F.col("tn"), 2 * F.col("tn") + F.col("fp") + F.col("fn"))})
     trained = out.where(F.col(split) == "train").select(F.col("auc_roc").alias("_t"))
     return out.join(F.broadcast(trained), F.lit(True), "left").withColumn("auc_drop", F.col("_t") - F.col("auc_roc")).drop("_roc", "_pr", "_p", "_n", "_t")
 

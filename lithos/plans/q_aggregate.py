@@ -164,6 +164,18 @@ def d20(spark, d):
     return D.benchmark_summary(rows, "layer", "device", ["rate_a"]).withColumns(_r("rate_a"))
 
 
+@query("D19_top_values", """SELECT "column", rank, value, n FROM (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY n DESC, value) AS rank FROM
+(SELECT 'layer' AS "column", layer AS value, count(*) AS n FROM u GROUP BY layer UNION ALL SELECT 'entity', CAST(entity AS VARCHAR), count(*) FROM u GROUP BY entity)) WHERE rank <= 5""")
+def d19t(spark, d):
+    return D.top_values(units(spark, d), ["layer", "entity"], 5)
+
+
+@query("D20_top_entities", f"""WITH c AS (SELECT device, layer, period, entity, count(*) AS n FROM ({_P}) GROUP BY ALL), t AS (SELECT entity FROM c QUALIFY row_number() OVER (PARTITION BY device, layer, period ORDER BY n DESC, entity) = 1)
+SELECT entity, count(*) AS n_periods FROM t GROUP BY entity ORDER BY n_periods DESC, entity LIMIT 5""")
+def d20t(spark, d):
+    return D.top_entities(D.fixed_periods(units(spark, d), "time", 7), ["device", "layer", "period"], "entity", 5)
+
+
 @query("D21_layer_frequency", "SELECT layer, count(*) AS n FROM u GROUP BY layer ORDER BY n DESC, layer LIMIT 3")
 def d21(spark, d):
     return D.frequency(units(spark, d), "layer", 3)

@@ -45,6 +45,13 @@ def i3(spark, d):
     return R.report_rows(units(spark, d).where("density_a > 30"), pairs, ["entity", "layer"], "layer", ("view", "error"), ["unit_id"], ["unit_id"])
 
 
+@query("I3_excluded", f"""WITH pr AS (SELECT entity, layer FROM ({_M}) GROUP BY entity, layer HAVING count(path) FILTER (image = 1) > 0 AND count(path) FILTER (image = 2) > 0)
+SELECT u.layer, count(pr.entity) AS n_included, count(*) - count(pr.entity) AS n_excluded FROM u LEFT JOIN pr ON u.entity = pr.entity AND u.layer = pr.layer WHERE u.layer IN ('view', 'error') GROUP BY u.layer""")
+def i3x(spark, d):
+    pairs = R.image_pairs(_manifest(spark, d), ["entity", "layer"], "image", "path", "time", (1, 2))
+    return R.excluded_counts(units(spark, d), pairs, ["entity", "layer"], "layer", ("view", "error"))
+
+
 @query("I4_needed_images", "SELECT unit_id FROM u WHERE (entity, layer) NOT IN (SELECT entity, layer FROM u WHERE unit_id % 7 = 0 AND unit_id % 3 IN (1, 2) GROUP BY entity, layer HAVING count(DISTINCT unit_id % 3) = 2)")
 def i4(spark, d):
     m = _manifest(spark, d).where("unit_id % 7 = 0").withColumn("image", F.col("image").cast("int"))
@@ -170,10 +177,17 @@ def j11(spark, d):
 
 @query("K1_compare_keys", """WITH l AS (SELECT * FROM u WHERE unit_id % 3 <> 0), r AS (SELECT * FROM u WHERE unit_id % 2 = 0)
 SELECT (SELECT count(*) FROM l WHERE unit_id IN (SELECT unit_id FROM r)) AS "both", (SELECT count(*) FROM l WHERE unit_id NOT IN (SELECT unit_id FROM r)) AS only_left, (SELECT count(*) FROM r WHERE unit_id NOT IN (SELECT unit_id FROM l)) AS only_right,
-(SELECT count(*) FROM l) AS rows_left, (SELECT count(*) FROM r) AS rows_right, (SELECT epoch_us(min(time)) FROM l) AS first_left, (SELECT epoch_us(max(time)) FROM r) AS last_right""")
+(SELECT count(*) FROM l) AS rows_left, (SELECT count(*) FROM r) AS rows_right, (SELECT epoch_us(min(time)) FROM l) AS first_left, (SELECT epoch_us(max(time)) FROM r) AS last_right, 'density_b' AS columns_left, 'extra' AS columns_right""")
 def k1(spark, d):
     u = units(spark, d)
-    return K.compare_keys(u.where("unit_id % 3 <> 0"), u.where("unit_id % 2 = 0"), ["unit_id"], "time").select("both", "only_left", "only_right", "rows_left", "rows_right", us("first_left").alias("first_left"), us("last_right").alias("last_right"))
+    right = u.where("unit_id % 2 = 0").drop("density_b").withColumn("extra", F.lit(1))
+    return K.compare_keys(u.where("unit_id % 3 <> 0"), right, ["unit_id"], "time").select("columns_left", "columns_right", "both", "only_left", "only_right", "rows_left", "rows_right", us("first_left").alias("first_left"), us("last_right").alias("last_right"))
+
+
+@query("K1_month_counts", "SELECT strftime(time, '%Y-%m') AS month, count(*) FILTER (unit_id % 3 <> 0) AS rows_left, count(*) FILTER (time > TIMESTAMP '2024-02-01') AS rows_right FROM u WHERE unit_id % 3 <> 0 OR time > TIMESTAMP '2024-02-01' GROUP BY 1")
+def k1m(spark, d):
+    u = units(spark, d)
+    return K.month_counts(u.where("unit_id % 3 <> 0"), u.where("time > '2024-02-01'"), "time")
 
 
 @query("K2_compare_rows_hash", "SELECT (SELECT count(*) FROM (SELECT lot, part FROM g WHERE lot % 2 = 0 INTERSECT SELECT lot, part FROM g WHERE lot % 3 = 0)) AS \"both\", (SELECT count(*) FROM (SELECT lot, part FROM g WHERE lot % 2 = 0 EXCEPT SELECT lot, part FROM g WHERE lot % 3 = 0)) AS only_left, (SELECT count(*) FROM (SELECT lot, part FROM g WHERE lot % 3 = 0 EXCEPT SELECT lot, part FROM g WHERE lot % 2 = 0)) AS only_right, 'OVERLAP' AS verdict")
@@ -206,6 +220,12 @@ def k5(spark, d):
     return K.stat_summary_diff(u.where("unit_id % 2 = 0"), u, ["density_a"]).withColumns(_r("mean_diff", "std_diff"))
 
 
+@query("K5_duplicate_counts", "SELECT a AS duplicates_left, b AS duplicates_right, a = b AS same FROM (SELECT (SELECT count(*) FROM g) - (SELECT count(*) FROM (SELECT DISTINCT lot, slot, recipe FROM g)) AS a, (SELECT count(*) FROM g) - (SELECT count(*) FROM (SELECT DISTINCT lot, recipe FROM g)) AS b)")
+def k5d(spark, d):
+    g = usage(spark, d)
+    return K.duplicate_counts(g.select("lot", "slot", "recipe"), g.select("lot", "recipe"))
+
+
 @query("K6_range_filter_check", "SELECT count(*) AS n_filtered, 0::BIGINT AS n_outside, count(*) AS n_expected, true AS ok FROM u WHERE time >= TIMESTAMP '2024-01-05' AND time < TIMESTAMP '2024-01-12'")
 def k6(spark, d):
     u = units(spark, d)
@@ -224,6 +244,12 @@ def k7t(spark, d):
     return K.transitions(before, after, ["unit_id"], "layer", 3)
 
 
+@query("K7_shape", "SELECT count(*) AS rows_before, count(*) FILTER (unit_id % 10 <> 0) AS rows_after, count(*) FILTER (unit_id % 10 = 0) = 0 AS same_rows, true AS same_columns FROM u")
+def k7s(spark, d):
+    before, after = _changed(spark, d)
+    return K.same_shape(before, after.where("unit_id % 10 <> 0"))
+
+
 @query("K8_bounds_check", "SELECT 'density_b' AS \"column\", 'rate' AS kind, count(*) FILTER (density_b < 0 OR density_b > 1) AS n_bad FROM u UNION ALL SELECT 'entity', 'count', count(*) FILTER (entity < 0) FROM u UNION ALL SELECT 'nothing', 'missing', 1")
 def k8(spark, d):
     return K.bounds_check(units(spark, d), ["density_b"], ["entity"], ["nothing"])

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lithos.functions import scalar as S
 from lithos.plans.base import query, table, units, us, usage
-from lithos.sources import tables
+from lithos.sources import days, tables
 
 
 @query("A1_scan_table", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
@@ -42,6 +42,16 @@ def a6(spark, d):
     return tables.latest_per(units(spark, d).where("density_a > 1"), ["entity", "layer"], [F.desc("time"), F.desc("unit_id")]).select("entity", "layer", "unit_id")
 
 
+@query("A7_write_table", "SELECT unit_id, CASE WHEN CAST(time AS DATE) = DATE '2024-01-08' THEN density_a + 1 ELSE density_a END AS density_a FROM u")
+def a7(spark, d):
+    """Units written by day; one day is read, changed and written again; all days are read back."""
+    held = days.DayTable(spark, tables.work_path(spark, "units"))
+    u = units(spark, d).select("unit_id", "time", "density_a")
+    held.write(u, F.col("time"))
+    held.write(held.read(["2024-01-08"]).withColumn("density_a", F.col("density_a") + 1), F.col("time"))
+    return held.read().select("unit_id", "density_a")
+
+
 @query("A8_export_recent", "SELECT unit_id, layer FROM u WHERE time >= (SELECT max(time) FROM u) - INTERVAL 10 DAY")
 def a8(spark, d):
     return tables.export_recent(units(spark, d), "time", 10).select("unit_id", "layer")
@@ -98,6 +108,12 @@ def h3(spark, d):
     return _flags(spark, d).select("unit_id", S.rollout_status("f4", ("f1", "f2"), ("BASE", "A", "B", "A+B"), {"f3": "+X"}).alias("status"))
 
 
+@query("H3_rollout_status_lenient", f"""SELECT unit_id, CASE WHEN f4 = 'ON' THEN 'PRIORITY' ELSE
+CASE WHEN coalesce(f1, '') <> 'ON' AND f2 = 'OFF' THEN 'BASE' WHEN f1 = 'ON' AND f2 = 'OFF' THEN 'A' WHEN coalesce(f1, '') <> 'ON' AND f2 = 'ON' THEN 'B' ELSE 'A+B' END || CASE WHEN f3 = 'ON' THEN '+X' ELSE '' END END AS status FROM ({_FLAGS})""")
+def h3l(spark, d):
+    return _flags(spark, d).select("unit_id", S.rollout_status("f4", ("f1", "f2"), ("BASE", "A", "B", "A+B"), {"f3": "+X"}, off_unless_on=True).alias("status"))
+
+
 @query("H4_rollout_short", f"SELECT unit_id, CASE WHEN f4 = 'ON' THEN 'NEW' ELSE 'OLD' END AS short, '' AS absent FROM ({_FLAGS})")
 def h4(spark, d):
     return _flags(spark, d).select("unit_id", S.rollout_short("f4", "NEW", "OLD").alias("short"), S.rollout_short(None, "NEW", "OLD").alias("absent"))

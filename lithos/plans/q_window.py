@@ -29,7 +29,7 @@ def e1(spark, d):
 
 @query("E2_usage_by_group")
 def e2(spark, d):
-    """Every lot and entity; SQL over all is too slow, so E2 holds a tenth of these against it."""
+    """Every lot and entity; SQL over all is too slow, so a test holds it against plain Python."""
     g = usage(spark, d)
     own = g.groupBy("lot", "entity").agg(F.max("time").alias("time"))
     out = W.usage_by_group(own, g, "entity", "time", [480, 2400], "recipe", ["A", "R"])
@@ -38,7 +38,7 @@ def e2(spark, d):
 
 @query("E3_usage_layer_product")
 def e3(spark, d):
-    """Every unit; SQL over all is too slow, so E3 holds a twentieth of these against it."""
+    """Every unit; SQL over all is too slow, so a test holds it against plain Python."""
     u = units(spark, d)
     sums = {"fleet_all": F.count(F.lit(1)), "fleet_layer": F.count_if(F.col("layer") == "view")}
     fleet = W.fleet_lookback(u.select("unit_id", "time"), u, "time", 3 * DAY, sums)
