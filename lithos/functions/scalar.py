@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -24,12 +24,22 @@ def norm_id(c: str | Column) -> Column:
     return F.when(text == "", None).when(whole, number.cast("long").cast("string")).otherwise(text)
 
 
-def norm_key(columns: Sequence[str], times: Sequence[str] = ()) -> Column:
-    """A key text: parts joined by a bar (bars and backslashes within them escaped), times to the second, nulls as empty parts."""
-    parts = [F.date_format(c, "yyyy-MM-dd HH:mm:ss") if c in times else F.regexp_replace(norm_id(c), r"([|\\])", r"\\$1") for c in columns]
+def norm_key(columns: Sequence[str], times: Sequence[str] = (), whole: Sequence[str] = ()) -> Column:
+    """A key text: parts joined by a bar (bars and backslashes within them escaped), times to the second, nulls as empty parts.
+
+    Columns ``whole`` have a whole-number type and are written as they are; ``whole_columns`` names them.
+    """
+    plain = lambda c: F.col(c).cast("string") if c in whole else F.regexp_replace(norm_id(c), r"([|\\])", r"\\$1")
+    parts = [F.date_format(c, "yyyy-MM-dd HH:mm:ss") if c in times else plain(c) for c in columns]
     return F.concat_ws("|", *[F.coalesce(p, F.lit("")) for p in parts])
 
 
+def whole_columns(*frames: DataFrame) -> list[str]:
+    """Columns that have a whole-number type in every frame."""
+    kinds = [{c for c, k in f.dtypes if k in ("tinyint", "smallint", "int", "bigint")} for f in frames]
+    return sorted(set.intersection(*kinds))
+
+
 def is_zero(c: str | Column, zero: float = 0) -> Column:
     """Equal to zero (or what stands for it); null isn't zero."""
     return F.coalesce(col(c) == zero, F.lit(False))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lithos.functions.scalar import norm_key
+from lithos.functions.scalar import norm_key, whole_columns
 
 
 def compare_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
@@ -56,7 +56,8 @@ def compare_rows(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def unmatched_profile(df: DataFrame, other: DataFrame, keys: Sequence[str], times: Sequence[str], time: str, by: str, cutoff: str) -> DataFrame:
     """Rows whose normalised key the other side lacks, by month and group, with those before the cutoff; and how concentrated they are (a month's share of all: HIGH over 0.8, MEDIUM over 0.5)."""
-    lacking = df.withColumn("_key", norm_key(keys, times)).join(other.select(norm_key(keys, times).alias("_key")).distinct(), "_key", "left_anti")
+    whole = whole_columns(df, other)
+    lacking = df.withColumn("_key", norm_key(keys, times, whole)).join(other.select(norm_key(keys, times, whole).alias("_key")).distinct(), "_key", "left_anti")
     counted = lacking.groupBy(F.date_format(time, "yyyy-MM").alias("month"), by).agg(F.count("*").alias("n"), F.count_if(F.col(time) < F.lit(cutoff).cast("timestamp")).alias("before"), F.count_if(F.col(time).isNull()).alias("invalid"))
     months = counted.groupBy("month").agg(F.sum("n").alias("_m"))
     top = months.agg((F.max("_m") / F.sum("_m")).alias("_top"))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lithos.functions.scalar import norm_key
+from lithos.functions.scalar import norm_key, whole_columns
 
 
 def union_distinct(parts: Sequence[DataFrame]) -> DataFrame:
@@ -25,7 +25,7 @@ def keep_last(sources: Sequence[DataFrame], keys: Sequence[str], tie: Sequence[C
     for r in ranked[1:]:
         out = out.unionByName(r, allowMissingColumns=True)
     w = Window.partitionBy("_key").orderBy(F.desc("_src"), *[t.desc() for t in tie])
-    return out.withColumn("_key", norm_key(keys, times)).withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n", "_src", "_key")
+    return out.withColumn("_key", norm_key(keys, times, whole_columns(*sources))).withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n", "_src", "_key")
 
 
 def overlap_replace(existing: DataFrame, new: DataFrame, keys: Sequence[str], time: str, cutoff: str, tie: Sequence[Column]) -> DataFrame:
@@ -97,8 +97,9 @@ def overlay_update(prod: DataFrame, stage: DataFrame, keys: Sequence[str], colum
 def sync_columns(target: DataFrame, source: DataFrame, keys: Sequence[str], columns: Sequence[str], order: Sequence[Column], times: Sequence[str] = ()) -> DataFrame:
     """Columns copied by normalised text key from the source's last row; targets without one keep theirs."""
     w = Window.partitionBy("_key").orderBy(*[o.desc() for o in order])
-    one = source.withColumn("_key", norm_key(keys, times)).withColumn("_n", F.row_number().over(w)).where("_n = 1").select("_key", *[F.col(c).alias(f"_s_{c}") for c in columns])
-    return target.withColumn("_key", norm_key(keys, times)).join(one, "_key", "left").withColumns({c: F.coalesce(f"_s_{c}", c) for c in columns}).select(*target.columns)
+    whole = whole_columns(source, target)
+    one = source.withColumn("_key", norm_key(keys, times, whole)).withColumn("_n", F.row_number().over(w)).where("_n = 1").select("_key", *[F.col(c).alias(f"_s_{c}") for c in columns])
+    return target.withColumn("_key", norm_key(keys, times, whole)).join(one, "_key", "left").withColumns({c: F.coalesce(f"_s_{c}", c) for c in columns}).select(*target.columns)
 
 
 def targeted_update(df: DataFrame, scope: Column, changes: dict[str, Column]) -> DataFrame:

@@ -108,7 +108,8 @@ def j1(spark, d):
 
 @query("J2_nn_permutation")
 def j2(spark, d):
-    return J.nn_permutation(points(spark, d), ["grp"], "class", "B", "A", "x", "y", 1.0, 49, 7)
+    """Every point, in groups of 50 neighbouring ids, as points of one unit are."""
+    return J.nn_permutation(points(spark, d).withColumn("unit", F.expr("point_id div 50")), ["unit"], "class", "B", "A", "x", "y", 1.0, 49, 7)
 
 
 @query("J3_corr_score", f"SELECT grp, round((0.45 * avg(CAST(d <= 2 AS INT)) + 0.30 * avg(CAST(d <= 1 AS INT)) + 0.25 / (1 + quantile_cont(d, 0.5))) * 0.9, 6) AS score FROM ({_NN}) GROUP BY grp")

@@ -43,7 +43,7 @@ def merge_days(path: str, keys: Sequence[str], tie: Sequence[Column], day: Colum
         try:
             touched = set(day_names(batch, day))
             if moving:
-                known = table.read().withColumn("_key", norm_key(keys, ())).join(batch.select(norm_key(keys, ()).alias("_key")).distinct(), "_key", "left_semi")
+                known = table.read().withColumn("_key", norm_key(keys)).join(batch.select(norm_key(keys).alias("_key")).distinct(), "_key", "left_semi")
                 touched |= set(day_names(known, day))
             merged = keep_last([table.read(sorted(touched)), batch], keys, tie)
             table.write(merged, day, replaced=sorted(touched))
