@@ -16,7 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lithos.llm._spark import Scratch, shuffle_partitions
+from lithos.llm._order import placed
+from lithos.llm._spark import Scratch
 from lithos.llm._text import class_words, mixed, ragged_take, raw, string_array, text_slices, word_hashes
 
 #: Bytes that end a piece, and those that end a word within one.
@@ -266,13 +267,7 @@ def collocations(docs: DataFrame, *, depth: int = 3, least: int = 10, keep_perce
     cuts = [F.when(F.col(f"l{k}").isNotNull(), F.struct(F.expr(exact.format(k=k)).alias("score"), F.lit(k).alias("k"), F.col(f"l{k}").alias("l"), F.col(f"r{k}").alias("r"))) for k in range(1, depth)]
     best = found.withColumn("best", F.array_min(F.array(*cuts))).select("lang", "phrase", "a", "best.l", "best.r", "best.score")
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    first = top_of_each(best, "lang", [F.col("score").desc(), F.col("a").desc(), F.col("phrase")], top)
+    # Ranks are places over ranges of scores, so a language with most phrases is no longer task than others.
+    scored = scratch.write(best.withColumns({"_score": -F.col("score"), "_a": -F.col("a")}), "scores")
+    first = placed(scored, ["lang"], ["_score", "_a", "phrase"], scratch).where(F.col("place") < top).withColumn("rank", F.col("place") + 1)
     return scratch.last(first.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score"), "collocations")
-
-
-def top_of_each(rows: DataFrame, by: str, order: list[Column], top: int) -> DataFrame:
-    """The first ``top`` rows of each group with their ``rank``; partitions are cut to their own first rows before they meet."""
-    from pyspark.sql import Window
-
-    rank = F.row_number().over(Window.partitionBy(by).orderBy(*order))
-    return rows.withColumn("rank", rank.cast("long")).where(F.col("rank") <= top)
