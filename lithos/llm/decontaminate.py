@@ -36,8 +36,8 @@ def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
 class _Grams:
     """The n-grams of one block of benchmark items: hashes to sift by, and the exact words to verify by."""
 
-    def __init__(self, items: list[tuple[str, str]], n: int):
-        self.owners: dict[bytes, list[str]] = defaultdict(list)
+    def __init__(self, items: list[tuple[str | None, str]], n: int):
+        self.owners: dict[bytes, list[str | None]] = defaultdict(list)
         by_length: dict[int, set[int]] = defaultdict(set)
         if items:
             data, starts, ends, first, hashes = _words(pa.array([t for _, t in items], pa.large_string()))
@@ -79,17 +79,23 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, *, n: int = 10, id_col
 
     What is broadcast is bounded by ``block_bytes`` of benchmark text: more is taken in blocks, each
     against all documents, and the blocks' ranges are united per document. Null texts have no words;
-    items without words have no windows; repeated documents, null ids and repeated items keep their
+    items without words have no windows; an item without an id hits as others do and isn't named; repeated documents, null ids and repeated items keep their
     meaning; empty tables give no rows or no hits; other columns are ignored.
     """
     spark = docs.sparkSession
     chosen = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text")).where("item IS NOT NULL AND text IS NOT NULL")
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text")).where("text IS NOT NULL")
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-total // block_bytes))
     if blocks > 1:
         chosen = written(chosen.withColumn("row", F.monotonically_increasing_id()), "decontaminate")
-    parts = [_against(chosen, spark.sparkContext.broadcast(_Grams([tuple(r) for r in items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b).collect()], n))) for b in range(blocks)]
+    parts = []
+    for b in range(blocks):
+        known = spark.sparkContext.broadcast(_Grams([tuple(r) for r in items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b).collect()], n))
+        parts.append(_against(chosen, known))
+        if blocks > 1:  # one block at a time: its hits are written before the next is read
+            parts[-1] = written(parts[-1], "hits")
+            known.destroy()
     if blocks == 1:
         done = parts[0]
     else:
@@ -126,7 +132,7 @@ def _against(docs: DataFrame, known) -> DataFrame:
                 names: list[list[str]] = [[] for _ in range(part.num_rows)]
                 inside = np.cumsum(cover) > 0
                 for d, own in items.items():
-                    names[d] = sorted(own)
+                    names[d] = sorted(name for name in own if name is not None)
                     own_words = np.concatenate([[False], inside[first[d] : first[d + 1]], [False]])
                     edges = np.flatnonzero(own_words[1:] != own_words[:-1]).tolist()
                     spans[d] = [{"start": a, "end": b} for a, b in zip(edges[::2], edges[1::2], strict=True)]
@@ -141,13 +147,13 @@ def remove_hits(docs: DataFrame, benchmark: DataFrame, *, n: int = 10, whole: bo
     """``docs`` with all its columns, without the documents that hold a window (``whole``) or without the hit words.
 
     Each row is judged by its own text, in the passes that find the windows, so null and repeated ids
-    are safe and nothing is joined back. With ``whole=False`` a text loses, for each range of hit
+    are safe and nothing is joined back; items without an id count too. With ``whole=False`` a text loses, for each range of hit
     words, all from the first word's first character to the last word's last. More than
     ``block_bytes`` of benchmark text is taken in blocks, one pass each; with ``whole=False`` each
     pass adds its ranges beside the untouched text, and the last one cuts all.
     """
     spark = docs.sparkSession
-    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text")).where("item IS NOT NULL AND text IS NOT NULL")
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text")).where("text IS NOT NULL")
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-total // block_bytes))
     # The ranges' column: a name that no column has.

@@ -1,6 +1,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from lithos.llm import decontaminate, quality, secrets, toxicity
 from lithos.llm._labels import calibrated, isotonic
@@ -131,13 +132,13 @@ def hits(text, items, n):
                 if w[k : k + size] == v[i : i + size]:
                     hit.update(range(k, k + size))
                     found.add(name)
-    return len(w), len(hit), sorted(found)
+    return len(w), len(hit), sorted(found - {None})
 
 
 @pytest.mark.parametrize("block_bytes", [1 << 20, 60])
 def test_contamination_is_brute_force(spark, block_bytes):
-    items = [("1", " ".join(words(14, 7))), ("2", "short item"), ("10", " ".join(words(14, 7))), ("3", None), ("4", "!!"), ("5", "naïve café 日本")]
-    given = [*rows(), (70, "Lead " + " ".join(words(14, 7)).upper() + "; tail"), (71, "a short-item"), (72, " ".join(words(14, 7)[2:12]))]
+    items = [("1", " ".join(words(14, 7))), ("2", "short item"), ("10", " ".join(words(14, 7))), ("3", None), ("4", "!!"), ("5", "naïve café 日本"), (None, " ".join(words(12, 8)))]
+    given = [*rows(), (73, "of no one: " + " ".join(words(12, 8))), (70, "Lead " + " ".join(words(14, 7)).upper() + "; tail"), (71, "a short-item"), (72, " ".join(words(14, 7)[2:12]))]
     benchmark = spark.createDataFrame([(a, b, 1) for a, b in items], "item_id string, text string, row long")
     got = sorted((str(r.doc_id), r.n_words, sum(s.end - s.start for s in r.spans), r["items"]) for r in decontaminate.benchmark_hits(documents(spark, given), benchmark, n=10, block_bytes=block_bytes).collect())
     assert got == sorted((str(i), *hits(t, items, 10)) for i, t in given)
@@ -147,6 +148,8 @@ def test_contaminated_rows_or_words_go(spark):
     passage = " ".join(words(14, 7))
     given = [*rows(), (70, f"Lead {passage}; tail")]
     benchmark = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    nameless = decontaminate.remove_hits(documents(spark, given), benchmark.withColumn("item_id", F.lit(None).cast("long")))
+    assert sorted(str(r.doc_id) for r in nameless.collect()) == sorted(str(i) for i, _ in rows())
     whole = decontaminate.remove_hits(documents(spark, given), benchmark)
     assert sorted(str(r.doc_id) for r in whole.collect()) == sorted(str(i) for i, _ in rows())
     cut = {r.doc_id: r.text for r in decontaminate.remove_hits(documents(spark, given), benchmark, whole=False).collect()}
