@@ -24,7 +24,10 @@ def _benchmark_or_labels(spark: SparkSession, sf_dir: str, name: str) -> DataFra
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without documents whose toxicity is ``TOXIC`` or more; null and empty texts stay, and each row is judged by its own text."""
+    """Without documents whose toxicity is ``TOXIC`` or more; null and empty texts stay, and each row, repeated or without an id, is judged by its own text.
+
+    Without labelled documents of both kinds, as in an empty table, nothing is toxic.
+    """
     model = toxicity.train_toxicity(docs, _benchmark_or_labels(spark, sf_dir, "labels"), held_out=None)
     return toxicity.drop_toxic(docs, model, limit=TOXIC)
 
@@ -40,9 +43,14 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets in their texts masked and their length counted anew."""
+    """All documents, secrets in their texts masked and ``n_chars``, where there is such a column, counted anew.
+
+    Each row is masked by its own text, so null and repeated ids are safe; a null text stays null, its length too; other columns stay as they are.
+    """
     masked = secrets.mask_secrets(docs)
-    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    if "n_chars" in docs.columns:
+        masked = masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return masked.select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -73,7 +81,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after another over all of ``documents``; each result but the last is written and read again, the one before it deleted."""
+    """The stages one after another over all of ``documents``; each result but the last is written and read again, the one before it deleted.
+
+    No row is lost but by a stage's own decision; an empty table goes through all stages and gives no rows.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     scratch = Scratch(spark)
     for k, (name, stage) in enumerate(STAGES):

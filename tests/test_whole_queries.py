@@ -1,4 +1,4 @@
-"""Queries whose SQL covers a part of the rows, over all rows: against brute force on the smallest tables."""
+"""Queries without SQL over all rows: against plain Python on the smallest tables."""
 
 from bisect import bisect_left
 
