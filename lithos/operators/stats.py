@@ -87,7 +87,7 @@ def mann_whitney(df: DataFrame, group: str, value: str, alpha: float, least: int
     """Each group against all others, two-sided: U, p by the tie-corrected normal approximation with continuity, effect 1 - 2U / (n1 n2), the flag, and the medians of the group and of the others.
 
     Average ranks are counted from distinct values: how many lie below each, in ranges of values whose totals are carried over, so no task
-    holds all rows. The others' median lies in the range that the table's counts less the group's own point to; only that range's values are looked at.
+    holds all rows. A median lies in the range that counts point to, the group's own or the table's less these; only such ranges' values are looked at.
     """
     rows = df.dropna(subset=[group, value]).select(group, F.col(value).cast("double").alias("v"))
     own = rows.groupBy(group, "v").agg(F.count("*").alias("c"))
@@ -96,20 +96,29 @@ def mann_whitney(df: DataFrame, group: str, value: str, alpha: float, least: int
     ranked = own.join(ranks, "v")
     sums = ranked.groupBy(group).agg(F.sum("c").alias("n1"), F.sum(F.col("c") * (F.col("_below") + (F.col("_t") + 1) / 2)).alias("r1"))
 
-    # Of each group and range: how many values of others lie in it and before it.
+    # Of each group and range: how many values of its own and of others lie in it and before it.
     totals = ranks.groupBy("_r").agg(F.sum("_t").alias("_all"))
     mine = ranked.groupBy(group, "_r").agg(F.sum("c").alias("_own"))
     grid = sums.select(group, "n1").join(F.broadcast(totals), F.lit(True)).join(mine, [group, "_r"], "left").join(F.broadcast(whole.select("n")), F.lit(True))
-    grid = grid.withColumn("_in", F.col("_all") - F.coalesce("_own", F.lit(0)))
-    grid = grid.withColumn("_before", F.sum("_in").over(Window.partitionBy(group).orderBy("_r")) - F.col("_in"))
-    ends = [F.floor((F.col("n") - F.col("n1") - 1) / 2), F.ceil((F.col("n") - F.col("n1") - 1) / 2)]
-    has = lambda rank, low, size: (rank >= F.col(low)) & (rank < F.col(low) + F.col(size))
-    asked = grid.where(has(ends[0], "_before", "_in") | has(ends[1], "_before", "_in")).select(F.col(group).alias("_g"), "_r", "_before", "n", "n1")
-    there = asked.join(ranks.select("_r", "v", "_t"), "_r").join(own.select(F.col(group).alias("_g"), "v", "c"), ["_g", "v"], "left").withColumn("_o", F.col("_t") - F.coalesce("c", F.lit(0)))
-    there = there.withColumn("_low", F.col("_before") + F.sum("_o").over(Window.partitionBy("_g", "_r").orderBy("v")) - F.col("_o"))
-    others = there.groupBy("_g").agg(*[F.max(F.when(has(e, "_low", "_o"), F.col("v"))).alias(f"_e{k}") for k, e in enumerate(ends)]).select(F.col("_g").alias(group), ((F.col("_e0") + F.col("_e1")) / 2).alias("others_median"))
-
-    out = with_quantiles(sums, rows, [group], ["v"], [0.5]).withColumnRenamed("v_0.5", "median").join(others, group, "left")
+    up = Window.partitionBy(group).orderBy("_r")
+    grid = grid.withColumn("_in_own", F.coalesce("_own", F.lit(0))).withColumn("_in_other", F.col("_all") - F.col("_in_own"))
+    grid = grid.withColumns({f"_before_{s}": F.sum(f"_in_{s}").over(up) - F.col(f"_in_{s}") for s in ("own", "other")})
+    size = {"own": F.col("n1"), "other": F.col("n") - F.col("n1")}
+    ends = {s: (F.floor((n - 1) / 2), F.ceil((n - 1) / 2)) for s, n in size.items()}
+    has = lambda rank, low, many: (rank >= F.col(low)) & (rank < F.col(low) + F.col(many))
+    holds = F.lit(False)
+    for s, both in ends.items():
+        for e in both:
+            holds = holds | has(e, f"_before_{s}", f"_in_{s}")
+    asked = grid.where(holds).select(F.col(group).alias("_g"), "_r", "_before_own", "_before_other", "n", "n1")
+    there = asked.join(ranks.select("_r", "v", "_t"), "_r").join(own.select(F.col(group).alias("_g"), "v", "c"), ["_g", "v"], "left")
+    there = there.withColumn("_c_own", F.coalesce("c", F.lit(0))).withColumn("_c_other", F.col("_t") - F.col("_c_own"))
+    inside = Window.partitionBy("_g", "_r").orderBy("v")
+    there = there.withColumns({f"_low_{s}": F.col(f"_before_{s}") + F.sum(f"_c_{s}").over(inside) - F.col(f"_c_{s}") for s in ends})
+    picked = there.groupBy("_g").agg(*[F.max(F.when(has(e, f"_low_{s}", f"_c_{s}"), F.col("v"))).alias(f"_{s}{k}") for s, both in ends.items() for k, e in enumerate(both)])
+    medians = picked.select(F.col("_g").alias(group), ((F.col("_own0") + F.col("_own1")) / 2).alias("median"), ((F.col("_other0") + F.col("_other1")) / 2).alias("others_median"))
+
+    out = sums.join(medians, group, "left")
     out = out.join(F.broadcast(whole), F.lit(True), "left").withColumn("n2", F.col("n") - F.col("n1")).where((F.col("n1") >= least) & (F.col("n2") >= least))
     n1, n2, n = F.col("n1"), F.col("n2"), F.col("n")
     out = out.withColumn("u", F.col("r1") - n1 * (n1 + 1) / 2)
