@@ -9,7 +9,8 @@ The range join of a block works on tiles: a tree of splits at medians of a bound
 each vector, cells in order are cut into tiles of at most ``TILE`` vectors, and tiles meet only if their
 bounding boxes are within the share. Tiles hold equally many vectors whatever the crowding, so a
 large group of near copies is spread over tiles, and its pairs are counted inside tasks and never
-made rows: a task returns link counts per vector and a spanning forest of the links it found.
+made rows: a task returns link counts per vector and a spanning forest of the links it found. Boxes of more
+tiles than may be broadcast are met from above: runs of tiles have boxes too, and only runs that touch are opened.
 
 How much boxes prune depends on the data. For vectors spread evenly over 64 dimensions a share of 0.1 is
 wide, most boxes touch, and the work grows with the square of the number of vectors at the speed
@@ -29,8 +30,8 @@ from pyspark.sql import functions as F
 from lithos.llm._spark import shuffle_partitions, written
 from lithos.llm.components import connected_components
 
-#: Dimensions of a block, vectors of a tile, sample that sets the splits, depth of the tree, and bytes of tile boxes broadcast at most.
-BLOCK_DIMS, TILE, SAMPLE, DEPTH, BOX_BYTES, SEED = 16, 2048, 20_000, 10, 64 << 20, 11
+#: Dimensions of a block, vectors of a tile, sample that sets the splits, depth of the tree, bytes of boxes broadcast at most, and boxes of a run.
+BLOCK_DIMS, TILE, SAMPLE, DEPTH, BOX_BYTES, FAN, SEED = 16, 2048, 20_000, 10, 64 << 20, 16, 11
 
 
 def rotation(dims: int) -> np.ndarray:
@@ -159,6 +160,40 @@ def near_duplicates(vectors: DataFrame, *, limit: float = 0.95, id_col: str = "v
     return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "id").alias("component_id"))
 
 
+def _meeting(boxes: DataFrame, share: list[float]) -> DataFrame:
+    """``block, one, two`` (one <= two): tiles of a block whose boxes are within its share.
+
+    Tiles are numbered in the order of their cells, so runs of ``FAN`` tiles lie close together and have a box of their
+    own, as have runs of runs. The lowest level whose boxes fit ``BOX_BYTES`` is broadcast and meets itself; below it,
+    pairs of runs are joined with the boxes of their members, and those that are too far apart go. No level drops a pair
+    of tiles within the share, as a run's box holds the boxes of its members.
+    """
+    spark = boxes.sparkSession
+    most = max(len(share), BOX_BYTES // (16 + 16 * BLOCK_DIMS))
+    levels = [boxes]
+    while levels[-1].count() > most:
+        sides = [F.array_compact(F.array(*[least(F.get(c, F.lit(i))) for i in range(BLOCK_DIMS)])).alias(c) for least, c in ((F.min, "lo"), (F.max, "hi"))]
+        levels.append(written(levels[-1].groupBy("block", F.expr(f"tile div {FAN}").alias("tile")).agg(*sides), "boxes"))
+    top = levels[-1]
+    known = spark.sparkContext.broadcast({b: tuple(np.array(x) for x in zip(*[(r.tile, r.lo, r.hi) for r in rows], strict=True)) for b in range(len(share)) if (rows := top.where(F.col("block") == b).orderBy("tile").collect())})
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                names, los, his = known.value[row["block"]]
+                other = names[(names >= row["tile"]) & _near(share[row["block"]], np.array(row["lo"]), np.array(row["hi"]), los, his)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(other), row["block"]), pa.int32()), pa.array(np.full(len(other), row["tile"])), pa.array(other)], ["block", "one", "two"])
+
+    pairs = written(top.mapInArrow(meet, "block int, one long, two long"), "tile-pairs")
+    gap = F.zip_with(F.zip_with("lo_one", "hi_two", lambda a, b: a - b), F.zip_with("lo_two", "hi_one", lambda a, b: a - b), lambda a, b: F.greatest(a, b, F.lit(0.0)))
+    near = F.aggregate(gap, F.lit(0.0), lambda s, x: s + x * x) <= F.element_at(F.array(*[F.lit(x) for x in share]), F.col("block") + 1)
+    for level in reversed(levels[:-1]):
+        one, two = (level.select("block", F.expr(f"tile div {FAN}").alias(s), F.col("tile").alias(f"in_{s}"), F.col("lo").alias(f"lo_{s}"), F.col("hi").alias(f"hi_{s}")) for s in ("one", "two"))
+        below = pairs.join(one, ["block", "one"]).join(two, ["block", "two"]).where((F.col("in_one") <= F.col("in_two")) & near)
+        pairs = written(below.select("block", F.col("in_one").alias("one"), F.col("in_two").alias("two")), "tile-pairs")
+    return pairs
+
+
 def _found(usable: DataFrame, dims: int, width: str, limit: float) -> DataFrame:
     """``id, links, other``: link counts and a spanning forest among vectors of one length."""
     spark = usable.sparkSession
@@ -205,20 +240,7 @@ def _found(usable: DataFrame, dims: int, width: str, limit: float) -> DataFrame:
             yield flush()
 
     tiles = written(ordered.mapInArrow(pack, "block int, tile long, ids array<long>, vs binary, lo array<double>, hi array<double>"), "tiles")
-    boxes = tiles.select("block", "tile", "lo", "hi")
-    amount = boxes.count()
-    if amount * (16 + 16 * BLOCK_DIMS) > BOX_BYTES:
-        raise ValueError(f"{amount} tiles are more than their boxes may take to broadcast; raise TILE or BOX_BYTES")
-    known = spark.sparkContext.broadcast({b: tuple(np.array(x) for x in zip(*[(r.tile, r.lo, r.hi) for r in rows], strict=True)) for b in range(len(blocks)) if (rows := boxes.where(F.col("block") == b).orderBy("tile").collect())})
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                names, los, his = known.value[row["block"]]
-                other = names[(names >= row["tile"]) & _near(share[row["block"]], np.array(row["lo"]), np.array(row["hi"]), los, his)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(other), row["block"]), pa.int32()), pa.array(np.full(len(other), row["tile"])), pa.array(other)], ["block", "one", "two"])
-
-    pairs = written(boxes.mapInArrow(meet, "block int, one long, two long"), "tile-pairs")
+    pairs = _meeting(tiles.select("block", "tile", "lo", "hi"), share)
     left = tiles.select(F.col("tile").alias("one"), F.col("ids").alias("ids_one"), F.col("vs").alias("vs_one"))
     right = tiles.select(F.col("tile").alias("two"), F.col("ids").alias("ids_two"), F.col("vs").alias("vs_two"))
     joined = pairs.join(left, "one").join(right, "two")

@@ -114,8 +114,11 @@ def test_suffix_dedup_of_nothing(spark):
     assert suffix_dedup.repeat_digest(documents(spark, [])).collect() == []
 
 
-def test_embeddings_are_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(embedding_dedup, "TILE", 16)
+@pytest.mark.parametrize(("box_bytes", "fan"), [(64 << 20, 16), (1, 2)])
+def test_embeddings_are_brute_force(spark, monkeypatch, box_bytes, fan):
+    monkeypatch.setattr(embedding_dedup, "TILE", 8)
+    monkeypatch.setattr(embedding_dedup, "BOX_BYTES", box_bytes)  # 1: boxes meet over all levels of runs
+    monkeypatch.setattr(embedding_dedup, "FAN", fan)
     rng = np.random.default_rng(2)
     x = rng.normal(size=(150, 64))
     x[40:80] = x[3] + rng.normal(size=(40, 64)) * 0.2  # a crowd around the limit
