@@ -8,8 +8,10 @@ A long token is scored over the alphabet of its inferred encoding (hex, base32 o
 
 A token passes the battery if none of the three rejects randomness (Bonferroni at ``BATTERY``). Short
 natural tokens pass by luck more often than long ones, so each token also has a p-value under "natural
-text": the chi-squared statistic then centres at ``(k - 1) + n * excess``, which grows with its length n.
-Those p-values are held to a false discovery rate of ``RATE`` by Benjamini-Hochberg within each
+text", from two statistics that are added as normal ones: the chi-squared statistic, which then centres at
+``(k - 1) + n * excess`` and grows with the length n, and the number of runs of one kind of letter (capitals, small
+letters, digits, signs), which words keep long: a natural token changes its kind at ``CHANGES`` of its places
+at most, a random one of base64 at six in ten. The p-values are held to a false discovery rate of ``RATE`` by Benjamini-Hochberg within each
 encoding and length class (powers of two), over the whole table.
 """
 
@@ -36,6 +38,8 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 ALPHABETS = {"hex": "0123456789abcdef", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"}
 #: How much more often than under uniform letters two letters of a natural token agree.
 EXCESS = {"hex": 1.0, "base32": 1.0, "base64": 2.0}
+#: How often neighbouring letters of a natural token differ in kind.
+CHANGES = {"hex": 0.15, "base32": 0.1, "base64": 0.3}
 BATTERY, RATE = 1e-3, 0.01
 #: Letters that a token has at least without its padding, and items that are put into one array at a time.
 LEAST_BODY, BLOCK = 16, 128
@@ -107,6 +111,7 @@ def _battery(spans: str) -> str:
     encoding = "CASE WHEN body RLIKE '^([0-9a-f]+|[0-9A-F]+)$' THEN 'hex' WHEN body RLIKE '^[A-Z2-7]+$' THEN 'base32' ELSE 'base64' END"
     alphabet = "CASE encoding " + " ".join(f"WHEN '{e}' THEN '{a}'" for e, a in ALPHABETS.items()) + " END"
     excess = "CASE encoding " + " ".join(f"WHEN '{e}' THEN {x}D" for e, x in EXCESS.items()) + " END"
+    rate = "CASE f.encoding " + " ".join(f"WHEN '{e}' THEN {x}D" for e, x in CHANGES.items()) + " END"
 
     def each(inner: str, var: str, out: str) -> str:
         return f"transform({inner}, {var} -> {out})"
@@ -119,18 +124,21 @@ def _battery(spans: str) -> str:
     # Every step is linear in the token: letters are cut once, counts are differences of lengths.
     numbers = "transform(slice(split(h.text, ''), 1, length(h.text)), x -> instr(h.letters, x) - 1)"
     squares = "aggregate(split(h.letters, ''), 0D, (s, x) -> s + pow(length(h.text) - length(replace(h.text, x, '')), 2))"
-    three = each(half, "h", f"named_struct({base.format(v='h')}, 'encoding', h.encoding, 'n', cast(length(h.text) AS DOUBLE), 'k', cast(length(h.letters) AS DOUBLE), 'excess', h.excess, 'v', {numbers}, 'squares', {squares})")
+    changes = "cast(regexp_count(h.text, '[A-Z]+|[a-z]+|[0-9]+|[+/]+') - 1 AS DOUBLE)"
+    three = each(half, "h", f"named_struct({base.format(v='h')}, 'encoding', h.encoding, 'n', cast(length(h.text) AS DOUBLE), 'k', cast(length(h.letters) AS DOUBLE), 'excess', h.excess, 'v', {numbers}, 'squares', {squares}, 'changes', {changes})")
     high = "size(filter(d.v, y -> y >= d.k / 2))"
     runs = "1 + size(filter(sequence(1, size(d.v) - 1), i -> (d.v[i] >= d.k / 2) <> (d.v[i - 1] >= d.k / 2)))"
     mean = "aggregate(d.v, 0D, (h, x) -> h + x) / d.n"
-    four = each(three, "d", f"named_struct({base.format(v='d')}, 'encoding', d.encoding, 'n', d.n, 'k', d.k, 'excess', d.excess, 'v', d.v, 'chi', d.k / d.n * d.squares - d.n, 'n1', cast({high} AS DOUBLE), 'runs', cast({runs} AS DOUBLE), 'mean', {mean})")
+    four = each(three, "d", f"named_struct({base.format(v='d')}, 'encoding', d.encoding, 'n', d.n, 'k', d.k, 'excess', d.excess, 'v', d.v, 'changes', d.changes, 'chi', d.k / d.n * d.squares - d.n, 'n1', cast({high} AS DOUBLE), 'runs', cast({runs} AS DOUBLE), 'mean', {mean})")
     spread = "aggregate(e.v, 0D, (h, x) -> h + (x - e.mean) * (x - e.mean))"
     lagged = "aggregate(sequence(1, size(e.v) - 1), 0D, (h, i) -> h + (e.v[i] - e.mean) * (e.v[i - 1] - e.mean))"
-    five = each(four, "e", f"named_struct({base.format(v='e')}, 'encoding', e.encoding, 'n', e.n, 'k', e.k, 'excess', e.excess, 'chi', e.chi, 'n1', e.n1, 'runs', e.runs, 'mu', 2D * e.n1 * (e.n - e.n1) / e.n + 1D, 'r', CASE WHEN {spread} > 0D THEN {lagged} / {spread} ELSE 1D END)")
+    five = each(four, "e", f"named_struct({base.format(v='e')}, 'encoding', e.encoding, 'n', e.n, 'k', e.k, 'excess', e.excess, 'changes', e.changes, 'chi', e.chi, 'n1', e.n1, 'runs', e.runs, 'mu', 2D * e.n1 * (e.n - e.n1) / e.n + 1D, 'r', CASE WHEN {spread} > 0D THEN {lagged} / {spread} ELSE 1D END)")
     z_uniform = "(pow(greatest(f.chi, 1e-9D) / (f.k - 1D), 1D / 3D) - (1D - 2D / (9D * (f.k - 1D)))) / sqrt(2D / (9D * (f.k - 1D)))"
     z_runs = "CASE WHEN f.n1 < 2D OR f.n - f.n1 < 2D THEN 99D ELSE abs(f.runs - f.mu) / sqrt((f.mu - 1D) * (f.mu - 2D) / (f.n - 1D)) END"
     z_serial = "abs(f.r + 1D / f.n) * sqrt(f.n)"
-    z_natural = "((f.k - 1D) + f.n * f.excess - f.chi) / sqrt(2D * (f.k - 1D) + 4D * f.n * f.excess)"
+    z_letters = "((f.k - 1D) + f.n * f.excess - f.chi) / sqrt(2D * (f.k - 1D) + 4D * f.n * f.excess)"
+    z_kinds = f"(f.changes - (f.n - 1D) * ({rate})) / sqrt((f.n - 1D) * ({rate}) * (1D - ({rate})))"
+    z_natural = f"({z_letters} + {z_kinds}) / sqrt(2D)"
     six = each(five, "f", f"named_struct({base.format(v='f')}, 'stratum', concat(f.encoding, ':', cast(cast(floor(log2(f.n)) AS INT) AS STRING)), 'zu', {z_uniform}, 'zr', {z_runs}, 'zs', {z_serial}, 'zn', {z_natural})")
     random = f"least({_tail('g.zu')}, 2D * ({_upper_tail('g.zr')}), 2D * ({_upper_tail('g.zs')}))"
     step = f"cast(least({LAST_STEP}D, floor({STEPS}D * -ln(greatest(1e-300D, {_tail('g.zn')})))) AS INT)"

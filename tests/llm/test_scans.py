@@ -32,6 +32,10 @@ def test_battery_tells_random_tokens_from_names(spark):
     assert sum(got[k] for k in range(20)) >= 15 and not any(got[k] for k in range(20, 40))
 
 
+def kind(letter):
+    return "upper" if letter.isupper() else "lower" if letter.islower() else "digit" if letter.isdigit() else "sign"
+
+
 def battery(body):
     """The battery of one token in Python: (encoding, length class, step), step -1 where randomness is rejected."""
     import math
@@ -52,7 +56,10 @@ def battery(body):
     zr = 99 if high < 2 or n - high < 2 else abs(runs - mu) / math.sqrt((mu - 1) * (mu - 2) / (n - 1))
     zs = abs(r + 1 / n) * math.sqrt(n)
     e = secrets.EXCESS[encoding]
-    zn = ((k - 1) + n * e - chi) / math.sqrt(2 * (k - 1) + 4 * n * e)
+    changes = sum(kind(a) != kind(b) for a, b in zip(text, text[1:]))
+    rate = secrets.CHANGES[encoding]
+    kinds = (changes - (n - 1) * rate) / math.sqrt((n - 1) * rate * (1 - rate))
+    zn = (((k - 1) + n * e - chi) / math.sqrt(2 * (k - 1) + 4 * n * e) + kinds) / math.sqrt(2)
     if 3 * min(upper(zu), 2 * upper(zr), 2 * upper(zs)) < secrets.BATTERY:
         return encoding, int(math.log2(n)), -1
     return encoding, int(math.log2(n)), min(secrets.LAST_STEP, int(secrets.STEPS * -math.log(max(1e-300, upper(zn)))))
@@ -97,6 +104,38 @@ def test_battery_is_brute_force_and_its_discoveries_hold(spark):
     assert sum(k in hits_ for k, _ in names) <= 0.02 * len(got)
 
 
+# Words of names in code.
+NAME_WORDS = "about system worker handler token config value parser stream window reader writer index table query filter shuffle memory driver executor partition schema column record status version release client server request session cache buffer metric device layer interval history".split()
+
+
+def code_name(rng, k):
+    """A name of 20 letters or more as code and paths hold them, in one of seven styles."""
+    while True:
+        own = [rng.choice(NAME_WORDS) for _ in range(rng.randint(3, 7))]
+        titled = "".join(w.title() for w in own)
+        dated = f"{own[0]}-{rng.randint(1990, 2030)}-{rng.randint(10, 12)}-{rng.randint(10, 28)}/{own[1].title()}_v{rng.randint(1, 9)}"
+        name = ["_".join(own), "-".join(own), own[0] + titled, "/".join(own), titled + str(rng.randint(1, 2030)), "_".join(own).upper() + f"_{rng.randint(0, 99)}", dated][k % 7]
+        if len(name) >= 20:
+            return name
+
+
+@pytest.mark.parametrize(("each", "least"), [(200, {20: 0.7, 24: 0.85, 32: 0.95, 40: 0.95, 64: 0.98}), (40, {20: 0.4, 24: 0.55, 32: 0.9, 40: 0.95, 64: 0.95})])
+def test_battery_finds_short_keys_among_names(spark, each, least):
+    import random
+    import string
+
+    rng = random.Random(7)
+    names = [(k, f"see {code_name(rng, k)} here") for k in range(5832)]
+    sizes = [n for n in least for _ in range(each)]
+    keys = [(10_000 + k, "key " + "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(n))) for k, n in enumerate(sizes)]
+    found = {r.doc_id for r in secrets.secret_spans(documents(spark, names + keys)).select("doc_id", F.size("random").alias("n")).where("n > 0").collect()}
+    false = sum(k in found for k, _ in names)
+    recall = {n: sum(10_000 + k in found for k, m in enumerate(sizes) if m == n) / each for n in least}
+    print("recall by length", recall, "false", false, "of", len(found))
+    assert false <= secrets.RATE * len(found)
+    assert all(recall[n] >= least[n] for n in least), recall
+
+
 def test_battery_of_a_very_long_token(spark):
     import base64
     import random
