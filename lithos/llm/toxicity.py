@@ -34,8 +34,8 @@ from lithos.llm._text import ragged_take, raw, string_array, sums, text_slices
 TRAIN_LIMIT, LANDMARKS, LENGTHS = 12_000, 64, (4, 5, 6)
 #: Decay per skipped letter, span of a subsequence, power of the windows' kernel, and lengths of a word's windows.
 DECAY, SPAN, POWER, WINDOWS = 0.7, 5, 5, (5, 8)
-#: Sentences of each labelled document that the machine is fitted on.
-SENTENCES = 6
+#: Sentences of each labelled document that the machine is fitted on besides those that hold a landmark; kernels with a landmark from which on a sentence holds it, and holds it with a letter put in.
+SENTENCES, HELD, HELD_ALTERED = 6, 0.9, 0.05
 #: Strings that a task counts before it passes the counts on.
 COUNTED = 50_000
 #: Bytes of text that are worked through at once.
@@ -169,9 +169,11 @@ def _plain(words: pa.Array) -> pa.Array:
     return pc.replace_with_mask(plain, wide, pa.array([letters(w) for w in words.filter(wide).to_pylist()], pa.large_string()))
 
 
-def _spelled(chunks: pa.Array, starts: np.ndarray) -> list[tuple[int, str]]:
-    """Words spelled out as single letters between blanks: (index of the first chunk, the letters joined)."""
-    single = np.asarray(pc.equal(pc.utf8_length(chunks), 1)).astype(bool)
+def _spelled(split: _Split) -> list[tuple[int, str]]:
+    """Words spelled out as single letters between blanks, signs beside them allowed: (index of the first chunk, the letters joined)."""
+    chunks, starts = split.chunks, split.starts
+    one = pc.or_(pc.equal(pc.utf8_length(split.words), 1), pc.and_(pc.equal(pc.utf8_length(split.plain), 1), pc.less_equal(pc.utf8_length(split.words), 2)))
+    single = np.asarray(one).astype(bool)[split.code]
     cut = np.zeros(len(single) + 1, bool)
     cut[starts] = True
     edges = np.flatnonzero(np.diff(np.concatenate([[0], single.astype(np.int8), [0]])))
@@ -308,7 +310,7 @@ def sentence_sums(split: _Split, values: np.ndarray, spelled: np.ndarray, at: np
 
 def sentence_kernels(split: _Split, model: ToxicityModel, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """For each sentence its text's index and its kernels with all landmarks, or with ``weights`` their weighted sum."""
-    spelt = _spelled(split.chunks, split.starts)
+    spelt = _spelled(split)
     others = pa.array([letters(w) for _, w in spelt], pa.large_string())
     values, extra = model.word_kernels(split.plain, weights), model.word_kernels(others, weights)
     values[_begins(split.plain, model.left_out)] = 0
@@ -410,26 +412,43 @@ def _start_rates(hits: np.ndarray, n_words: np.ndarray, label: np.ndarray) -> np
     return rates
 
 
-def _fit_svm(x: np.ndarray, y: np.ndarray, balance: float, cost: float = 1.0, rounds: int = 60) -> tuple[np.ndarray, float]:
-    """A linear support vector machine with squared hinge loss, by Newton's method; the bias is a constant feature."""
-    x = np.hstack([x, np.ones((len(x), 1))])
+def _fit_svm(kernels: np.ndarray, y: np.ndarray, gram: np.ndarray, balance: float, cost: float = 1.0, rounds: int = 200) -> tuple[np.ndarray, float]:
+    """A support vector machine with squared hinge loss whose landmarks all count for toxicity: weights of the landmarks and the bias.
+
+    In Nyström features the weights are ``gram ** 0.5 @ raise``, so their length is ``raise @ gram @ raise``. Landmarks are
+    chosen as what toxic documents hold, so none may lower a sentence: ``raise`` is kept at 0 or more, by Newton steps on
+    the weights that are not held at 0.
+    """
+    x = np.hstack([kernels, np.ones((len(kernels), 1))])
+    ridge = np.eye(x.shape[1])
+    ridge[:-1, :-1] = gram + 1e-6 * np.eye(len(gram))
     sign = np.where(y > 0, 1.0, -1.0)
     c = np.where(y > 0, balance, 1.0) * cost
     w = np.zeros(x.shape[1])
 
     def loss(w: np.ndarray) -> float:
-        return 0.5 * w @ w + float((c * np.maximum(0.0, 1 - sign * (x @ w)) ** 2).sum())
+        return 0.5 * w @ ridge @ w + float((c * np.maximum(0.0, 1 - sign * (x @ w)) ** 2).sum())
 
     for _ in range(rounds):
         inside = np.flatnonzero(sign * (x @ w) < 1)
         own, weight = x[inside], 2 * c[inside]
-        slope = w - own.T @ (weight * (sign[inside] - own @ w))
-        step = np.linalg.solve(np.eye(len(w)) + (own.T * weight) @ own, slope)
-        size, now = 1.0, loss(w)
-        while size > 1e-4 and loss(w - size * step) > now:
+        slope = ridge @ w - own.T @ (weight * (sign[inside] - own @ w))
+        free = (w > 0) | (slope < 0)
+        free[-1] = True
+        step = np.zeros(len(w))
+        step[free] = np.linalg.solve((ridge + (own.T * weight) @ own)[np.ix_(free, free)], slope[free])
+        size, now, at = 1.0, loss(w), w
+        while size > 1e-6:
+            at = w - size * step
+            at[:-1] = np.maximum(at[:-1], 0.0)
+            if loss(at) <= now:
+                break
             size /= 2
-        w = w - size * step
-        if size * np.abs(step).max() < 1e-8:
+        else:
+            break
+        moved = np.abs(at - w).max()
+        w = at
+        if moved < 1e-8:
             break
     return w[:-1], float(w[-1])
 
@@ -442,9 +461,9 @@ def _with_a_letter_more(texts: pa.Array) -> pa.Array:
 def train_toxicity(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", folds: int = 3, held_out: int | None = 1, limit: int = TRAIN_LIMIT, id_col: str = "doc_id", text_col: str = "text") -> ToxicityModel:
     """Fit on at most ``limit`` labelled documents outside the fold ``held_out`` (None: all).
 
-    Of each document the ``SENTENCES`` of largest kernel with any landmark are used. A clean document's are all clean;
-    of a toxic one the sentence that scores highest is taken as toxic, first by its largest kernel with a
-    landmark and then by the machine itself, which is fitted twice more. Toxic documents are used once more with a letter
+    Of each document the sentences that hold a landmark are used, and the ``SENTENCES`` of largest kernel with any. A clean
+    document's are all clean; of a toxic one those that hold a landmark are taken as toxic, and the one that scores highest, first
+    by its largest kernel with a landmark and then by the machine itself, which is fitted twice more. Toxic documents are used once more with a letter
     put into every longer word, so that what hides an insult counts as one. Documents' best sentences, how often their
     words have the chosen starts, and both joined are calibrated on the sample. Without toxic or clean rows every score is 0.
     """
@@ -472,11 +491,11 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, *, label: str = "toxic",
     if not marks and not starts:
         sample.unpersist()
         return ToxicityModel([], np.zeros((0, 0)), np.zeros(0), -30.0, (np.array([-1.0, 1.0]), np.array([0.0, 1.0])))
-    whiten = np.zeros((0, 0))
+    gram, whiten, root = (np.zeros((0, 0)) for _ in range(3))
     if marks:
         gram = np.array([[kernel(a, b) ** POWER for b in marks] for a in marks])
         values, vectors = np.linalg.eigh(gram)
-        whiten = vectors @ np.diag(np.maximum(values, 1e-6) ** -0.5) @ vectors.T
+        whiten, root = (vectors @ np.diag(np.maximum(values, 1e-6) ** p) @ vectors.T for p in (-0.5, 0.5))
     model = ToxicityModel(marks, whiten, np.zeros(len(marks)), 0.0, starts=starts, left_out=left_out)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -490,7 +509,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, *, label: str = "toxic",
                     row, own = sentence_kernels(_split(_with_a_letter_more(text) if altered else text), held.value)
                     order = np.lexsort((np.arange(len(row)), -own.max(axis=1, initial=0), row))
                     rank = np.arange(len(row)) - np.searchsorted(row[order], row[order])
-                    chosen = np.sort(order[rank < SENTENCES])
+                    chosen = np.sort(order[(rank < SENTENCES) | (own[order].max(axis=1, initial=0) >= HELD)])
                     kernels = pa.array([x.tobytes() for x in own[chosen].astype("<f4")], pa.binary())
                     at = pa.array(row[chosen])
                     yield pa.RecordBatch.from_arrays([part.column("id").take(at), part.column("label").take(at), pa.array(np.full(len(at), altered)), kernels], ["id", "label", "altered", "kernels"])
@@ -505,14 +524,15 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, *, label: str = "toxic",
         # An altered copy is a document of its own.
         doc = np.unique(np.stack([np.asarray(rows["id"]), altered]), axis=1, return_inverse=True)[1].ravel()
         value = x.max(axis=1, initial=0)
-        features = x @ whiten
+        holds = (y == 1) & (value >= np.where(altered, HELD_ALTERED, HELD))
         for _ in range(3):
             top = np.zeros(len(x), bool)
             order = np.lexsort((value, doc))
             top[order[np.concatenate([doc[order][1:] != doc[order][:-1], np.ones(min(1, len(order)), bool)])]] = True
-            use = np.flatnonzero((y == 0) | top)
-            model.weights, model.bias = _fit_svm(features[use], y[use], balance=2.0)
-            value = features @ model.weights + model.bias
+            use = np.flatnonzero((y == 0) | top | holds)
+            raised, model.bias = _fit_svm(x[use], y[use], gram, balance=2.0)
+            model.weights = root @ raised
+            value = x @ raised + model.bias
         highest = np.full(int(doc.max(initial=-1)) + 1, -np.inf)
         np.maximum.at(highest, doc, value)
         best_of = dict(zip(np.asarray(rows["id"])[~altered].tolist(), highest[doc[~altered]].tolist(), strict=True))

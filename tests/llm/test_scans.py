@@ -300,6 +300,42 @@ def plain_kernel(a, b):
     return dot(one, two) / (dot(one, one) * dot(two, two)) ** 0.5 if one and two else 0.0
 
 
+def test_no_landmark_lowers_a_sentence():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    x = rng.random((400, 6)) * (rng.random((400, 6)) < 0.3)
+    y = (x[:, :3].sum(1) > 0.6).astype(int)
+    x[:, 5] = x[:, 0] * 0.5 + (y == 0) * 0.4  # a landmark that clean sentences hold more
+    gram = np.eye(6) + 0.1
+    raised, bias = toxicity._fit_svm(x, y, gram, balance=2.0)
+    assert raised.min() >= 0 and raised[:3].min() > 0.5 and raised[5] == 0 and bias < 0
+    # No point nearby that keeps the bounds is better: the loss is convex.
+    sign, c = np.where(y > 0, 1.0, -1.0), np.where(y > 0, 2.0, 1.0)
+
+    def loss(w, b):
+        return 0.5 * (w @ (gram + 1e-6 * np.eye(6)) @ w + b * b) + (c * np.maximum(0, 1 - sign * (x @ w + b)) ** 2).sum()
+
+    least = loss(raised, bias)
+    assert all(loss(np.maximum(0, raised + d[:6]), bias + d[6]) >= least - 1e-9 for d in rng.normal(size=(300, 7)) * 0.01)
+
+
+def test_insults_of_the_given_tables_raise_a_sentence(spark):
+    import numpy as np
+    import pyarrow as pa
+
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.train_toxicity(docs, labels)
+    assert (model.whiten @ model.weights).min() > -1e-9
+    given = ["friend", "moron", "worthless", "pathetic", "m o r o n", "idiot", "idxiot", "moxron"]
+    split = toxicity._split(pa.array([f"You are a complete {w}." for w in given], pa.large_string()))
+    row, value = toxicity.sentence_kernels(split, model, model.whiten @ model.weights)
+    value = dict(zip([given[k] for k in row], value[:, 0], strict=True))
+    assert all(value[w] > value["friend"] + 0.05 for w in given[1:])
+    assert all(value[w] > value["friend"] + 1 for w in ("moron", "worthless", "pathetic", "m o r o n", "idiot"))
+    assert np.isfinite(model.bias)
+
+
 def test_kernels_are_brute_force():
     """Of words in any company: accented capitals, marks, blanks of no width and emoji between letters, short and long words."""
     import numpy as np
