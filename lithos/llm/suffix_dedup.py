@@ -13,18 +13,22 @@ anchor owns the consecutive strings that chose it (about 16), and a document is
 3. only where ranges of a q-gram differ are strings entered one by one, and only those of the first
    document of each range, which stands for all that hold it.
 
-Identifiers are 64-bit hashes of what they name: among n compared strings the chance of a false repeat is
-n * n / 2**65 (about 1e-4 for 60 million).
+Q-grams and ranges that very many documents hold are found in a sample beforehand: each task combines a hot range's
+rows into two, and its least id is told to all; a hot q-gram's ranges are dealt by themselves and all entered.
+
+Identifiers are 64-bit hashes of what they name. Ranges are compared within their q-gram only, so m ranges of one q-gram
+give a false repeat with a chance of m * m / 2**65; strings are compared by two such hashes, n of them with n * n / 2**129.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +39,8 @@ from lithos.llm._text import mixed, raw, text_slices
 LENGTH, Q = 50, 20
 #: Bytes of text worked on at once: arrays of 8 bytes for each then stay near the processor (31 ns a byte; 79 with 4 MB).
 SLICE_BYTES = 1 << 19
+#: A q-gram or range is hot if one row in so many is its; so many are hot at most. They are looked for in one document of ``SAMPLE``.
+HOT, SAMPLE = 10_000, 64
 
 
 @dataclass
@@ -66,6 +72,16 @@ def _words(data: np.ndarray) -> np.ndarray:
     return four[:-4] | (four[4:].astype(np.uint64) << np.uint64(32))
 
 
+def _second_names(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Identifiers of the strings at some positions by another rule, from their bytes."""
+    out = np.full(len(at), LENGTH, np.uint64)
+    if len(at):
+        words = _words(data)
+        for k in (*range(0, LENGTH - 8, 8), LENGTH - 8):
+            out = mixed(out * np.uint64(0xD6E8FEB86659FD93) + words[at + k])
+    return out
+
+
 def _buckets(data: np.ndarray, off: np.ndarray) -> _Buckets:
     n = len(data)
     none = np.zeros(0, np.int64)
@@ -104,13 +120,64 @@ def _buckets(data: np.ndarray, off: np.ndarray) -> _Buckets:
     return _Buckets(strings, text, first, last, least[first], whole)
 
 
-def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+@dataclass
+class _Hot:
+    """Identifiers of q-grams and of ranges that very many documents hold, in order."""
+
+    grams: np.ndarray
+    ranges: np.ndarray
+
+
+def _among(ids: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """Which ids are among the ordered ``held``."""
+    if not len(held):
+        return np.zeros(len(ids), bool)
+    return held[np.minimum(np.searchsorted(held, ids), len(held) - 1)] == ids
+
+
+def _own_ranges(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``gram, range, id`` of the ranges of each text, once each."""
+    b = _buckets(*raw(part.column("text")))
+    _, once = np.unique(mixed(b.range + mixed(b.text.astype(np.uint64) + np.uint64(1))), return_index=True)
+    once.sort()
+    return b.gram[once], b.range[once], np.asarray(part.column("id"), np.int64)[b.text[once]]
+
+
+def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in text_slices(batch, limit=SLICE_BYTES):
-            b = _buckets(*raw(part.column("text")))
-            _, once = np.unique(mixed(b.range + mixed(b.text.astype(np.uint64) + np.uint64(1))), return_index=True)
-            once.sort()
-            yield pa.RecordBatch.from_arrays([pa.array(b.gram[once].astype(np.int64)), pa.array(b.range[once].astype(np.int64)), part.column("id").take(pa.array(b.text[once]))], ["gram", "range", "id"])
+            grams, ranges, _ = _own_ranges(part)
+            yield pa.RecordBatch.from_arrays([pa.array(grams.astype(np.int64)), pa.array(ranges.astype(np.int64))], ["gram", "range"])
+
+
+def _ranges(hot) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``key, range, id, kind`` of each text's ranges (kind: 1 of a hot q-gram, 2 a hot range, 3 both); of a hot range, of all of a task's texts, only the least and the greatest id.
+
+    The key is the q-gram, and for hot q-grams, whose ranges are opened without being compared, the range.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: _Hot = hot.value
+        ends: dict[tuple[int, int], tuple[int, int]] = {}
+
+        def rows(grams: np.ndarray, ranges: np.ndarray, ids: np.ndarray, common: bool) -> pa.RecordBatch:
+            opened = _among(grams, known.grams)
+            keys = np.where(opened, mixed(ranges), grams)
+            return pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(ranges.astype(np.int64)), pa.array(ids), pa.array(opened.astype(np.int8) + np.int8(2 * common))], ["key", "range", "id", "kind"])
+
+        for batch in batches:
+            for part in text_slices(batch, limit=SLICE_BYTES):
+                grams, ranges, ids = _own_ranges(part)
+                common = _among(ranges, known.ranges)
+                for pair, i in zip(zip(grams[common].tolist(), ranges[common].tolist(), strict=True), ids[common].tolist(), strict=True):
+                    low, high = ends.get(pair, (i, i))
+                    ends[pair] = (min(low, i), max(high, i))
+                yield rows(grams[~common], ranges[~common], ids[~common], False)
+        if ends:
+            pairs = np.array(list(ends), np.uint64)
+            yield rows(np.repeat(pairs[:, 0], 2), np.repeat(pairs[:, 1], 2), np.array(list(ends.values()), np.int64).ravel(), True)
+
+    return run
 
 
 def _listed(column: pa.Array) -> np.ndarray:
@@ -133,22 +200,28 @@ def _spread(first: np.ndarray, last: np.ndarray) -> np.ndarray:
 def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in text_slices(batch, limit=SLICE_BYTES):
-            b = _buckets(*raw(part.column("text")))
+            data, off = raw(part.column("text"))
+            b = _buckets(data, off)
             own = _in(b.range, b.text, _listed(part.column("open")))
             at = _spread(b.first[own], b.last[own])
             text = np.repeat(b.text[own], b.last[own] - b.first[own] + 1)
             found = b.strings[at]
             _, once = np.unique(mixed(found + mixed(text.astype(np.uint64) + np.uint64(1))), return_index=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found[once].astype(np.int64)), part.column("id").take(pa.array(text[once]))], ["string", "id"])
+            yield pa.RecordBatch.from_arrays([pa.array(found[once].astype(np.int64)), pa.array(_second_names(data, at[once]).astype(np.int64)), part.column("id").take(pa.array(text[once]))], ["string", "second", "id"])
 
 
-def _removed(texts: pa.Array, ranges: pa.Array, strings: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bytes and offsets of the texts, and which bytes go."""
-    data, off = raw(texts)
+def _removed(part: pa.RecordBatch, lows: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes and offsets of the texts, and which bytes go; ``lows``: hot ranges and the least id that holds each."""
+    data, off = raw(part.column("text"))
+    ranges, strings = part.column("ranges"), part.column("strings")
     gone = np.zeros(len(data) + 1, np.int32)
     b = _buckets(data, off)
     if len(b.text):
         whole = _in(b.range, b.text, _listed(ranges))
+        common = np.flatnonzero(_among(b.range, lows[0]))
+        if len(common):
+            ids = np.asarray(part.column("id").fill_null(np.iinfo(np.int64).min), np.int64)  # rows without an id keep all
+            whole[common] |= ids[b.text[common]] > lows[1][np.searchsorted(lows[0], b.range[common])]
         at = [_spread(b.first[whole], b.last[whole])]
         listed = _listed(strings)
         if len(listed):
@@ -162,50 +235,71 @@ def _removed(texts: pa.Array, ranges: pa.Array, strings: pa.Array) -> tuple[np.n
     return data, off, np.cumsum(gone)[:-1] > 0
 
 
-def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in text_slices(batch, limit=SLICE_BYTES):
-            data, off, gone = _removed(part.column("text"), part.column("ranges"), part.column("strings"))
-            cuts = off.tolist()
-            removed = [int(gone[a:b].sum()) for a, b in zip(cuts, cuts[1:], strict=False)]
-            spans = [int(np.diff(gone[a:b].astype(np.int8), prepend=0).clip(0).sum()) if r else 0 for r, a, b in zip(removed, cuts, cuts[1:], strict=False)]
-            kept = [hashlib.sha256(data[a:b][~gone[a:b]].tobytes() if r else data[a:b].tobytes()).hexdigest() for r, a, b in zip(removed, cuts, cuts[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(np.diff(off)), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept)], ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+def _digest(lows) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_slices(batch, limit=SLICE_BYTES):
+                data, off, gone = _removed(part, lows.value)
+                cuts = off.tolist()
+                removed = [int(gone[a:b].sum()) for a, b in zip(cuts, cuts[1:], strict=False)]
+                spans = [int(np.diff(gone[a:b].astype(np.int8), prepend=0).clip(0).sum()) if r else 0 for r, a, b in zip(removed, cuts, cuts[1:], strict=False)]
+                kept = [hashlib.sha256(data[a:b][~gone[a:b]].tobytes() if r else data[a:b].tobytes()).hexdigest() for r, a, b in zip(removed, cuts, cuts[1:], strict=False)]
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(np.diff(off)), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept)], ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
+    return run
 
-def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in text_slices(batch, limit=SLICE_BYTES):
-            data, off, gone = _removed(part.column("text"), part.column("ranges"), part.column("strings"))
-            cuts = off.tolist()
-            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([data[a:b][~gone[a:b]].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary())], ["id", "kept"])
+
+def _kept(lows) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_slices(batch, limit=SLICE_BYTES):
+                data, off, gone = _removed(part, lows.value)
+                cuts = off.tolist()
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([data[a:b][~gone[a:b]].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary())], ["id", "kept"])
+
+    return run
+
+
+def _hot(docs: DataFrame) -> _Hot:
+    """Q-grams and ranges of so many documents that one task should not hold all their rows; found in a sample, as any choice gives the same result."""
+    rows = written(docs.sample(1 / SAMPLE, seed=8).mapInArrow(_sampled, "gram long, range long"), "sample")
+    least = max(SAMPLE // 4, rows.count() // HOT)
+    found = []
+    for kind in ("gram", "range"):
+        common = rows.groupBy(kind).count().where(F.col("count") > least).orderBy(F.desc("count"), kind).limit(HOT)
+        found.append(np.sort(np.array([r[kind] for r in common.collect()], np.int64).astype(np.uint64)))
+    return _Hot(*found)
 
 
-def _with_repeats(docs: DataFrame) -> DataFrame:
-    """``id, text, ranges, strings``: every document with the identifiers of its ranges and strings that an earlier one holds."""
+def _with_repeats(docs: DataFrame) -> tuple[DataFrame, Broadcast]:
+    """``id, text, ranges, strings``: every document with the identifiers of its ranges and strings that an earlier one holds; and the least ids of hot ranges."""
     spark = docs.sparkSession
     known = docs.where("id IS NOT NULL")
-    state = written(_met(known), "ranges")
-    opened = state.where("open").groupBy("id").agg(F.collect_list("range").alias("open"))
-    strings = known.join(opened, "id").mapInArrow(_strings, "string long, id long")
-    again = strings.withColumn("low", F.min("id").over(Window.partitionBy("string"))).where("id > low").select("id", "string")
-    again = written(again, "strings")
-    ranges = state.where("NOT open").select("id", "range", F.lit(None).cast("long").alias("string"))
+    state = written(_met(known, spark.sparkContext.broadcast(_hot(known))), "ranges")
+    opened = state.where("open").groupBy("id").agg(F.collect_set("range").alias("open"))
+    strings = written(known.join(opened, "id").mapInArrow(_strings, "string long, second long, id long"), "entered")
+    shared = strings.groupBy("string", "second").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").drop("high")
+    again = written(strings.join(shared, ["string", "second"]).where("id > low").select("id", "string"), "strings")
+    ranges = state.where("NOT open AND NOT hot").select("id", "range", F.lit(None).cast("long").alias("string"))
     lists = ranges.unionByName(again.select("id", F.lit(None).cast("long").alias("range"), "string")).groupBy("id").agg(F.collect_list("range").alias("ranges"), F.collect_list("string").alias("strings"))
-    return docs.join(lists, "id", "left")
+    # At most ``HOT`` ranges are hot.
+    least = sorted((r["range"] % 2**64, r["low"]) for r in state.where("hot").groupBy("range").agg(F.min("low").alias("low")).collect())
+    lows = (np.array([r for r, _ in least], np.uint64), np.array([i for _, i in least], np.int64))
+    return docs.join(lists, "id", "left"), spark.sparkContext.broadcast(lows)
 
 
-def _met(docs: DataFrame) -> DataFrame:
-    """``id, range, open`` of ranges that matter: repeats of an earlier document's (not open), and first ones whose q-gram has other ranges too (open).
+def _met(docs: DataFrame, hot: Broadcast) -> DataFrame:
+    """``id, range, open, hot, low`` of ranges that matter: repeats of an earlier document's (not open), and first ones whose q-gram has other ranges too (open); of hot ranges the least id.
 
-    One shuffle by q-gram serves both windows. A q-gram's rows are at most one for each document and range;
-    the window streams over them and spills, and holds none of their text.
+    One shuffle serves both windows. A key's rows are at most one for each document and range; of a hot
+    range they are two for each task, and a hot q-gram's ranges are keys of their own. The window streams over
+    them and spills, and holds none of their text.
     """
-    rows = docs.mapInArrow(_ranges, "gram long, range long, id long")
-    gram, same = Window.partitionBy("gram"), Window.partitionBy("gram", "range")
-    met = rows.withColumns({"low": F.min("id").over(gram), "high": F.max("id").over(gram), "one": F.min("range").over(gram), "other": F.max("range").over(gram)}).where("low < high")
-    met = met.withColumn("open", F.col("id") == F.min("id").over(same))
-    return met.where(~F.col("open") | (F.col("one") != F.col("other"))).select("id", "range", "open")
+    rows = docs.mapInArrow(_ranges(hot), "key long, range long, id long, kind byte")
+    key, same = Window.partitionBy("key"), Window.partitionBy("key", "range")
+    met = rows.withColumns({"least": F.min("id").over(key), "high": F.max("id").over(key), "one": F.min("range").over(key), "other": F.max("range").over(key)}).where("least < high OR kind IN (1, 3)")
+    met = met.withColumn("low", F.min("id").over(same)).withColumns({"open": F.col("id") == F.col("low"), "hot": F.col("kind") >= 2})
+    return met.where("NOT open OR kind > 0 OR one != other").select("id", "range", "open", "hot", F.when(F.col("hot"), F.col("low")).alias("low"))
 
 
 def repeat_digest(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -217,10 +311,12 @@ def repeat_digest(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     null id keep all and count against none; an empty table gives no rows; other columns are ignored.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return _with_repeats(rows).mapInArrow(_digest, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string").withColumnRenamed("id", id_col)
+    given, lows = _with_repeats(rows)
+    return given.mapInArrow(_digest(lows), "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string").withColumnRenamed("id", id_col)
 
 
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, kept``: each row's remaining bytes (a cut may fall within a character)."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return _with_repeats(rows).mapInArrow(_kept, "id long, kept binary").withColumnRenamed("id", id_col)
+    given, lows = _with_repeats(rows)
+    return given.mapInArrow(_kept(lows), "id long, kept binary").withColumnRenamed("id", id_col)

@@ -101,7 +101,10 @@ def repeats(given):
     return sorted(out)
 
 
-def test_suffix_dedup_is_brute_force(spark):
+@pytest.mark.parametrize(("hot", "sample"), [(10_000, 64), (50_000, 1)])
+def test_suffix_dedup_is_brute_force(spark, monkeypatch, hot, sample):
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    monkeypatch.setattr(suffix_dedup, "SAMPLE", sample)  # 1: all q-grams and ranges are hot
     base = " ".join(words(150, 4))
     given = [*rows(), (20, base), (21, base[:300] + " changed " + base[309:]), (22, "lead " + base[100:260] + " tail"), (23, base), (24, base[:50]), (25, base[:49]), (26, base[1:50] + "!" + base[200:420]), (27, "ab" * 400), (28, "ab" * 90), (5, base[30:200])]
     got = sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.repeat_digest(documents(spark, given)).collect())
