@@ -13,8 +13,8 @@ anchor owns the consecutive strings that chose it (about 16), and a document is
 3. only where ranges of a q-gram differ are strings entered one by one, and only those of the first
    document of each range, which stands for all that hold it.
 
-Q-grams and ranges that very many documents hold are found in a sample beforehand: each task combines a hot range's
-rows into two, and its least id is told to all; a hot q-gram's ranges are dealt by themselves and all entered.
+Q-grams, ranges and strings that very many documents hold are found in a sample beforehand: each task combines a hot
+range's or string's rows into two, and its least id is told to all; a hot q-gram's ranges are dealt by themselves and all entered.
 
 Identifiers are 64-bit hashes of what they name. Ranges are compared within their q-gram only, so m ranges of one q-gram
 give a false repeat with a chance of m * m / 2**65; strings are compared by two such hashes, n of them with n * n / 2**129.
@@ -122,10 +122,11 @@ def _buckets(data: np.ndarray, off: np.ndarray) -> _Buckets:
 
 @dataclass
 class _Hot:
-    """Identifiers of q-grams and of ranges that very many documents hold, in order."""
+    """Identifiers of q-grams, of ranges and of strings of these q-grams that very many documents hold, in order."""
 
     grams: np.ndarray
     ranges: np.ndarray
+    strings: np.ndarray
 
 
 def _among(ids: np.ndarray, held: np.ndarray) -> np.ndarray:
@@ -150,6 +151,17 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(grams.astype(np.int64)), pa.array(ranges.astype(np.int64))], ["gram", "range"])
 
 
+def _sampled_strings(grams: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_slices(batch, limit=SLICE_BYTES):
+                b = _buckets(*raw(part.column("text")))
+                of = _among(b.gram, grams)
+                yield pa.RecordBatch.from_arrays([pa.array(b.strings[_spread(b.first[of], b.last[of])].astype(np.int64))], ["string"])
+
+    return run
+
+
 def _ranges(hot) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """``key, range, id, kind`` of each text's ranges (kind: 1 of a hot q-gram, 2 a hot range, 3 both); of a hot range, of all of a task's texts, only the least and the greatest id.
 
@@ -197,32 +209,68 @@ def _spread(first: np.ndarray, last: np.ndarray) -> np.ndarray:
     return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(first - (ends - size), size)
 
 
-def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in text_slices(batch, limit=SLICE_BYTES):
-            data, off = raw(part.column("text"))
-            b = _buckets(data, off)
-            own = _in(b.range, b.text, _listed(part.column("open")))
-            at = _spread(b.first[own], b.last[own])
-            text = np.repeat(b.text[own], b.last[own] - b.first[own] + 1)
-            found = b.strings[at]
-            _, once = np.unique(mixed(found + mixed(text.astype(np.uint64) + np.uint64(1))), return_index=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found[once].astype(np.int64)), pa.array(_second_names(data, at[once]).astype(np.int64)), part.column("id").take(pa.array(text[once]))], ["string", "second", "id"])
-
-
-def _removed(part: pa.RecordBatch, lows: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bytes and offsets of the texts, and which bytes go; ``lows``: hot ranges and the least id that holds each."""
+def _strings(hot: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``string, second, id, hot`` of each text's opened ranges; of a hot string, of all of a task's texts, only the least and the greatest id."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ends: dict[tuple[int, int], tuple[int, int]] = {}
+
+        def rows(names: np.ndarray, seconds: np.ndarray, ids: np.ndarray, common: bool) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(names.astype(np.int64)), pa.array(seconds.astype(np.int64)), pa.array(ids), pa.array(np.full(len(ids), common))], ["string", "second", "id", "hot"])
+
+        for batch in batches:
+            for part in text_slices(batch, limit=SLICE_BYTES):
+                data, off = raw(part.column("text"))
+                b = _buckets(data, off)
+                own = _in(b.range, b.text, _listed(part.column("open")))
+                at = _spread(b.first[own], b.last[own])
+                text = np.repeat(b.text[own], b.last[own] - b.first[own] + 1)
+                _, once = np.unique(mixed(b.strings[at] + mixed(text.astype(np.uint64) + np.uint64(1))), return_index=True)
+                at, ids = at[once], np.asarray(part.column("id"), np.int64)[text[once]]
+                names, seconds = b.strings[at], _second_names(data, at)
+                common = _among(names, hot.value.strings)
+                for pair, i in zip(zip(names[common].tolist(), seconds[common].tolist(), strict=True), ids[common].tolist(), strict=True):
+                    low, high = ends.get(pair, (i, i))
+                    ends[pair] = (min(low, i), max(high, i))
+                yield rows(names[~common], seconds[~common], ids[~common], False)
+        if ends:
+            pairs = np.array(list(ends), np.uint64)
+            yield rows(np.repeat(pairs[:, 0], 2), np.repeat(pairs[:, 1], 2), np.array(list(ends.values()), np.int64).ravel(), True)
+
+    return run
+
+
+@dataclass
+class _Lows:
+    """Hot ranges and hot strings, in order, and the least id that holds each."""
+
+    ranges: np.ndarray
+    range_ids: np.ndarray
+    strings: np.ndarray
+    string_ids: np.ndarray
+    grams: np.ndarray
+
+
+def _removed(part: pa.RecordBatch, lows: _Lows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes and offsets of the texts, and which bytes go."""
     data, off = raw(part.column("text"))
     ranges, strings = part.column("ranges"), part.column("strings")
     gone = np.zeros(len(data) + 1, np.int32)
     b = _buckets(data, off)
     if len(b.text):
         whole = _in(b.range, b.text, _listed(ranges))
-        common = np.flatnonzero(_among(b.range, lows[0]))
+        ids = np.asarray(part.column("id").fill_null(np.iinfo(np.int64).min), np.int64)  # rows without an id keep all
+        common = np.flatnonzero(_among(b.range, lows.ranges))
         if len(common):
-            ids = np.asarray(part.column("id").fill_null(np.iinfo(np.int64).min), np.int64)  # rows without an id keep all
-            whole[common] |= ids[b.text[common]] > lows[1][np.searchsorted(lows[0], b.range[common])]
+            whole[common] |= ids[b.text[common]] > lows.range_ids[np.searchsorted(lows.ranges, b.range[common])]
         at = [_spread(b.first[whole], b.last[whole])]
+        of = _among(b.gram, lows.grams) & ~whole
+        if of.any():
+            rest = _spread(b.first[of], b.last[of])
+            text = np.repeat(b.text[of], b.last[of] - b.first[of] + 1)
+            held = _among(b.strings[rest], lows.strings)
+            rest, text = rest[held], text[held]
+            at.append(rest[ids[text] > lows.string_ids[np.searchsorted(lows.strings, b.strings[rest])]])
         listed = _listed(strings)
         if len(listed):
             some = ~whole & np.isin(b.text, np.flatnonzero(np.array([bool(x) for x in strings.value_lengths().fill_null(0).to_pylist()])))
@@ -261,31 +309,41 @@ def _kept(lows) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]
 
 
 def _hot(docs: DataFrame) -> _Hot:
-    """Q-grams and ranges of so many documents that one task should not hold all their rows; found in a sample, as any choice gives the same result."""
-    rows = written(docs.sample(1 / SAMPLE, seed=8).mapInArrow(_sampled, "gram long, range long"), "sample")
+    """Q-grams, ranges and strings of so many documents that one task should not hold all their rows; found in a sample, as any choice gives the same result."""
+    sample = docs.sample(1 / SAMPLE, seed=8)
+    rows = written(sample.mapInArrow(_sampled, "gram long, range long"), "sample")
     least = max(SAMPLE // 4, rows.count() // HOT)
-    found = []
-    for kind in ("gram", "range"):
-        common = rows.groupBy(kind).count().where(F.col("count") > least).orderBy(F.desc("count"), kind).limit(HOT)
-        found.append(np.sort(np.array([r[kind] for r in common.collect()], np.int64).astype(np.uint64)))
-    return _Hot(*found)
+
+    def common(rows: DataFrame, kind: str) -> np.ndarray:
+        first = rows.groupBy(kind).count().where(F.col("count") > least).orderBy(F.desc("count"), kind).limit(HOT)
+        return np.sort(np.array([r[kind] for r in first.collect()], np.int64).astype(np.uint64))
+
+    grams, ranges = common(rows, "gram"), common(rows, "range")
+    strings = common(sample.mapInArrow(_sampled_strings(grams), "string long"), "string") if len(grams) else grams
+    return _Hot(grams, ranges, strings)
+
+
+def _least(rows: DataFrame, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """Identifiers in unsigned order, at most ``HOT``, and the least id of each."""
+    found = sorted((r[kind] % 2**64, r["low"]) for r in rows.groupBy(kind).agg(F.min("low").alias("low")).collect())
+    return np.array([k for k, _ in found], np.uint64), np.array([i for _, i in found], np.int64)
 
 
 def _with_repeats(docs: DataFrame) -> tuple[DataFrame, Broadcast]:
-    """``id, text, ranges, strings``: every document with the identifiers of its ranges and strings that an earlier one holds; and the least ids of hot ranges."""
-    spark = docs.sparkSession
+    """``id, text, ranges, strings``: every document with the identifiers of its ranges and strings that an earlier one holds; and the least ids of hot ones."""
+    context = docs.sparkSession.sparkContext
     known = docs.where("id IS NOT NULL")
-    state = written(_met(known, spark.sparkContext.broadcast(_hot(known))), "ranges")
+    hot = _hot(known)
+    told = context.broadcast(hot)
+    state = written(_met(known, told), "ranges")
     opened = state.where("open").groupBy("id").agg(F.collect_set("range").alias("open"))
-    strings = written(known.join(opened, "id").mapInArrow(_strings, "string long, second long, id long"), "entered")
-    shared = strings.groupBy("string", "second").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").drop("high")
-    again = written(strings.join(shared, ["string", "second"]).where("id > low").select("id", "string"), "strings")
+    strings = known.join(opened, "id").mapInArrow(_strings(told), "string long, second long, id long, hot boolean")
+    again = strings.withColumn("low", F.min("id").over(Window.partitionBy("string", "second"))).where("id > low")
+    again = written(again.select("id", "string", "hot", F.when(F.col("hot"), F.col("low")).alias("low")), "strings")
     ranges = state.where("NOT open AND NOT hot").select("id", "range", F.lit(None).cast("long").alias("string"))
-    lists = ranges.unionByName(again.select("id", F.lit(None).cast("long").alias("range"), "string")).groupBy("id").agg(F.collect_list("range").alias("ranges"), F.collect_list("string").alias("strings"))
-    # At most ``HOT`` ranges are hot.
-    least = sorted((r["range"] % 2**64, r["low"]) for r in state.where("hot").groupBy("range").agg(F.min("low").alias("low")).collect())
-    lows = (np.array([r for r, _ in least], np.uint64), np.array([i for _, i in least], np.int64))
-    return docs.join(lists, "id", "left"), spark.sparkContext.broadcast(lows)
+    lists = ranges.unionByName(again.where("NOT hot").select("id", F.lit(None).cast("long").alias("range"), "string")).groupBy("id").agg(F.collect_list("range").alias("ranges"), F.collect_list("string").alias("strings"))
+    lows = _Lows(*_least(state.where("hot"), "range"), *_least(again.where("hot"), "string"), hot.grams)
+    return docs.join(lists, "id", "left"), context.broadcast(lows)
 
 
 def _met(docs: DataFrame, hot: Broadcast) -> DataFrame:
