@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lithos.llm._spark import written
+from lithos.llm._spark import Scratch, written
 from lithos.llm._text import class_words, grams, raw, text_slices, word_hashes
 
 #: Bytes of benchmark text whose n-grams are broadcast at once; a larger benchmark is taken in blocks of about that size.
@@ -150,7 +150,8 @@ def remove_hits(docs: DataFrame, benchmark: DataFrame, *, n: int = 10, whole: bo
     are safe and nothing is joined back; items without an id count too. With ``whole=False`` a text loses, for each range of hit
     words, all from the first word's first character to the last word's last. More than
     ``block_bytes`` of benchmark text is taken in blocks, one pass each; with ``whole=False`` each
-    pass adds its ranges beside the untouched text, and the last one cuts all.
+    pass adds its ranges beside the untouched text, and the last one cuts all. Each pass but the last is written
+    to the shared folder, so the driver holds one block's windows at a time.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text")).where("text IS NOT NULL")
@@ -158,10 +159,14 @@ def remove_hits(docs: DataFrame, benchmark: DataFrame, *, n: int = 10, whole: bo
     blocks = max(1, -(-total // block_bytes))
     # The ranges' column: a name that no column has.
     mark = "_ranges" + "_" * max(map(len, docs.columns))
-    out = docs
+    out, scratch = docs, Scratch(spark)
     for b in range(blocks):
         known = spark.sparkContext.broadcast(_Grams([tuple(r) for r in items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b).collect()], n))
-        out = _without(out, docs, known, whole, text_col, mark, b == blocks - 1)
+        before, out = out, _without(out, docs, known, whole, text_col, mark, b == blocks - 1)
+        if b < blocks - 1:  # one block at a time: what it leaves is written before the next is read
+            out = scratch.write(out, "kept")
+            known.destroy()
+            scratch.drop(before)
     return out
 
 
