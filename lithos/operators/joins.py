@@ -110,21 +110,21 @@ def stabbed(rows: DataFrame, row_key: str, time: str, intervals: DataFrame, inte
     return pairs.where((F.col(time) > F.col(start)) & (F.col(end).isNull() | (F.col(time) < F.col(end)))).drop("_level", "_cell")
 
 
-def interval_status(rows: DataFrame, row_id: str, entity: str, time: str, parts: DataFrame, part: str, install: str, remove: str, current: str, value: str, names: Sequence[str], counted: str | None = None, count: str | None = None) -> DataFrame:
+def interval_status(rows: DataFrame, row_id: str, entity: str, time: str, parts: DataFrame, part: str, install: str, remove: str, current: str, value: str, names: Sequence[str], counted: str | None = None, count: str | None = None, tie: Sequence[str] = ()) -> DataFrame:
     """Per row and part, the status of parts installed then (strictly within; current parts have no end), a column per part.
 
     None valid: NOTFOUND. One: its value. Several: any TRUE 'True', else any MISSING 'MISSING', all FALSE
-    'False', else 'MULTIPLE'. The part ``counted`` gives the install count of its latest install, null being
-    MISSING. ``recoat`` tells whether any part is true. A part neither current nor with a removal is never valid.
+    'False', else 'MULTIPLE'. The part ``counted`` gives the install count of its latest install, of installs at
+    one time that of the greatest ``tie``, null being MISSING. ``recoat`` tells whether any part is true. A part neither current nor with a removal is never valid.
     """
     p = parts.where(F.coalesce(F.col(current), F.lit(False)) | F.col(remove).isNotNull())
-    p = p.select(F.col(entity), F.col(part).alias("_p"), F.col(install).alias("_i"), F.when(~F.coalesce(F.col(current), F.lit(False)), F.col(remove)).alias("_r"), F.col(value).alias("_v"), (F.col(count) if count else F.lit(None).cast("int")).alias("_k"))
+    p = p.select(F.col(entity), F.col(part).alias("_p"), F.col(install).alias("_i"), F.when(~F.coalesce(F.col(current), F.lit(False)), F.col(remove)).alias("_r"), F.col(value).alias("_v"), (F.col(count) if count else F.lit(None).cast("int")).alias("_k"), F.struct(F.col(install), *tie).alias("_o"))
     joined = stabbed(rows.select(F.col(row_id).alias("_id"), F.col(entity).alias("_e"), F.col(time).alias("_t")), "_e", "_t", p, entity, "_i", "_r")
     up = F.upper("_v")
     n, any_true, any_missing, all_false = F.count("*"), F.max(up == "TRUE"), F.max(F.col("_v").isNull() | (up == "MISSING")), F.min(F.coalesce(up == "FALSE", F.lit(False)))
     status = F.when(n == 1, F.coalesce(F.max("_v"), F.lit("MISSING"))).when(any_true, "True").when(any_missing, "MISSING").when(all_false, "False").otherwise("MULTIPLE")
     if counted:
-        status = F.when(F.col("_p") == counted, F.coalesce(F.max_by("_k", "_i").cast("string"), F.lit("MISSING"))).otherwise(status)
+        status = F.when(F.col("_p") == counted, F.coalesce(F.max_by("_k", "_o").cast("string"), F.lit("MISSING"))).otherwise(status)
     found = joined.groupBy("_id", "_p").agg(status.alias("status")).groupBy(F.col("_id").alias(row_id)).pivot("_p", list(names)).agg(F.first("status"))
     out = rows.join(found, row_id, "left").fillna("NOTFOUND", list(names))
     recoat = F.lit(False)

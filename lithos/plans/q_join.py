@@ -81,12 +81,10 @@ def c17(spark, d):
     c = table(spark, d, "customer").select(F.col("c_custkey").alias("entity"), F.expr("timestamp '1998-03-04' + make_dt_interval(cast(c_custkey % 500 as int))").alias("t"))
     key = F.col("o_orderkey")
     parts = table(spark, d, "orders").select(
-        F.col("o_custkey").alias("entity"), F.when(key % 3 == 0, "K").when(key % 3 == 1, "P1").otherwise("P2").alias("part"), F.struct(F.col("o_orderdate"), key).alias("order"), F.col("o_orderdate").alias("i"),
+        F.col("o_custkey").alias("entity"), F.when(key % 3 == 0, "K").when(key % 3 == 1, "P1").otherwise("P2").alias("part"), key.alias("order"), F.col("o_orderdate").alias("i"),
         F.expr("o_orderdate + make_dt_interval(cast(30 + o_orderkey % 400 as int))").alias("r"), (key % 7 == 0).alias("c"), F.when(key % 5 != 0, F.when(key % 2 == 0, "TRUE").otherwise("FALSE")).alias("v"), F.when(key % 4 != 0, (key % 100).cast("int")).alias("k"),
     )
-    # Installs of one day are told apart by microseconds, in the order of their keys.
-    parts = parts.withColumn("i", F.timestamp_micros(F.unix_micros("i") + F.col("order.o_orderkey") % 1_000_000)).drop("order")
-    return C.interval_status(c, "entity", "entity", "t", parts, "part", "i", "r", "c", "v", ["P1", "P2", "K"], counted="K", count="k").select("entity", "P1", "P2", "K", "recoat")
+    return C.interval_status(c, "entity", "entity", "t", parts, "part", "i", "r", "c", "v", ["P1", "P2", "K"], counted="K", count="k", tie=["order"]).select("entity", "P1", "P2", "K", "recoat")
 
 
 @query("C18_rollout_flags", """WITH r AS (SELECT user_id AS entity, min(ts) AS a, max(ts) AS b FROM events WHERE user_id % 3 <> 0 GROUP BY user_id)

@@ -149,6 +149,22 @@ def test_intervals_and_rollouts_are_strict(spark):
     assert rows(joins.rollout_flags(unit, roll, "e", "t", ["f", "g"], [F.col("f")]), "f_flag", "g_flag") == [("OFF", "ON")]
 
 
+def test_the_latest_of_installs_at_one_time_is_the_one_of_the_greatest_key(spark, tmp_path):
+    from lithos.plans.registry import QUERIES
+
+    spark.createDataFrame([(4, "c")], "c_custkey long, c_name string").write.parquet(str(tmp_path / "customer.parquet"))
+    # Keys further apart than the microseconds of a second; all of part K, the last of them without a count.
+    keys = [999_999, 1_000_002, 2_000_001, 2_999_994]
+    for last in (3, 4):
+        day = dt.datetime(1998, 3, 2)
+        spark.createDataFrame([(k, 4, day) for k in keys[:last]], "o_orderkey long, o_custkey long, o_orderdate timestamp").write.mode("overwrite").parquet(str(tmp_path / "orders.parquet"))
+        got = rows(QUERIES["C17_interval_join_status"](spark, str(tmp_path)), "entity", "K")
+        assert got == [(4, str(max(keys[:last]) % 100))]
+    unit = spark.createDataFrame([(1, "e", t(5))], "id int, e string, t timestamp")
+    parts = spark.createDataFrame([("e", "K", t(1), None, True, None, c, k) for k, c in ((2, 5), (3, None), (1, 9))], "e string, p string, i timestamp, r timestamp, c boolean, v string, k int, key int")
+    assert rows(joins.interval_status(unit, "id", "e", "t", parts, "p", "i", "r", "c", "v", ["K"], counted="K", count="k", tie=["key"]), "K") == [("MISSING",)]
+
+
 def test_session_match_falls_back_only_when_nothing_matches(spark):
     left = spark.createDataFrame([(1, t(1))], "k int, a timestamp")
     right = spark.createDataFrame([(1, t(2)), (1, t(3))], "k int, b timestamp")
