@@ -38,6 +38,8 @@ DECAY, SPAN, POWER, WINDOWS = 0.7, 5, 5, (5, 8)
 SENTENCES, HELD, HELD_ALTERED = 6, 0.9, 0.05
 #: Strings that a task counts before it passes the counts on.
 COUNTED = 50_000
+#: Sentences that the driver's fit works through at once.
+FIT_ROWS = 8_192
 #: Bytes of text that are worked through at once.
 SLICE_BYTES = 3 << 20
 #: A landmark is met in so many toxic training documents at least, and so many times as often in them as in others.
@@ -412,31 +414,48 @@ def _start_rates(hits: np.ndarray, n_words: np.ndarray, label: np.ndarray) -> np
     return rates
 
 
-def _fit_svm(kernels: np.ndarray, y: np.ndarray, gram: np.ndarray, balance: float, cost: float = 1.0, rounds: int = 200) -> tuple[np.ndarray, float]:
+def _kernel_blocks(kernels: np.ndarray, rows: np.ndarray) -> Iterator[np.ndarray]:
+    """The chosen rows of the sentences' kernels as doubles, ``FIT_ROWS`` at a time: the kernels are held once, in single precision."""
+    for a in range(0, len(rows), FIT_ROWS):
+        yield kernels[rows[a : a + FIT_ROWS]].astype(float)
+
+
+def _values(kernels: np.ndarray, rows: np.ndarray, weights: np.ndarray, bias: float) -> np.ndarray:
+    """Values of the chosen rows."""
+    return np.concatenate([np.zeros(0), *[part @ weights + bias for part in _kernel_blocks(kernels, rows)]])
+
+
+def _fit_svm(kernels: np.ndarray, y: np.ndarray, gram: np.ndarray, balance: float, cost: float = 1.0, rounds: int = 200, use: np.ndarray | None = None) -> tuple[np.ndarray, float]:
     """A support vector machine with squared hinge loss whose landmarks all count for toxicity: weights of the landmarks and the bias.
 
     In Nyström features the weights are ``gram ** 0.5 @ raise``, so their length is ``raise @ gram @ raise``. Landmarks are
     chosen as what toxic documents hold, so none may lower a sentence: ``raise`` is kept at 0 or more, by Newton steps on
-    the weights that are not held at 0.
+    the weights that are not held at 0. It is fitted on the rows ``use`` of ``kernels`` (None: all), whose labels are ``y``; sums run over blocks of them.
     """
-    x = np.hstack([kernels, np.ones((len(kernels), 1))])
-    ridge = np.eye(x.shape[1])
+    use = np.arange(len(kernels)) if use is None else use
+    ridge = np.eye(kernels.shape[1] + 1)
     ridge[:-1, :-1] = gram + 1e-6 * np.eye(len(gram))
     sign = np.where(y > 0, 1.0, -1.0)
     c = np.where(y > 0, balance, 1.0) * cost
-    w = np.zeros(x.shape[1])
+    w = np.zeros(len(ridge))
 
     def loss(w: np.ndarray) -> float:
-        return 0.5 * w @ ridge @ w + float((c * np.maximum(0.0, 1 - sign * (x @ w)) ** 2).sum())
+        return 0.5 * w @ ridge @ w + float((c * np.maximum(0.0, 1 - sign * _values(kernels, use, w[:-1], w[-1])) ** 2).sum())
 
     for _ in range(rounds):
-        inside = np.flatnonzero(sign * (x @ w) < 1)
-        own, weight = x[inside], 2 * c[inside]
-        slope = ridge @ w - own.T @ (weight * (sign[inside] - own @ w))
+        inside = np.flatnonzero(sign * _values(kernels, use, w[:-1], w[-1]) < 1)
+        slope, curve, at = ridge @ w, ridge.copy(), 0
+        for part in _kernel_blocks(kernels, use[inside]):
+            own = np.hstack([part, np.ones((len(part), 1))])
+            rows = inside[at : at + len(part)]
+            at += len(part)
+            weight = 2 * c[rows]
+            slope -= own.T @ (weight * (sign[rows] - own @ w))
+            curve += (own.T * weight) @ own
         free = (w > 0) | (slope < 0)
         free[-1] = True
         step = np.zeros(len(w))
-        step[free] = np.linalg.solve((ridge + (own.T * weight) @ own)[np.ix_(free, free)], slope[free])
+        step[free] = np.linalg.solve(curve[np.ix_(free, free)], slope[free])
         size, now, at = 1.0, loss(w), w
         while size > 1e-6:
             at = w - size * step
@@ -453,6 +472,15 @@ def _fit_svm(kernels: np.ndarray, y: np.ndarray, gram: np.ndarray, balance: floa
     return w[:-1], float(w[-1])
 
 
+def _single_kernels(column: pa.ChunkedArray, place: np.ndarray, width: int) -> np.ndarray:
+    """The kernels held in a column's strings, each row at its place, without a copy beside the column's own."""
+    x, at = np.zeros((len(place), width), "<f4"), 0
+    for chunk in column.chunks:
+        x[place[at : at + len(chunk)]] = raw(chunk)[0].view("<f4").reshape(-1, width)
+        at += len(chunk)
+    return x
+
+
 def _with_a_letter_more(texts: pa.Array) -> pa.Array:
     """Each word of four letters or more with an x put in about its middle."""
     return pc.replace_substring_regex(texts, r"(\pL{5})(\pL{3,})|(\pL{2,3})(\pL{2,})", r"\1\3x\2\4")
@@ -518,11 +546,12 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, *, label: str = "toxic",
     sample.unpersist()
     best, more = np.full(len(ids), model.bias), np.zeros(0)
     if marks:
-        rows = rows.sort_by([(c, "ascending") for c in ("id", "altered", "kernels")])
-        x = np.frombuffer(b"".join(rows["kernels"].to_pylist()), "<f4").reshape(-1, len(marks)).astype(float)
-        y, altered = np.asarray(rows["label"]), np.asarray(rows["altered"])
+        order = np.asarray(pc.sort_indices(rows, [(c, "ascending") for c in ("id", "altered", "kernels")]))
+        own_id, y, altered = (np.asarray(rows[c])[order] for c in ("id", "label", "altered"))
+        x = _single_kernels(rows["kernels"], np.argsort(order), len(marks))
+        del rows
         # An altered copy is a document of its own.
-        doc = np.unique(np.stack([np.asarray(rows["id"]), altered]), axis=1, return_inverse=True)[1].ravel()
+        doc = np.unique(np.stack([own_id, altered]), axis=1, return_inverse=True)[1].ravel()
         value = x.max(axis=1, initial=0)
         holds = (y == 1) & (value >= np.where(altered, HELD_ALTERED, HELD))
         for _ in range(3):
@@ -530,12 +559,12 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, *, label: str = "toxic",
             order = np.lexsort((value, doc))
             top[order[np.concatenate([doc[order][1:] != doc[order][:-1], np.ones(min(1, len(order)), bool)])]] = True
             use = np.flatnonzero((y == 0) | top | holds)
-            raised, model.bias = _fit_svm(x[use], y[use], gram, balance=2.0)
+            raised, model.bias = _fit_svm(x, y[use], gram, balance=2.0, use=use)
             model.weights = root @ raised
-            value = x @ raised + model.bias
+            value = _values(x, np.arange(len(x)), raised, model.bias)
         highest = np.full(int(doc.max(initial=-1)) + 1, -np.inf)
         np.maximum.at(highest, doc, value)
-        best_of = dict(zip(np.asarray(rows["id"])[~altered].tolist(), highest[doc[~altered]].tolist(), strict=True))
+        best_of = dict(zip(own_id[~altered].tolist(), highest[doc[~altered]].tolist(), strict=True))
         best = np.array([best_of.get(i, model.bias) for i in ids.tolist()])
         more = highest[np.unique(doc[altered])]
     model.knots = isotonic(np.concatenate([best, more]), np.concatenate([label, np.ones(len(more), label.dtype)]))

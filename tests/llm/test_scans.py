@@ -320,6 +320,29 @@ def test_no_landmark_lowers_a_sentence():
     assert all(loss(np.maximum(0, raised + d[:6]), bias + d[6]) >= least - 1e-9 for d in rng.normal(size=(300, 7)) * 0.01)
 
 
+def test_the_fit_holds_no_copy_of_all_kernels(monkeypatch):
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    x = (rng.random((50_000, 64)) * (rng.random((50_000, 64)) < 0.1)).astype("<f4")
+    y = (x[:, :8].sum(1) > 0.8).astype(int)
+    use = np.flatnonzero(rng.random(len(x)) < 0.9)
+    tracemalloc.start()
+    raised, bias = toxicity._fit_svm(x, y[use], np.eye(64), balance=2.0, use=use)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 8 * x.size  # one copy in double precision
+    monkeypatch.setattr(toxicity, "FIT_ROWS", len(x))
+    whole = toxicity._fit_svm(x[use].astype(float), y[use], np.eye(64), balance=2.0)
+    assert np.allclose(raised, whole[0], atol=1e-7) and abs(bias - whole[1]) < 1e-7
+    column = pa.chunked_array([pa.array([r.tobytes() for r in part], pa.binary()) for part in (x[:3], x[:0], x[3:10])])
+    place = rng.permutation(10)
+    assert np.array_equal(toxicity._single_kernels(column, place, 64)[place], x[:10])
+
+
 def test_insults_of_the_given_tables_raise_a_sentence(spark):
     import numpy as np
     import pyarrow as pa
