@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from lithos.operators.nearest import nearest_pairs
 from lithos.operators.quantiles import value_ranks, with_quantiles
+from lithos.operators.scan import HOT_KEYS
 
 
 def nn_metrics(df: DataFrame, keys: Sequence[str], klass: str, source: str, target: str, point: str, x: str, y: str, near: Sequence[float]) -> DataFrame:
@@ -143,10 +144,23 @@ def label_ranks(df: DataFrame, column: str) -> DataFrame:
 
 
 def label_encode(df: DataFrame, columns: Sequence[str], train) -> DataFrame:
-    """Index of each value (as text) among the sorted training values; unseen ones and null are 0. Values are looked up by a join, so there may be millions."""
+    """Index of each value (as text) among the sorted training values; unseen ones and null are 0. There may be millions of values.
+
+    A value that most rows have would bring them all to one task of a join. So up to ``HOT_KEYS`` values are broadcast and no row moves;
+    of more than that (counted when this is called) those of most rows are, and only rows of the others are joined by value, each value then being rare.
+    """
     for c in columns:
+        text, rank = F.col(c).cast("string"), F.coalesce("_rank", F.lit(0)).alias(f"{c}_index")
+        kept = [F.col(f"`{k}`") for k in df.columns if k != f"{c}_index"]
         names = label_ranks(df.where(train), c)
-        df = df.join(names, F.col(c).cast("string") == F.col("_label"), "left").withColumn(f"{c}_index", F.coalesce("_rank", F.lit(0))).drop("_label", "_rank")
+        held = df.select(text.alias("_held")).where("_held IS NOT NULL").groupBy("_held").agg(F.count("*").alias("_n"))
+        if held.limit(HOT_KEYS + 1).count() <= HOT_KEYS:
+            df = df.join(F.broadcast(names), text == F.col("_label"), "left").select(*kept, rank)
+            continue
+        hot = held.orderBy(F.desc("_n"), "_held").limit(HOT_KEYS).join(names, F.col("_held") == F.col("_label"), "left").select("_held", "_rank")
+        near = df.join(F.broadcast(hot), text == F.col("_held"), "left").where(F.col("_held").isNotNull() | F.col(c).isNull()).select(*kept, rank)
+        far = df.where(F.col(c).isNotNull()).join(F.broadcast(hot.select("_held")), text == F.col("_held"), "left_anti")
+        df = near.unionByName(far.join(names, text == F.col("_label"), "left").select(*kept, rank))
     return df
 
 

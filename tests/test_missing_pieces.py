@@ -122,6 +122,23 @@ def test_many_labels(spark):
     assert stats.label_encode(df, ["n"], F.lit(True)).where("n_index != CAST(n AS INT)").count() == 0
 
 
+@pytest.mark.parametrize("most", [10_000, 2])
+def test_rows_of_a_common_label_stay_apart(spark, monkeypatch, most):
+    monkeypatch.setattr(stats, "HOT_KEYS", most, raising=False)
+    name = F.expr("CASE WHEN id % 10 < 6 THEN 'b' WHEN id % 10 < 8 THEN NULL WHEN id % 10 = 8 THEN 'unseen' ELSE concat('a', id % 70) END")
+    df = spark.range(4000, numPartitions=8).select(F.col("id").alias("a.id"), name.alias("n"), name.alias("m"), F.lit(-1).alias("m_index"))
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = stats.label_encode(df, ["n", "m"], F.col("n") != "unseen").withColumn("at", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    order = sorted({r.n for r in got if r.n not in (None, "unseen")})
+    assert sorted(r["a.id"] for r in got) == list(range(4000)) and len(order) > 3
+    assert all(r.n_index == r.m_index == (order.index(r.n) if r.n in order else 0) for r in got)
+    assert all(len({r["at"] for r in got if r.n == n}) >= 8 for n in ("b", "unseen", None))
+
+
 def test_forest_learns_a_rule_and_evaluation_is_by_definition(spark):
     rng = random.Random(3)
     data = [(i, rng.random(), rng.random(), "train" if i % 4 else "2024-05") for i in range(800)]
