@@ -157,6 +157,23 @@ def test_forest_learns_a_rule_and_evaluation_is_by_definition(spark):
     assert auc > 0.9
 
 
+def test_a_forest_is_trained_on_small_partitions(spark, monkeypatch):
+    from pyspark.ml import Pipeline
+
+    monkeypatch.setattr(stats, "FOREST_ROWS", 100, raising=False)
+    sizes, fit = [], Pipeline.fit
+
+    def spied(self, data, *rest):
+        sizes.extend(r["count"] for r in data.groupBy(F.spark_partition_id().alias("at")).count().collect())
+        return fit(self, data, *rest)
+
+    monkeypatch.setattr(Pipeline, "fit", spied)
+    df = spark.range(950, numPartitions=1).select(F.col("id").alias("a"), (F.col("id") % 2).alias("b"), (F.col("id") % 3).cast("double").alias("rate"))
+    model, _ = stats.train_forest(df, ["a", "b"], "rate", trees=2, depth=2, min_leaf=3, seed=1)
+    assert sum(sizes) == 950 and len(sizes) == 10 and max(sizes) <= 100
+    assert model.transform(stats.forest_rows(df, ["a", "b"], "rate")).count() == 950
+
+
 def test_structure_shape_months_and_duplicates(spark):
     a = spark.createDataFrame([(i, "x", float(i)) for i in range(200)], "k long, c string, v double")
     b = a.withColumn("v", F.when(F.col("k") % 2 == 0, F.col("v") + 1).otherwise(F.col("v")))
