@@ -11,6 +11,8 @@ The search narrows in levels:
    groups, for the band of sizes of the larger of a pair, and only sets that share a cell can link. At 0.9 two linked
    points may differ by a tenth of their size, which is more than points of unrelated texts scatter in any one
    coordinate: boxes of counts alone would leave nearly all pairs of a size, so the tree stands below the cells.
+   Of its cells a set leaves out the commonest, as many as it has beyond one more than may differ: linked sets share a
+   rarer one. So texts that have but a common line or phrases alike meet nowhere.
 2. Small cells are compared point by point; sets of large ones are packed, by cell and then in order of size and leading
    coordinates, into the tree: tiles of ``TILE`` points with leaves of ``LEAF``, each with a box (least and most size,
    most of each coordinate). Tiles meet if they share a cell and their boxes allow a link, leaves if their boxes do.
@@ -29,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lithos.llm._spark import Scratch
@@ -104,19 +106,25 @@ def group_counts(tops: np.ndarray, percent: int) -> np.ndarray:
     return np.array(out, np.int64)
 
 
-def cell_keys(hashes: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index of the set and key of each cell it is entered under.
+def _entries(hashes: np.ndarray, at: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]]:
+    """Of each kind of cells: index of the set and key of each cell it is entered under; of each set the cells it may leave out, the kind, and how many kinds past its own band's first it is.
 
     A set enters the cells of its own band of sizes, where it may be the larger of a pair, and those of all further
     bands that a larger set linked with it may have. Bands in which only equal sets link have no cells. A set with no
     more filled groups than may differ is entered under each of its n-grams too, and so are its partners of that kind.
+    A key's last byte is its kind: band, and groups or n-grams. Of a kind's cells at most as many differ as n-grams may,
+    so of a set's cells, put in any order that is the same for all sets, all past one more than that may be left out:
+    the first cell that two linked sets share is before them.
     """
     sizes = np.diff(at)
     tops = bands(int(sizes.max(initial=1)) * 100 // percent + 2)
     counts = group_counts(tops, percent)
     own = np.searchsorted(tops, sizes)
-    sets, keys = [], []
     of_all = np.repeat(np.arange(len(sizes)), sizes)
+
+    def keys(content: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        return ((mixed(content) & ~np.uint64(255)) | kind.astype(np.uint64)).astype(np.int64)
+
     for ahead in range(len(tops)):
         band = np.minimum(own + ahead, len(tops) - 1)
         differ = (2 * (100 - percent) * tops[band]) // (100 + percent)
@@ -137,15 +145,32 @@ def cell_keys(hashes: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.ndar
         begin = np.flatnonzero(first)
         content = np.add.reduceat(mixed(h + np.uint64(5)), begin)
         place = band.astype(np.uint64) * np.uint64(1 << 32)
-        sets.append(of[begin])
-        keys.append(mixed(content ^ mixed(place[of[begin]] + group[begin] + np.uint64(1))))
         filled = np.bincount(of[begin], minlength=len(sizes))
+        sets = of[begin]
+        yield sets, keys(content ^ mixed(place[sets] + group[begin] + np.uint64(1)), 2 * band[sets]), np.maximum(0, filled - differ - 1), 2 * band, 2 * ahead
         few = np.flatnonzero((use & (filled <= differ))[of])
-        sets.append(of[few])
-        keys.append(mixed(h[few] ^ mixed(place[of[few]] + np.uint64(1 << 31))))
-    if not sets:
+        sets = of[few]
+        yield sets, keys(h[few] ^ mixed(place[sets] + np.uint64(1 << 31)), 2 * band[sets] + 1), np.maximum(0, sizes - differ - 1), 2 * band + 1, 2 * ahead + 1
+
+
+def cell_keys(hashes: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Index of the set and key of each cell it is entered under."""
+    found = [(sets, keys) for sets, keys, *_ in _entries(hashes, at, percent)]
+    if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(sets), np.concatenate(keys).astype(np.int64)
+    return np.concatenate([sets for sets, _ in found]), np.concatenate([keys for _, keys in found])
+
+
+def spare_cells(hashes: np.ndarray, at: np.ndarray, percent: int) -> list[list[int]]:
+    """Of each set the first kind of its cells, and of this and each further kind how many cells it may leave out."""
+    kinds, spares = np.zeros(len(at) - 1, np.int64), {}
+    for _, _, spare, kind, ahead in _entries(hashes, at, percent):
+        kinds, spares[ahead] = kind - ahead, spare
+    table = np.zeros((len(at) - 1, 2 + max(spares, default=-1)), np.int64)
+    table[:, 0] = kinds
+    for ahead, spare in spares.items():
+        table[:, 1 + ahead] = spare
+    return table.tolist()
 
 
 def points(hashes: np.ndarray, at: np.ndarray) -> list[bytes]:
@@ -164,8 +189,8 @@ def _folded(point: bytes, d: int) -> np.ndarray:
 
 
 def _per_set(docs: DataFrame, n: int, what: str, percent: int = 0, turn: int = 0, turns: int = 1) -> DataFrame:
-    """One pass over ``id, text``: ``nodes`` (id, node, size), ``cells`` (key, node; of ``turns`` parts of all keys one) or ``profiles`` (node, size, point, text)."""
-    schema = {"nodes": "id long, node long, size int", "cells": "key long, node long", "profiles": "node long, size int, point binary, text binary"}[what]
+    """One pass over ``id, text``: ``nodes`` (id, node, size), ``cells`` (key, node; of ``turns`` parts of all keys one) or ``profiles`` (node, size, point, text, and its spare cells)."""
+    schema = {"nodes": "id long, node long, size int", "cells": "key long, node long", "profiles": "node long, size int, point binary, text binary, spare array<int>"}[what]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3)
@@ -177,12 +202,12 @@ def _per_set(docs: DataFrame, n: int, what: str, percent: int = 0, turn: int = 0
                     yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(names), pa.array(np.diff(at), pa.int32())], ["id", "node", "size"])
                 elif what == "cells":
                     sets, keys = cell_keys(hashes, at, percent)
-                    own = keys % turns == turn
+                    own = (keys >> 8) % turns == turn
                     sets, keys = sets[own], keys[own]
                     yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(names[sets])], ["key", "node"])
                 else:
                     texts = [pack.compress((t or "").encode()) for t in part.column("text").to_pylist()]
-                    yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(np.diff(at), pa.int32()), pa.array(points(hashes, at), pa.binary()), pa.array(texts, pa.binary())], ["node", "size", "point", "text"])
+                    yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(np.diff(at), pa.int32()), pa.array(points(hashes, at), pa.binary()), pa.array(texts, pa.binary()), pa.array(spare_cells(hashes, at, percent), pa.list_(pa.int32()))], ["node", "size", "point", "text", "spare"])
 
     return docs.mapInArrow(run, schema)
 
@@ -265,6 +290,15 @@ def _mixed(members: DataFrame, found: DataFrame) -> DataFrame:
     return grouped.join(several.select("key", "cell"), "key")
 
 
+def _rarest(left: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Members of cells without those that a set may leave out of each kind of its cells: the ones of most members."""
+    kind = F.col("key").bitwiseAND(F.lit(255)).cast("int")
+    spare = F.get("spare", kind - F.get("spare", F.lit(0)) + 1)
+    held = left.join(profiles.select("node", "spare"), "node").select("key", "node", "cell", kind.alias("kind"), spare.alias("spare"))
+    place = F.row_number().over(Window.partitionBy("node", "kind").orderBy(F.desc("cell"), F.desc("key")))
+    return held.withColumn("place", place).where("place > spare").select("key", "node")
+
+
 def _small_pairs(left: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components in cells of at most ``SMALL`` members whose sizes allow a link."""
     sized = left.where(F.col("cell") <= SMALL).join(profiles.select("node", "size"), "node").select("key", "node", "component", "size")
@@ -449,8 +483,8 @@ def _classes(rows: DataFrame, n: int, percent: int) -> DataFrame:
     some = wanted.select("id").distinct()
     few = wanted.count() <= BROADCAST_IDS
     texts = rows.where("id IS NOT NULL").join(F.broadcast(some) if few else some, "id", "left_semi")
-    profiles = _per_set(texts, n, "profiles").join(wanted.select("node"), "node", "left_semi")
-    profiles = scratch.write(profiles.groupBy("node").agg(*[F.first(c).alias(c) for c in ("size", "point", "text")]), "profiles")
+    profiles = _per_set(texts, n, "profiles", percent).join(wanted.select("node"), "node", "left_semi")
+    profiles = scratch.write(profiles.groupBy("node").agg(*[F.first(c).alias(c) for c in ("size", "point", "text", "spare")]), "profiles")
 
     often = members.where("node != low").groupBy("node", "low").count().groupBy("node").agg(F.max(F.struct("count", "low")).alias("x"))
     pairs = often.select(F.col("x.low").alias("a"), F.col("node").alias("b"))
@@ -459,6 +493,8 @@ def _classes(rows: DataFrame, n: int, percent: int) -> DataFrame:
     left = scratch.write(_mixed(members, found), "left")
     scratch.drop(*[t for t, path in scratch.held if "/members-" in path])
     if not left.isEmpty():
+        left, every = scratch.write(_mixed(_rarest(left, profiles), found), "rarest"), left
+        scratch.drop(every)
         pairs = scratch.write(_bounded(_small_pairs(left, profiles, percent), profiles, percent), "pairs")
         links = links.unionByName(scratch.write(_verified(pairs, profiles, n, percent), "links"))
         found = connected_components(links, scratch=scratch)

@@ -49,6 +49,44 @@ def test_jaccard_large_cells_and_blocks(spark, monkeypatch):
         check_classes(spark, given, 3, percent)
 
 
+def test_jaccard_linked_sets_share_a_cell_that_neither_leaves_out():
+    rng, large = np.random.default_rng(4), np.iinfo(np.int64).max
+    for percent in (40, 60, 80, 90):
+        tried = 0
+        for size in (3, 6, 12, 30, 100, 180, 400):
+            for _ in range(12):
+                one = rng.integers(0, large, size).astype(np.uint64)
+                gone = rng.integers(0, 1 + size * (100 - percent) // 100)
+                two = np.concatenate([one[gone:], rng.integers(0, large, rng.integers(0, 1 + size * (100 - percent) // 100)).astype(np.uint64)])
+                if 100 * len(np.intersect1d(one, two)) < percent * len(np.union1d(one, two)) or set(one) == set(two):
+                    continue
+                hashes, at = np.concatenate([np.unique(one), np.unique(two)]), np.cumsum([0, len(set(one)), len(set(two))])
+                sets, keys = ngram_jaccard.cell_keys(hashes, at, percent)
+                spare, salt, kept = ngram_jaccard.spare_cells(hashes, at, percent), int(rng.integers(1 << 60)), []
+                shared = np.intersect1d(keys[sets == 0], keys[sets == 1])
+                for i in (0, 1):
+                    own = keys[sets == i]
+                    kinds = {int(k) & 255 for k in own}
+                    # The worst order for the pair: shared cells last, where they may be left out.
+                    placed = {kind: sorted((k for k in own.tolist() if k & 255 == kind), key=lambda k: (k in shared, hash((k, salt)))) for kind in kinds}
+                    kept.append({k for kind, p in placed.items() for k in p[: len(p) - spare[i][1 + kind - spare[i][0]]]})
+                assert kept[0] & kept[1], (percent, size)
+                tried += 1
+        assert tried > 20
+
+
+def test_jaccard_sets_that_share_only_a_common_line_meet_in_no_tile(spark, monkeypatch):
+    monkeypatch.setattr(ngram_jaccard, "SMALL", 4)
+    met = []
+    tiles = ngram_jaccard._large_links
+    monkeypatch.setattr(ngram_jaccard, "_large_links", lambda large, *rest: (met.append(large.count()), tiles(large, *rest))[1])
+    line = words(30, 1)
+    given = [(k, " ".join(words(150, 100 + k) + line)) for k in range(200)]
+    given.append((900, given[7][1] + " and more"))
+    check_classes(spark, given, 5, 80)
+    assert met == []
+
+
 def test_jaccard_of_short_sets(spark):
     rng = random.Random(8)
     given = [(k, " ".join(rng.choice("abcdefghijklmnopqrst") for _ in range(rng.randrange(1, 9)))) for k in range(150)]
