@@ -7,10 +7,16 @@ any block are verified on the whole vectors, and a pair counts in the first bloc
 
 The range join of a block works on tiles: a tree of splits at medians of a bounded sample names a cell for
 each vector, cells in order are cut into tiles of at most ``TILE`` vectors, and tiles meet only if their
-bounding boxes are within the share. Tiles hold equally many vectors whatever the crowding, so a
-large group of near copies is spread over tiles, and its pairs are counted inside tasks and never
-made rows: a task returns link counts per vector and a spanning forest of the links it found. Boxes of more
-tiles than may be broadcast are met from above: runs of tiles have boxes too, and only runs that touch are opened.
+bounding boxes are within the share. Of two tiles that meet, only vectors within the share of the other's box are
+compared. Tiles hold equally many vectors whatever the crowding, so a large group of near copies is spread over
+tiles, and its pairs are counted inside tasks and never made rows: a task returns link counts per vector and
+a spanning forest of all the links it found. Boxes of more tiles than may be broadcast are met from above: runs of
+tiles have boxes too, and only runs that touch are opened.
+
+Blocks are taken one after the other, each with its own order of the vectors, and a block's tiles go when it is done. Where
+a tile meets few others, tiles travel along the pairs. Where it meets many, as vectors that are spread evenly do, tiles
+stay in their files and each pair of partitions is read by a task of a Cartesian product, which ships and stores nothing.
+So either way disk and shuffle grow with the vectors, not with the pairs of tiles.
 
 How much boxes prune depends on the data. For vectors spread evenly over 64 dimensions a share of 0.1 is
 wide, most boxes touch, and the work grows with the square of the number of vectors at the speed
@@ -27,11 +33,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lithos.llm._spark import shuffle_partitions, written
+from lithos.llm._spark import Scratch
 from lithos.llm.components import connected_components
 
 #: Dimensions of a block, vectors of a tile, sample that sets the splits, depth of the tree, bytes of boxes broadcast at most, and boxes of a run.
-BLOCK_DIMS, TILE, SAMPLE, DEPTH, BOX_BYTES, FAN, SEED = 16, 2048, 20_000, 10, 64 << 20, 16, 11
+BLOCK_DIMS, TILE, SAMPLE, DEPTH, BOX_BYTES, FAN, SEED = 16, 4096, 20_000, 10, 64 << 20, 16, 11
+#: Pairs of tiles a tile, its own included, up to which tiles travel along them: at most twice as many bytes as all tiles have.
+PARTNERS = 2
+#: Rows of a tile compared at once, and pairs verified at once.
+STRIP, CHUNK = 512, 65_536
 
 
 def rotation(dims: int) -> np.ndarray:
@@ -83,57 +93,101 @@ def _near(share: float, lo: np.ndarray, hi: np.ndarray, los: np.ndarray, his: np
     return (gap * gap).sum(-1) <= share
 
 
-def _forest(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
-    """A spanning forest of links among ``n`` vectors."""
-    root = list(range(n))
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    out = []
-    for x, y in zip(a.tolist(), b.tolist(), strict=True):
-        p, q = find(x), find(y)
-        if p != q:
-            root[max(p, q)] = min(p, q)
-            out.append((x, y))
-            if len(out) == n - 1:
-                break
-    return out
-
-
-def _join_tiles(block: int, same: bool, ids: tuple[np.ndarray, np.ndarray], vs: tuple[np.ndarray, np.ndarray], spin: np.ndarray, blocks: list[slice], limit: float) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
-    """Link counts of both tiles' vectors and a spanning forest as ids, for pairs that this block is first to find."""
-    u, w = (_units(v) for v in vs)
-    ru, rw = u @ spin, w @ spin
-    total = 2 - 2 * limit
-    share = [total * (s.stop - s.start) / spin.shape[0] * (1 + 1e-9) + 1e-12 for s in blocks]
-    s = blocks[block]
-    x, y = ru[:, s].astype(np.float32), rw[:, s].astype(np.float32)
-    d = (x * x).sum(1)[:, None] + (y * y).sum(1)[None] - 2 * (x @ y.T)
-    near = d <= share[block] + 1e-5
-    if same:
-        near &= np.triu(np.ones_like(near), 1)
-    links_a, links_b, at_a, at_b = np.zeros(len(u), np.int64), np.zeros(len(w), np.int64), [], []
-    i, j = np.nonzero(near)
-    for k in range(0, len(i), 65_536):
-        p, q = i[k : k + 65_536], j[k : k + 65_536]
-        good = (vs[0][p] * vs[1][q]).sum(1) / (np.sqrt((vs[0][p] ** 2).sum(1)) * np.sqrt((vs[1][q] ** 2).sum(1))) >= limit
-        p, q = p[good], q[good]
-        gaps = (ru[p] - rw[q]) ** 2
-        first = gaps[:, s].sum(1) <= share[block]
-        for b in range(block):
-            first &= ~(gaps[:, blocks[b]].sum(1) <= share[b])
-        p, q = p[first], q[first]
-        links_a += np.bincount(p, minlength=len(u))
-        links_b += np.bincount(q, minlength=len(w))
-        at_a.append(p)
-        at_b.append(q if same else q + len(u))
-    every = ids[0] if same else np.concatenate(ids)
-    forest = _forest(len(every), np.concatenate(at_a), np.concatenate(at_b)) if at_a else []
-    return links_a, links_b, [(int(every[a]), int(every[b])) for a, b in forest]
+def _find(root: list[int], x: int) -> int:
+    while root[x] != x:
+        root[x] = root[root[x]]
+        x = root[x]
+    return x
+
+
+class _Found:
+    """Of the tiles that a task joins: link counts of their vectors, and a spanning forest of all links."""
+
+    def __init__(self) -> None:
+        #: For each tile its ids, its vectors' counts and the place of the first of them in ``root``.
+        self.tiles: dict[int, tuple[np.ndarray, np.ndarray, int]] = {}
+        self.root: list[int] = []
+        self.tree: list[tuple[int, int]] = []
+
+    def add(self, tiles: tuple[int, int], ids: tuple[np.ndarray, np.ndarray], p: np.ndarray, q: np.ndarray) -> None:
+        """Links of vectors at ``p`` of the first tile with those at ``q`` of the second."""
+        for tile, own, places in zip(tiles, ids, (p, q), strict=True):
+            if tile not in self.tiles:
+                self.tiles[tile] = own, np.zeros(len(own), np.int64), len(self.root)
+                self.root += range(len(self.root), len(self.root) + len(own))
+            self.tiles[tile][1][:] += np.bincount(places, minlength=len(own))
+        step = 4096
+        while len(p):
+            # Links within what earlier ones have joined are passed over in bulk.
+            one, two = (np.array([_find(self.root, start + k) for k in range(len(own))]) for own, _, start in (self.tiles[t] for t in tiles))
+            apart = one[p] != two[q]
+            p, q = p[apart], q[apart]
+            for x, y in zip(p[:step].tolist(), q[:step].tolist(), strict=True):
+                x, y = x + self.tiles[tiles[0]][2], y + self.tiles[tiles[1]][2]
+                i, j = _find(self.root, x), _find(self.root, y)
+                if i != j:
+                    self.root[max(i, j)] = min(i, j)
+                    self.tree.append((x, y))
+            p, q, step = p[step:], q[step:], 2 * step
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        """``id, links, other``: vectors with their counts, then the forest."""
+        if not self.tiles:
+            return
+        ids, counts = (np.concatenate([t[k] for t in self.tiles.values()]) for k in (0, 1))
+        some, tree = np.flatnonzero(counts), np.array(self.tree, np.int64).reshape(-1, 2)
+        for columns in ((ids[some], counts[some], pa.nulls(len(some), pa.int64())), (ids[tree[:, 0]], np.zeros(len(tree), np.int64), ids[tree[:, 1]])):
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["id", "links", "other"])
+
+
+class _Side:
+    """Rows of a tile that are within the share of the other's box, by their coordinates in the block; whole vectors are decoded once they are needed."""
+
+    def __init__(self, vs: bytes, xs: bytes, width: str, spin: np.ndarray, own: slice, box: tuple[np.ndarray, np.ndarray], share: float):
+        self.vs, self.width, self.spin = vs, width, spin
+        x = np.frombuffer(xs, "<f4").reshape(-1, own.stop - own.start)
+        self.rows = np.flatnonzero(_near(share, x, x, *(b.astype(np.float32) for b in box)))
+        self.x = x[self.rows]
+        self.squares = (self.x * self.x).sum(1)
+        self.whole: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
+
+    def decoded(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The rows' vectors (scaled), their lengths and their turned units, in double precision."""
+        if self.whole is None:
+            v = _scaled(np.frombuffer(self.vs, self.width).reshape(-1, len(self.spin))[self.rows].astype(float))
+            self.whole = v, np.sqrt((v * v).sum(1)), _units(v) @ self.spin
+        return self.whole
+
+
+def _join_tiles(block: int, same: bool, one: _Side, two: _Side, blocks: list[slice], limit: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Linked pairs, as places in both tiles, that this block is first to find."""
+    dims = blocks[-1].stop
+    share = [(2 - 2 * limit) * (s.stop - s.start) / dims * (1 + 1e-9) + 1e-12 for s in blocks]
+    if not len(one.rows) or not len(two.rows):
+        return
+    # One product gives the squared distances; rows of a strip follow one another in the tree, so they have a small box of their own.
+    left = np.column_stack([-2 * one.x, one.squares, np.ones_like(one.squares)])
+    right = np.column_stack([two.x, np.ones_like(two.squares), two.squares])
+    wide = np.float32(share[block] + 1e-5)
+    for k in range(0, len(left), STRIP):
+        x = one.x[k : k + STRIP]
+        cols = np.flatnonzero(_near(wide, x.min(0), x.max(0), two.x, two.x))
+        near = left[k : k + STRIP] @ right[cols].T <= wide
+        some = np.flatnonzero(near.any(1))
+        i, j = np.nonzero(near[some])
+        i, j = some[i] + k, cols[j]
+        if same:
+            i, j = i[after := one.rows[i] < two.rows[j]], j[after]
+        for m in range(0, len(i), CHUNK):
+            p, q = i[m : m + CHUNK], j[m : m + CHUNK]
+            (v, v_len, v_turned), (w, w_len, w_turned) = one.decoded(), two.decoded()
+            for b in range(block + 1):
+                gap = v_turned[p, blocks[b]] - w_turned[q, blocks[b]]
+                within = (gap * gap).sum(1) <= share[b]
+                p, q = (x[within if b == block else ~within] for x in (p, q))
+            good = (v[p] * w[q]).sum(1) / (v_len[p] * w_len[q]) >= limit
+            if good.any():
+                yield one.rows[p[good]], two.rows[q[good]]
 
 
 def near_duplicates(vectors: DataFrame, *, limit: float = 0.95, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -149,8 +203,8 @@ def near_duplicates(vectors: DataFrame, *, limit: float = 0.95, id_col: str = "v
     usable = _usable(vectors, id_col, vec_col)
     every = vectors.select(F.col(id_col).cast("long").alias("id"))
     found = None
-    for row in usable.select(F.size("v").alias("n")).distinct().orderBy("n").collect():
-        own = _found(usable.where(F.size("v") == row.n), int(row.n), width, limit)
+    for row in usable.groupBy(F.size("v").alias("n")).count().orderBy("n").collect():
+        own = _found(usable.where(F.size("v") == row.n), int(row.n), row["count"], width, limit)
         found = own if found is None else found.unionByName(own)
     if found is None:
         return every.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
@@ -160,8 +214,14 @@ def near_duplicates(vectors: DataFrame, *, limit: float = 0.95, id_col: str = "v
     return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "id").alias("component_id"))
 
 
-def _meeting(boxes: DataFrame, share: list[float]) -> DataFrame:
-    """``block, one, two`` (one <= two): tiles of a block whose boxes are within its share.
+def _touching(share: float) -> F.Column:
+    """Of boxes ``lo_one, hi_one`` and ``lo_two, hi_two``: within the share."""
+    gap = F.zip_with(F.zip_with("lo_one", "hi_two", lambda a, b: a - b), F.zip_with("lo_two", "hi_one", lambda a, b: a - b), lambda a, b: F.greatest(a, b, F.lit(0.0)))
+    return F.aggregate(gap, F.lit(0.0), lambda s, x: s + x * x) <= F.lit(share)
+
+
+def _meeting(boxes: DataFrame, share: float, scratch: Scratch) -> DataFrame | None:
+    """``one, two`` (one <= two): tiles whose boxes are within the share; None if there are over ``PARTNERS`` pairs a tile, or a run.
 
     Tiles are numbered in the order of their cells, so runs of ``FAN`` tiles lie close together and have a box of their
     own, as have runs of runs. The lowest level whose boxes fit ``BOX_BYTES`` is broadcast and meets itself; below it,
@@ -169,95 +229,118 @@ def _meeting(boxes: DataFrame, share: list[float]) -> DataFrame:
     of tiles within the share, as a run's box holds the boxes of its members.
     """
     spark = boxes.sparkSession
-    most = max(len(share), BOX_BYTES // (16 + 16 * BLOCK_DIMS))
-    levels = [boxes]
-    while levels[-1].count() > most:
+    most = max(1, BOX_BYTES // (16 + 16 * BLOCK_DIMS))
+    levels, sizes = [boxes], [boxes.count()]
+    while sizes[-1] > most:
         sides = [F.array_compact(F.array(*[least(F.get(c, F.lit(i))) for i in range(BLOCK_DIMS)])).alias(c) for least, c in ((F.min, "lo"), (F.max, "hi"))]
-        levels.append(written(levels[-1].groupBy("block", F.expr(f"tile div {FAN}").alias("tile")).agg(*sides), "boxes"))
-    top = levels[-1]
-    known = spark.sparkContext.broadcast({b: tuple(np.array(x) for x in zip(*[(r.tile, r.lo, r.hi) for r in rows], strict=True)) for b in range(len(share)) if (rows := top.where(F.col("block") == b).orderBy("tile").collect())})
+        levels.append(scratch.write(levels[-1].groupBy(F.expr(f"tile div {FAN}").alias("tile")).agg(*sides), "boxes"))
+        sizes.append(levels[-1].count())
+    rows = levels[-1].orderBy("tile").collect()
+    known = spark.sparkContext.broadcast(tuple(np.array(x) for x in zip(*[(r.tile, r.lo, r.hi) for r in rows], strict=True)))
 
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
+        names, los, his = known.value
         for batch in batches:
             for row in batch.to_pylist():
-                names, los, his = known.value[row["block"]]
-                other = names[(names >= row["tile"]) & _near(share[row["block"]], np.array(row["lo"]), np.array(row["hi"]), los, his)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(other), row["block"]), pa.int32()), pa.array(np.full(len(other), row["tile"])), pa.array(other)], ["block", "one", "two"])
+                yield row["tile"], names[(names >= row["tile"]) & _near(share, np.array(row["lo"]), np.array(row["hi"]), los, his)]
 
-    pairs = written(top.mapInArrow(meet, "block int, one long, two long"), "tile-pairs")
-    gap = F.zip_with(F.zip_with("lo_one", "hi_two", lambda a, b: a - b), F.zip_with("lo_two", "hi_one", lambda a, b: a - b), lambda a, b: F.greatest(a, b, F.lit(0.0)))
-    near = F.aggregate(gap, F.lit(0.0), lambda s, x: s + x * x) <= F.element_at(F.array(*[F.lit(x) for x in share]), F.col("block") + 1)
-    for level in reversed(levels[:-1]):
-        one, two = (level.select("block", F.expr(f"tile div {FAN}").alias(s), F.col("tile").alias(f"in_{s}"), F.col("lo").alias(f"lo_{s}"), F.col("hi").alias(f"hi_{s}")) for s in ("one", "two"))
-        below = pairs.join(one, ["block", "one"]).join(two, ["block", "two"]).where((F.col("in_one") <= F.col("in_two")) & near)
-        pairs = written(below.select("block", F.col("in_one").alias("one"), F.col("in_two").alias("two")), "tile-pairs")
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays([pa.array([sum(len(two) for _, two in others(batches))], pa.int64())], ["n"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tile, two in others(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(two), tile)), pa.array(two)], ["one", "two"])
+
+    if levels[-1].mapInArrow(count, "n long").agg(F.sum("n")).first()[0] > PARTNERS * sizes[-1]:
+        return None
+    pairs = scratch.write(levels[-1].mapInArrow(meet, "one long, two long"), "tile-pairs")
+    for level, size in reversed([*zip(levels[:-1], sizes[:-1], strict=True)]):
+        one, two = (level.select(F.expr(f"tile div {FAN}").alias(s), F.col("tile").alias(f"in_{s}"), F.col("lo").alias(f"lo_{s}"), F.col("hi").alias(f"hi_{s}")) for s in ("one", "two"))
+        below = pairs.join(one, "one").join(two, "two").where((F.col("in_one") <= F.col("in_two")) & _touching(share))
+        pairs = scratch.write(below.select(F.col("in_one").alias("one"), F.col("in_two").alias("two")), "tile-pairs")
+        if pairs.count() > PARTNERS * size:
+            return None
     return pairs
 
 
-def _found(usable: DataFrame, dims: int, width: str, limit: float) -> DataFrame:
-    """``id, links, other``: link counts and a spanning forest among vectors of one length."""
-    spark = usable.sparkSession
+def _found(usable: DataFrame, dims: int, n: int, width: str, limit: float) -> DataFrame:
+    """``id, links, other``: link counts and a spanning forest among the ``n`` vectors of one length."""
     spin = rotation(dims)
     blocks = [slice(a, min(a + BLOCK_DIMS, dims)) for a in range(0, dims, BLOCK_DIMS)]
-    share = [(2 - 2 * limit) * (s.stop - s.start) / dims * (1 + 1e-9) + 1e-5 for s in blocks]
     drawn = usable.orderBy(F.xxhash64("id", F.lit(SEED)), "id").limit(SAMPLE).select("v").toPandas()
     sample = _units(_scaled(np.array(drawn["v"].tolist()))) @ spin
-    trees = [_splits(sample[:, s]) for s in blocks]
+    found = None
+    for block in range(len(blocks)):
+        own = _found_by(block, usable, sample, spin, blocks, n, width, limit)
+        found = own if found is None else found.unionByName(own)
+    return found
+
+
+def _found_by(block: int, usable: DataFrame, sample: np.ndarray, spin: np.ndarray, blocks: list[slice], n: int, width: str, limit: float) -> DataFrame:
+    """``id, links, other`` of the pairs that this block is first to find."""
+    scratch, dims, s = Scratch(usable.sparkSession), len(spin), blocks[block]
+    share = (2 - 2 * limit) * (s.stop - s.start) / dims * (1 + 1e-9) + 1e-5
+    tree = _splits(sample[:, s])
+
+    def turned(x: np.ndarray) -> np.ndarray:
+        return _units(_scaled(x)) @ spin[:, s]
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = np.asarray(batch.column("v").flatten(), float).reshape(batch.num_rows, dims)
-            r = _units(_scaled(x)) @ spin
-            for b, s in enumerate(blocks):
-                held = [row.tobytes() for row in x.astype(width)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), b), pa.int32()), pa.array(_cell(r[:, s], trees[b])), batch.column("id"), pa.array(held, pa.binary())], ["block", "cell", "id", "v"])
+            held = pa.array([row.tobytes() for row in x.astype(width)], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(_cell(turned(x), tree)), batch.column("id"), held], ["cell", "id", "v"])
 
-    placed = usable.mapInArrow(place, "block int, cell long, id long, v binary")
-    n = usable.count()
-    deal = max(1, min(shuffle_partitions(spark), -(-n * len(blocks) // (4 * TILE))))
-    ordered = placed.repartitionByRange(deal, "block", "cell", F.xxhash64("id")).sortWithinPartitions("block", "cell")
+    placed = usable.mapInArrow(place, "cell long, id long, v binary")
+    ordered = placed.repartitionByRange(max(1, -(-n // (4 * TILE))), "cell", F.xxhash64("id")).sortWithinPartitions("cell")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, seq, block, ids, held = TaskContext.get().partitionId(), 0, None, [], []
+        part, seq, ids, held = TaskContext.get().partitionId(), 0, [], []
 
         def flush() -> pa.RecordBatch:
             nonlocal seq, ids, held
-            r = (_units(_scaled(np.frombuffer(b"".join(held), width).reshape(len(ids), dims).astype(float))) @ spin)[:, blocks[block]]
-            out = pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([part * 1_000_000 + seq]), pa.array([ids], pa.list_(pa.int64())), pa.array([b"".join(held)], pa.binary()), pa.array([r.min(0).tolist()], pa.list_(pa.float64())), pa.array([r.max(0).tolist()], pa.list_(pa.float64()))], ["block", "tile", "ids", "vs", "lo", "hi"])
+            vs = b"".join(held)
+            x = turned(np.frombuffer(vs, width).reshape(len(ids), dims).astype(float)).astype("<f4")
+            out = pa.RecordBatch.from_arrays([pa.array([part * 1_000_000 + seq]), pa.array([ids], pa.list_(pa.int64())), pa.array([vs], pa.binary()), pa.array([x.tobytes()], pa.binary()), *(pa.array([e.astype(float).tolist()], pa.list_(pa.float64())) for e in (x.min(0), x.max(0)))], ["tile", "ids", "vs", "xs", "lo", "hi"])
             seq, ids, held = seq + 1, [], []
             return out
 
         for batch in batches:
-            for b, i, v in zip(batch.column("block").to_pylist(), batch.column("id").to_pylist(), batch.column("v").to_pylist(), strict=True):
-                if ids and (b != block or len(ids) == TILE):
-                    yield flush()
-                block = b
+            for i, v in zip(batch.column("id").to_pylist(), batch.column("v").to_pylist(), strict=True):
                 ids.append(i)
                 held.append(v)
+                if len(ids) == TILE:
+                    yield flush()
         if ids:
             yield flush()
 
-    tiles = written(ordered.mapInArrow(pack, "block int, tile long, ids array<long>, vs binary, lo array<double>, hi array<double>"), "tiles")
-    pairs = _meeting(tiles.select("block", "tile", "lo", "hi"), share)
-    left = tiles.select(F.col("tile").alias("one"), F.col("ids").alias("ids_one"), F.col("vs").alias("vs_one"))
-    right = tiles.select(F.col("tile").alias("two"), F.col("ids").alias("ids_two"), F.col("vs").alias("vs_two"))
-    joined = pairs.join(left, "one").join(right, "two")
+    tiles = scratch.write(ordered.mapInArrow(pack, "tile long, ids array<long>, vs binary, xs binary, lo array<double>, hi array<double>"), "tiles")
+    columns = {"tile": "{}", "ids": "ids_{}", "vs": "vs_{}", "xs": "xs_{}", "lo": "lo_{}", "hi": "hi_{}"}
+    left, right = (tiles.select(*[F.col(c).alias(to.format(side)) for c, to in columns.items()]) for side in ("one", "two"))
+    pairs = _meeting(tiles.select("tile", "lo", "hi"), share, scratch)
+    if pairs is None:
+        two = left.hint("shuffle_replicate_nl").join(right, F.expr("one < two") & _touching(share))
+    else:
+        two = pairs.where("one < two").join(left, "one").join(right, "two")
+    # A tile meets itself where it is.
+    alone = left.select("*", F.col("one").alias("two"), *[F.lit(None).cast(dict(right.dtypes)[c]).alias(c) for c in right.columns if c != "two"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        links = _Found()
         for batch in batches:
             for k in range(batch.num_rows):
-                row = batch.slice(k, 1).to_pylist()[0]
-                same = row["one"] == row["two"]
-                ids = tuple(np.array(row[f"ids_{s}"], np.int64) for s in ("one", "two"))
-                vs = tuple(_scaled(np.frombuffer(row[f"vs_{s}"], width).reshape(-1, dims).astype(float)) for s in ("one", "two"))
-                a, b, forest = _join_tiles(row["block"], same, ids, vs, spin, blocks, limit)
-                some = [(int(i), int(c), None) for i, c in zip(ids[0], a, strict=True) if c] + [(int(i), int(c), None) for i, c in zip(ids[1], b, strict=True) if c] + [(x, 0, y) for x, y in forest]
-                if some:
-                    yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in zip(*some, strict=True)], ["id", "links", "other"])
-
-    return written(joined.mapInArrow(count, "id long, links long, other long"), "found")
+                row = {c: batch.column(c)[k] for c in batch.schema.names}
+                tiles = row["one"].as_py(), row["two"].as_py()
+                ends = ("one", "one" if tiles[0] == tiles[1] else "two")
+                boxes = [tuple(row[f"{c}_{e}"].values.to_numpy() for c in ("lo", "hi")) for e in ends]
+                sides = [_Side(row[f"vs_{e}"].as_buffer(), row[f"xs_{e}"].as_buffer(), width, spin, s, box, share) for e, box in zip(ends, reversed(boxes), strict=True)]
+                for p, q in _join_tiles(block, tiles[0] == tiles[1], *sides, blocks, limit):
+                    links.add(tiles, tuple(row[f"ids_{e}"].values.to_numpy() for e in ends), p, q)
+        yield from links.rows()
+
+    return scratch.last(two.select(*alone.columns).unionByName(alone).mapInArrow(count, "id long, links long, other long"), "found")
 
 
 def brute_force(ids: list[int], vectors: pd.Series, limit: float) -> dict[int, int]:

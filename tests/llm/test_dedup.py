@@ -188,6 +188,46 @@ def test_embeddings_of_all_lengths_and_sizes(spark):
     assert got == {**{k: (4, 0) for k in range(5)}, **{k: (3, 10) for k in range(10, 14)}, 20: (1, 20), 21: (0, 21), 22: (1, 20)}
 
 
+@pytest.mark.parametrize("partners", [0, 1_000])
+def test_embeddings_are_brute_force_whether_tiles_travel_or_not(spark, monkeypatch, partners):
+    for name, value in (("TILE", 8), ("BOX_BYTES", 1), ("FAN", 4), ("STRIP", 3), ("CHUNK", 5), ("PARTNERS", partners)):
+        monkeypatch.setattr(embedding_dedup, name, value)
+    ways, meeting = [], embedding_dedup._meeting
+    monkeypatch.setattr(embedding_dedup, "_meeting", lambda *given: ways.append(meeting(*given)) or ways[-1])
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(90, 32))
+    x[30:60] = x[3] + rng.normal(size=(30, 32)) * 0.2
+    x[60:80] = x[5]
+    df = spark.createDataFrame([(k, [float(v) for v in row]) for k, row in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(df, limit=0.95).collect()}
+    assert [w is None for w in ways] == [partners == 0] * 2
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = (x @ x.T >= 0.95) & ~np.eye(len(x), dtype=bool)
+    comp = components(list(range(90)), [(a, b) for a, b in zip(*np.nonzero(near), strict=True) if a < b])
+    assert got == {k: (int(near[k].sum()), comp[k]) for k in range(90)} and near.sum() > 600
+
+
+def shuffled(spark):
+    """Bytes that the session's stages have written to shuffles so far."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    jvm, gateway = spark._jvm, spark.sparkContext._gateway
+    stages = spark.sparkContext._jsc.sc().statusStore().stageList(jvm.java.util.ArrayList(), False, False, gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+    return sum(stages.apply(k).shuffleWriteBytes() for k in range(stages.size()))
+
+
+def test_embeddings_that_meet_all_others_shuffle_in_step_with_their_bytes(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "TILE", 256)
+    x = np.random.default_rng(7).normal(size=(3000, 64)).astype(np.float32)
+    df = spark.createDataFrame([(k, row.tolist()) for k, row in enumerate(x)], "vec_id long, embedding array<float>")
+    before = shuffled(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables beyond it
+    try:
+        assert {r.n_links for r in embedding_dedup.near_duplicates(df, limit=0.95).collect()} == {0}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert 0 < shuffled(spark) - before < 8 * x.nbytes
+
+
 def test_embeddings_of_nothing(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert embedding_dedup.near_duplicates(empty).collect() == []
