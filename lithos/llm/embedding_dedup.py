@@ -116,12 +116,12 @@ class _Found:
                 self.tiles[tile] = own, np.zeros(len(own), np.int64), len(self.root)
                 self.root += range(len(self.root), len(self.root) + len(own))
             self.tiles[tile][1][:] += np.bincount(places, minlength=len(own))
-        step = 4096
+        step = 1024
         while len(p):
-            # Links within what earlier ones have joined are passed over in bulk.
-            one, two = (np.array([_find(self.root, start + k) for k in range(len(own))]) for own, _, start in (self.tiles[t] for t in tiles))
-            apart = one[p] != two[q]
-            p, q = p[apart], q[apart]
+            if len(p) > step:  # links within what earlier ones have joined are passed over in bulk
+                one, two = (np.array([_find(self.root, start + k) for k in range(len(own))]) for own, _, start in (self.tiles[t] for t in tiles))
+                apart = one[p] != two[q]
+                p, q = p[apart], q[apart]
             for x, y in zip(p[:step].tolist(), q[:step].tolist(), strict=True):
                 x, y = x + self.tiles[tiles[0]][2], y + self.tiles[tiles[1]][2]
                 i, j = _find(self.root, x), _find(self.root, y)
